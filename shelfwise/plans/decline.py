@@ -1,0 +1,73 @@
+"""K4 decline: products whose ROAS fell by half over four weeks."""
+
+from __future__ import annotations
+
+import datetime as _dt
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions.dates import (compact_to_date, four_week_calendar, is_integer_text, week_number,
+                               week_range_label, year_str)
+from ..functions.numbers import as_number, micros_to_units, roas
+from ..functions.text import before_first_space
+from ..operators.aggregates import ads_totals, analytics_totals, clicks_per_gid
+from ..operators.currency import convert
+from ..operators.filters import UNITED_STATES, country_filter, drop_not_set, having_clicks_over
+from ..operators.joins import keep_keys, lower_key_join
+from ..operators.windows import DECLINE_PERCENT, decline_rule
+
+DECLINE_COLUMNS = ["ID", "Impressions", "Cost", "Clicks", "ConversionValue", "itemRev",
+                   "buyToDetailRate", "productName", "country", "weekNum", "yearNum", "newCost",
+                   "newROAS", "WeekRange"]
+
+
+def weekly_ads(ads: DataFrame, days: list[_dt.date], min_clicks: int = 400) -> DataFrame:
+    """S5, F2, F3, F7 -> A6 + P5 -> A7 -> J6: weekly ad totals of the product
+    groups with more than ``min_clicks`` clicks over the whole period."""
+    adw = ads.filter(F.col("Date").between(F.lit(days[0]), F.lit(days[-1]))
+                     & (F.col("Impressions") > 0))
+    adw = adw.select(before_first_space("GID").alias("GID"), "Account",
+                     year_str("Date").alias("yearNum"), week_number("Date").alias("weekNum"),
+                     "Impressions", "Clicks", "Cost", "ConversionValue")
+    busy = having_clicks_over(clicks_per_gid(adw), min_clicks).select("GID")
+    weekly = ads_totals(adw, ["GID", "Account", "weekNum", "yearNum"])
+    return keep_keys(weekly, busy, "GID")
+
+
+def weekly_analytics(analytics: DataFrame, days: list[_dt.date],
+                     country: str = UNITED_STATES) -> DataFrame:
+    """The 28 daily pulls (S-side day selection), lower-cased names, P6,
+    F2, F3, P3 -> A8: revenue and BTDR per (country, SKU, name, week, year)."""
+    types = dict((f.name, f.dataType) for f in analytics.schema.fields)
+    an = analytics.filter(is_integer_text("date")).withColumn("_d", compact_to_date("date"))
+    an = an.filter(F.col("_d").isin(*days))
+    an = country_filter(an, country).select(
+        "country", "productSku", F.lower("productName").alias("productName"),
+        week_number("_d").alias("weekNum"), year_str("_d").alias("yearNum"),
+        as_number("itemRevenue", types["itemRevenue"]).alias("itemRevenue"),
+        as_number("buyToDetailRate", types["buyToDetailRate"]).alias("buyToDetailRate"))
+    return analytics_totals(an, ["country", "productSku", "productName", "weekNum", "yearNum"])
+
+
+def decline(ads: DataFrame, analytics: DataFrame, run_date: _dt.date, min_clicks: int = 400,
+            percent: float = DECLINE_PERCENT, country: str = UNITED_STATES,
+            rates: DataFrame | None = None, from_ccy: str = "USD", to_ccy: str = "USD",
+            order_by_year: bool = False, snap: bool = False) -> DataFrame:
+    """K4: J5 (weekly ads x weekly analytics on lower GID, week, year, one
+    row per metric combination with MIN(productName)), P7, J12/F16, W1, O3
+    and the WeekRange label (P10)."""
+    days = four_week_calendar(run_date, snap)
+    ads_w = weekly_ads(ads, days, min_clicks)
+    an_w = weekly_analytics(analytics, days, country).withColumnRenamed("itemRevenue", "itemRev")
+    joined = lower_key_join(ads_w, an_w, "GID", "productSku", also=["weekNum", "yearNum"])
+    grouped = joined.groupBy(
+        F.col("GID").alias("ID"), "Impressions", "Cost", "Clicks", "ConversionValue", "itemRev",
+        "buyToDetailRate", "country", "weekNum", "yearNum",
+    ).agg(F.min("productName").alias("productName"))
+    grouped = drop_not_set(grouped)
+    priced = grouped.withColumn("newCost", convert(micros_to_units("Cost"), rates, from_ccy, to_ccy))
+    priced = priced.withColumn("newROAS", roas("itemRev", "newCost"))
+    kept = decline_rule(priced, percent=percent, order_by_year=order_by_year)
+    return (kept.withColumn("WeekRange", F.lit(week_range_label(days)))
+            .select(*DECLINE_COLUMNS).orderBy("ID", "weekNum"))

@@ -1,0 +1,59 @@
+"""K5 margins: ROAS and sales volume per day and discount margin."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions.dates import compact_to_date, is_integer_text
+from ..functions.numbers import as_number, micros_to_units, ratio
+from ..functions.text import before_first_space
+from ..operators.aggregates import cost_totals, distinct_rows
+from ..operators.currency import convert
+
+
+def margin_feed(feed: DataFrame) -> DataFrame:
+    """S1 margins projection + F8 + A10: distinct (Margin, GID, Brand)."""
+    fd = feed.select("Margin", F.lower("GID").alias("GID"), F.col("BRAND").alias("Brand"))
+    return distinct_rows(fd, ["Margin", "GID", "Brand"])
+
+
+def margins(feed: DataFrame, ads: DataFrame, analytics: DataFrame, rates: DataFrame | None = None,
+            from_ccy: str = "USD", to_ccy: str = "USD", lower_ads_gid: bool = False) -> DataFrame:
+    """J7 (analytics x feed on SKU), J8 (x daily ad cost on date and GID),
+    J12, A11 (per margin and day: SUM(revenue) / SUM(cost), SUM(quantity)).
+
+    The joins fan rows out -- every (Margin, Brand) variant of a GID repeats
+    the analytics row and its day's cost, and that double counting is part
+    of the result.  Instead of materialising the fan-out we aggregate each
+    side to its join key first and weight by the partner counts:
+    revenue x variants, cost x analytics rows x variants.  Same sums, no row
+    explosion, and the shuffles carry one row per key.
+
+    ``lower_ads_gid`` lower-cases the ad GIDs before the SKU comparison; by
+    default they are compared as the report spells them.
+    """
+    types = dict((f.name, f.dataType) for f in analytics.schema.fields)
+    an = analytics.filter(is_integer_text("date")).select(
+        compact_to_date("date").alias("date"),
+        F.lower("productSku").alias("GID"),
+        as_number("itemRevenue", types["itemRevenue"]).alias("rev"),
+        as_number("itemQuantity", types["itemQuantity"], integral=True).alias("qty"),
+    )
+    an_k = an.groupBy("date", "GID").agg(F.sum("rev").alias("rev"), F.sum("qty").alias("qty"),
+                                         F.count(F.lit(1)).alias("n_rows"))
+
+    gid = before_first_space("GID")
+    ad = ads.select(F.col("Date").alias("date"), (F.lower(gid) if lower_ads_gid else gid).alias("GID"), "Cost")
+    ad_k = cost_totals(ad, ["date", "GID"])  # A9, one row per (date, GID)
+
+    fd_k = margin_feed(feed).groupBy("GID", "Margin").agg(F.count(F.lit(1)).alias("n_variants"))
+
+    joined = an_k.join(ad_k, ["date", "GID"]).join(fd_k, "GID")
+    per_margin = joined.groupBy("Margin", "date").agg(
+        F.sum(F.col("rev") * F.col("n_variants")).alias("rev"),
+        F.sum(F.col("Cost") * F.col("n_rows") * F.col("n_variants")).alias("cost_micros"),
+        F.sum(F.col("qty") * F.col("n_variants")).alias("salesVolume"),
+    )
+    new_cost = convert(micros_to_units("cost_micros"), rates, from_ccy, to_ccy)
+    return per_margin.select("date", "Margin", ratio("rev", new_cost).alias("ROAS"), "salesVolume")

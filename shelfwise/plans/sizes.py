@@ -1,0 +1,59 @@
+"""K6 sizes: ROAS and sales volume per day and shoe size."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions.dates import compact_to_date, is_integer_text
+from ..functions.numbers import as_number, micros_to_units, ratio
+from ..functions.text import clean_size, digits_and_dots, last_dash_token, offer_key
+from ..operators.aggregates import cost_totals
+from ..operators.currency import convert
+from ..operators.filters import SHOES, ads_cost_projection, category_filter, fill_missing
+
+
+def analytics_by_size(analytics: DataFrame, category: str = SHOES) -> DataFrame:
+    """P4, F11, P6, F4, F12 -> A12: revenue and quantity per (date, size)."""
+    an = category_filter(analytics, category)
+    types = dict((f.name, f.dataType) for f in an.schema.fields)
+    an = an.select(
+        "date",
+        clean_size("size").alias("size"),
+        as_number("itemRevenue", types["itemRevenue"]).alias("itemRevenue"),
+        as_number("itemQuantity", types["itemQuantity"], integral=True).alias("itemQuantity"),
+    ).filter(is_integer_text("date"))
+    an = an.select(compact_to_date("date").alias("date"), digits_and_dots("size").alias("size"),
+                   "itemRevenue", "itemQuantity")
+    return an.groupBy("date", "size").agg(F.sum("itemRevenue").alias("itemRevenue"),
+                                          F.sum("itemQuantity").alias("itemQuantity"))
+
+
+def ads_by_size(ads: DataFrame, rates: DataFrame | None = None, from_ccy: str = "USD",
+                to_ccy: str = "USD") -> DataFrame:
+    """P12, F9, F10, F12 -> A13, J12: cost per (date, size) in target units.
+
+    Cost stays in integer micros through the sum and is converted once per
+    group (conversion is linear, so this equals converting every row)."""
+    ad = ads_cost_projection(ads)
+    ad = ad.select(F.col("Date").alias("date"),
+                   digits_and_dots(last_dash_token(offer_key("OfferID"))).alias("size"),
+                   "Cost")
+    daily = cost_totals(ad, ["date", "size"])
+    return daily.select("date", "size",
+                        convert(micros_to_units("Cost"), rates, from_ccy, to_ccy).alias("Cost"))
+
+
+def sizes(ads: DataFrame, analytics: DataFrame, rates: DataFrame | None = None,
+          from_ccy: str = "USD", to_ccy: str = "USD", category: str = SHOES,
+          fill: float = -0.01) -> DataFrame:
+    """J9 + A14 + P11: both sides are unique per (date, size) after their
+    aggregations, so the join is 1:1 and shuffles only aggregated rows."""
+    an = analytics_by_size(analytics, category)
+    ad = ads_by_size(ads, rates, from_ccy, to_ccy)
+    joined = an.join(ad, ["date", "size"])
+    out = joined.groupBy("date", "size").agg(
+        ratio(F.sum("itemRevenue"), F.sum("Cost")).alias("ROAS"),
+        F.sum("itemQuantity").alias("salesVolume"),
+    )
+    return fill_missing(out, ["ROAS", "salesVolume"], fill)
