@@ -76,7 +76,7 @@ def with_standins(body: str) -> str:
     return f"WITH {STANDINS},\n{body}"
 
 
-SIZES = with_standins(rf"""
+SIZES_CTES = rf"""
 an AS (
   SELECT date,
          regexp_replace(replace(replace(replace(replace(size, 'US', ''), 'UK', ''), 'Wm', 'W'), ' ', ''),
@@ -92,14 +92,18 @@ ad_d AS (
          regexp_replace(regexp_extract(lower(split_part(coalesce(OfferID, 'nan'), '|', 1)), '[^-]*$'),
                         {DIGITS}, '', 'g') AS size,
          CAST(SUM(Cost) AS DOUBLE) / 1000000 AS Cost
-  FROM ads GROUP BY 1, 2)
+  FROM ads GROUP BY 1, 2)"""
+
+SIZES_SELECT = """
 SELECT a.date, a.size,
        round(coalesce(SUM(a.itemRevenue) / nullif(SUM(d.Cost), 0), -0.01), 6) AS ROAS,
        coalesce(CAST(SUM(a.itemQuantity) AS DOUBLE), -0.01) AS salesVolume
 FROM an_d a JOIN ad_d d ON d.date = a.date AND d.size = a.size
-GROUP BY a.date, a.size""")
+GROUP BY a.date, a.size"""
+
+SIZES = with_standins(SIZES_CTES + SIZES_SELECT)
 
-MARGINS = with_standins(rf"""
+MARGINS_CTES = rf"""
 an AS (
   SELECT CAST(strptime(date, '%Y%m%d') AS DATE) AS date, lower(productSku) AS productSku,
          productName, itemRevenue, itemQuantity
@@ -112,11 +116,15 @@ j AS (
   SELECT fd.Margin, fd.Brand, an.date, an.itemQuantity, an.productSku, an.productName,
          an.itemRevenue, ad.Cost
   FROM an JOIN fd ON fd.GID = an.productSku
-  JOIN ad ON an.date = ad.Date AND an.productSku = ad.GID)
+  JOIN ad ON an.date = ad.Date AND an.productSku = ad.GID)"""
+
+MARGINS_SELECT = """
 SELECT date, Margin,
        round(SUM(CAST(itemRevenue AS DOUBLE)) / nullif(CAST(SUM(Cost) AS DOUBLE) / 1000000, 0), 6) AS ROAS,
        CAST(SUM(CAST(itemQuantity AS BIGINT)) AS BIGINT) AS salesVolume
-FROM j GROUP BY Margin, date""")
+FROM j GROUP BY Margin, date"""
+
+MARGINS = with_standins(MARGINS_CTES + MARGINS_SELECT)
 
 NOT_SOLD = with_standins("""
 x AS (SELECT 1)
@@ -215,7 +223,11 @@ GROUP BY ds.{period}, ds.yearNum, ds.ID, BRAND, productName, country""")
 DO_SELL_BY_MONTH = _view("monthNum", "Monthum", "ROUND(AVG(Clicks), 0)")
 DO_SELL_BY_WEEK = _view("WeekNumber", "WeekNum", "AVG(Clicks)")
 
-DECLINE_CTES = rf"""
+def decline_ctes(percent: float = 0.5) -> str:
+    return _DECLINE_CTES.replace("__PERCENT__", repr(percent))
+
+
+_DECLINE_CTES = rf"""
 adw AS (
   SELECT split_part(GID, ' ', 1) AS GID, Account, strftime(Date, '%Y') AS yearNum,
          CAST(strftime(Date, '%W') AS INTEGER) + 1 AS weekNum,
@@ -265,9 +277,9 @@ keep AS (
   SELECT ID FROM r GROUP BY ID
   HAVING max(n) = 4
      AND NOT coalesce(max(CASE WHEN rn = 4 THEN newROAS END)
-                      >= max(CASE WHEN rn = 1 THEN newROAS END) * 0.5, false))"""
+                      >= max(CASE WHEN rn = 1 THEN newROAS END) * __PERCENT__, false))"""
 
-DECLINE = with_standins(DECLINE_CTES + f"""
+DECLINE = with_standins(decline_ctes(0.5) + f"""
 SELECT ID, Impressions, Cost, Clicks, round(ConversionValue, 6) AS ConversionValue, itemRev,
        round(buyToDetailRate, 6) AS buyToDetailRate, productName, country, weekNum, yearNum,
        round(newCost, 6) AS newCost, round(newROAS, 6) AS newROAS, '{WEEK_RANGE}' AS WeekRange
@@ -284,3 +296,278 @@ PIPELINES = {
     "do_sell_by_week": DO_SELL_BY_WEEK,
     "decline": DECLINE,
 }
+
+
+# ===================================================== operator-level oracles
+
+HITS = """
+h AS (
+  SELECT strftime(CAST(ts AS DATE), '%Y%m%d') AS date, user_id, event_type,
+         CASE WHEN event_id % 11 = 0 THEN '(not set)' ELSE 'Shoe ' || CAST(user_id % 500 AS VARCHAR) END AS productName,
+         'g' || CAST(user_id % 500 AS VARCHAR) AS productSku,
+         CASE WHEN event_id % 6 = 0 THEN 'Canada' ELSE 'United States' END AS country,
+         'US ' || CAST(event_id % 15 AS VARCHAR) || '.5Wm' AS size,
+         CASE WHEN event_id % 7 = 0 THEN 'Bags' ELSE 'Shoes' END AS productType,
+         CASE WHEN CAST(json_extract_string(props, '$.k') AS INTEGER) % 3 = 0
+              THEN 'google / cpc' ELSE 'google / organic' END AS sourceMedium,
+         CAST(round(value * 100) AS BIGINT) AS cents,
+         event_id % 3 + 1 AS quantity
+  FROM events)"""
+
+
+def _report(source: str, dims: str) -> str:
+    return f"""
+SELECT {dims},
+  CAST(SUM(CASE WHEN event_type = 'purchase' THEN cents ELSE 0 END) AS BIGINT) AS itemRevenue,
+  CAST(SUM(CASE WHEN event_type = 'purchase' THEN quantity ELSE 0 END) AS BIGINT) AS itemQuantity,
+  COUNT(DISTINCT CASE WHEN event_type = 'purchase' THEN user_id END) AS uniquePurchases,
+  CAST(SUM(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) AS BIGINT) AS quantityAddedToCart,
+  round(CAST(COUNT(DISTINCT CASE WHEN event_type = 'purchase' THEN user_id END) AS DOUBLE)
+        / nullif(CAST(SUM(CASE WHEN event_type = 'view' THEN 1 ELSE 0 END) AS DOUBLE), 0) * 100, 6)
+        AS buyToDetailRate
+FROM {source} GROUP BY {dims}"""
+
+
+PRODUCT_DIMS = "date, productName, productSku, country"
+SIZE_DIMS = PRODUCT_DIMS + ", size, productType"
+
+RATES = """
+rates(rate_date, currency, per_eur) AS (
+  VALUES (DATE '2024-01-02', 'USD', CAST(1.0956 AS DOUBLE)), (DATE '2024-01-02', 'GBP', CAST(0.86518 AS DOUBLE)),
+         (DATE '2024-01-02', 'EUR', CAST(1.0 AS DOUBLE)), (DATE '2024-01-29', 'USD', CAST(1.0823 AS DOUBLE)),
+         (DATE '2024-01-29', 'GBP', CAST(0.8526 AS DOUBLE)), (DATE '2024-01-29', 'EUR', CAST(1.0 AS DOUBLE))),
+fxr AS (SELECT currency, arg_max(per_eur, rate_date) AS per_eur FROM rates GROUP BY currency)"""
+USD = "(SELECT per_eur FROM fxr WHERE currency = 'USD')"
+GBP = "(SELECT per_eur FROM fxr WHERE currency = 'GBP')"
+
+ADS_COLS = ("Date, GID, OfferID, Account, Impressions, Clicks, Cost, "
+            "round(ConversionValue, 6) AS ConversionValue")
+AN_COLS = ("date, productName, productSku, country, size, productType, itemRevenue, "
+           "buyToDetailRate, itemQuantity")
+POP_COLS = ("Pop, ChangeFromLastWeek, Title, GTIN, Brand, BrandInventoryStatus, ProductInventoryStatus, "
+            "round(PriceRangeStart, 6) AS PriceRangeStart, round(PriceRangeEnd, 6) AS PriceRangeEnd, WeekNumber")
+MET = ("CAST({p}Impressions AS BIGINT) AS Impressions, CAST({p}Clicks AS BIGINT) AS Clicks, "
+       "CAST({p}Cost AS BIGINT) AS Cost, round({p}ConversionValue, 6) AS ConversionValue")
+DS_COLS = ("ds.ID, ds.Impressions, ds.Cost, ds.Clicks, round(ds.ConversionValue, 6) AS ConversionValue, "
+           "ds.IMG, ds.BRAND, ds.Pop, ds.itemRev, round(ds.buyToDetailRate, 6) AS buyToDetailRate, "
+           "ds.productName, ds.country, ds.monthNum, ds.yearNum, round(ds.newCost, 6) AS newCost, "
+           "round(ds.newROAS, 6) AS newROAS, ds.WeekNumber")
+X_MONTH = """,
+x AS (
+  SELECT AVG(Pop) AS avg_pop, ID FROM ds
+  WHERE Pop IN (SELECT MIN(Pop) FROM ds GROUP BY ID, monthNum, yearNum)
+  GROUP BY ID)"""
+J5_COLS = ("ID, Impressions, Cost, Clicks, round(ConversionValue, 6) AS ConversionValue, itemRev, "
+           "round(buyToDetailRate, 6) AS buyToDetailRate, productName, country, weekNum, yearNum")
+CLEAN_SIZE = "replace(replace(replace(replace(size, 'US', ''), 'UK', ''), 'Wm', 'W'), ' ', '')"
+OFFER = "lower(split_part(coalesce(OfferID, 'nan'), '|', 1))"
+REAL = r"'^\s*([+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?)'"
+INT = r"'^\s*([+-]?[0-9]+)'"
+
+
+def _ld(x: str) -> str:
+    return f"CASE WHEN ({x}) IS NULL THEN NULL ELSE coalesce(TRY_CAST(regexp_extract({x}, {REAL}, 1) AS DOUBLE), 0.0) END"
+
+
+def _lb(x: str) -> str:
+    return f"CASE WHEN ({x}) IS NULL THEN NULL ELSE coalesce(TRY_CAST(regexp_extract({x}, {INT}, 1) AS BIGINT), 0) END"
+
+
+def _key(x: str, drop: int) -> str:
+    return f"left({x}, greatest(length({x}) - {drop}, 0))"
+
+
+def _clean_key(x: str) -> str:
+    y = rf"regexp_replace({x}, '\.0$', '')"
+    return f"nullif({_key(y, 2)}, '')"
+
+
+def _ds(body: str) -> str:
+    return with_standins(DO_SELL_CTES + body)
+
+
+def _dec(body: str, percent: float = 0.5) -> str:
+    return with_standins(decline_ctes(percent) + body)
+
+
+def _plain(body: str) -> str:
+    return with_standins("x0 AS (SELECT 1)\n" + body)
+
+
+REV_TEXT = "CAST(itemRevenue AS VARCHAR) || 'x'"
+BTDR_TEXT = "CAST(buyToDetailRate AS VARCHAR) || '.7'"
+LAST_WEEK = ("DATE '2024-01-08'", "DATE '2024-01-14'")
+REPORT_DAYS = ", ".join(f"'{d}'" for d in
+                        ("20240108", "20240109", "20240110", "20240111", "20240112", "20240113", "20240114"))
+
+OPERATORS = {
+    # ------------------------------------------------------------ sources
+    "s1_feed_xml": _plain("SELECT GID, ID, GTIN, IMG, BRAND FROM feed"),
+    "s2_ranking_csv": _plain(f"SELECT {POP_COLS} FROM popular"),
+    "s3_ads_csv": _plain(f"SELECT {ADS_COLS} FROM ads"),
+    "s4_last_week_ads": _plain(
+        f"SELECT {ADS_COLS} FROM ads WHERE Date BETWEEN {LAST_WEEK[0]} AND {LAST_WEEK[1]} AND Impressions > 0"),
+    "s5_range_ads": _plain(
+        "SELECT Date, GID, Account, Impressions, Clicks, Cost, round(ConversionValue, 6) AS ConversionValue "
+        f"FROM ads WHERE Date BETWEEN DATE '{DECLINE_START}' AND DATE '{DECLINE_END}' AND Impressions > 0"),
+    "s6_analytics_json": _plain(
+        'SELECT date AS "ga:date", productName AS "ga:productName", productSku AS "ga:productSku", '
+        'country AS "ga:country", size AS "ga:dimensionX", productType AS "ga:productCategoryLevelX", '
+        'CAST(itemRevenue AS VARCHAR) AS "ga:itemRevenue", '
+        'CAST(buyToDetailRate AS VARCHAR) AS "ga:buyToDetailRate", '
+        'CAST(itemQuantity AS VARCHAR) AS "ga:itemQuantity" FROM analytics'),
+    "s7_analytics_rename": _plain(
+        "SELECT date, productName, productSku, country, size, productType, "
+        "CAST(itemRevenue AS VARCHAR) AS itemRevenue, CAST(buyToDetailRate AS VARCHAR) AS buyToDetailRate, "
+        "CAST(itemQuantity AS VARCHAR) AS itemQuantity FROM analytics"),
+    "s8_product_report": f"WITH {HITS}" + _report("h", PRODUCT_DIMS),
+    "s9_size_report": f"WITH {HITS}" + _report("h", SIZE_DIMS),
+    "s10_user_segment": f"WITH {HITS},\nseg AS (SELECT * FROM h WHERE user_id IN "
+                        "(SELECT user_id FROM h WHERE country = 'United States'))" + _report("seg", PRODUCT_DIMS),
+    "s11_traffic_source": f"WITH {HITS},\ncpc AS (SELECT * FROM h WHERE sourceMedium = 'google / cpc')"
+                          + _report("cpc", PRODUCT_DIMS),
+    "s12_append_sink": with_standins(SIZES_CTES + ",\nrep AS (" + SIZES_SELECT + ")\n"
+                                     "SELECT * FROM rep UNION ALL SELECT * FROM rep"),
+    "s13_csv_dump": with_standins(MARGINS_CTES + MARGINS_SELECT),
+    # -------------------------------------------------------------- joins
+    "j1_feed_ads_join": _ds("\nSELECT fx.GID, fx.ID, fx.GTIN, fx.IMG, fx.BRAND, a.Account, a.monthNum, a.yearNum, "
+                            + MET.format(p="a.") + " FROM fx JOIN ads_m a ON fx.GID = a.GID"),
+    "j2_gtin_prefix_join": _ds(
+        "\nSELECT l.GID, " + MET.format(p="l.") + ", l.IMG, l.BRAND, l.monthNum, l.yearNum, p.Pop "
+        f"FROM linking l JOIN top2000 p ON {_key('l.GTIN', 2)} = {_key('p.GTIN', 4)}"),
+    "j3_match_rows": _ds("\nSELECT l.GID, " + MET.format(p="l.") + ", l.IMG, l.BRAND, l.monthNum, l.yearNum, m1.Pop "
+                         "FROM linking l JOIN m1 ON m1.GID = l.GID"),
+    "j4_products_analytics": _ds(
+        "\nSELECT m3.GID, " + MET.format(p="m3.") + ", m3.IMG, m3.BRAND, m3.monthNum, m3.yearNum, m3.Pop, "
+        "an_m.productSku, an_m.productName, an_m.country, CAST(an_m.itemRevenue AS BIGINT) AS itemRevenue, "
+        "round(an_m.buyToDetailRate, 6) AS buyToDetailRate FROM m3 JOIN an_m "
+        "ON lower(m3.GID) = lower(an_m.productSku) AND an_m.monthNum = m3.monthNum AND an_m.yearNum = m3.yearNum"),
+    "j5_weekly_join": _dec(f"\nSELECT {J5_COLS} FROM f"),
+    "j6_busy_gids": _dec("\nSELECT GID, Account, weekNum, yearNum, " + MET.format(p="") + " FROM awn"),
+    "j7_analytics_feed": with_standins(MARGINS_CTES + "\nSELECT fd.Margin, fd.Brand, an.date, an.itemQuantity, "
+                                       "an.productSku, an.productName, an.itemRevenue "
+                                       "FROM an JOIN fd ON fd.GID = an.productSku"),
+    "j8_margin_cost_join": with_standins(MARGINS_CTES + "\nSELECT Margin, Brand, date, itemQuantity, productSku, "
+                                         "productName, itemRevenue, CAST(Cost AS BIGINT) AS Cost FROM j"),
+    "j9_size_join": with_standins(SIZES_CTES + "\nSELECT a.date, a.size, CAST(a.itemRevenue AS BIGINT) AS itemRevenue, "
+                                  "CAST(a.itemQuantity AS BIGINT) AS itemQuantity, round(d.Cost, 6) AS Cost "
+                                  "FROM an_d a JOIN ad_d d ON d.date = a.date AND d.size = a.size"),
+    "j10_min_pop_semi": _ds(f"\nSELECT {DS_COLS} FROM ds "
+                            "WHERE Pop IN (SELECT MIN(Pop) FROM ds GROUP BY ID, monthNum, yearNum)"),
+    "j11_view_x_join": _ds(X_MONTH + f"\nSELECT {DS_COLS} FROM ds JOIN x ON ds.ID = x.ID"),
+    "j12_currency": with_standins(RATES + f"\nSELECT Date, GID, OfferID, Cost, "
+                                  f"round(CAST(Cost AS DOUBLE) / 1000000 / {USD} * {GBP}, 6) AS newCost FROM ads"),
+    # ------------------------------------------------------- aggregations
+    "a1_monthly_ads": _ds("\nSELECT GID, Account, monthNum, yearNum, " + MET.format(p="") + " FROM ads_m"),
+    "a2_monthly_analytics": _ds("\nSELECT country, productSku, productName, monthNum, yearNum, "
+                                "CAST(itemRevenue AS BIGINT) AS itemRevenue, "
+                                "round(buyToDetailRate, 6) AS buyToDetailRate FROM an_m"),
+    "a3_distinct_pop_gid": _ds("\nSELECT Pop, GID FROM m1"),
+    "a4_match_dedup": _ds("\nSELECT GID, " + MET.format(p="") + ", IMG, monthNum, yearNum, Pop, BRAND FROM m2"),
+    "a5_match_totals": _ds("\nSELECT GID, monthNum, yearNum, " + MET.format(p="") + ", IMG, BRAND, Pop FROM m3"),
+    "a6_clicks_per_gid": _plain("SELECT split_part(GID, ' ', 1) AS GID, CAST(SUM(Clicks) AS BIGINT) AS Clicks "
+                                "FROM ads GROUP BY 1"),
+    "a7_weekly_ads": _plain(
+        "SELECT split_part(GID, ' ', 1) AS GID, Account, CAST(strftime(Date, '%W') AS INTEGER) + 1 AS weekNum, "
+        "strftime(Date, '%Y') AS yearNum, CAST(SUM(Impressions) AS BIGINT) AS Impressions, "
+        "CAST(SUM(Clicks) AS BIGINT) AS Clicks, CAST(SUM(Cost) AS BIGINT) AS Cost, "
+        "round(SUM(ConversionValue), 6) AS ConversionValue FROM ads GROUP BY 1, 2, 3, 4"),
+    "a8_weekly_analytics": _plain(
+        "SELECT country, productSku, lower(productName) AS productName, "
+        "CAST(strftime(strptime(date, '%Y%m%d'), '%W') AS INTEGER) + 1 AS weekNum, "
+        "strftime(strptime(date, '%Y%m%d'), '%Y') AS yearNum, CAST(SUM(itemRevenue) AS BIGINT) AS itemRevenue, "
+        "round(AVG(buyToDetailRate), 6) AS buyToDetailRate FROM analytics "
+        f"WHERE {INT_DATE} AND country = 'United States' GROUP BY 1, 2, 3, 4, 5"),
+    "a9_daily_ad_cost": _plain("SELECT Date, split_part(GID, ' ', 1) AS GID, CAST(SUM(Cost) AS BIGINT) AS Cost "
+                               "FROM ads GROUP BY 1, 2"),
+    "a10_distinct_margins": _plain("SELECT DISTINCT Margin, lower(GID) AS GID, BRAND AS Brand FROM feed"),
+    "a11_margin_roas": with_standins(RATES + "," + MARGINS_CTES + f"""
+SELECT date, Margin,
+       round(SUM(CAST(itemRevenue AS DOUBLE))
+             / nullif(CAST(SUM(Cost) AS DOUBLE) / 1000000 / {USD} * {GBP}, 0), 6) AS ROAS,
+       CAST(SUM(CAST(itemQuantity AS BIGINT)) AS BIGINT) AS salesVolume
+FROM j GROUP BY Margin, date"""),
+    "a12_size_analytics": with_standins(SIZES_CTES + "\nSELECT date, size, CAST(itemRevenue AS BIGINT) AS itemRevenue, "
+                                        "CAST(itemQuantity AS BIGINT) AS itemQuantity FROM an_d"),
+    "a13_size_ad_cost": with_standins(SIZES_CTES + "\nSELECT date, size, round(Cost, 6) AS Cost FROM ad_d"),
+    "a14_size_roas": with_standins(RATES + "," + SIZES_CTES + f""",
+ad_g AS (SELECT date, size, Cost / {USD} * {GBP} AS Cost FROM ad_d)
+SELECT a.date, a.size,
+       round(coalesce(SUM(a.itemRevenue) / nullif(SUM(d.Cost), 0), -0.01), 6) AS ROAS,
+       coalesce(CAST(SUM(a.itemQuantity) AS DOUBLE), -0.01) AS salesVolume
+FROM an_d a JOIN ad_g d ON d.date = a.date AND d.size = a.size
+GROUP BY a.date, a.size"""),
+    "a15_min_pop": _ds("\nSELECT ID, monthNum, yearNum, MIN(Pop) AS Pop FROM ds GROUP BY ID, monthNum, yearNum"),
+    "a16_avg_pop_x": _ds(X_MONTH + "\nSELECT ID, round(avg_pop, 6) AS avg_pop FROM x"),
+    "a17_view_rollup": _ds("""
+SELECT ID, round(AVG(Impressions), 6) AS Impressions, round(AVG(newCost), 6) AS newCost,
+       round(ROUND(AVG(Clicks), 0), 6) AS Clicks, round(AVG(ConversionValue), 6) AS ConversionValue,
+       round(AVG(Clicks) / nullif(AVG(Impressions), 0), 6) AS CTR, MAX(IMG) AS IMG, BRAND,
+       round(AVG(Pop), 6) AS Pop, round(AVG(CAST(itemRev AS DOUBLE)), 6) AS itemRev,
+       round(AVG(CAST(buyToDetailRate AS DOUBLE) / 100), 6) AS BTDR,
+       round(AVG(CAST(newROAS AS DOUBLE)), 6) AS ROAS, productName, country,
+       monthNum AS Monthum, yearNum AS YearNum
+FROM ds GROUP BY monthNum, yearNum, ID, BRAND, productName, country"""),
+    # ------------------------------------------------ window, order, union
+    "w1_decline_rule": _dec(f"\nSELECT {J5_COLS}, round(newCost, 6) AS newCost, round(newROAS, 6) AS newROAS "
+                            "FROM g WHERE ID IN (SELECT ID FROM keep)", 0.75),
+    "o1_rank_order": _plain(f"SELECT {POP_COLS} FROM popular ORDER BY Pop, GTIN"),
+    "o2_top_n": _plain(f"SELECT {POP_COLS} FROM top2000"),
+    "o3_output_order": _dec(f"\nSELECT {J5_COLS} FROM f ORDER BY ID, weekNum"),
+    "u1_union_pulls": _plain(f"SELECT {AN_COLS} FROM analytics WHERE date IN ({REPORT_DAYS})"),
+    # ------------------------------------------------------------ filters
+    "p1_account_filter": _plain(f"SELECT {ADS_COLS} FROM ads WHERE Account = 'ACCOUNT US'"),
+    "p2_not_in_inventory": _plain(
+        "SELECT Pop, ChangeFromLastWeek, Title, GTIN, Brand, round(PriceRangeStart, 6) AS PriceRangeStart, "
+        "round(PriceRangeEnd, 6) AS PriceRangeEnd, WeekNumber FROM popular "
+        "WHERE ProductInventoryStatus = 'Not in inventory' ORDER BY Pop"),
+    "p3_country_filter": _plain(f"SELECT {AN_COLS} FROM analytics WHERE country = 'United States'"),
+    "p4_category_filter": _plain("SELECT date, productSku, size, itemRevenue, itemQuantity FROM analytics "
+                                 "WHERE productType = 'Shoes'"),
+    "p5_having_clicks": _plain("SELECT split_part(GID, ' ', 1) AS GID, CAST(SUM(Clicks) AS BIGINT) AS Clicks "
+                               "FROM ads GROUP BY 1 HAVING SUM(Clicks) > 400"),
+    "p6_integer_dates": _plain(f"SELECT {AN_COLS} FROM analytics WHERE {INT_DATE}"),
+    "p7_drop_not_set": _plain(f"SELECT {AN_COLS} FROM analytics WHERE productName IS DISTINCT FROM '(not set)'"),
+    "p8_drop_rename": _plain(f"SELECT {POP_COLS} FROM popular"),
+    "p9_type_casts": _plain('SELECT Pop AS "Popularity rank", GTIN, Title FROM popular'),
+    "p10_labels": _dec(f"\nSELECT {J5_COLS}, '{WEEK_RANGE}' AS WeekRange FROM f"),
+    "p11_fill_missing": _plain(
+        "SELECT Date, OfferID, round(coalesce(SUM(ConversionValue) / nullif(CAST(SUM(Cost) AS DOUBLE) / 1000000, 0), "
+        "-0.01), 6) AS ROAS, CAST(COUNT(*) AS DOUBLE) AS salesVolume FROM ads GROUP BY Date, OfferID"),
+    "p12_ads_cost_projection": _plain("SELECT Date, OfferID, Cost FROM ads"),
+    # --------------------------------------------------- scalar functions
+    "f1_month_str": _plain("SELECT DISTINCT Date, strftime(Date, '%m') AS monthNum FROM ads"),
+    "f2_year_str": _plain("SELECT DISTINCT Date, strftime(Date, '%Y') AS yearNum FROM ads"),
+    "f3_week_number": _plain("SELECT DISTINCT Date, CAST(strftime(Date, '%W') AS INTEGER) + 1 AS weekNum FROM ads"),
+    "f4_compact_to_iso": _plain("SELECT DISTINCT date, substr(date, 1, 4) || '-' || substr(date, 5, 2) || '-' "
+                                "|| substr(date, 7, 2) AS iso FROM analytics"),
+    "f5_reporting_week": _plain(f"SELECT date, COUNT(*) AS n_rows FROM analytics WHERE date IN ({REPORT_DAYS}) "
+                                "GROUP BY date"),
+    "f6_four_week_calendar": _plain(
+        "SELECT CAST(strftime(Date, '%W') AS INTEGER) + 1 AS weekNum, COUNT(*) AS n_rows FROM ads "
+        f"WHERE Date BETWEEN DATE '{DECLINE_START}' AND DATE '{DECLINE_END}' GROUP BY 1"),
+    "f7_before_first_space": _plain("SELECT DISTINCT GID, split_part(GID, ' ', 1) AS gid_clean FROM ads"),
+    "f8_lower_key": _plain("SELECT DISTINCT lower(split_part(GID, ' ', 1)) AS gid FROM ads"),
+    "f9_offer_key": _plain(f"SELECT DISTINCT OfferID, {OFFER} AS offer FROM ads"),
+    "f10_last_dash_token": _plain(f"SELECT DISTINCT OfferID, regexp_extract({OFFER}, '[^-]*$') AS token FROM ads"),
+    "f11_clean_size": _plain(f"SELECT DISTINCT size, {CLEAN_SIZE} AS clean FROM analytics"),
+    "f12_digits_and_dots": _plain(f"SELECT DISTINCT size, regexp_replace({CLEAN_SIZE}, {DIGITS}, '', 'g') AS digits "
+                                  "FROM analytics"),
+    "f13_new_sku": _plain(f"SELECT DISTINCT productSku, size, lower(productSku || '-' || {CLEAN_SIZE}) AS NEWSKU "
+                          "FROM analytics"),
+    "f14_gtin_key": _plain(
+        f"SELECT 'feed' AS side, GTIN, {_key('GTIN', 2)} AS gtin_key, {_clean_key('GTIN')} AS clean_key FROM feed "
+        f"UNION ALL SELECT 'ranking' AS side, GTIN, {_key('GTIN', 4)} AS gtin_key, {_clean_key('GTIN')} AS clean_key "
+        "FROM popular"),
+    "f15_micros_to_units": _plain("SELECT Date, OfferID, Cost, round(CAST(Cost AS DOUBLE) / 1000000, 6) AS units "
+                                  "FROM ads"),
+    "f16_roas": _plain("SELECT Date, OfferID, round(CASE WHEN CAST(Cost AS DOUBLE) / 1000000 <= 0 THEN 0.0 "
+                       "ELSE ConversionValue / (CAST(Cost AS DOUBLE) / 1000000) END, 6) AS newROAS FROM ads"),
+    "f17_lenient_numbers": _plain(
+        f"SELECT date, productSku, round({_ld('size')}, 6) AS size_num, round({_ld(CLEAN_SIZE)}, 6) AS clean_num, "
+        f"round({_ld(REV_TEXT)}, 6) AS rev_num, "
+        f"{_lb(BTDR_TEXT)} AS btdr_int, "
+        f"round({_ld('productName')}, 6) AS name_num FROM analytics"),
+    "f18_btdr": _plain("SELECT DISTINCT buyToDetailRate, round(CAST(buyToDetailRate AS DOUBLE) / 100, 6) AS BTDR "
+                       "FROM analytics"),
+}

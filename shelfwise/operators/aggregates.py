@@ -29,6 +29,19 @@ def distinct_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(*cols).distinct()
 
 
+def dedup_matches(rows: DataFrame) -> DataFrame:
+    """A4: one row per (GID, metrics, IMG, month, year, Pop); BRAND is not a
+    grouping key, so the smallest one is kept (deterministic, T4)."""
+    return rows.groupBy("GID", "Impressions", "Cost", "Clicks", "ConversionValue", "IMG",
+                        "monthNum", "yearNum", "Pop").agg(F.min("BRAND").alias("BRAND"))
+
+
+def match_totals(rows: DataFrame) -> DataFrame:
+    """A5: metrics summed per (GID, IMG, Pop, month, year), BRAND as in A4."""
+    return rows.groupBy("GID", "IMG", "Pop", "monthNum", "yearNum").agg(
+        *[F.sum(m).alias(m) for m in AD_METRICS], F.min("BRAND").alias("BRAND"))
+
+
 def clicks_per_gid(ads: DataFrame) -> DataFrame:
     """Clicks summed per product group."""
     return ads.groupBy("GID").agg(F.sum("Clicks").alias("Clicks"))

@@ -22,11 +22,13 @@ DECLINE_COLUMNS = ["ID", "Impressions", "Cost", "Clicks", "ConversionValue", "it
                    "newROAS", "WeekRange"]
 
 
-def weekly_ads(ads: DataFrame, days: list[_dt.date], min_clicks: int = 400) -> DataFrame:
+def weekly_ads(ads: DataFrame, days: list[_dt.date] | None, min_clicks: int = 400) -> DataFrame:
     """S5, F2, F3, F7 -> A6 + P5 -> A7 -> J6: weekly ad totals of the product
-    groups with more than ``min_clicks`` clicks over the whole period."""
-    adw = ads.filter(F.col("Date").between(F.lit(days[0]), F.lit(days[-1]))
-                     & (F.col("Impressions") > 0))
+    groups with more than ``min_clicks`` clicks over the whole period.
+    ``days=None`` takes every row given (the caller already selected them)."""
+    adw = ads.filter(F.col("Impressions") > 0)
+    if days is not None:
+        adw = adw.filter(F.col("Date").between(F.lit(days[0]), F.lit(days[-1])))
     adw = adw.select(before_first_space("GID").alias("GID"), "Account",
                      year_str("Date").alias("yearNum"), week_number("Date").alias("weekNum"),
                      "Impressions", "Clicks", "Cost", "ConversionValue")
@@ -35,13 +37,14 @@ def weekly_ads(ads: DataFrame, days: list[_dt.date], min_clicks: int = 400) -> D
     return keep_keys(weekly, busy, "GID")
 
 
-def weekly_analytics(analytics: DataFrame, days: list[_dt.date],
+def weekly_analytics(analytics: DataFrame, days: list[_dt.date] | None,
                      country: str = UNITED_STATES) -> DataFrame:
     """The 28 daily pulls (S-side day selection), lower-cased names, P6,
     F2, F3, P3 -> A8: revenue and BTDR per (country, SKU, name, week, year)."""
     types = dict((f.name, f.dataType) for f in analytics.schema.fields)
     an = analytics.filter(is_integer_text("date")).withColumn("_d", compact_to_date("date"))
-    an = an.filter(F.col("_d").isin(*days))
+    if days is not None:
+        an = an.filter(F.col("_d").isin(*days))
     an = country_filter(an, country).select(
         "country", "productSku", F.lower("productName").alias("productName"),
         week_number("_d").alias("weekNum"), year_str("_d").alias("yearNum"),
@@ -50,6 +53,26 @@ def weekly_analytics(analytics: DataFrame, days: list[_dt.date],
     return analytics_totals(an, ["country", "productSku", "productName", "weekNum", "yearNum"])
 
 
+def weekly_matches(ads: DataFrame, analytics: DataFrame, days: list[_dt.date] | None,
+                   min_clicks: int = 400, country: str = UNITED_STATES) -> DataFrame:
+    """Weekly ads x weekly analytics on LOWER(GID) = LOWER(SKU), week and
+    year; one row per metric combination with MIN(productName)."""
+    ads_w = weekly_ads(ads, days, min_clicks)
+    an_w = weekly_analytics(analytics, days, country).withColumnRenamed("itemRevenue", "itemRev")
+    joined = lower_key_join(ads_w, an_w, "GID", "productSku", also=["weekNum", "yearNum"])
+    return joined.groupBy(
+        F.col("GID").alias("ID"), "Impressions", "Cost", "Clicks", "ConversionValue", "itemRev",
+        "buyToDetailRate", "country", "weekNum", "yearNum",
+    ).agg(F.min("productName").alias("productName"))
+
+
+def price(rows: DataFrame, rates: DataFrame | None = None, from_ccy: str = "USD",
+          to_ccy: str = "USD") -> DataFrame:
+    """J12 + F15 + F16: newCost in target units and newROAS."""
+    priced = rows.withColumn("newCost", convert(micros_to_units("Cost"), rates, from_ccy, to_ccy))
+    return priced.withColumn("newROAS", roas("itemRev", "newCost"))
+
+
 def decline(ads: DataFrame, analytics: DataFrame, run_date: _dt.date, min_clicks: int = 400,
             percent: float = DECLINE_PERCENT, country: str = UNITED_STATES,
             rates: DataFrame | None = None, from_ccy: str = "USD", to_ccy: str = "USD",
@@ -58,16 +81,8 @@ def decline(ads: DataFrame, analytics: DataFrame, run_date: _dt.date, min_clicks
     row per metric combination with MIN(productName)), P7, J12/F16, W1, O3
     and the WeekRange label (P10)."""
     days = four_week_calendar(run_date, snap)
-    ads_w = weekly_ads(ads, days, min_clicks)
-    an_w = weekly_analytics(analytics, days, country).withColumnRenamed("itemRevenue", "itemRev")
-    joined = lower_key_join(ads_w, an_w, "GID", "productSku", also=["weekNum", "yearNum"])
-    grouped = joined.groupBy(
-        F.col("GID").alias("ID"), "Impressions", "Cost", "Clicks", "ConversionValue", "itemRev",
-        "buyToDetailRate", "country", "weekNum", "yearNum",
-    ).agg(F.min("productName").alias("productName"))
-    grouped = drop_not_set(grouped)
-    priced = grouped.withColumn("newCost", convert(micros_to_units("Cost"), rates, from_ccy, to_ccy))
-    priced = priced.withColumn("newROAS", roas("itemRev", "newCost"))
+    grouped = drop_not_set(weekly_matches(ads, analytics, days, min_clicks, country))
+    priced = price(grouped, rates, from_ccy, to_ccy)
     kept = decline_rule(priced, percent=percent, order_by_year=order_by_year)
     return (kept.withColumn("WeekRange", F.lit(week_range_label(days)))
             .select(*DECLINE_COLUMNS).orderBy("ID", "weekNum"))

@@ -57,7 +57,8 @@ def monthly_analytics(analytics: DataFrame, country: str = UNITED_STATES) -> Dat
 
 
 def matched_products(feed: DataFrame, ads_m: DataFrame, popular: DataFrame, n: int = TOP_N,
-                     feed_drop: int = 2, rank_drop: int = 4, clean: bool = False) -> DataFrame:
+                     feed_drop: int = 2, rank_drop: int = 4, clean: bool = False,
+                     one_account: bool = False) -> DataFrame:
     """J1 -> J2 -> A3 -> J3 -> A4 -> A5: ad metrics per (GID, IMG, Pop, month, year).
 
     The literal chain joins every feed variant to every month of ads, joins
@@ -69,16 +70,21 @@ def matched_products(feed: DataFrame, ads_m: DataFrame, popular: DataFrame, n: i
       (the J2 match; GIDs without ads drop out in the final join);
     * per (GID, month, year) the sum of the *distinct* metric tuples (A4
       groups on the metric values, so equal tuples of two accounts count
-      once, and A5 then sums them);
+      once, and A5 then sums them).  With ``one_account`` the ad totals
+      already hold one tuple per (GID, month, year), so both steps are the
+      identity and are skipped -- two shuffles fewer on the largest input;
     * per (GID, IMG) the smallest BRAND (A4's bare BRAND, made deterministic).
     """
     fd = feed.select(F.lower("GID").alias("GID"), "GTIN", "IMG", "BRAND")
     ranking = top_n(popular, n).select("Pop", "GTIN")
     pairs = gtin_prefix_join(fd.select("GID", "GTIN"), ranking, n, feed_drop, rank_drop, clean)
     pairs = distinct_rows(pairs, ["Pop", "GID"])
-    metric_tuples = distinct_rows(
-        ads_m, ["GID", "monthNum", "yearNum", "Impressions", "Cost", "Clicks", "ConversionValue"])
-    ads_sum = ads_totals(metric_tuples, ["GID", "monthNum", "yearNum"])
+    if one_account:
+        ads_sum = ads_m.drop("Account")
+    else:
+        metric_tuples = distinct_rows(
+            ads_m, ["GID", "monthNum", "yearNum", "Impressions", "Cost", "Clicks", "ConversionValue"])
+        ads_sum = ads_totals(metric_tuples, ["GID", "monthNum", "yearNum"])
     img_brand = fd.groupBy("GID", "IMG").agg(F.min("BRAND").alias("BRAND"))
     return ads_sum.join(img_brand, "GID").join(pairs, "GID")
 
@@ -91,7 +97,8 @@ def do_sell(feed: DataFrame, ads: DataFrame, analytics: DataFrame, popular: Data
     """K1: matched products x monthly analytics (J4), cost converted (J12,
     F15), ROAS (F16) and the report week label (P10)."""
     ads_m = monthly_ads(ads, account)
-    products = matched_products(feed, ads_m, popular, n, feed_drop, rank_drop, clean)
+    products = matched_products(feed, ads_m, popular, n, feed_drop, rank_drop, clean,
+                                one_account=account is not None)
     an_m = monthly_analytics(analytics, country)
     joined = lower_key_join(products, an_m.withColumnRenamed("itemRevenue", "itemRev"),
                             "GID", "productSku", also=["monthNum", "yearNum"])

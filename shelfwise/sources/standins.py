@@ -107,6 +107,25 @@ def popular(spark: SparkSession, sf_dir: str, run_date: _dt.date = DEFAULT_RUN_D
     return ranked.select(*_popular_columns(run_date)).withColumn("Pop", F.col("Pop").cast("int"))
 
 
+def ranking_report(spark: SparkSession, sf_dir: str, run_date: _dt.date = DEFAULT_RUN_DATE,
+                   top: int | None = None) -> DataFrame:
+    """The ranking as the report file names its columns (before S2)."""
+    p = popular(spark, sf_dir, run_date, top)
+    shoes = "Apparel & Accessories > Shoes"
+    return p.select(
+        F.col("Pop").alias("Popularity rank"),
+        F.col("ChangeFromLastWeek").alias("Change from last week"),
+        "Title", "GTIN", "Brand",
+        F.col("BrandInventoryStatus").alias("Brand inventory status"),
+        F.col("ProductInventoryStatus").alias("Product inventory status"),
+        F.col("PriceRangeStart").alias("Price range start"),
+        F.col("PriceRangeEnd").alias("Price range end"),
+        F.lit("USD").alias("Currency"),
+        F.lit("187").alias("Category ID"), F.lit(shoes).alias("Category path"),
+        F.lit("187").alias("Ranking category ID"), F.lit(shoes).alias("Ranking category path"),
+    )
+
+
 def ads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ad performance report: one row per click/view/error event."""
     e = events(spark, sf_dir).filter(F.col("event_type").isin(*AD_EVENT_TYPES))
@@ -141,6 +160,26 @@ def analytics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw hit table for S8-S11: every event with its product, country, size,
+    category and traffic source (source from the event's ``props.k``)."""
+    e = table(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k").cast("int")
+    return e.select(
+        F.date_format(F.col("ts").cast("date"), "yyyyMMdd").alias("date"),
+        "user_id", "event_type",
+        F.when(F.col("event_id") % 11 == 0, "(not set)")
+         .otherwise(F.concat(F.lit("Shoe "), _group("user_id"))).alias("productName"),
+        F.concat(F.lit("g"), _group("user_id")).alias("productSku"),
+        F.when(F.col("event_id") % 6 == 0, "Canada").otherwise("United States").alias("country"),
+        F.concat(F.lit("US "), (F.col("event_id") % SIZES).cast("string"), F.lit(".5Wm")).alias("size"),
+        F.when(F.col("event_id") % 7 == 0, "Bags").otherwise("Shoes").alias("productType"),
+        F.when(k % 3 == 0, "google / cpc").otherwise("google / organic").alias("sourceMedium"),
+        F.round(F.col("value") * 100).cast("bigint").alias("cents"),
+        (F.col("event_id") % 3 + 1).alias("quantity"),
+    )
+
+
 # Euro reference rates for the stand-in currency table
 # (rate_date, currency, units per EUR).
 RATES = (
