@@ -62,11 +62,14 @@ def avg_pop_per_id(rows: DataFrame) -> DataFrame:
     return rows.groupBy("ID").agg(F.avg("Pop").alias("avg_pop"))
 
 
-def view_rollup(rows: DataFrame, period: str, period_alias: str, round_clicks: bool) -> DataFrame:
-    """The dashboard roll-up per (period, year, ID, BRAND, productName, country)."""
+def view_rollup(rows: DataFrame, period: str, period_alias: str, round_clicks: bool,
+                with_pop_count: bool = False) -> DataFrame:
+    """The dashboard roll-up per (period, year, ID, BRAND, productName, country).
+    ``with_pop_count`` adds ``_pop_rows`` = COUNT(Pop) for the view's ID filter."""
     clicks: Column = F.avg("Clicks")
     if round_clicks:
         clicks = F.round(clicks, 0)
+    extra = [F.count("Pop").alias("_pop_rows")] if with_pop_count else []
     return rows.groupBy(period, "yearNum", "ID", "BRAND", "productName", "country").agg(
         F.avg("Impressions").alias("Impressions"),
         F.avg("newCost").alias("newCost"),
@@ -78,4 +81,5 @@ def view_rollup(rows: DataFrame, period: str, period_alias: str, round_clicks: b
         F.avg(F.col("itemRev").cast("double")).alias("itemRev"),
         F.avg(F.col("buyToDetailRate").cast("double") / 100).alias("BTDR"),
         F.avg(F.col("newROAS").cast("double")).alias("ROAS"),
+        *extra,
     ).withColumnsRenamed({period: period_alias, "yearNum": "YearNum"})

@@ -3,15 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators.aggregates import avg_pop_per_id, first_min_pop, view_rollup
 from ..operators.joins import keep_keys
 
+VIEW_COLUMNS = ["ID", "Impressions", "newCost", "Clicks", "ConversionValue", "CTR", "IMG", "BRAND",
+                "Pop", "itemRev", "BTDR", "ROAS", "productName", "country"]
+
 
 def products_with_min_pop(do_sell: DataFrame, period: str) -> DataFrame:
-    """A15 + J10 + A16: IDs having a row whose Pop is one of the per
-    (ID, period, year) minima.  The IN-list is uncorrelated, so it is the set
-    of all minima; Pop values are top-N ranks, so the set is bounded by N."""
+    """A15 + J10 + A16 as written: IDs having a row whose Pop is one of the
+    per (ID, period, year) minima (the IN-list is uncorrelated, so it is the
+    set of all minima; Pop values are top-N ranks, so it has at most N
+    values).  Kept as the literal operator; the views use the one-pass form
+    below."""
     minima = first_min_pop(do_sell, period).select("Pop").distinct()
     rows = keep_keys(do_sell, minima, "Pop")
     return avg_pop_per_id(rows)
@@ -19,12 +25,19 @@ def products_with_min_pop(do_sell: DataFrame, period: str) -> DataFrame:
 
 def do_sell_by_period(do_sell: DataFrame, period: str, period_alias: str,
                       round_clicks: bool) -> DataFrame:
-    x = products_with_min_pop(do_sell, period).select("ID")
-    rows = keep_keys(do_sell, x, "ID")  # J11: x is unique per ID, so inner = semi
-    out = view_rollup(rows, period, period_alias, round_clicks)
-    return out.select("ID", "Impressions", "newCost", "Clicks", "ConversionValue", "CTR", "IMG",
-                      "BRAND", "Pop", "itemRev", "BTDR", "ROAS", "productName", "country",
-                      period_alias, "YearNum")
+    """J11 + A17 in one pass over the table.
+
+    The CTE keeps an ID exactly when the ID has a row with a non-NULL Pop:
+    such a row's group (ID, period, year) has a non-NULL minimum, which is
+    the Pop of a row of the same ID and so is in the IN-list; conversely a
+    qualifying row has a non-NULL Pop.  So instead of scanning the table
+    three times (minima, IN-filter, join back) we aggregate once, carrying
+    COUNT(Pop) per output group, and keep the groups of IDs whose counts sum
+    above zero -- a filter over the (much smaller) aggregated result."""
+    rolled = view_rollup(do_sell, period, period_alias, round_clicks, with_pop_count=True)
+    ids = rolled.groupBy("ID").agg(F.sum("_pop_rows").alias("_n")).filter(F.col("_n") > 0).select("ID")
+    out = keep_keys(rolled, ids, "ID")
+    return out.select(*VIEW_COLUMNS, period_alias, "YearNum")
 
 
 def do_sell_by_month(do_sell: DataFrame) -> DataFrame:
