@@ -23,14 +23,11 @@ from shelfwise.operators import joins as J
 from shelfwise.operators import ordering as O
 from shelfwise.operators.currency import convert
 from shelfwise.operators.windows import decline_rule
-from importlib import import_module
-
-# plan modules (the package re-exports functions of the same names)
-K1 = import_module("shelfwise.plans.do_sell")
-K4 = import_module("shelfwise.plans.decline")
-K5 = import_module("shelfwise.plans.margins")
-K6 = import_module("shelfwise.plans.sizes")
-K7 = import_module("shelfwise.plans.views")
+from shelfwise.plans import decline_report as K4
+from shelfwise.plans import margin_report as K5
+from shelfwise.plans import popular_match as K1
+from shelfwise.plans import size_report as K6
+from shelfwise.plans import views as K7
 from shelfwise.sources import analytics as AN
 from shelfwise.sources import standins as S
 

@@ -1,9 +1,14 @@
-"""Report pipelines (K1-K8): functions from DataFrames to DataFrames."""
+"""Report pipelines (K1-K8): functions from DataFrames to DataFrames.
 
-from .decline import decline
-from .do_sell import do_sell, not_sold, popular_top
-from .margins import margins
-from .sizes import sizes
+Modules: ``popular_match`` (K1 do_sell, K2 not_sold, K3 popular),
+``decline_report`` (K4), ``margin_report`` (K5), ``size_report`` (K6) and
+``views`` (K7, K8).
+"""
+
+from .decline_report import decline
+from .margin_report import margins
+from .popular_match import do_sell, not_sold, popular_top
+from .size_report import sizes
 from .views import do_sell_by_month, do_sell_by_week
 
 __all__ = ["do_sell", "not_sold", "popular_top", "decline", "margins", "sizes",
