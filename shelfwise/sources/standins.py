@@ -12,9 +12,9 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from ..functions.dates import week_label
+from ..operators.ordering import global_row_number
 
 # Stand-in rules (FIXTURES.md section 2).
 PRODUCT_GROUPS = 500          # product group = user_id % 500 and p_partkey % 500
@@ -92,18 +92,15 @@ def popular(spark: SparkSession, sf_dir: str, run_date: _dt.date = DEFAULT_RUN_D
     """Popularity ranking: Pop = 1-based rank by price desc, then part key.
 
     With ``top`` the ranking is cut first (distributed top-k, then ranks over
-    at most ``top`` rows).  Without it every part gets a rank through a
-    distributed sort + ``zipWithIndex`` (per-partition counts, no single task).
+    at most ``top`` rows).  Without it every part gets its rank from a
+    distributed range sort (see ``global_row_number``), never one task.
     """
     p = table(spark, sf_dir, "part").select(*_PART_COLS)
     if top is not None:
         head = p.orderBy(*_rank_order()).limit(top)
         ranked = head.withColumn("Pop", F.row_number().over(Window.orderBy(*_rank_order())))
     else:
-        ordered = p.orderBy(*_rank_order())
-        rdd = ordered.rdd.zipWithIndex().map(lambda r: (*r[0], r[1] + 1))
-        schema = StructType([*ordered.schema.fields, StructField("Pop", LongType())])
-        ranked = spark.createDataFrame(rdd, schema)
+        ranked = global_row_number(p, _rank_order(), "Pop")
     return ranked.select(*_popular_columns(run_date)).withColumn("Pop", F.col("Pop").cast("int"))
 
 
