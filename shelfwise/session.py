@@ -45,3 +45,32 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str = "/tmp/shelfwise-c
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     sc.setCheckpointDir(configured or fallback)
     return sc.getCheckpointDir()
+
+
+def scale_settings(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Settings for a run over ``input_bytes`` of report data on
+    ``total_cores`` executor cores.
+
+    * Scans split files at ``target_partition_bytes``.
+    * Shuffles carry far less than the input: every aggregation combines
+      map-side first and the joins run on aggregated rows.  So the shuffle
+      partition count starts at about one per 2 GiB of input, at least three
+      waves of the cores and at most 64k (map-output tracking grows with
+      maps x partitions); AQE then coalesces small partitions to the
+      advisory size after each stage.
+    * A product group holding a large share of the rows is partially
+      aggregated before any shuffle; where it meets a join, AQE's skew-join
+      handling splits the oversized partition, so no key is salted by hand.
+    * Broadcasts happen only below the threshold measured at run time (or
+      for sides with a proven row bound, see ``operators.joins``)."""
+    partitions = max(3 * total_cores, min(input_bytes // (2 << 30), 65536))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }
