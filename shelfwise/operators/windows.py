@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # The decline rule.
@@ -22,20 +22,24 @@ def decline_rule(rows: DataFrame, key: str = "ID", value: str = "newROAS",
     last-week value is below ``percent`` x the first-week value.
 
     Rows are ordered by weekNum (optionally year first); the remaining
-    columns break ties so the choice is deterministic.  The per-key figures
-    come from ``count`` / ``min_by`` / ``max_by`` -- a hash aggregate with a
-    map-side partial step -- so one hot key never lands whole in one task.
-    The qualifying keys (each with exactly ``weeks`` rows) select their rows
-    back with a semi join.
+    columns break ties so the choice is deterministic.  The per-key count,
+    first and last value are window aggregates over the key's rows in one
+    pass (``min_by`` / ``max_by`` over the whole partition).  The rows here
+    are weekly aggregates -- per key at most weeks x accounts x product
+    names -- so a partition never holds raw rows, and the matched rows are
+    computed once (a separate aggregate joined back would recompute the
+    whole upstream plan in a second, differently pruned branch).
     """
     order_cols = (["yearNum", "weekNum"] if order_by_year else ["weekNum"])
     order_cols += [c for c in tie_break if c not in order_cols]
     order = F.struct(*[F.col(c) for c in order_cols])
-    stats = rows.groupBy(key).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.min_by(value, order).alias("_first"),
-        F.max_by(value, order).alias("_last"),
+    per_key = Window.partitionBy(key)
+    marked = rows.select(
+        "*",
+        F.count(F.lit(1)).over(per_key).alias("_n"),
+        F.min_by(value, order).over(per_key).alias("_first"),
+        F.max_by(value, order).over(per_key).alias("_last"),
     )
     not_declining = F.col("_last").cast("double") >= F.col("_first").cast("double") * percent
-    keys = stats.filter((F.col("_n") == weeks) & ~F.coalesce(not_declining, F.lit(False))).select(key)
-    return rows.join(keys, key, "left_semi")
+    kept = marked.filter((F.col("_n") == weeks) & ~F.coalesce(not_declining, F.lit(False)))
+    return kept.drop("_n", "_first", "_last")

@@ -4,17 +4,17 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import (compact_to_date, four_week_calendar, is_integer_text, week_number,
                                week_range_label, year_str)
 from ..functions.numbers import as_number, micros_to_units, roas
 from ..functions.text import before_first_space
-from ..operators.aggregates import ads_totals, analytics_totals, clicks_per_gid
+from ..operators.aggregates import ads_totals, analytics_totals
 from ..operators.currency import convert
-from ..operators.filters import UNITED_STATES, country_filter, drop_not_set, having_clicks_over
-from ..operators.joins import keep_keys, lower_key_join
+from ..operators.filters import UNITED_STATES, country_filter, drop_not_set
+from ..operators.joins import lower_key_join
 from ..operators.windows import DECLINE_PERCENT, decline_rule
 
 DECLINE_COLUMNS = ["ID", "Impressions", "Cost", "Clicks", "ConversionValue", "itemRev",
@@ -33,11 +33,13 @@ def weekly_ads(ads: DataFrame, days: list[_dt.date] | None, min_clicks: int = 40
                      year_str("Date").alias("yearNum"), week_number("Date").alias("weekNum"),
                      "Impressions", "Clicks", "Cost", "ConversionValue")
     weekly = ads_totals(adw, ["GID", "Account", "weekNum", "yearNum"])
-    # A6 from the weekly totals: they partition the same rows, so their
-    # per-GID sums equal the raw per-GID sums -- one scan of the ads, and the
-    # click filter runs over the small weekly aggregate.
-    busy = having_clicks_over(clicks_per_gid(weekly), min_clicks).select("GID")
-    return keep_keys(weekly, busy, "GID")
+    # A6 + P5 + J6 from the weekly totals: they partition the same rows, so
+    # their per-GID sums equal the raw per-GID sums.  The sum is a window over
+    # the weekly rows (a handful per GID: weeks x accounts), so the ads are
+    # scanned and aggregated once.
+    period_clicks = F.sum("Clicks").over(Window.partitionBy("GID"))
+    return (weekly.withColumn("_period_clicks", period_clicks)
+            .filter(F.col("_period_clicks") > min_clicks).drop("_period_clicks"))
 
 
 def weekly_analytics(analytics: DataFrame, days: list[_dt.date] | None,

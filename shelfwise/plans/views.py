@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.aggregates import avg_pop_per_id, first_min_pop, view_rollup
@@ -33,10 +33,13 @@ def do_sell_by_period(do_sell: DataFrame, period: str, period_alias: str,
     qualifying row has a non-NULL Pop.  So instead of scanning the table
     three times (minima, IN-filter, join back) we aggregate once, carrying
     COUNT(Pop) per output group, and keep the groups of IDs whose counts sum
-    above zero -- a filter over the (much smaller) aggregated result."""
+    above zero.  That sum is a window over the aggregated rows (one per
+    period, brand, name and country of an ID -- never raw rows), so the table
+    is read once; a second branch over the same aggregate would be pruned
+    differently and recompute everything upstream."""
     rolled = view_rollup(do_sell, period, period_alias, round_clicks, with_pop_count=True)
-    ids = rolled.groupBy("ID").agg(F.sum("_pop_rows").alias("_n")).filter(F.col("_n") > 0).select("ID")
-    out = keep_keys(rolled, ids, "ID")
+    per_id = F.sum("_pop_rows").over(Window.partitionBy("ID"))
+    out = rolled.withColumn("_n", per_id).filter(F.col("_n") > 0)
     return out.select(*VIEW_COLUMNS, period_alias, "YearNum")
 
 
