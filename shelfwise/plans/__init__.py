@@ -2,7 +2,7 @@
 
 Modules: ``popular_match`` (K1 do_sell, K2 not_sold, K3 popular),
 ``decline_report`` (K4), ``margin_report`` (K5), ``size_report`` (K6) and
-``views`` (K7, K8).
+``views`` (K7, K8) and ``weekly`` (the weekly job writing all tables).
 """
 
 from .decline_report import decline
@@ -10,6 +10,7 @@ from .margin_report import margins
 from .popular_match import do_sell, not_sold, popular_top
 from .size_report import sizes
 from .views import do_sell_by_month, do_sell_by_week
+from .weekly import WeeklyInputs, run_weekly, weekly_reports
 
 __all__ = ["do_sell", "not_sold", "popular_top", "decline", "margins", "sizes",
-           "do_sell_by_month", "do_sell_by_week"]
+           "do_sell_by_month", "do_sell_by_week", "WeeklyInputs", "weekly_reports", "run_weekly"]
