@@ -128,3 +128,35 @@ def test_money_and_ratios(spark):
     got = [r["x"] for r in df.select(N.ratio("r", "c").alias("x")).collect()]
     assert got == [None, -10.0, 2.5, None]
     assert one(spark, N.btdr("s"), 25, "s bigint") == 0.25
+
+
+def _random_texts(seed, n=300):
+    import random
+    rnd = random.Random(seed)
+    alphabet = "0123456789.+-eE xa,"
+    out = []
+    for _ in range(n):
+        out.append("".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 8))))
+    return out
+
+
+@pytest.mark.parametrize("seed", [11, 12])
+def test_lenient_casts_match_sqlite_on_random_text(spark, seed):
+    texts = _random_texts(seed)
+    con = sqlite3.connect(":memory:")
+    real = [con.execute("SELECT CAST(? AS REAL)", (t,)).fetchone()[0] for t in texts]
+    integer = [con.execute("SELECT CAST(? AS INTEGER)", (t,)).fetchone()[0] for t in texts]
+    got_real = many(spark, N.lenient_double("s"), texts)
+    got_int = many(spark, N.lenient_bigint("s"), texts)
+    bad = [(t, g, e) for t, g, e in zip(texts, got_real, real) if g != pytest.approx(e)]
+    assert bad == []
+    assert [(t, g) for t, g, e in zip(texts, got_int, integer) if g != e] == []
+
+
+@pytest.mark.parametrize("seed", [21])
+def test_gtin_key_matches_sqlite_on_random_codes(spark, seed):
+    import random
+    rnd = random.Random(seed)
+    codes = ["".join(rnd.choice("0123456789.") for _ in range(rnd.randint(0, 16))) for _ in range(300)]
+    assert many(spark, N.gtin_key("s", 2), codes) == [_sqlite_prefix(c, 1) for c in codes]
+    assert many(spark, N.gtin_key("s", 4), codes) == [_sqlite_prefix(c, 3) for c in codes]
