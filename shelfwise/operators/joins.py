@@ -41,6 +41,23 @@ def gtin_prefix_join(left: DataFrame, ranking: DataFrame, ranking_rows: int | No
     return l.join(bounded_broadcast(r, ranking_rows), "_gtin_key").drop("_gtin_key")
 
 
+def gtin_pairs(feed: DataFrame, ranking: DataFrame, ranking_rows: int | None,
+               feed_drop: int = 2, rank_drop: int = 4, clean: bool = False) -> DataFrame:
+    """J2 + A3 when only the matched (Pop, GID) pairs are needed.
+
+    The feed side is reduced to distinct (GID, key) before the join, so the
+    join emits no more rows than there are matched pairs: variants sharing
+    a prefix collapse first.  Short codes give the empty key, which matches
+    every ranking row with an empty key (the literal rule; ``clean=True``
+    drops empty keys), so without this step one common short code would
+    multiply the feed by the ranking size."""
+    keys = feed.select("GID", gtin_key("GTIN", feed_drop, clean).alias("_gtin_key")).distinct()
+    if clean:
+        keys = keys.filter(F.col("_gtin_key").isNotNull())
+    r = ranking.select("Pop", gtin_key("GTIN", rank_drop if not clean else feed_drop, clean).alias("_gtin_key"))
+    return keys.join(bounded_broadcast(r, ranking_rows), "_gtin_key").select("Pop", "GID").distinct()
+
+
 def match_rows(linking: DataFrame, pairs: DataFrame) -> DataFrame:
     """Linking rows x matched (Pop, GID) pairs on GID."""
     return linking.join(pairs, "GID")

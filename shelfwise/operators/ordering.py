@@ -19,14 +19,25 @@ def by_rank(popular: DataFrame) -> DataFrame:
     return popular.orderBy("Pop", "GTIN")
 
 
-def top_n(popular: DataFrame, n: int = TOP_N) -> DataFrame:
+def top_n(popular: DataFrame, n: int = TOP_N, fan_in: int | None = None) -> DataFrame:
     """O2: the ``n`` most popular rows (GTIN breaks rank ties).
 
     ``orderBy().limit()`` plans as TakeOrderedAndProject: every partition
-    keeps its own top ``n`` and only those reach the final merge, so the
-    result is bounded by ``n`` rows whatever the ranking's size.
+    keeps its own top ``n`` and the merge task streams those through a heap
+    of ``n`` rows, so memory is bounded by ``n``.  The merge still reads
+    ``n`` rows per input partition; a ranking report is small (thousands of
+    rows), but for a ranking spread over very many partitions ``fan_in=K``
+    adds a level: rows are spread over K groups, each group keeps its top
+    ``n`` (a window limit Spark applies before its shuffle), and the final
+    merge reads at most K x ``n`` rows.
     """
-    return popular.orderBy(F.col("Pop").asc_nulls_last(), F.col("GTIN").asc_nulls_last()).limit(n)
+    order = [F.col("Pop").asc_nulls_last(), F.col("GTIN").asc_nulls_last()]
+    if fan_in:
+        group = F.xxhash64(*popular.columns) % fan_in
+        w = Window.partitionBy("_grp").orderBy(*order)
+        popular = (popular.withColumn("_grp", group).withColumn("_rk", F.row_number().over(w))
+                   .filter(F.col("_rk") <= n).drop("_grp", "_rk"))
+    return popular.orderBy(*order).limit(n)
 
 
 def output_order(df: DataFrame, cols: Sequence[str]) -> DataFrame:

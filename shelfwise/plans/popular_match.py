@@ -14,7 +14,7 @@ from ..operators.aggregates import ads_totals, analytics_totals, distinct_rows
 from ..operators.currency import convert
 from ..operators.filters import (UNITED_STATES, US_ACCOUNT, account_filter, country_filter,
                                  not_in_inventory)
-from ..operators.joins import gtin_prefix_join, lower_key_join
+from ..operators.joins import gtin_pairs, lower_key_join
 from ..operators.ordering import TOP_N, top_n
 
 POPULAR_COLUMNS = ["Pop", "ChangeFromLastWeek", "Title", "GTIN", "Brand", "BrandInventoryStatus",
@@ -77,8 +77,7 @@ def matched_products(feed: DataFrame, ads_m: DataFrame, popular: DataFrame, n: i
     """
     fd = feed.select(F.lower("GID").alias("GID"), "GTIN", "IMG", "BRAND")
     ranking = top_n(popular, n).select("Pop", "GTIN")
-    pairs = gtin_prefix_join(fd.select("GID", "GTIN"), ranking, n, feed_drop, rank_drop, clean)
-    pairs = distinct_rows(pairs, ["Pop", "GID"])
+    pairs = gtin_pairs(fd, ranking, n, feed_drop, rank_drop, clean)
     if one_account:
         ads_sum = ads_m.drop("Account")
     else:

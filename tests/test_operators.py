@@ -181,3 +181,22 @@ def test_global_row_number_is_consistent_under_pruning(spark):
            .select("k", "Pop").collect()}
     expected = sorted(data, key=lambda t: (-t[1], t[0]))
     assert got == {t[0]: i + 1 for i, t in enumerate(expected)}
+
+
+def test_gtin_pairs_equals_join_then_distinct(spark):
+    feed = spark.createDataFrame([("g1", "12"), ("g1", "13"), ("g2", "100000000037"), ("g3", "1000000000370"),
+                                  ("g3", None)], "GID string, GTIN string")
+    rank = spark.createDataFrame([(1, "1234"), (2, "100000000037.0"), (3, "99")], "Pop int, GTIN string")
+    literal = A.distinct_rows(J.gtin_prefix_join(feed, rank, 3), ["Pop", "GID"])
+    for clean in (False, True):
+        lit = A.distinct_rows(J.gtin_prefix_join(feed, rank, 3, clean=clean), ["Pop", "GID"])
+        assert rows(J.gtin_pairs(feed, rank, 3, clean=clean)) == rows(lit)
+    assert rows(J.gtin_pairs(feed, rank, 3)) == rows(literal) == [(1, "g1"), (2, "g2"), (3, "g1")]
+
+
+def test_top_n_fan_in_equals_plain(spark):
+    data = [(i % 50, f"{i:05d}") for i in range(3000)]
+    df = spark.createDataFrame(data, "Pop int, GTIN string").repartition(9)
+    plain = [tuple(r) for r in O.top_n(df, 120).collect()]
+    assert [tuple(r) for r in O.top_n(df, 120, fan_in=4).collect()] == plain
+    assert plain == sorted(data)[:120]
