@@ -174,3 +174,31 @@ def test_append_sink_and_partition_replace(spark):
     out = FX.scratch_path(spark, "test-csv")
     SINK.dump_csv(df, out)
     assert spark.read.option("header", "true").csv(out).count() == 2
+
+
+def test_rate_history_unpivot_and_conversion(spark, tmp_path):
+    from shelfwise.operators.currency import convert
+    from shelfwise.sources.rates import read_rates
+    (tmp_path / "rates.csv").write_text(
+        "Date,USD,JPY,GBP,\n2024-01-29,1.0823,160.1,0.8526,\n2024-01-26,1.0871,N/A,0.8541,\n")
+    rates = read_rates(spark, str(tmp_path / "rates.csv"))
+    got = rows(rates)
+    assert (dt.date(2024, 1, 26), "EUR", 1.0) in got and (dt.date(2024, 1, 29), "JPY", 160.1) in got
+    assert not any(r[1] == "JPY" and r[0] == dt.date(2024, 1, 26) for r in got)
+    df = spark.createDataFrame([(10.823,)], "x double")
+    y = df.select(convert(F.col("x"), rates, "USD", "GBP").alias("y")).first()["y"]
+    assert abs(y - 10.823 / 1.0823 * 0.8526) < 1e-12
+
+
+def test_analytics_response_stream(spark, tmp_path):
+    from shelfwise.streaming import analytics_response_stream, append_new_files
+    landing = tmp_path / "an"
+    landing.mkdir()
+    doc = _response(["ga:date", "ga:productSku"], ["ga:itemRevenue"],
+                    [(["20240108", "g1"], ["5"]), (["20240109", "g2"], ["7"])])
+    (landing / "d1.json").write_text(json.dumps(doc))
+    table, ckpt = FX.scratch_path(spark, "an-table"), FX.scratch_path(spark, "an-ckpt")
+    stream = analytics_response_stream(spark, str(landing), ["ga:date", "ga:productSku", "ga:itemRevenue"])
+    append_new_files(stream, table, ckpt)
+    assert rows(spark.read.parquet(table), "date", "productSku", "itemRevenue") == [
+        ("20240108", "g1", "5"), ("20240109", "g2", "7")]
