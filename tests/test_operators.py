@@ -200,3 +200,29 @@ def test_top_n_fan_in_equals_plain(spark):
     plain = [tuple(r) for r in O.top_n(df, 120).collect()]
     assert [tuple(r) for r in O.top_n(df, 120, fan_in=4).collect()] == plain
     assert plain == sorted(data)[:120]
+
+
+def test_sizes_null_offer_joins_empty_size_and_fills(spark):
+    from shelfwise.plans.size_report import sizes
+    day = dt.date(2024, 1, 8)
+    ads = spark.createDataFrame([(day, None, 0), (day, "g1-10.5|us", 2_000_000), (day, "g1-10.5|uk", 2_000_000)],
+                                "Date date, OfferID string, Cost bigint")
+    an = spark.createDataFrame([("20240108", "g1", "(not set)", 40, 2, "Shoes"),
+                                ("20240108", "g1", "US 10.5Wm", 100, 1, "Shoes"),
+                                ("20240108", "g1", "US 10.5Wm", 50, 1, "Bags"),
+                                ("ga:date", "g1", "US 10.5Wm", 1, 1, "Shoes")],
+                               "date string, productSku string, size string, itemRevenue bigint, "
+                               "itemQuantity bigint, productType string")
+    got = rows(sizes(ads, an))
+    # '' (no offer id / no digits) joins '' with zero cost -> ROAS filled; 10.5: 100 / (2 + 2)
+    assert got == [(day, "", -0.01, 2.0), (day, "10.5", 25.0, 1.0)]
+
+
+def test_decline_order_by_year_across_new_year(spark):
+    # weeks 52, 53 of 2020 and 1, 2 of 2021: ordered by week only, week 1 comes first
+    data = [("A", 52, "2020", 10.0), ("A", 53, "2020", 9.0), ("A", 1, "2021", 8.0), ("A", 2, "2021", 1.0)]
+    df = spark.createDataFrame(data, "ID string, weekNum int, yearNum string, newROAS double")
+    literal = decline_rule(df, tie_break=("yearNum",))
+    by_year = decline_rule(df, order_by_year=True, tie_break=())
+    assert literal.count() == 0          # first = week 1 (8.0), last = week 53 (9.0): not declining
+    assert by_year.count() == 4          # first = 2020-52 (10.0), last = 2021-2 (1.0): declining
