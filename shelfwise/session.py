@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 # Settings applied only when the running session has no value of its own.
@@ -18,13 +19,19 @@ _DEFAULTS = {
 
 def get_spark(app: str = "shelfwise", master: str | None = None,
               shuffle_partitions: int | None = None) -> SparkSession:
-    """Build (or reuse) a session.  On a cluster ``master`` stays None and the
-    submitter's configuration wins; locally we default to ``local[N]``."""
+    """Build (or reuse) a session.
+
+    Under ``spark-submit`` (or any launcher that sets ``spark.master``) the
+    submitted configuration wins and nothing here overrides it; only when no
+    master is configured anywhere do we default to ``local[$BENCH_CPUS]``."""
     builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
-    if master or not os.environ.get("SPARK_MASTER"):
-        cpus = os.environ.get("BENCH_CPUS", "8")
-        builder = builder.master(master or f"local[{cpus}]")
-        builder = builder.config("spark.driver.memory", os.environ.get("SHELFWISE_DRIVER_MEMORY", "8g"))
+    if master is None and not SparkConf().contains("spark.master"):
+        master = f"local[{os.environ.get('BENCH_CPUS', '8')}]"
+    if master is not None:
+        builder = builder.master(master)
+        if master.startswith("local"):
+            builder = builder.config("spark.driver.memory",
+                                     os.environ.get("SHELFWISE_DRIVER_MEMORY", "8g"))
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
@@ -36,14 +43,21 @@ def get_spark(app: str = "shelfwise", master: str | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str = "/tmp/shelfwise-checkpoints") -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; set ``fallback`` only
-    when the session names none (local tests)."""
+    """Use the cluster's shared ``spark.checkpoint.dir``.  The local
+    ``fallback`` is used only in local mode (tests); on a cluster a missing
+    setting is an error, never a machine-local folder."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(configured or fallback)
+    if configured:
+        sc.setCheckpointDir(configured)
+    elif sc.master.startswith("local"):
+        sc.setCheckpointDir(fallback)
+    else:
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster's "
+                           "distributed file system) before running shelfwise jobs")
     return sc.getCheckpointDir()
 
 
