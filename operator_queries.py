@@ -89,24 +89,6 @@ def _weekly_rows(spark, d):
     return K4.weekly_matches(_ads_us(spark, d), S.analytics(spark, d), DECLINE_DAYS)
 
 
-def _margin_analytics(spark, d):
-    an = P.integer_dates(S.analytics(spark, d))
-    return an.select(D.compact_to_date("date").alias("date"), F.lower("productSku").alias("productSku"),
-                     "productName", "itemRevenue", "itemQuantity")
-
-
-def _daily_cost_lower(spark, d):
-    ad = S.ads(spark, d).select("Date", F.lower(T.before_first_space("GID")).alias("GID"), "Cost")
-    return A.cost_totals(ad, ["Date", "GID"])
-
-
-def _j7(spark, d):
-    an = _margin_analytics(spark, d)
-    fd = K5.margin_feed(S.feed(spark, d)).withColumnRenamed("GID", "productSku")
-    return an.join(fd, "productSku").select("Margin", "Brand", "date", "itemQuantity", "productSku",
-                                            "productName", "itemRevenue")
-
-
 # ------------------------------------------------------------------ S8-S11
 def s8_product_report(spark, d):
     return rounded(AN.product_report(S.hits(spark, d)))
@@ -152,17 +134,16 @@ def j6_busy_gids(spark, d):
 
 
 def j7_analytics_feed(spark, d):
-    return _j7(spark, d)
+    return K5.analytics_feed_rows(S.analytics(spark, d), S.feed(spark, d))
 
 
 def j8_margin_cost_join(spark, d):
-    ad = _daily_cost_lower(spark, d).withColumnRenamed("Date", "date").withColumnRenamed("GID", "productSku")
-    return _j7(spark, d).join(ad, ["date", "productSku"])
+    rows = K5.analytics_feed_rows(S.analytics(spark, d), S.feed(spark, d))
+    return K5.with_daily_cost(rows, S.ads(spark, d), lower_ads_gid=True)
 
 
 def j9_size_join(spark, d):
-    return rounded(K6.analytics_by_size(S.analytics(spark, d))
-                   .join(K6.ads_by_size(S.ads(spark, d)), ["date", "size"]))
+    return rounded(K6.size_rows(S.ads(spark, d), S.analytics(spark, d)))
 
 
 def j10_min_pop_semi(spark, d):

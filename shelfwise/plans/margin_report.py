@@ -18,6 +18,25 @@ def margin_feed(feed: DataFrame) -> DataFrame:
     return distinct_rows(fd, ["Margin", "GID", "Brand"])
 
 
+def analytics_feed_rows(analytics: DataFrame, feed: DataFrame) -> DataFrame:
+    """J7 as rows: analytics (integer dates, lower-cased SKU) x distinct
+    (Margin, GID, Brand) on SKU -- one row per analytics row and variant."""
+    an = analytics.filter(is_integer_text("date")).select(
+        compact_to_date("date").alias("date"), F.lower("productSku").alias("productSku"),
+        "productName", "itemRevenue", "itemQuantity")
+    fd = margin_feed(feed).withColumnRenamed("GID", "productSku")
+    return an.join(fd, "productSku").select("Margin", "Brand", "date", "itemQuantity", "productSku",
+                                            "productName", "itemRevenue")
+
+
+def with_daily_cost(rows: DataFrame, ads: DataFrame, lower_ads_gid: bool = False) -> DataFrame:
+    """J8 as rows: J7 rows x the day's ad cost (A9) on date and SKU = GID."""
+    gid = before_first_space("GID")
+    ad = ads.select(F.col("Date").alias("date"), (F.lower(gid) if lower_ads_gid else gid).alias("productSku"),
+                    "Cost")
+    return rows.join(cost_totals(ad, ["date", "productSku"]), ["date", "productSku"])
+
+
 def margins(feed: DataFrame, ads: DataFrame, analytics: DataFrame, rates: DataFrame | None = None,
             from_ccy: str = "USD", to_ccy: str = "USD", lower_ads_gid: bool = False) -> DataFrame:
     """J7 (analytics x feed on SKU), J8 (x daily ad cost on date and GID),

@@ -44,6 +44,13 @@ def ads_by_size(ads: DataFrame, rates: DataFrame | None = None, from_ccy: str =
                         convert(micros_to_units("Cost"), rates, from_ccy, to_ccy).alias("Cost"))
 
 
+def size_rows(ads: DataFrame, analytics: DataFrame, rates: DataFrame | None = None,
+              from_ccy: str = "USD", to_ccy: str = "USD", category: str = SHOES) -> DataFrame:
+    """Daily size analytics x daily size ad cost on (date, size)."""
+    return analytics_by_size(analytics, category).join(ads_by_size(ads, rates, from_ccy, to_ccy),
+                                                       ["date", "size"])
+
+
 def sizes(ads: DataFrame, analytics: DataFrame, rates: DataFrame | None = None,
           from_ccy: str = "USD", to_ccy: str = "USD", category: str = SHOES,
           fill: float = -0.01) -> DataFrame:
