@@ -24,6 +24,7 @@ SHAPES = {
     "margins": ["Margin", "GID", "Brand"],
     "decline": ["GID", "IMG", "Brand"],
     "size": ["Size", "ID"],
+    "all": ["GID", "ID", "GTIN", "IMG", "BRAND", "Margin", "Size"],
 }
 
 
