@@ -15,7 +15,6 @@ import datetime as _dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..functions.dates import compact_to_date, four_week_calendar, reporting_week
 from ..operators.filters import US_ACCOUNT
@@ -85,8 +84,3 @@ def run_weekly(inputs: WeeklyInputs, run_date: _dt.date, out: str, *, replace: b
         append_table(report, path, partition_by=PARTITIONS[name], replace_partitions=replace)
         paths[name] = path
     return paths
-
-
-def with_run_stamp(df: DataFrame, run_date: _dt.date) -> DataFrame:
-    """Optional lineage column: the run date that produced the rows."""
-    return df.withColumn("run_date", F.lit(run_date))

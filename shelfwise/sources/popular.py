@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
 from ..functions.dates import week_label
+from ..operators.filters import drop_and_rename
 
 # Ranking report header, columns dropped, and renames.
 RANKING_HEADER = [
@@ -55,9 +56,8 @@ def normalize_ranking(raw: DataFrame, run_date: _dt.date, snap: bool = False) ->
     """S2 + P8 + P9 + P10: casts, drop the category and currency columns,
     stamp the report week and rename to the pipeline names.  No sort here:
     order matters only for the top-N cut (O2), which sorts by itself."""
-    df = cast_ranking(raw).drop(*[c for c in DROPPED if c in raw.columns])
-    df = df.withColumn("WeekNumber", F.lit(week_label(run_date, snap)))
-    return df.withColumnsRenamed(RENAMES).select(*POPULAR_COLUMNS)
+    df = drop_and_rename(cast_ranking(raw), drop=[c for c in DROPPED if c in raw.columns], rename=RENAMES)
+    return df.withColumn("WeekNumber", F.lit(week_label(run_date, snap))).select(*POPULAR_COLUMNS)
 
 
 def read_ranking(spark: SparkSession, path: str | Sequence[str], run_date: _dt.date,
