@@ -37,6 +37,7 @@ DECLINE_DAYS = D.four_week_calendar(S.DECLINE_RUN_DATE)
 
 
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:
+    """Round every floating column at the very end (comparison hygiene only)."""
     cols = {f.name: F.round(F.col(f.name), places) for f in df.schema.fields
             if isinstance(f.dataType, (DoubleType, FloatType))}
     return df.withColumns(cols) if cols else df

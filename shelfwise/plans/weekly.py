@@ -79,8 +79,13 @@ def run_weekly(inputs: WeeklyInputs, run_date: _dt.date, out: str, *, replace: b
                **options) -> dict[str, str]:
     """Compute and append every weekly report; returns table -> path."""
     paths = {}
+    sc = inputs.feed.sparkSession.sparkContext
     for name, report in weekly_reports(inputs, run_date, **options).items():
         path = f"{out.rstrip('/')}/{name}"
-        append_table(report, path, partition_by=PARTITIONS[name], replace_partitions=replace)
+        sc.setJobDescription(f"shelfwise weekly {name} {run_date}")
+        try:
+            append_table(report, path, partition_by=PARTITIONS[name], replace_partitions=replace)
+        finally:
+            sc.setJobDescription(None)
         paths[name] = path
     return paths
