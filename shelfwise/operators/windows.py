@@ -1,4 +1,4 @@
-"""The four-week decline rule, as one aggregation instead of a loop."""
+"""The four-week decline rule, as one window pass instead of a per-product loop."""
 
 from __future__ import annotations
 
