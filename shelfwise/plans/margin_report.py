@@ -44,10 +44,12 @@ def margins(feed: DataFrame, ads: DataFrame, analytics: DataFrame, rates: DataFr
 
     The joins fan rows out -- every (Margin, Brand) variant of a GID repeats
     the analytics row and its day's cost, and that double counting is part
-    of the result.  Instead of materialising the fan-out we aggregate each
-    side to its join key first and weight by the partner counts:
-    revenue x variants, cost x analytics rows x variants.  Same sums, no row
-    explosion, and the shuffles carry one row per key.
+    of the result.  Instead of materialising the fan-out, each input is
+    reduced to its join key and the sums are weighted by partner counts:
+    revenue x variants, cost x analytics rows x variants.  Analytics and ad
+    cost share the key (date, GID), so they are co-grouped in one union and
+    one aggregation; the feed contributes variant counts per (GID, Margin).
+    Same sums, no row explosion, one row per key in every shuffle.
 
     ``lower_ads_gid`` lower-cases the ad GIDs before the SKU comparison; by
     default they are compared as the report spells them.
@@ -59,16 +61,25 @@ def margins(feed: DataFrame, ads: DataFrame, analytics: DataFrame, rates: DataFr
         as_number("itemRevenue", types["itemRevenue"]).alias("rev"),
         as_number("itemQuantity", types["itemQuantity"], integral=True).alias("qty"),
     )
-    an_k = an.groupBy("date", "GID").agg(F.sum("rev").alias("rev"), F.sum("qty").alias("qty"),
-                                         F.count(F.lit(1)).alias("n_rows"))
-
     gid = before_first_space("GID")
     ad = ads.select(F.col("Date").alias("date"), (F.lower(gid) if lower_ads_gid else gid).alias("GID"), "Cost")
-    ad_k = cost_totals(ad, ["date", "GID"])  # A9, one row per (date, GID)
 
-    fd_k = margin_feed(feed).groupBy("GID", "Margin").agg(F.count(F.lit(1)).alias("n_variants"))
+    # J8 co-grouped: analytics per (date, SKU) and the day's cost per
+    # (date, GID) (A9) come from one union and one aggregation; keys with
+    # rows on both sides (and no NULL) are the inner join's matches.
+    rev_t, qty_t = dict(an.dtypes)["rev"], dict(an.dtypes)["qty"]
+    both = an.select("date", "GID", "rev", "qty", F.lit(None).cast("bigint").alias("Cost"),
+                     F.lit(1).alias("_an"), F.lit(0).alias("_ad")).unionByName(
+        ad.select("date", "GID", F.lit(None).cast(rev_t).alias("rev"), F.lit(None).cast(qty_t).alias("qty"),
+                  "Cost", F.lit(0).alias("_an"), F.lit(1).alias("_ad")))
+    per_key = both.groupBy("date", "GID").agg(
+        F.sum("rev").alias("rev"), F.sum("qty").alias("qty"), F.sum("_an").alias("n_rows"),
+        F.sum("Cost").alias("Cost"), F.max("_ad").alias("_ad"))
+    matched = per_key.filter((F.col("n_rows") > 0) & (F.col("_ad") == 1)
+                             & F.col("date").isNotNull() & F.col("GID").isNotNull())
 
-    joined = an_k.join(ad_k, ["date", "GID"]).join(fd_k, "GID")
+    fd_k = margin_feed(feed).groupBy("GID", "Margin").agg(F.count(F.lit(1)).alias("n_variants"))
+    joined = matched.join(fd_k, "GID")
     per_margin = joined.groupBy("Margin", "date").agg(
         F.sum(F.col("rev") * F.col("n_variants")).alias("rev"),
         F.sum(F.col("Cost") * F.col("n_rows") * F.col("n_variants")).alias("cost_micros"),

@@ -13,8 +13,8 @@ from ..operators.currency import convert
 from ..operators.filters import SHOES, ads_cost_projection, category_filter, fill_missing
 
 
-def analytics_by_size(analytics: DataFrame, category: str = SHOES) -> DataFrame:
-    """P4, F11, P6, F4, F12 -> A12: revenue and quantity per (date, size)."""
+def _analytics_size_rows(analytics: DataFrame, category: str = SHOES) -> DataFrame:
+    """(date, size, itemRevenue, itemQuantity) rows."""
     an = category_filter(analytics, category)
     types = dict((f.name, f.dataType) for f in an.schema.fields)
     an = an.select(
@@ -23,23 +23,31 @@ def analytics_by_size(analytics: DataFrame, category: str = SHOES) -> DataFrame:
         as_number("itemRevenue", types["itemRevenue"]).alias("itemRevenue"),
         as_number("itemQuantity", types["itemQuantity"], integral=True).alias("itemQuantity"),
     ).filter(is_integer_text("date"))
-    an = an.select(compact_to_date("date").alias("date"), digits_and_dots("size").alias("size"),
-                   "itemRevenue", "itemQuantity")
+    return an.select(compact_to_date("date").alias("date"), digits_and_dots("size").alias("size"),
+                     "itemRevenue", "itemQuantity")
+
+
+def _ads_size_rows(ads: DataFrame) -> DataFrame:
+    """(date, size, Cost in micros) rows."""
+    ad = ads_cost_projection(ads)
+    return ad.select(F.col("Date").alias("date"),
+                     digits_and_dots(last_dash_token(offer_key("OfferID"))).alias("size"), "Cost")
+
+
+def analytics_by_size(analytics: DataFrame, category: str = SHOES) -> DataFrame:
+    """Revenue and quantity per (date, size)."""
+    an = _analytics_size_rows(analytics, category)
     return an.groupBy("date", "size").agg(F.sum("itemRevenue").alias("itemRevenue"),
                                           F.sum("itemQuantity").alias("itemQuantity"))
 
 
 def ads_by_size(ads: DataFrame, rates: DataFrame | None = None, from_ccy: str = "USD",
                 to_ccy: str = "USD") -> DataFrame:
-    """P12, F9, F10, F12 -> A13, J12: cost per (date, size) in target units.
+    """A13 + J12: cost per (date, size) in target units.
 
     Cost stays in integer micros through the sum and is converted once per
     group (conversion is linear, so this equals converting every row)."""
-    ad = ads_cost_projection(ads)
-    ad = ad.select(F.col("Date").alias("date"),
-                   digits_and_dots(last_dash_token(offer_key("OfferID"))).alias("size"),
-                   "Cost")
-    daily = cost_totals(ad, ["date", "size"])
+    daily = cost_totals(_ads_size_rows(ads), ["date", "size"])
     return daily.select("date", "size",
                         convert(micros_to_units("Cost"), rates, from_ccy, to_ccy).alias("Cost"))
 
@@ -54,13 +62,29 @@ def size_rows(ads: DataFrame, analytics: DataFrame, rates: DataFrame | None = No
 def sizes(ads: DataFrame, analytics: DataFrame, rates: DataFrame | None = None,
           from_ccy: str = "USD", to_ccy: str = "USD", category: str = SHOES,
           fill: float = -0.01) -> DataFrame:
-    """J9 + A14 + P11: both sides are unique per (date, size) after their
-    aggregations, so the join is 1:1 and shuffles only aggregated rows."""
-    an = analytics_by_size(analytics, category)
-    ad = ads_by_size(ads, rates, from_ccy, to_ccy)
-    joined = an.join(ad, ["date", "size"])
-    out = joined.groupBy("date", "size").agg(
-        ratio(F.sum("itemRevenue"), F.sum("Cost")).alias("ROAS"),
-        F.sum("itemQuantity").alias("salesVolume"),
-    )
+    """A12 + A13 + J9 + A14 + P11 with one shuffle.
+
+    Both sides are aggregated to (date, size) and inner-joined 1:1, so the
+    join is a co-grouping: the two row sets are tagged, unioned and summed
+    in one aggregation (map-side partial sums, one exchange), and keys seen
+    on only one side -- or NULL -- are dropped, the inner join's rule.  The
+    A14 sums over the 1:1 join are the identity."""
+    an = _analytics_size_rows(analytics, category)
+    ad = _ads_size_rows(ads)
+    rev_t = dict(an.dtypes)["itemRevenue"]
+    qty_t = dict(an.dtypes)["itemQuantity"]
+    both = an.select("date", "size", "itemRevenue", "itemQuantity",
+                     F.lit(None).cast("bigint").alias("Cost"),
+                     F.lit(1).alias("_an"), F.lit(0).alias("_ad")).unionByName(
+        ad.select("date", "size", F.lit(None).cast(rev_t).alias("itemRevenue"),
+                  F.lit(None).cast(qty_t).alias("itemQuantity"), "Cost",
+                  F.lit(0).alias("_an"), F.lit(1).alias("_ad")))
+    per_key = both.groupBy("date", "size").agg(
+        F.sum("itemRevenue").alias("itemRevenue"), F.sum("itemQuantity").alias("itemQuantity"),
+        F.sum("Cost").alias("Cost"), F.max("_an").alias("_an"), F.max("_ad").alias("_ad"))
+    matched = per_key.filter((F.col("_an") == 1) & (F.col("_ad") == 1)
+                             & F.col("date").isNotNull() & F.col("size").isNotNull())
+    cost = convert(micros_to_units("Cost"), rates, from_ccy, to_ccy)
+    out = matched.select("date", "size", ratio("itemRevenue", cost).alias("ROAS"),
+                         F.col("itemQuantity").alias("salesVolume"))
     return fill_missing(out, ["ROAS", "salesVolume"], fill)
