@@ -59,12 +59,20 @@ def weekly_analytics(analytics: DataFrame, days: list[_dt.date] | None,
 
 
 def weekly_matches(ads: DataFrame, analytics: DataFrame, days: list[_dt.date] | None,
-                   min_clicks: int = 400, country: str = UNITED_STATES) -> DataFrame:
+                   min_clicks: int = 400, country: str = UNITED_STATES,
+                   cluster_by_gid: bool = False) -> DataFrame:
     """Weekly ads x weekly analytics on LOWER(GID) = LOWER(SKU), week and
-    year; one row per metric combination with MIN(productName)."""
+    year; one row per metric combination with MIN(productName).
+
+    ``cluster_by_gid`` hash-partitions the (already aggregated) joined rows
+    by GID before the grouping: the grouping accepts that partitioning (GID
+    is one of its keys), and so does a following per-product window, which
+    then needs no exchange of its own."""
     ads_w = weekly_ads(ads, days, min_clicks)
     an_w = weekly_analytics(analytics, days, country).withColumnRenamed("itemRevenue", "itemRev")
     joined = lower_key_join(ads_w, an_w, "GID", "productSku", also=["weekNum", "yearNum"])
+    if cluster_by_gid:
+        joined = joined.repartition("GID")
     return joined.groupBy(
         F.col("GID").alias("ID"), "Impressions", "Cost", "Clicks", "ConversionValue", "itemRev",
         "buyToDetailRate", "country", "weekNum", "yearNum",
@@ -86,7 +94,7 @@ def decline(ads: DataFrame, analytics: DataFrame, run_date: _dt.date, min_clicks
     row per metric combination with MIN(productName)), P7, J12/F16, W1, O3
     and the WeekRange label (P10)."""
     days = four_week_calendar(run_date, snap)
-    grouped = drop_not_set(weekly_matches(ads, analytics, days, min_clicks, country))
+    grouped = drop_not_set(weekly_matches(ads, analytics, days, min_clicks, country, cluster_by_gid=True))
     priced = price(grouped, rates, from_ccy, to_ccy)
     kept = decline_rule(priced, percent=percent, order_by_year=order_by_year)
     return (kept.withColumn("WeekRange", F.lit(week_range_label(days)))
