@@ -18,7 +18,7 @@ _DEFAULTS = {
 
 
 def get_spark(app: str = "shelfwise", master: str | None = None,
-              shuffle_partitions: int | None = None) -> SparkSession:
+              shuffle_partitions: int | None = None, conf: dict | None = None) -> SparkSession:
     """Build (or reuse) a session.
 
     Under ``spark-submit`` (or any launcher that sets ``spark.master``) the
@@ -34,6 +34,8 @@ def get_spark(app: str = "shelfwise", master: str | None = None,
                                      os.environ.get("SHELFWISE_DRIVER_MEMORY", "8g"))
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    for key, value in (conf or {}).items():
+        builder = builder.config(key, value)
     spark = builder.getOrCreate()
     for key, value in _DEFAULTS.items():
         if spark.conf.get(key, None) in (None, ""):
