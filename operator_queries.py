@@ -486,6 +486,17 @@ def s12_append_sink(spark, d):
     return rounded(spark.read.parquet(path))
 
 
+def u1_stream_ingest(spark, d):
+    """U1 + S12 incrementally: report files landed in a folder, ingested by
+    an available-now Structured Streaming run, read back from the table."""
+    from shelfwise.streaming import ads_report_stream, append_new_files
+    landing = FX.scratch_path(spark, "ads-landing")
+    FX.write_ads_report(S.ads(spark, d), landing)
+    table, ckpt = FX.scratch_path(spark, "ads-table"), FX.scratch_path(spark, "ads-ckpt")
+    append_new_files(ads_report_stream(spark, landing), table, ckpt)
+    return rounded(spark.read.parquet(table).drop("ingest_batch"))
+
+
 def s13_csv_dump(spark, d):
     path = FX.scratch_path(spark, "margins-csv")
     report = K5.margins(S.feed(spark, d), S.ads(spark, d), S.analytics(spark, d), lower_ads_gid=True)
