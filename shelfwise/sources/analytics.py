@@ -63,8 +63,9 @@ def flatten_responses(responses: DataFrame, fields: Sequence[str]) -> DataFrame:
     """Reports -> rows -> one column per header name.
 
     Every report is kept (not only the last) and values stay whole even
-    when they contain commas; the header of each report names its values.
-    ``fields`` lists the header names to project (all text).
+    when they contain commas; the header of each report names its values,
+    looked up by position.  ``fields`` lists the header names to project
+    (all text); a name missing from a report, or a short row, gives NULL.
     """
     reports = responses.select(F.explode("reports").alias("r"))
     rows = reports.select(
@@ -78,8 +79,15 @@ def flatten_responses(responses: DataFrame, fields: Sequence[str]) -> DataFrame:
                       F.flatten(F.transform(F.coalesce(F.col("row.metrics"),
                                                        F.array().cast("array<struct<values:array<string>>>")),
                                             lambda m: m["values"])))
-    kv = rows.select(F.map_from_arrays("names", values).alias("kv"))
-    return kv.select(*[F.col("kv")[f].alias(f) for f in fields])
+    flat = rows.select("names", values.alias("vals"))
+
+    def field(name: str):
+        # position of the header name (first occurrence); a row with fewer
+        # values than names yields NULL instead of failing the whole read
+        pos = F.array_position("names", F.lit(name)).cast("int")
+        return F.when(pos > 0, F.try_element_at("vals", pos)).alias(name)
+
+    return flat.select(*[field(f) for f in fields])
 
 
 def rename_fields(report: DataFrame, renames: Mapping[str, str] = ANALYTICS_RENAMES) -> DataFrame:

@@ -202,3 +202,12 @@ def test_analytics_response_stream(spark, tmp_path):
     append_new_files(stream, table, ckpt)
     assert rows(spark.read.parquet(table), "date", "productSku", "itemRevenue") == [
         ("20240108", "g1", "5"), ("20240109", "g2", "7")]
+
+
+def test_short_rows_and_missing_fields_give_null(spark, tmp_path):
+    doc = _response(["ga:date", "ga:productSku"], ["ga:itemRevenue", "ga:itemQuantity"],
+                    [(["20240108", "g1"], ["5"]), (["20240109", "g2"], ["7", "2"])])
+    (tmp_path / "r.json").write_text(json.dumps(doc))
+    flat = AN.flatten_responses(AN.read_responses(spark, str(tmp_path / "r.json")),
+                                ["ga:date", "ga:itemRevenue", "ga:itemQuantity", "ga:country"])
+    assert rows(flat) == [("20240108", "5", None, None), ("20240109", "7", "2", None)]
