@@ -62,7 +62,13 @@ def normalize_ranking(raw: DataFrame, run_date: _dt.date, snap: bool = False) ->
 
 def read_ranking(spark: SparkSession, path: str | Sequence[str], run_date: _dt.date,
                  snap: bool = False) -> DataFrame:
-    """Read the ranking CSV with an explicit schema (header line skipped)."""
-    raw = spark.read.csv(path if isinstance(path, str) else list(path), header=True,
-                         schema=ranking_schema(), enforceSchema=True)
-    return normalize_ranking(raw, run_date, snap)
+    """Read the ranking CSV by its header names (column order and extra
+    columns do not matter), typing each known column; a value that does not
+    parse is NULL rather than an error."""
+    raw = spark.read.option("header", "true").option("inferSchema", "false").csv(
+        path if isinstance(path, str) else list(path))
+    present = set(raw.columns)
+    typed = raw.select(*[
+        (F.col(f"`{name}`").try_cast(dtype) if name in present else F.lit(None).cast(dtype)).alias(name)
+        for name, dtype in RANKING_HEADER])
+    return normalize_ranking(typed, run_date, snap)

@@ -211,3 +211,12 @@ def test_short_rows_and_missing_fields_give_null(spark, tmp_path):
     flat = AN.flatten_responses(AN.read_responses(spark, str(tmp_path / "r.json")),
                                 ["ga:date", "ga:itemRevenue", "ga:itemQuantity", "ga:country"])
     assert rows(flat) == [("20240108", "5", None, None), ("20240109", "7", "2", None)]
+
+
+def test_ranking_columns_by_name(spark, tmp_path):
+    path = tmp_path / "reordered.csv"
+    path.write_text('GTIN,Popularity rank,Extra,Title,Price range start\n'
+                    '0012,7,x,"A, b",1.5\n0013,bad,y,C,2\n')
+    df = read_ranking(spark, str(path), dt.date(2024, 1, 15))
+    assert rows(df, "Pop", "GTIN", "Title", "PriceRangeStart", "Brand") == [
+        (None, "0013", "C", 2.0, None), (7, "0012", "A, b", 1.5, None)]
