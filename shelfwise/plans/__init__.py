@@ -10,7 +10,7 @@ from .margin_report import margins
 from .popular_match import do_sell, not_sold, popular_top
 from .size_report import sizes
 from .views import do_sell_by_month, do_sell_by_week
-from .weekly import WeeklyInputs, run_weekly, weekly_reports
+from .weekly import WeeklyInputs, register_views, run_weekly, weekly_reports
 
 __all__ = ["do_sell", "not_sold", "popular_top", "decline", "margins", "sizes",
-           "do_sell_by_month", "do_sell_by_week", "WeeklyInputs", "weekly_reports", "run_weekly"]
+           "do_sell_by_month", "do_sell_by_week", "WeeklyInputs", "weekly_reports", "run_weekly", "register_views"]

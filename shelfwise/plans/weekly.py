@@ -25,6 +25,7 @@ from .decline_report import decline
 from .margin_report import margins
 from .popular_match import do_sell, not_sold, popular_top
 from .size_report import sizes
+from .views import do_sell_by_month, do_sell_by_week
 
 
 @dataclass
@@ -89,3 +90,14 @@ def run_weekly(inputs: WeeklyInputs, run_date: _dt.date, out: str, *, replace: b
             sc.setJobDescription(None)
         paths[name] = path
     return paths
+
+
+def register_views(spark, out: str, fmt: str = "parquet") -> list[str]:
+    """The dashboard views over the appended do_sell table: temp views
+    ``do_sell`` (the table), ``do_sell_by_month`` and ``do_sell_by_week``,
+    re-read on every query like a warehouse view."""
+    table = spark.read.format(fmt).load(f"{out.rstrip('/')}/do_sell")
+    table.createOrReplaceTempView("do_sell")
+    do_sell_by_month(table).createOrReplaceTempView("do_sell_by_month")
+    do_sell_by_week(table).createOrReplaceTempView("do_sell_by_week")
+    return ["do_sell", "do_sell_by_month", "do_sell_by_week"]

@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.errors import AnalysisException
 
-from shelfwise.plans.weekly import WeeklyInputs, run_weekly
+from shelfwise.plans.weekly import WeeklyInputs, register_views, run_weekly
 from shelfwise.sources import fixtures as FX
 from shelfwise.sources import standins as S
 
@@ -39,3 +39,8 @@ def test_weekly_job_writes_six_tables_and_reruns_replace(spark):
     run_weekly(_inputs(spark), run, out, account="ACCOUNT US", replace=True)
     again = {k: _count(spark, p) for k, p in paths.items()}
     assert again == counts
+    # the dashboard views over the appended table, queried by name
+    register_views(spark, out)
+    monthly = spark.sql("SELECT ID, Monthum, YearNum, CTR FROM do_sell_by_month")
+    assert monthly.count() > 0
+    assert spark.sql("SELECT count(*) AS n FROM do_sell").first()["n"] == counts["do_sell"]
