@@ -33,6 +33,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _shared(spark: SparkSession, key: tuple, build) -> DataFrame:
+    """Build each stand-in once per session and share it, as registering a
+    view would: DataFrames are immutable and lazy, so every query that uses
+    the same stand-in gets the same plan without rebuilding it."""
+    cache = spark.__dict__.setdefault("_shelfwise_standins", {})
+    if key not in cache:
+        cache[key] = build()
+    return cache[key]
+
+
 def _group(c: str) -> F.Column:
     return (F.col(c) % PRODUCT_GROUPS).cast("string")
 
@@ -51,7 +61,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _build_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Product feed: one row per variant, every field text (as XML gives it)."""
     p = table(spark, sf_dir, "part")
     return p.select(
@@ -87,7 +97,7 @@ def _rank_order() -> list:
 _PART_COLS = ["p_partkey", "p_name", "p_brand", "p_size", "p_retailprice"]
 
 
-def popular(spark: SparkSession, sf_dir: str, run_date: _dt.date = DEFAULT_RUN_DATE,
+def _build_popular(spark: SparkSession, sf_dir: str, run_date: _dt.date = DEFAULT_RUN_DATE,
             top: int | None = None) -> DataFrame:
     """Popularity ranking: Pop = 1-based rank by price desc, then part key.
 
@@ -123,7 +133,7 @@ def ranking_report(spark: SparkSession, sf_dir: str, run_date: _dt.date = DEFAUL
     )
 
 
-def ads(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _build_ads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ad performance report: one row per click/view/error event."""
     e = events(spark, sf_dir).filter(F.col("event_type").isin(*AD_EVENT_TYPES))
     return e.select(
@@ -140,7 +150,7 @@ def ads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def analytics(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _build_analytics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Web analytics product report: one row per purchase/signup event."""
     e = events(spark, sf_dir).filter(F.col("event_type").isin(*ANALYTICS_EVENT_TYPES))
     return e.select(
@@ -157,7 +167,7 @@ def analytics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _build_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw hit table for S8-S11: every event with its product, country, size,
     category and traffic source (source from the event's ``props.k``)."""
     e = table(spark, sf_dir, "events")
@@ -192,3 +202,32 @@ RATES = (
 def rates(spark: SparkSession) -> DataFrame:
     """Currency table (rate_date, currency, per_eur): a small reference table."""
     return spark.createDataFrame(list(RATES), "rate_date date, currency string, per_eur double")
+
+
+# Public builders: shared per session (see ``_shared``).
+
+def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product feed: one row per variant, every field text (as XML gives it)."""
+    return _shared(spark, ("feed", sf_dir), lambda: _build_feed(spark, sf_dir))
+
+
+def popular(spark: SparkSession, sf_dir: str, run_date: _dt.date = DEFAULT_RUN_DATE,
+            top: int | None = None) -> DataFrame:
+    """Popularity ranking: Pop = 1-based rank by price desc, then part key."""
+    return _shared(spark, ("popular", sf_dir, run_date, top),
+                   lambda: _build_popular(spark, sf_dir, run_date, top))
+
+
+def ads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ad performance report: one row per click/view/error event."""
+    return _shared(spark, ("ads", sf_dir), lambda: _build_ads(spark, sf_dir))
+
+
+def analytics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Web analytics product report: one row per purchase/signup event."""
+    return _shared(spark, ("analytics", sf_dir), lambda: _build_analytics(spark, sf_dir))
+
+
+def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw hit table for S8-S11."""
+    return _shared(spark, ("hits", sf_dir), lambda: _build_hits(spark, sf_dir))
