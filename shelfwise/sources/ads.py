@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import datetime as _dt
 from collections.abc import Sequence
 
@@ -26,16 +27,35 @@ DAY_PATTERN = r"^\d{4}-\d{2}-\d{2}$"
 def parse_report(raw: DataFrame) -> DataFrame:
     """S3: keep data lines only (the title and header lines, possibly
     repeated per file, have no ISO day), rename, and type the values.
-    Bad numbers become NULL instead of failing or dropping the row."""
+    Bad numbers become NULL instead of failing or dropping the row.
+    Columns the report does not have are absent from the result."""
     rows = raw.filter(F.coalesce(F.col("Day").rlike(DAY_PATTERN), F.lit(False)))
     rows = rows.withColumnsRenamed({k: v for k, v in RENAMES.items() if k in raw.columns})
     return rows.withColumns({c: F.col(c).try_cast(t) for c, t in TYPES.items() if c in rows.columns})
 
 
-def read_ads(spark: SparkSession, path: str | Sequence[str], with_offer: bool = True) -> DataFrame:
-    """Read report files as text columns (no header handling by the reader:
-    each file starts with a title line, then the header)."""
-    cols = REPORT_COLUMNS if with_offer else RANGE_COLUMNS
+def report_header(spark: SparkSession, path: str | Sequence[str], probe_lines: int = 50) -> list[str] | None:
+    """The column names of a report, from its header line: the first of the
+    first ``probe_lines`` lines whose fields include 'Day' and
+    'Impressions'.  Only those few lines reach the driver."""
+    lines = spark.read.text(path if isinstance(path, str) else list(path)).limit(probe_lines).collect()
+    for row in lines:
+        fields = [f.strip() for f in next(csv.reader([row[0]]), [])]
+        if "Day" in fields and "Impressions" in fields:
+            return fields
+    return None
+
+
+def read_ads(spark: SparkSession, path: str | Sequence[str], with_offer: bool | None = None) -> DataFrame:
+    """Read report files as text columns named by the report's header line,
+    so column order and the report variant (with or without the offer id)
+    follow the file, as reading by header names would.  Files of one read
+    share a report definition.  ``with_offer`` forces a variant's fixed
+    column order instead."""
+    if with_offer is None:
+        cols = report_header(spark, path) or REPORT_COLUMNS
+    else:
+        cols = REPORT_COLUMNS if with_offer else RANGE_COLUMNS
     schema = StructType([StructField(c, StringType()) for c in cols])
     raw = spark.read.csv(path if isinstance(path, str) else list(path), schema=schema, header=False)
     return parse_report(raw)

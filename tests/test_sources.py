@@ -220,3 +220,14 @@ def test_ranking_columns_by_name(spark, tmp_path):
     df = read_ranking(spark, str(path), dt.date(2024, 1, 15))
     assert rows(df, "Pop", "GTIN", "Title", "PriceRangeStart", "Brand") == [
         (None, "0013", "C", 2.0, None), (7, "0012", "A, b", 1.5, None)]
+
+
+def test_ads_report_columns_follow_the_header(spark, tmp_path):
+    text = ("Shopping - Product Titles - 4 weeks\n"
+            "Clicks,Day,Account,Product type (1st level),Impressions,Cost,Total conv. value\n"
+            "3,2024-01-08,ACCOUNT US,g1 shoes,100,2500000,12.5\n")
+    (tmp_path / "range.csv").write_text(text)
+    df = ADS.read_ads(spark, str(tmp_path))
+    assert "OfferID" not in df.columns
+    assert rows(df, "Date", "GID", "Clicks", "Impressions", "Cost", "ConversionValue") == [
+        (dt.date(2024, 1, 8), "g1 shoes", 3, 100, 2500000, 12.5)]
