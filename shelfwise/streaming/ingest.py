@@ -14,19 +14,31 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ..sources.ads import RANGE_COLUMNS, REPORT_COLUMNS, parse_report
+from ..sources.ads import RANGE_COLUMNS, REPORT_COLUMNS, parse_report, report_header
 from ..sources.analytics import RESPONSE_SCHEMA, flatten_responses, rename_fields
 
 
-def ads_report_stream(spark: SparkSession, landing: str, with_offer: bool = True,
+def ads_report_stream(spark: SparkSession, landing: str, with_offer: bool | None = None,
                       max_files_per_trigger: int | None = None) -> DataFrame:
-    """New ad report files in ``landing`` as a typed stream (S3 parsing)."""
-    cols = REPORT_COLUMNS if with_offer else RANGE_COLUMNS
+    """New ad report files in ``landing`` as a typed stream (S3 parsing).
+
+    Columns are named from the header of a report already in the folder
+    (as the batch reader does); an empty folder falls back to the fixed
+    order of the variant (``with_offer``, default with the offer id)."""
+    cols = None
+    if with_offer is None:
+        try:
+            cols = report_header(spark, landing)
+        except AnalysisException:
+            cols = None
+    if cols is None:
+        cols = RANGE_COLUMNS if with_offer is False else REPORT_COLUMNS
     reader = spark.readStream.schema(StructType([StructField(c, StringType()) for c in cols]))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
