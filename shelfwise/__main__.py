@@ -20,7 +20,7 @@ from .functions.dates import reporting_week
 from .operators.filters import US_ACCOUNT
 from .operators.ordering import TOP_N
 from .plans.weekly import WeeklyInputs, run_weekly
-from .session import get_spark
+from .session import get_spark, scale_settings
 from .sources.ads import read_ads
 from .sources.analytics import ANALYTICS_RENAMES, flatten_responses, read_responses, rename_fields
 from .sources.feed import MARGIN_FIELD, read_feed
@@ -52,6 +52,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     ap.add_argument("--to-currency", default="USD")
     ap.add_argument("--multi-line", action="store_true")
     ap.add_argument("--replace", action="store_true", help="replace this week's partitions on a re-run")
+    ap.add_argument("--input-bytes", type=int, help="approximate input size: applies scale_settings()")
+    ap.add_argument("--cores", type=int, default=8, help="executor cores, with --input-bytes")
     return ap.parse_args(argv)
 
 
@@ -71,6 +73,9 @@ def load_inputs(spark, args: argparse.Namespace) -> WeeklyInputs:
 def main(argv: list[str] | None = None) -> dict[str, str]:
     args = parse_args(argv)
     spark = get_spark("shelfwise-weekly")
+    if args.input_bytes:
+        for key, value in scale_settings(args.input_bytes, args.cores).items():
+            spark.conf.set(key, value)
     paths = run_weekly(load_inputs(spark, args), args.run_date, args.out, replace=args.replace,
                        top=args.top, account=args.account, from_ccy=args.from_currency,
                        to_ccy=args.to_currency, snap=args.snap)
