@@ -102,9 +102,7 @@ def do_sell(feed: DataFrame, ads: DataFrame, analytics: DataFrame, popular: Data
     joined = lower_key_join(products, an_m.withColumnRenamed("itemRevenue", "itemRev"),
                             "GID", "productSku", also=["monthNum", "yearNum"])
     new_cost = convert(micros_to_units("Cost"), rates, from_ccy, to_ccy)
-    out = joined.withColumn("newCost", new_cost).select(
-        F.col("GID").alias("ID"), "Impressions", "Cost", "Clicks", "ConversionValue", "IMG", "BRAND",
-        "Pop", "itemRev", "buyToDetailRate", "productName", "country", "monthNum", "yearNum",
-        "newCost", roas("itemRev", "newCost").alias("newROAS"),
-        F.lit(week_label(run_date, snap)).alias("WeekNumber"))
-    return out
+    out = joined.withColumnsRenamed({"GID": "ID"}).withColumn("newCost", new_cost)
+    out = out.withColumns({"newROAS": roas("itemRev", "newCost"),
+                           "WeekNumber": F.lit(week_label(run_date, snap))})
+    return out.select(*DO_SELL_COLUMNS)
