@@ -10,8 +10,12 @@ if ROOT not in sys.path:
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
+
     from shelfwise.session import get_spark
-    s = get_spark("shelfwise-tests", master="local[4]", shuffle_partitions=4)
+    warehouse = tempfile.mkdtemp(prefix="shelfwise-warehouse-")
+    s = get_spark("shelfwise-tests", master="local[4]", shuffle_partitions=4,
+                  conf={"spark.sql.warehouse.dir": warehouse})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()

@@ -231,3 +231,11 @@ def test_ads_report_columns_follow_the_header(spark, tmp_path):
     assert "OfferID" not in df.columns
     assert rows(df, "Date", "GID", "Clicks", "Impressions", "Cost", "ConversionValue") == [
         (dt.date(2024, 1, 8), "g1 shoes", 3, 100, 2500000, 12.5)]
+
+
+def test_append_catalog_table(spark):
+    df = spark.createDataFrame([("3", "a", 1)], "WeekNumber string, ID string, v int")
+    SINK.append_catalog_table(df, "shelfwise_test_popular", partition_by=["WeekNumber"])
+    SINK.append_catalog_table(df, "shelfwise_test_popular", partition_by=["WeekNumber"])
+    assert spark.table("shelfwise_test_popular").count() == 2
+    spark.sql("DROP TABLE shelfwise_test_popular")
