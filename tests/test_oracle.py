@@ -26,7 +26,10 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(SQL)
+    """Only the training-data operators may lack SQL; their own tests hold
+    them against brute force."""
+    assert set(SQL) <= set(QUERIES)
+    assert all(name == "pipeline" or name.startswith("op") for name in set(QUERIES) - set(SQL))
 
 
 def test_entry_smoke(spark):
@@ -35,7 +38,7 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_oracle(spark, con, name):
     df = QUERIES[name](spark, SF_DIR)
     got_cols, got = df.columns, [tuple(r) for r in df.collect()]
