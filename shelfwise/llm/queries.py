@@ -9,12 +9,33 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .chat import conversations, digests, linear_threads
 from .common import table
 from .packing import pack
+from .quality import judge
+from .secrets import RULES, empty_findings, empty_ledger, scan_versions
 from .sharding import shard_documents
 from .token_counts import length_histogram, suffix_sums
 
 
+def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one of control strings, formatted and read back."""
+    said = F.lit("\\### Assistant: </turn> ok")
+    planted = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), said.alias("text"))
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(planted)
+    done = conversations(linear_threads(turns))
+    conv_id = F.when(~F.col("leaf_id").startswith("none:"), F.substring_index("leaf_id", ":", 1).cast("long"))
+    return (done.select(conv_id.alias("conv_id"), digests(F.col("formatted"), F.col("loss_starts"), F.col("loss_ends")).alias("_d"))
+            .select("conv_id", "_d.*"))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The adaptive quality verdict on every document."""
+    return judge(table(spark, sf_dir, "documents")).drop("lang", "source")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 2048 tokens."""
     pieces = pack(table(spark, sf_dir, "documents"))
@@ -22,6 +43,19 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "doc_tokens", "sequence_id", "offset")
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, scanned with an empty ledger."""
+    docs = table(spark, sf_dir, "documents")
+    versions = docs.select(F.col("doc_id").alias("path"), F.col("text").alias("content"))
+    paths, _, _ = scan_versions(versions, empty_ledger(spark), empty_findings(spark))
+    line = lambda spans: F.array_join(F.transform(
+        spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = F.filter("spans", lambda s: s["kind"].isin("assign", "access", "hex"))
+    return paths.select(F.col("path").alias("doc_id"), *[count(r.kind) for r in RULES],
+                        F.sha2(line(base), 256).alias("base_sha256"), line(F.col("spans")).alias("spans"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Length histogram of all documents with its suffix sums."""
     return suffix_sums(length_histogram(table(spark, sf_dir, "documents")))
@@ -36,7 +70,10 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat": op1_chat,
+    "op3_quality": op3_quality,
     "op4_packing": op4_packing,
+    "op5_secrets": op5_secrets,
     "op6_token_counts": op6_token_counts,
     "op9_sharding": op9_sharding,
 }
