@@ -51,3 +51,13 @@ def text_key(text: Column) -> list[Column]:
     seeded hashes).  Null has the key of null, which no text has."""
     return [F.when(text.isNotNull(), F.xxhash64(text)).otherwise(F.lit(0)).alias("k1"),
             F.when(text.isNotNull(), F.xxhash64(F.lit(1), text)).otherwise(F.lit(0)).alias("k2")]
+
+
+#: Rows of a side that may be broadcast, for rows of a few dozen bytes.
+BROADCAST_ROWS = 500_000
+
+
+def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
+    """Mark ``df`` (``rows`` narrow rows, as counted) for broadcast when it is
+    small enough; larger sides are joined by shuffle."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df

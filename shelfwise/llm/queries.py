@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .chat import conversations, digests, linear_threads
 from .common import table
+from .decontamination import contamination
 from .packing import pack
 from .quality import judge
 from .secrets import RULES, empty_findings, empty_ledger, scan_versions
@@ -69,6 +70,13 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages in every document."""
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
     "op3_quality": op3_quality,
@@ -76,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_secrets": op5_secrets,
     "op6_token_counts": op6_token_counts,
     "op9_sharding": op9_sharding,
+    "op10_decontamination": op10_decontamination,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
