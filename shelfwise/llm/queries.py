@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from .chat import conversations, digests, linear_threads
 from .common import table
 from .decontamination import contamination
+from .near_dups import near_duplicates
 from .packing import pack
 from .quality import judge
 from .secrets import RULES, empty_findings, empty_ledger, scan_versions
@@ -32,6 +33,11 @@ def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("conv_id", "_d.*"))
 
 
+def op2_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document."""
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The adaptive quality verdict on every document."""
     return judge(table(spark, sf_dir, "documents")).drop("lang", "source")
@@ -79,6 +85,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
+    "op2_near_dups": op2_near_dups,
     "op3_quality": op3_quality,
     "op4_packing": op4_packing,
     "op5_secrets": op5_secrets,
