@@ -13,11 +13,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import python_workers
+from .common import cut, python_workers
 from .encoding import VOCABULARY, encoder
 
 #: Distinct lengths that one task sums up at once.
-BLOCK = 4096
+BLOCK = 256
 
 
 def token_lengths(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
@@ -50,9 +50,11 @@ def suffix_sums(histogram: DataFrame) -> DataFrame:
     * ``truncated_tokens``: tokens kept when every document is cut at L.
 
     Sums run over blocks of lengths first and then within each block, so that
-    no task gets all lengths.  An empty table gives no rows."""
-    h = histogram.select("n_tokens", "n_docs", (F.col("n_tokens") * F.col("n_docs")).alias("tokens"),
-                         F.floor(F.col("n_tokens") / BLOCK).alias("block"))
+    no task gets all lengths.  The histogram is used twice, so it is written to
+    the checkpoint folder and the texts are encoded once.  An empty table gives
+    no rows."""
+    h = cut(histogram.select("n_tokens", "n_docs", (F.col("n_tokens") * F.col("n_docs")).alias("tokens"),
+                             F.floor(F.col("n_tokens") / BLOCK).alias("block")))
     later = Window.orderBy(F.col("block").desc()).rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     blocks = h.groupBy("block").agg(F.sum("n_docs").alias("d"), F.sum("tokens").alias("t"))
