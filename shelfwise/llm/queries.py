@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from .chat import conversations, digests, linear_threads
 from .common import table
 from .decontamination import contamination
+from .language_id import identify
+from .lm_scoring import labelled_good, score
 from .near_dups import near_duplicates
 from .packing import pack
 from .quality import judge
@@ -68,6 +70,21 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_sums(length_histogram(table(spark, sf_dir, "documents")))
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from three quarters of the ids."""
+    docs = table(spark, sf_dir, "documents")
+    remainder = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)), F.lit(2))
+    return (identify(docs, learn_from=remainder != 2)
+            .select("doc_id", (~F.col("learn")).alias("held_out"), "lang_pred", "score"))
+
+
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's cross-entropy difference between the documents labelled
+    good and all others."""
+    docs = labelled_good(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return score(docs, F.col("is_target"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in eight shards of nearly equal bytes."""
     shards = shard_documents(table(spark, sf_dir, "documents"))
@@ -90,6 +107,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_packing": op4_packing,
     "op5_secrets": op5_secrets,
     "op6_token_counts": op6_token_counts,
+    "op7_language": op7_language,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_sharding": op9_sharding,
     "op10_decontamination": op10_decontamination,
 }
