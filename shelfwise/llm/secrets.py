@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import broadcast_if_small, cut
 
 
 @dataclass(frozen=True)
@@ -169,3 +169,23 @@ def redact(text: Column, spans_column: Column, mask: str = "[SECRET]") -> Column
 
     return F.aggregate(merged(spans_column), zero, step, lambda done: F.concat(
         done["out"], F.substring(text, (done["at"] + 1).cast("int"), F.char_length(text))))
+
+
+def redact_versions(docs: DataFrame, length: str | None = None, rules: tuple[Rule, ...] = RULES,
+                    mask: str = "[SECRET]") -> DataFrame:
+    """``docs`` (text and any other columns) with every secret masked; ``length``
+    names a column that follows the masked text's length.  Texts without a
+    secret and null texts stay as they are, and no row goes."""
+    spark = docs.sparkSession
+    columns = docs.columns
+    content = docs.select(address(F.col("text")).alias("blob"), F.coalesce("text", F.lit("")).alias("content"))
+    new, _ = scan(content.groupBy("blob").agg(F.first("content").alias("content")), empty_ledger(spark), rules)
+    found = cut(new.groupBy("blob").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_spans")))
+    joined = (docs.select(F.struct(*columns).alias("_doc"), address(F.col("text")).alias("blob"))
+              .join(broadcast_if_small(found, found.count()), "blob", "left"))
+    clean = F.when(F.col("_spans").isNull(), F.col("_doc.text")).otherwise(redact(F.col("_doc.text"), F.col("_spans"), mask))
+    out = {"text": clean}
+    if length is not None:
+        out[length] = F.when(F.col("_spans").isNull(), F.col(f"_doc.{length}")).otherwise(
+            F.char_length(clean).cast(docs.schema[length].dataType))
+    return joined.select(*[out.get(c, F.col(f"_doc.`{c}`")).alias(c) for c in columns])
