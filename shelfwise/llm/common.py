@@ -51,6 +51,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns of ``df`` as one struct, apart from any name added later."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def text_key(text: Column) -> list[Column]:
     """A 128-bit key of a text as two longs ``k1`` and ``k2`` (two differently
     seeded hashes).  Null has the key of null, which no text has."""

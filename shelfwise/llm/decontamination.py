@@ -23,7 +23,7 @@ from string import ascii_lowercase, ascii_uppercase
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, cut, text_key
+from .common import broadcast_if_small, cut, text_key, whole_row
 
 #: Words that a shared span must have.
 SPAN = 10
@@ -174,6 +174,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` without a hit, with their own columns."""
     hits = cut(find_hits(docs, benchmark).select("k1", "k2"))
-    columns = docs.columns
-    keyed = docs.select(F.struct(*columns).alias("_doc"), *text_key(F.col("text")))
+    keyed = docs.select(whole_row(docs).alias("_doc"), *text_key(F.col("text")))
     return (keyed.join(broadcast_if_small(hits, hits.count()), ["k1", "k2"], "left_anti").select("_doc.*"))

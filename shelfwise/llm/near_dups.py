@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .alignment import within
-from .common import broadcast_if_small, cut, python_workers, text_key
+from .common import broadcast_if_small, cut, python_workers, text_key, whole_row
 from .components import components
 
 K = 5
@@ -203,7 +203,6 @@ def one_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     without a text stay.  Columns are those of ``docs``.
 
     Only texts that have copies or are not their class's first are joined."""
-    columns = docs.columns
     classes = _classes(docs, similarity)
     first = F.coalesce(F.col("doc_id") == F.col("class_id"), F.col("class_id").isNull())
     # a class id may stand for two texts only where doc_ids repeat: one text stays
@@ -212,7 +211,7 @@ def one_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     touched = cut(classes.join(kept, ["k1", "k2"], "left")
                   .filter((F.col("copies") > 1) | F.col("_stays").isNull())
                   .select("k1", "k2", F.col("doc_id").alias("_keep"), F.coalesce("_stays", F.lit(False)).alias("_stays")))
-    rows = (docs.select(F.struct(*columns).alias("_doc"), *text_key(F.col("text")))
+    rows = (docs.select(whole_row(docs).alias("_doc"), *text_key(F.col("text")))
             .join(broadcast_if_small(touched, touched.count()), ["k1", "k2"], "left"))
     alone = rows.filter(F.col("_stays").isNull()).select("_doc.*")
     copied = (rows.filter("_stays").filter(F.col("_doc.doc_id").eqNullSafe(F.col("_keep")))

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, python_workers
+from .common import cut, python_workers, whole_row
 
 #: Relative error of a sketch's quantiles.
 ACCURACY = 0.01
@@ -188,9 +188,8 @@ def keep_good(docs: DataFrame, min_docs: int = MIN_DOCS, reach: float = REACH) -
     """The rows of ``docs`` that pass, with their own columns.  The texts are
     read twice (once for the sketches, once to filter) and never shuffled."""
     python_workers(docs.sparkSession)
-    columns = docs.columns
     counted = docs.select("lang", "source", counts_of(F.col("text")).alias("c"))
     limits = cut(fences(sketches(counted), min_docs, reach))
-    whole = docs.select(F.struct(*columns).alias("_doc"), "lang", "source",
+    whole = docs.select(whole_row(docs).alias("_doc"), "lang", "source",
                         counts_of(F.col("text")).alias("c"))
     return with_verdict(whole, limits).filter("kept").select("_doc.*")

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, cut
+from .common import broadcast_if_small, cut, whole_row
 
 
 @dataclass(frozen=True)
@@ -181,7 +181,7 @@ def redact_versions(docs: DataFrame, length: str | None = None, rules: tuple[Rul
     content = docs.select(address(F.col("text")).alias("blob"), F.coalesce("text", F.lit("")).alias("content"))
     new, _ = scan(content.groupBy("blob").agg(F.first("content").alias("content")), empty_ledger(spark), rules)
     found = cut(new.groupBy("blob").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_spans")))
-    joined = (docs.select(F.struct(*columns).alias("_doc"), address(F.col("text")).alias("blob"))
+    joined = (docs.select(whole_row(docs).alias("_doc"), address(F.col("text")).alias("blob"))
               .join(broadcast_if_small(found, found.count()), "blob", "left"))
     clean = F.when(F.col("_spans").isNull(), F.col("_doc.text")).otherwise(redact(F.col("_doc.text"), F.col("_spans"), mask))
     out = {"text": clean}
