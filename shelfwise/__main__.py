@@ -3,6 +3,7 @@
     python -m shelfwise --feed feed.xml --ranking ranking.csv --ads ads/ \\
         --analytics analytics/ --analytics-sizes sizes/ --out warehouse/ \\
         [--run-date 2024-01-15] [--rates eurofxref-hist.csv --to-currency GBP] [--replace]
+        [--gtin-clean | --feed-drop 2 --rank-drop 4] [--bad-documents folder/]
 
 Each input may be a file or a folder (all files are one read).  The
 analytics inputs are saved report responses (JSON lines, or one JSON
@@ -50,21 +51,29 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     ap.add_argument("--rates")
     ap.add_argument("--from-currency", default="USD")
     ap.add_argument("--to-currency", default="USD")
+    ap.add_argument("--feed-drop", type=int, default=2, help="trailing characters that feed GTINs lose in the match")
+    ap.add_argument("--rank-drop", type=int, default=4, help="the same for ranking GTINs")
+    ap.add_argument("--gtin-clean", action="store_true",
+                    help="match GTINs as text without a decimal ending; short codes match nothing")
+    ap.add_argument("--bad-documents", help="folder for analytics documents that do not parse (default: stop)")
     ap.add_argument("--multi-line", action="store_true")
     ap.add_argument("--replace", action="store_true", help="replace this week's partitions on a re-run")
     ap.add_argument("--input-bytes", type=int, help="approximate input size: applies scale_settings()")
     ap.add_argument("--cores", type=int, default=8, help="executor cores, with --input-bytes")
-    return ap.parse_args(argv)
+    args = ap.parse_args(argv)
+    if args.from_currency != args.to_currency and not args.rates:
+        ap.error("--to-currency needs --rates")
+    return args
 
 
 def load_inputs(spark, args: argparse.Namespace) -> WeeklyInputs:
     feed = read_feed(spark, args.feed, "all", margin_field=args.margin_field)
-    ranking = read_ranking(spark, args.ranking, args.run_date, args.snap)
+    ranking = read_ranking(spark, args.ranking, args.run_date, args.snap, gtin_text=args.gtin_clean)
     ads = read_ads(spark, args.ads)
     renames = {**ANALYTICS_RENAMES, args.size_field: "size", args.category_field: "productType"}
-    analytics = rename_fields(flatten_responses(read_responses(spark, args.analytics, args.multi_line),
-                                                ANALYTICS_FIELDS), renames)
-    sizes = rename_fields(flatten_responses(read_responses(spark, args.analytics_sizes, args.multi_line),
+    responses = lambda path: read_responses(spark, path, args.multi_line, args.bad_documents)
+    analytics = rename_fields(flatten_responses(responses(args.analytics), ANALYTICS_FIELDS), renames)
+    sizes = rename_fields(flatten_responses(responses(args.analytics_sizes),
                                             [*ANALYTICS_FIELDS, args.size_field, args.category_field]), renames)
     rates = read_rates(spark, args.rates) if args.rates else None
     return WeeklyInputs(feed, ranking, ads, analytics, sizes, rates)
@@ -78,7 +87,8 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
             spark.conf.set(key, value)
     paths = run_weekly(load_inputs(spark, args), args.run_date, args.out, replace=args.replace,
                        top=args.top, account=args.account, from_ccy=args.from_currency,
-                       to_ccy=args.to_currency, snap=args.snap)
+                       to_ccy=args.to_currency, snap=args.snap, feed_drop=args.feed_drop,
+                       rank_drop=args.rank_drop, clean=args.gtin_clean)
     week = reporting_week(args.run_date, args.snap)
     print(json.dumps({"run_date": str(args.run_date), "week": [str(week[0]), str(week[-1])], "tables": paths}))
     return paths

@@ -11,22 +11,22 @@ def latest_rates(rates: DataFrame) -> DataFrame:
     return rates.groupBy("currency").agg(F.max_by("per_eur", "rate_date").alias("per_eur"))
 
 
-def conversion_factor(rates: DataFrame, from_ccy: str, to_ccy: str) -> Column:
-    """rate(to) / rate(from) as a scalar subquery: Spark evaluates it once
-    and inlines the value, so the data side needs no join or shuffle."""
-    latest = latest_rates(rates.filter(F.col("currency").isin(from_ccy, to_ccy)))
-    one_row = latest.agg(
-        (F.max(F.when(F.col("currency") == to_ccy, F.col("per_eur")))
-         / F.max(F.when(F.col("currency") == from_ccy, F.col("per_eur")))).alias("f"))
-    return one_row.scalar()
-
-
 def convert(amount: Column, rates: DataFrame | None, from_ccy: str = "USD",
             to_ccy: str = "USD") -> Column:
-    """amount / rate(from) * rate(to); identity when the currencies agree."""
-    if from_ccy == to_ccy or rates is None:
+    """amount / rate(from) * rate(to); identity when the currencies agree.
+
+    The two rates are scalar subqueries: Spark evaluates each once and inlines
+    the value, so the data side needs no join or shuffle.  Differing currencies
+    without a rates table are an error here; a currency that the table does not
+    have is an error when the query runs."""
+    if from_ccy == to_ccy:
         return amount.cast("double")
+    if rates is None:
+        raise ValueError(f"converting {from_ccy} to {to_ccy} needs a rates table")
     latest = latest_rates(rates.filter(F.col("currency").isin(from_ccy, to_ccy)))
-    r_from = latest.filter(F.col("currency") == from_ccy).select("per_eur").scalar()
-    r_to = latest.filter(F.col("currency") == to_ccy).select("per_eur").scalar()
-    return amount.cast("double") / r_from * r_to
+
+    def rate(ccy: str) -> Column:
+        known = latest.filter(F.col("currency") == ccy).select("per_eur").scalar()
+        return F.coalesce(known, F.raise_error(F.lit(f"no rate for currency {ccy}")).cast("double"))
+
+    return amount.cast("double") / rate(from_ccy) * rate(to_ccy)

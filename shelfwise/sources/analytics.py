@@ -31,6 +31,7 @@ ANALYTICS_RENAMES = {
 }
 PRODUCT_DIMENSIONS = ("date", "productName", "productSku", "country")
 SIZE_DIMENSIONS = PRODUCT_DIMENSIONS + ("size", "productType")
+SEGMENT = "segment"
 CPC = "google / cpc"
 
 RESPONSE_SCHEMA = StructType([StructField("reports", ArrayType(StructType([
@@ -50,13 +51,42 @@ RESPONSE_SCHEMA = StructType([StructField("reports", ArrayType(StructType([
 ])))])
 
 
-def read_responses(spark: SparkSession, path: str | Sequence[str], multi_line: bool = False) -> DataFrame:
-    """S6 input: saved report responses, one JSON document per line (or one
-    per file with ``multi_line``).  Many files / days are one read (U1)."""
-    reader = spark.read.schema(RESPONSE_SCHEMA)
-    if multi_line:
-        reader = reader.option("multiLine", "true")
-    return reader.json(path if isinstance(path, str) else list(path))
+def read_documents(spark: SparkSession, path: str | Sequence[str], multi_line: bool = False) -> DataFrame:
+    """Saved report responses as text: column ``value``, one JSON document per
+    line (or one per file with ``multi_line``); blank lines are no documents."""
+    lines = spark.read.text(path if isinstance(path, str) else list(path), wholetext=multi_line)
+    return lines.filter(F.trim("value") != "")
+
+
+def _parsed(documents: DataFrame) -> DataFrame:
+    """``value`` and ``reports``; a document that does not parse, or has no
+    list of reports, has null ``reports``."""
+    schema = StructType([*RESPONSE_SCHEMA.fields, StructField("_corrupt_record", StringType())])
+    parsed = documents.select("value", F.from_json("value", schema, {"columnNameOfCorruptRecord": "_corrupt_record"}).alias("_d"))
+    return parsed.select("value", F.when(F.col("_d._corrupt_record").isNull(), F.col("_d.reports")).alias("reports"))
+
+
+def read_lines(documents: DataFrame) -> DataFrame:
+    """S6 input from document texts (column ``value``).  A bad document stops
+    the read with an error that shows its beginning."""
+    shown = F.concat(F.lit("bad analytics document: "), F.left("value", F.lit(200)))
+    return _parsed(documents.filter(F.trim("value") != "")).select(
+        F.when(F.col("reports").isNull(), F.raise_error(shown)).otherwise(F.col("reports")).alias("reports"))
+
+
+def read_responses(spark: SparkSession, path: str | Sequence[str], multi_line: bool = False,
+                   divert_to: str | None = None) -> DataFrame:
+    """S6 input: saved report responses.  Many files / days are one read.
+
+    A document that does not parse or has no reports stops the read.  With
+    ``divert_to`` such documents are appended as text to that folder instead,
+    and the others are returned."""
+    documents = read_documents(spark, path, multi_line)
+    if divert_to is None:
+        return read_lines(documents)
+    parsed = _parsed(documents)
+    parsed.filter(F.col("reports").isNull()).select("value").write.mode("append").text(divert_to)
+    return parsed.filter(F.col("reports").isNotNull()).select("reports")
 
 
 def flatten_responses(responses: DataFrame, fields: Sequence[str]) -> DataFrame:
@@ -125,9 +155,33 @@ def size_report(hits: DataFrame) -> DataFrame:
     return product_report(hits, SIZE_DIMENSIONS)
 
 
+def segment_report(hits: DataFrame, dims: Sequence[str] = PRODUCT_DIMENSIONS, column: str = "country",
+                   value: str = "United States") -> DataFrame:
+    """S8 / S9 with S10: the report of a user segment, with its name in the
+    ``segment`` dimension.
+
+    Hits are summed per user and dimensions before the users are matched, so
+    the shuffle on the user carries one row per user and report row and not
+    every hit; a report row's distinct buyers are the users with a purchase."""
+    per_user = hits.groupBy("user_id", *dims, F.coalesce(F.col(column) == value, F.lit(False)).alias("_match")).agg(
+        F.sum(F.when(_is("purchase"), F.col("cents")).otherwise(0)).alias("itemRevenue"),
+        F.sum(F.when(_is("purchase"), F.col("quantity")).otherwise(0)).alias("itemQuantity"),
+        F.max(F.when(_is("purchase"), 1).otherwise(0)).alias("_bought"),
+        F.sum(F.when(_is("click"), 1).otherwise(0)).cast("bigint").alias("quantityAddedToCart"),
+        F.sum(F.when(_is("view"), 1).otherwise(0)).cast("bigint").alias("_views"))
+    inside = per_user.join(per_user.filter("_match").select("user_id").distinct(), "user_id", "left_semi")
+    buyers = F.count_distinct(F.when(F.col("_bought") == 1, F.col("user_id"))).alias("uniquePurchases")
+    report = inside.groupBy(*dims).agg(
+        F.sum("itemRevenue").alias("itemRevenue"), F.sum("itemQuantity").alias("itemQuantity"), buyers,
+        F.sum("quantityAddedToCart").alias("quantityAddedToCart"), F.sum("_views").alias("_views"))
+    rate = F.try_divide(F.col("uniquePurchases").cast("double"), F.col("_views").cast("double")) * 100
+    return (report.withColumns({"buyToDetailRate": rate, SEGMENT: F.lit(value)}).drop("_views"))
+
+
 def user_segment(hits: DataFrame, column: str = "country", value: str = "United States") -> DataFrame:
-    """A user-scoped segment -- every hit of each user who has at least
-    one hit matching ``column == value`` (not only the matching hits)."""
+    """S10 as hits: a user-scoped segment -- every hit of each user who has at
+    least one hit matching ``column == value`` (not only the matching hits).
+    For a report over the segment, ``segment_report`` shuffles less."""
     users = hits.filter(F.col(column) == value).select("user_id").distinct()
     return hits.join(users, "user_id", "left_semi")
 

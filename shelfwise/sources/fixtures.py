@@ -4,8 +4,7 @@ report CSV, ranking CSV, analytics JSON responses).
 They exist for round-trip checks: a table Spark derives from the test data
 is written in the source format and read back by the readers, so the
 readers are exercised on data that grows with the tables.  Rendering is
-Spark expressions per row (``concat``, ``to_csv``, ``to_json``); only the
-per-file framing lines are added by a streaming per-partition step.
+Spark's own writers and expressions per row.
 """
 
 from __future__ import annotations
@@ -31,50 +30,29 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{base}/shelfwise-io/{label}-{uuid.uuid4().hex}"
 
 
-def _framed_text(lines: DataFrame, path: str, head: Sequence[str], tail: Sequence[str]) -> None:
-    """Write one text line per row; every part file starts with ``head`` and
-    ends with ``tail`` (streamed per partition, nothing gathered)."""
-    head, tail = list(head), list(tail)
-
-    def frame(rows):
-        yield from head
-        for r in rows:
-            yield r[0]
-        yield from tail
-
-    lines.rdd.mapPartitions(frame).saveAsTextFile(path)
-
-
-def _xml_escape(c: Column) -> Column:
-    for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
-        c = F.replace(c, F.lit(a), F.lit(b))
-    return c
-
-
 def write_feed_xml(feed: DataFrame, path: str, margin_field: str = MARGIN_FIELD) -> None:
     """Feed rows (GID, ID, GTIN, IMG, BRAND, Margin, Size) as RSS items."""
     columns = {**{v: k for k, v in FEED_FIELDS.items()}, "Margin": margin_field}
-    parts = []
-    for col, element in columns.items():
-        if col in feed.columns:
-            parts.append(F.when(F.col(col).isNotNull(), F.concat(
-                F.lit(f"<{element}>"), _xml_escape(F.col(col)), F.lit(f"</{element}>"))).otherwise(""))
-    item = F.concat(F.lit("<item>"), *parts, F.lit("</item>"))
-    _framed_text(feed.select(item), path,
-                 [f'<?xml version="1.0"?>', f'<rss xmlns:g="{FEED_NAMESPACE}" version="2.0">',
-                  "<channel>"],
-                 ["</channel>", "</rss>"])
+    items = feed.select(*[F.col(c).alias(element) for c, element in columns.items() if c in feed.columns])
+    (items.write.mode("overwrite").format("xml").option("rowTag", "item")
+     .option("rootTag", f'channel xmlns:g="{FEED_NAMESPACE}"')
+     .option("validateName", "false").save(path))                # names carry the namespace prefix
 
 
 def write_ads_report(ads: DataFrame, path: str, with_offer: bool = True,
-                     title: str = "Shopping - Product Titles - 7 days") -> None:
-    """Ad rows as report CSV files: a title line, the header, then rows."""
-    header = REPORT_COLUMNS if with_offer else RANGE_COLUMNS
+                     title: str = "Shopping - Product Titles - 7 days",
+                     header: Sequence[str] | None = None) -> None:
+    """Ad rows as report CSV files: a title line, the header, then rows.  The
+    first row of each part file carries the two lines in front of it.
+    ``header`` sets another column order."""
+    header = list(header or (REPORT_COLUMNS if with_offer else RANGE_COLUMNS))
     source = {"Day": "Date", "Item Id": "OfferID", "Product type (1st level)": "GID",
               "Impressions": "Impressions", "Clicks": "Clicks", "Cost": "Cost",
               "Account": "Account", "Total conv. value": "ConversionValue"}
     row = F.to_csv(F.struct(*[F.col(source[h]).cast("string").alias(h) for h in header]))
-    _framed_text(ads.select(row), path, [title, ",".join(header)], [])
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    lines = ads.select(F.when(first, F.concat(F.lit(f"{title}\n{','.join(header)}\n"), row)).otherwise(row))
+    lines.write.mode("append").text(path)
 
 
 def write_ranking_csv(raw: DataFrame, path: str) -> None:

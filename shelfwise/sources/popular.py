@@ -52,6 +52,24 @@ def cast_ranking(raw: DataFrame) -> DataFrame:
                             "GTIN": F.col("GTIN").cast("string")})
 
 
+def reported_gtin(raw: DataFrame, file: str) -> DataFrame:
+    """GTIN in the form that a reader inferring column types per file gives.
+
+    In a file whose codes are all whole numbers they lose leading zeros, and if
+    one is missing all get the ending '.0' of a decimal column.  In other files
+    the text stays.  A missing code is 'nan'.  ``file`` names the column that
+    holds each row's file; one row per file is joined back."""
+    whole = F.trim("GTIN").rlike(r"^[+-]?[0-9]{1,18}$")
+    per_file = raw.groupBy(F.col(file).alias("_file")).agg(
+        F.max(F.col("GTIN").isNull()).alias("_missing"),
+        F.min(F.coalesce(whole, F.lit(True))).alias("_whole"))
+    joined = raw.join(per_file, F.col(file) == F.col("_file"))
+    number = F.trim("GTIN").try_cast("bigint").cast("string")
+    form = (F.when(F.col("GTIN").isNull(), F.lit("nan")).when(~F.col("_whole"), F.col("GTIN"))
+            .when(F.col("_missing"), F.concat(number, F.lit(".0"))).otherwise(number))
+    return joined.withColumn("GTIN", form).drop("_file", "_missing", "_whole")
+
+
 def normalize_ranking(raw: DataFrame, run_date: _dt.date, snap: bool = False) -> DataFrame:
     """S2 + P8 + P9 + P10: casts, drop the category and currency columns,
     stamp the report week and rename to the pipeline names.  No sort here:
@@ -61,14 +79,15 @@ def normalize_ranking(raw: DataFrame, run_date: _dt.date, snap: bool = False) ->
 
 
 def read_ranking(spark: SparkSession, path: str | Sequence[str], run_date: _dt.date,
-                 snap: bool = False) -> DataFrame:
+                 snap: bool = False, gtin_text: bool = False) -> DataFrame:
     """Read the ranking CSV by its header names (column order and extra
     columns do not matter), typing each known column; a value that does not
-    parse is NULL rather than an error."""
+    parse is NULL rather than an error.  GTINs take the per-file form of
+    ``reported_gtin``, or stay the file's own text with ``gtin_text``."""
     raw = spark.read.option("header", "true").option("inferSchema", "false").csv(
         path if isinstance(path, str) else list(path))
     present = set(raw.columns)
-    typed = raw.select(*[
+    typed = raw.select(F.col("_metadata.file_path").alias("_path"), *[
         (F.col(f"`{name}`").try_cast(dtype) if name in present else F.lit(None).cast(dtype)).alias(name)
         for name, dtype in RANKING_HEADER])
-    return normalize_ranking(typed, run_date, snap)
+    return normalize_ranking(typed if gtin_text else reported_gtin(typed, "_path"), run_date, snap)

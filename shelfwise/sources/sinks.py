@@ -12,9 +12,11 @@ def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     """Append a report to its table folder.
 
     A plain append duplicates rows when a week is re-run; with
-    ``replace_partitions`` the written partitions (e.g. yearNum/WeekNumber)
-    are replaced instead (dynamic partition overwrite) and every other
-    partition is kept.  The write is a job of its own: files are committed
+    ``replace_partitions`` the written partitions (e.g. report_monday) are
+    replaced instead (dynamic partition overwrite) and every other partition
+    is kept.  Spark infers a partition column's type from its folder names
+    when the table is read, so partition by dates and keep text labels as data
+    columns.  The write is a job of its own: files are committed
     by Spark's output committer, so a lost executor only retries tasks."""
     writer = df.write.format(fmt)
     if partition_by:

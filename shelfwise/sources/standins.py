@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import week_label
@@ -90,34 +90,27 @@ def _popular_columns(run_date: _dt.date) -> list:
     ]
 
 
-
-
 def _rank_order() -> list:
     return [F.col("p_retailprice").desc(), F.col("p_partkey").asc()]
+
+
 _PART_COLS = ["p_partkey", "p_name", "p_brand", "p_size", "p_retailprice"]
 
 
-def _build_popular(spark: SparkSession, sf_dir: str, run_date: _dt.date = DEFAULT_RUN_DATE,
-            top: int | None = None) -> DataFrame:
+def _build_popular(spark: SparkSession, sf_dir: str, run_date: _dt.date = DEFAULT_RUN_DATE) -> DataFrame:
     """Popularity ranking: Pop = 1-based rank by price desc, then part key.
 
-    With ``top`` the ranking is cut first (distributed top-k, then ranks over
-    at most ``top`` rows).  Without it every part gets its rank from a
-    distributed range sort (see ``global_row_number``), never one task.
+    Every part gets its rank from its number among equal whole prices and the
+    count of those before it (see ``global_row_number``), never one task.
     """
     p = table(spark, sf_dir, "part").select(*_PART_COLS)
-    if top is not None:
-        head = p.orderBy(*_rank_order()).limit(top)
-        ranked = head.withColumn("Pop", F.row_number().over(Window.orderBy(*_rank_order())))
-    else:
-        ranked = global_row_number(p, _rank_order(), "Pop")
+    ranked = global_row_number(p, _rank_order(), -F.floor("p_retailprice"), "Pop")
     return ranked.select(*_popular_columns(run_date)).withColumn("Pop", F.col("Pop").cast("int"))
 
 
-def ranking_report(spark: SparkSession, sf_dir: str, run_date: _dt.date = DEFAULT_RUN_DATE,
-                   top: int | None = None) -> DataFrame:
+def ranking_report(spark: SparkSession, sf_dir: str, run_date: _dt.date = DEFAULT_RUN_DATE) -> DataFrame:
     """The ranking as the report file names its columns (before S2)."""
-    p = popular(spark, sf_dir, run_date, top)
+    p = popular(spark, sf_dir, run_date)
     shoes = "Apparel & Accessories > Shoes"
     return p.select(
         F.col("Pop").alias("Popularity rank"),
@@ -211,11 +204,9 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shared(spark, ("feed", sf_dir), lambda: _build_feed(spark, sf_dir))
 
 
-def popular(spark: SparkSession, sf_dir: str, run_date: _dt.date = DEFAULT_RUN_DATE,
-            top: int | None = None) -> DataFrame:
+def popular(spark: SparkSession, sf_dir: str, run_date: _dt.date = DEFAULT_RUN_DATE) -> DataFrame:
     """Popularity ranking: Pop = 1-based rank by price desc, then part key."""
-    return _shared(spark, ("popular", sf_dir, run_date, top),
-                   lambda: _build_popular(spark, sf_dir, run_date, top))
+    return _shared(spark, ("popular", sf_dir, run_date), lambda: _build_popular(spark, sf_dir, run_date))
 
 
 def ads(spark: SparkSession, sf_dir: str) -> DataFrame:
