@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ColumnOrName = Column | str
@@ -56,6 +56,12 @@ def compact_to_date(s: ColumnOrName) -> Column:
     return F.try_to_date(_col(s), "yyyyMMdd")
 
 
+def report_days(report: DataFrame, days: list[_dt.date], column: str = "date") -> DataFrame:
+    """Rows of the given days.  The report's own text is compared with the
+    days' text, so the test reaches the scan."""
+    return report.filter(F.col(column).isin(*[day.strftime("%Y%m%d") for day in days]))
+
+
 def is_integer_text(s: ColumnOrName) -> Column:
     """Keep rows whose date is an integer (drops repeated header lines).
 
@@ -94,14 +100,10 @@ def reporting_week(run_date: _dt.date, snap: bool = False) -> list[_dt.date]:
 
 
 def four_week_calendar(run_date: _dt.date, snap: bool = False) -> list[_dt.date]:
-    """28 report days (four reporting weeks back), sorted ascending."""
-    if snap:
-        run_date = monday_of(run_date)
-    days: list[_dt.date] = []
-    for i in range(4):
-        days.append(_on_or_before(run_date, 0, 2 + i))
-        days += [_on_or_before(run_date, wd, 1 + i) for wd in range(1, 7)]
-    return sorted(days)
+    """the report days of the run date and of the same day one, two and
+    three weeks before, ascending (28 days)."""
+    back = [run_date - _dt.timedelta(weeks=n) for n in range(4)]
+    return sorted(day for run in back for day in reporting_week(run, snap))
 
 
 def week_range_label(days: list[_dt.date]) -> str:

@@ -10,39 +10,27 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import gtin_key
 
-# Broadcast a side only when its row count is known to be at most this.
-BROADCAST_ROW_LIMIT = 1_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int | None) -> DataFrame:
-    """Hint a broadcast only for a side with a proven row bound; otherwise
-    leave the choice to AQE, which broadcasts by measured runtime size."""
-    if max_rows is not None and max_rows <= BROADCAST_ROW_LIMIT:
-        return F.broadcast(df)
-    return df
-
 
 def feed_ads_join(feed: DataFrame, ads_totals: DataFrame) -> DataFrame:
     """Feed variants x ad totals on GID (fans metrics out to variants)."""
     return feed.join(ads_totals, "GID")
 
 
-def gtin_prefix_join(left: DataFrame, ranking: DataFrame, ranking_rows: int | None,
+def gtin_prefix_join(left: DataFrame, ranking: DataFrame,
                      feed_drop: int = 2, rank_drop: int = 4, clean: bool = False) -> DataFrame:
     """Partial GTIN match.  The feed GTIN loses ``feed_drop`` trailing
     characters, the ranking GTIN ``rank_drop``; rows with equal prefixes
-    join.  The ranking side is a top-N cut, so it is broadcast when N is
-    bounded and the feed side is never shuffled."""
+    join.  The ranking side is a top-N cut; adaptive execution broadcasts it
+    when its measured size allows."""
     l = left.withColumn("_gtin_key", gtin_key("GTIN", feed_drop, clean))
     r = ranking.withColumn("_gtin_key", gtin_key("GTIN", rank_drop if not clean else feed_drop, clean))
     r = r.drop("GTIN")
     if clean:
         l = l.filter(F.col("_gtin_key").isNotNull())
-    return l.join(bounded_broadcast(r, ranking_rows), "_gtin_key").drop("_gtin_key")
+    return l.join(r, "_gtin_key").drop("_gtin_key")
 
 
-def gtin_pairs(feed: DataFrame, ranking: DataFrame, ranking_rows: int | None,
-               feed_drop: int = 2, rank_drop: int = 4, clean: bool = False) -> DataFrame:
+def gtin_pairs(feed: DataFrame, ranking: DataFrame, feed_drop: int = 2, rank_drop: int = 4, clean: bool = False) -> DataFrame:
     """J2 + A3 when only the matched (Pop, GID) pairs are needed.
 
     The feed side is reduced to distinct (GID, key) before the join, so the
@@ -55,7 +43,7 @@ def gtin_pairs(feed: DataFrame, ranking: DataFrame, ranking_rows: int | None,
     if clean:
         keys = keys.filter(F.col("_gtin_key").isNotNull())
     r = ranking.select("Pop", gtin_key("GTIN", rank_drop if not clean else feed_drop, clean).alias("_gtin_key"))
-    return keys.join(bounded_broadcast(r, ranking_rows), "_gtin_key").select("Pop", "GID").distinct()
+    return keys.join(r, "_gtin_key").select("Pop", "GID").distinct()
 
 
 def match_rows(linking: DataFrame, pairs: DataFrame) -> DataFrame:

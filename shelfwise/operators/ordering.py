@@ -8,8 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
-
 # Fixed value: ranking rows the reports use.
 TOP_N = 2000
 
@@ -45,36 +43,28 @@ def output_order(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.orderBy(*cols)
 
 
-def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "Pop",
-                      partitions: int | None = None) -> DataFrame:
+def global_row_number(df: DataFrame, order: Sequence[Column], coarse: Column, name: str = "Pop") -> DataFrame:
     """1-based position of every row in ``order`` (which must be a total
-    order), computed without a single-partition window:
-
-    * range-partition on the order and sort inside each partition;
-    * a row's index inside its partition comes from
-      ``monotonically_increasing_id`` (partition id in the high bits, row
-      index in the low 33 bits, assigned in the sorted order);
-    * the partition's offset is the running sum of the per-partition counts
-      -- one row per partition, so that table is broadcast.
-
-    The range partitioner samples its bounds per evaluation, so the rows and
-    the counts must come from one materialisation: the sorted rows are
-    checkpointed (reliably, to the session's shared checkpoint folder) and
-    both branches read that.  Everything stays JVM-side."""
-    ensure_checkpoint_dir(df.sparkSession)
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-              .withColumn("_mid", F.monotonically_increasing_id())).checkpoint(eager=True)
-    ranged = ranged.withColumn("_pid", F.shiftright("_mid", 33))
-    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
-    local = F.col("_mid") - F.shiftleft(F.col("_pid"), 33)
-    return (ranged.join(F.broadcast(offsets), "_pid")
-            .withColumn(name, F.col("_off") + local + 1)
-            .drop("_mid", "_pid", "_off"))
-
-
-def union_pulls(frames: Sequence[DataFrame]) -> DataFrame:
-    """Concatenate daily pulls (UNION ALL by column name)."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    order), without a single-partition window over the rows.
+
+    ``coarse`` is a number that never falls along ``order`` (for a price in
+    falling order, minus its whole part).  Rows are numbered within each value
+    of it, and the running count of the values before gives the offset; only
+    that table, one row per value, is summed in one task.  The plan is lazy,
+    depends on the data alone, and keeps nothing on disk."""
+    rows = df.withColumn("_coarse", coarse)
+    counts = rows.groupBy("_coarse").agg(F.count(F.lit(1)).alias("_c"))
+    before = Window.orderBy(F.col("_coarse").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(F.col("_coarse").alias("_at"), F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
+    within = Window.partitionBy("_coarse").orderBy(*order)
+    return (rows.join(offsets, F.col("_coarse").eqNullSafe(F.col("_at")))
+            .withColumn(name, F.col("_off") + F.row_number().over(within))
+            .drop("_coarse", "_at", "_off"))
+
+
+def union_pulls(frames: Sequence[DataFrame], allow_missing: bool = False) -> DataFrame:
+    """Concatenate daily pulls held as separate frames (UNION ALL by
+    column name).  Pulls that lie in one table or folder are one read instead
+    (``functions.dates.report_days``).  A column that a pull lacks is an error
+    unless ``allow_missing`` fills it with NULL."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=allow_missing), frames)

@@ -7,7 +7,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.dates import (compact_to_date, four_week_calendar, is_integer_text, week_number,
+from ..functions.dates import (compact_to_date, four_week_calendar, is_integer_text, report_days, week_number,
                                week_range_label, year_str)
 from ..functions.numbers import as_number, micros_to_units, roas
 from ..functions.text import before_first_space
@@ -47,9 +47,10 @@ def weekly_analytics(analytics: DataFrame, days: list[_dt.date] | None,
     """The 28 daily pulls (S-side day selection), lower-cased names, P6,
     F2, F3, P3 -> A8: revenue and BTDR per (country, SKU, name, week, year)."""
     types = dict((f.name, f.dataType) for f in analytics.schema.fields)
-    an = analytics.filter(is_integer_text("date")).withColumn("_d", compact_to_date("date"))
+    an = analytics.filter(is_integer_text("date"))
     if days is not None:
-        an = an.filter(F.col("_d").isin(*days))
+        an = report_days(an, days)
+    an = an.withColumn("_d", compact_to_date("date"))
     an = country_filter(an, country).select(
         "country", "productSku", F.lower("productName").alias("productName"),
         week_number("_d").alias("weekNum"), year_str("_d").alias("yearNum"),

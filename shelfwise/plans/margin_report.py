@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from ..functions.dates import compact_to_date, is_integer_text
 from ..functions.numbers import as_number, micros_to_units, ratio
@@ -80,10 +81,15 @@ def margins(feed: DataFrame, ads: DataFrame, analytics: DataFrame, rates: DataFr
 
     fd_k = margin_feed(feed).groupBy("GID", "Margin").agg(F.count(F.lit(1)).alias("n_variants"))
     joined = matched.join(fd_k, "GID")
+    # Integer sums are exact; weighted by row and variant counts they may pass
+    # 64 bits, so the weights are applied in 38-digit decimals.
+    wide = {c: F.col(c).cast("decimal(38,0)") if isinstance(joined.schema[c].dataType, IntegralType) else F.col(c)
+            for c in ("rev", "qty", "Cost")}
+    weight = F.col("n_variants").cast("decimal(20,0)")
     per_margin = joined.groupBy("Margin", "date").agg(
-        F.sum(F.col("rev") * F.col("n_variants")).alias("rev"),
-        F.sum(F.col("Cost") * F.col("n_rows") * F.col("n_variants")).alias("cost_micros"),
-        F.sum(F.col("qty") * F.col("n_variants")).alias("salesVolume"),
+        F.sum(wide["rev"] * weight).alias("rev"),
+        F.sum(wide["Cost"] * F.col("n_rows").cast("decimal(20,0)") * weight).alias("cost_micros"),
+        F.sum(wide["qty"] * weight).cast("bigint").alias("salesVolume"),
     )
     new_cost = convert(micros_to_units("cost_micros"), rates, from_ccy, to_ccy)
     return per_margin.select("date", "Margin", ratio("rev", new_cost).alias("ROAS"), "salesVolume")

@@ -66,7 +66,7 @@ def matched_products(feed: DataFrame, ads_m: DataFrame, popular: DataFrame, n: i
     joins are on GID we reduce each input to its per-GID distinct content
     before the joins and get the same rows:
 
-    * (Pop, GID) pairs from the feed's GTINs x the broadcast top-N ranking
+    * (Pop, GID) pairs from the feed's GTINs x the top-N ranking
       (the J2 match; GIDs without ads drop out in the final join);
     * per (GID, month, year) the sum of the *distinct* metric tuples (A4
       groups on the metric values, so equal tuples of two accounts count
@@ -77,7 +77,7 @@ def matched_products(feed: DataFrame, ads_m: DataFrame, popular: DataFrame, n: i
     """
     fd = feed.select(F.lower("GID").alias("GID"), "GTIN", "IMG", "BRAND")
     ranking = top_n(popular, n).select("Pop", "GTIN")
-    pairs = gtin_pairs(fd, ranking, n, feed_drop, rank_drop, clean)
+    pairs = gtin_pairs(fd, ranking, feed_drop, rank_drop, clean)
     if one_account:
         ads_sum = ads_m.drop("Account")
     else:

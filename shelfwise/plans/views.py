@@ -37,11 +37,10 @@ def do_sell_by_period(do_sell: DataFrame, period: str, period_alias: str,
     period, brand, name and country of an ID -- never raw rows), so the table
     is read once; a second branch over the same aggregate would be pruned
     differently and recompute everything upstream."""
-    # do_sell rows are report rows (per product, image, rank, name, country
-    # and period -- not raw events): clustering them by ID once serves both
-    # the roll-up grouping (ID is one of its keys) and the per-ID window.
-    rolled = view_rollup(do_sell.repartition("ID"), period, period_alias, round_clicks,
-                         with_pop_count=True)
+    # The roll-up combines map-side before its exchange, so an ID that holds a
+    # large share of the history is a few partial rows per task; the per-ID
+    # window then moves only rolled-up rows.
+    rolled = view_rollup(do_sell, period, period_alias, round_clicks, with_pop_count=True)
     per_id = F.sum("_pop_rows").over(Window.partitionBy("ID"))
     out = rolled.withColumn("_n", per_id).filter(F.col("_n") > 0)
     return out.select(*VIEW_COLUMNS, period_alias, "YearNum")

@@ -3,23 +3,29 @@
 Inputs are DataFrames from the sources (they may hold more days than a run
 needs); each report gets the day selection it uses -- last calendar week of
 ads, the seven report days of analytics, the four-week calendar for the
-decline report -- and is appended to ``<out>/<table>`` partitioned by its
-week.  With ``replace=True`` a re-run of the same week replaces that week's
-partitions instead of appending them twice.  No action runs before the
-writes, and every source DataFrame is shared by the reports that read it.
+decline report -- and is appended to ``<out>/<table>``.  Every table is
+partitioned by ``report_monday``, the Monday of the reported week, so with
+``replace=True`` a re-run replaces that week of that year and nothing else;
+the text labels (WeekNumber, yearNum, ...) stay data columns and keep their
+type.
+
+``run_weekly`` first lands each source once, as parquet partitioned by day
+under the output folder, and every report reads the landed days it needs: the
+raw files are parsed once however many reports use them.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass
+from dataclasses import dataclass, replace as with_changes
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from ..functions.dates import compact_to_date, four_week_calendar, reporting_week
+from ..functions.dates import four_week_calendar, report_days, reporting_week
 from ..operators.filters import US_ACCOUNT
 from ..operators.ordering import TOP_N
-from ..sources.ads import last_week, select_range
+from ..sources.ads import last_week, previous_week, select_range
 from ..sources.sinks import append_table
 from .decline_report import decline
 from .margin_report import margins
@@ -38,26 +44,24 @@ class WeeklyInputs:
     rates: DataFrame | None = None  # currency table, needed when currencies differ
 
 
-def analytics_days(analytics: DataFrame, days: list[_dt.date]) -> DataFrame:
-    """Rows of the given report days (the daily pulls, U1)."""
-    return analytics.filter(compact_to_date("date").isin(*days))
-
-
 def weekly_reports(inputs: WeeklyInputs, run_date: _dt.date, *, top: int = TOP_N,
                    account: str = US_ACCOUNT, from_ccy: str = "USD", to_ccy: str = "USD",
-                   snap: bool = False) -> dict[str, DataFrame]:
-    """The six report tables for ``run_date`` (nothing is executed here)."""
+                   snap: bool = False, feed_drop: int = 2, rank_drop: int = 4,
+                   clean: bool = False) -> dict[str, DataFrame]:
+    """The six report tables for ``run_date`` (nothing is executed here).
+    ``feed_drop``, ``rank_drop`` and ``clean`` set the GTIN match of do_sell."""
     week = reporting_week(run_date, snap)
     ads_week = last_week(inputs.ads, run_date)
-    an_week = analytics_days(inputs.analytics, week)
-    sizes_week = analytics_days(inputs.analytics_sizes, week)
+    an_week = report_days(inputs.analytics, week)
+    sizes_week = report_days(inputs.analytics_sizes, week)
     calendar = four_week_calendar(run_date, snap)
     ads_4w = select_range(inputs.ads, calendar[0], calendar[-1])
-    an_4w = analytics_days(inputs.analytics, calendar)
+    an_4w = report_days(inputs.analytics, calendar)
     money = dict(rates=inputs.rates, from_ccy=from_ccy, to_ccy=to_ccy)
     return {
         "do_sell": do_sell(inputs.feed, ads_week, an_week, inputs.ranking, run_date, n=top,
-                           account=account, snap=snap, **money),
+                           account=account, snap=snap, feed_drop=feed_drop, rank_drop=rank_drop,
+                           clean=clean, **money),
         "not_sold": not_sold(inputs.ranking, top),
         "popular": popular_top(inputs.ranking, top),
         "decline": decline(ads_4w, an_4w, run_date, snap=snap, **money),
@@ -66,26 +70,54 @@ def weekly_reports(inputs: WeeklyInputs, run_date: _dt.date, *, top: int = TOP_N
     }
 
 
-PARTITIONS = {
-    "do_sell": ["yearNum", "WeekNumber"],
-    "not_sold": ["WeekNumber"],
-    "popular": ["WeekNumber"],
-    "decline": ["WeekRange"],
-    "margins": ["date"],
-    "sizes": ["date"],
-}
+REPORT_MONDAY = "report_monday"
+
+
+def for_week(report: DataFrame, run_date: _dt.date, snap: bool = False) -> DataFrame:
+    """``report`` with the Monday of the reported week, the partition of every
+    weekly table."""
+    return report.withColumn(REPORT_MONDAY, F.lit(reporting_week(run_date, snap)[0]))
+
+
+def land_inputs(inputs: WeeklyInputs, run_date: _dt.date, folder: str, snap: bool = False) -> WeeklyInputs:
+    """Write each source once as parquet below ``folder`` and return inputs
+    that read it: the reports' days only, partitioned by day, so that each
+    report's day selection prunes folders.  Landing again replaces."""
+    spark = inputs.feed.sparkSession
+    days = sorted({*four_week_calendar(run_date, snap), *reporting_week(run_date, snap)})
+    start = min(days[0], previous_week(run_date)[0])
+    ads = select_range(inputs.ads, start, max(days[-1], previous_week(run_date)[1]))
+
+    def landed(name: str, df: DataFrame, day: str | None = None) -> DataFrame:
+        path = f"{folder.rstrip('/')}/{name}"
+        writer = df.write.mode("overwrite")
+        (writer.partitionBy(day) if day else writer).parquet(path)
+        return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+    same = inputs.analytics is inputs.analytics_sizes
+    analytics = landed("analytics", report_days(inputs.analytics, days), "date")
+    return with_changes(
+        inputs, feed=landed("feed", inputs.feed), ranking=landed("ranking", inputs.ranking),
+        ads=landed("ads", ads, "Date"), analytics=analytics,
+        analytics_sizes=analytics if same else landed("analytics_sizes", report_days(
+            inputs.analytics_sizes, reporting_week(run_date, snap)), "date"))
 
 
 def run_weekly(inputs: WeeklyInputs, run_date: _dt.date, out: str, *, replace: bool = False,
-               **options) -> dict[str, str]:
-    """Compute and append every weekly report; returns table -> path."""
+               land: bool = True, **options) -> dict[str, str]:
+    """Compute and append every weekly report; returns table -> path.  The
+    sources are landed below ``<out>/_landed`` first unless ``land`` is off."""
     paths = {}
+    snap = options.get("snap", False)
+    if land:
+        inputs = land_inputs(inputs, run_date, f"{out.rstrip('/')}/_landed/{run_date}", snap)
     sc = inputs.feed.sparkSession.sparkContext
     for name, report in weekly_reports(inputs, run_date, **options).items():
         path = f"{out.rstrip('/')}/{name}"
         sc.setJobDescription(f"shelfwise weekly {name} {run_date}")
         try:
-            append_table(report, path, partition_by=PARTITIONS[name], replace_partitions=replace)
+            append_table(for_week(report, run_date, snap), path, partition_by=[REPORT_MONDAY],
+                         replace_partitions=replace)
         finally:
             sc.setJobDescription(None)
         paths[name] = path

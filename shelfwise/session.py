@@ -40,12 +40,12 @@ def get_spark(app: str = "shelfwise", master: str | None = None,
     for key, value in _DEFAULTS.items():
         if spark.conf.get(key, None) in (None, ""):
             spark.conf.set(key, value)
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str = "/tmp/shelfwise-checkpoints") -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``.  The local
+    """Use the cluster's shared ``spark.checkpoint.dir``; called by what needs
+    a shared folder, so jobs that need none run without.  The local
     ``fallback`` is used only in local mode (tests); on a cluster a missing
     setting is an error, never a machine-local folder."""
     sc = spark.sparkContext
@@ -75,10 +75,10 @@ def scale_settings(input_bytes: int, total_cores: int, target_partition_bytes: i
       maps x partitions); AQE then coalesces small partitions to the
       advisory size after each stage.
     * A product group holding a large share of the rows is partially
-      aggregated before any shuffle; where it meets a join, AQE's skew-join
-      handling splits the oversized partition, so no key is salted by hand.
-    * Broadcasts happen only below the threshold measured at run time (or
-      for sides with a proven row bound, see ``operators.joins``)."""
+      aggregated before any shuffle, so the joins see aggregated rows; where a
+      join's partition is still oversized AQE's skew-join handling splits it,
+      unless the join's own partitioning is needed further on.
+    * Broadcasts happen only below the threshold measured at run time."""
     partitions = max(3 * total_cores, min(input_bytes // (2 << 30), 65536))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
