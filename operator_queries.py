@@ -8,6 +8,7 @@ DuckDB SQL.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,11 +29,18 @@ from shelfwise.plans import margin_report as K5
 from shelfwise.plans import popular_match as K1
 from shelfwise.plans import size_report as K6
 from shelfwise.plans import views as K7
+from shelfwise.plans.weekly import REPORT_MONDAY, for_week
+from shelfwise.sources import ads as ADS
 from shelfwise.sources import analytics as AN
+from shelfwise.sources import fixtures as FX
+from shelfwise.sources import sinks as SINK
 from shelfwise.sources import standins as S
+from shelfwise.sources.feed import read_feed
+from shelfwise.sources.popular import cast_ranking, normalize_ranking, read_ranking, reported_gtin
 
 US = "ACCOUNT US"
 N_TOP = 2000
+RUN_DATES = [S.DEFAULT_RUN_DATE + _dt.timedelta(weeks=n) for n in (-1, 0, 1, 2)]
 DECLINE_DAYS = D.four_week_calendar(S.DECLINE_RUN_DATE)
 
 
@@ -53,11 +61,11 @@ def _linking(spark, d):
 
 
 def _ranking(spark, d):
-    return O.top_n(S.popular(spark, d, top=N_TOP), N_TOP).select("Pop", "GTIN")
+    return O.top_n(S.popular(spark, d), N_TOP).select("Pop", "GTIN")
 
 
 def _prefix_rows(spark, d):
-    rows = J.gtin_prefix_join(_linking(spark, d), _ranking(spark, d), N_TOP)
+    rows = J.gtin_prefix_join(_linking(spark, d), _ranking(spark, d))
     return rows.select("GID", "Impressions", "Cost", "Clicks", "ConversionValue", "IMG", "BRAND",
                        "monthNum", "yearNum", "Pop")
 
@@ -74,12 +82,28 @@ def _match_rows(spark, d):
 
 def _matched(spark, d):
     return K1.matched_products(S.feed(spark, d), K1.monthly_ads(S.ads(spark, d), US),
-                               S.popular(spark, d, top=N_TOP), N_TOP, one_account=True)
+                               S.popular(spark, d), N_TOP, one_account=True)
 
 
-def _do_sell(spark, d):
-    return K1.do_sell(S.feed(spark, d), S.ads(spark, d), S.analytics(spark, d),
-                      S.popular(spark, d, top=N_TOP), S.DEFAULT_RUN_DATE, n=N_TOP, account=US)
+def do_sell_of_week(spark, d, run_date):
+    """K1 as the weekly job runs it: last week's ads (S4), the report week's
+    analytics (F5) and the week's label."""
+    return K1.do_sell(S.feed(spark, d), ADS.last_week(S.ads(spark, d), run_date),
+                      D.report_days(S.analytics(spark, d), D.reporting_week(run_date)),
+                      S.popular(spark, d), run_date, n=N_TOP, account=US)
+
+
+def stored_do_sell(spark, d):
+    """The do_sell table that the weekly runs of four Mondays appended.  It is
+    written once per session and read by the views and the operators over it."""
+    stored = spark.__dict__.setdefault("_shelfwise_tables", {})
+    if d not in stored:
+        path = FX.scratch_path(spark, "do-sell-table")
+        for run_date in RUN_DATES:
+            SINK.append_table(for_week(do_sell_of_week(spark, d, run_date), run_date), path,
+                              partition_by=[REPORT_MONDAY])
+        stored[d] = path
+    return spark.read.parquet(stored[d]).drop(REPORT_MONDAY)
 
 
 def _ads_us(spark, d):
@@ -99,8 +123,16 @@ def s9_size_report(spark, d):
     return rounded(AN.size_report(S.hits(spark, d)))
 
 
+def s8_segment_report(spark, d):
+    return rounded(AN.segment_report(S.hits(spark, d)))
+
+
+def s9_segment_sizes(spark, d):
+    return rounded(AN.segment_report(S.hits(spark, d), AN.SIZE_DIMENSIONS))
+
+
 def s10_user_segment(spark, d):
-    return rounded(AN.product_report(AN.user_segment(S.hits(spark, d))))
+    return rounded(AN.segment_report(S.hits(spark, d)).drop(AN.SEGMENT))
 
 
 def s11_traffic_source(spark, d):
@@ -148,13 +180,13 @@ def j9_size_join(spark, d):
 
 
 def j10_min_pop_semi(spark, d):
-    ds = _do_sell(spark, d)
+    ds = stored_do_sell(spark, d)
     minima = A.first_min_pop(ds, "monthNum").select("Pop").distinct()
     return rounded(J.keep_keys(ds, minima, "Pop"))
 
 
 def j11_view_x_join(spark, d):
-    ds = _do_sell(spark, d)
+    ds = stored_do_sell(spark, d)
     x = K7.products_with_min_pop(ds, "monthNum").select("ID")
     return rounded(J.keep_keys(ds, x, "ID"))
 
@@ -232,15 +264,15 @@ def a14_size_roas(spark, d):
 
 
 def a15_min_pop(spark, d):
-    return A.first_min_pop(_do_sell(spark, d), "monthNum")
+    return A.first_min_pop(stored_do_sell(spark, d), "monthNum")
 
 
 def a16_avg_pop_x(spark, d):
-    return rounded(K7.products_with_min_pop(_do_sell(spark, d), "monthNum"))
+    return rounded(K7.products_with_min_pop(stored_do_sell(spark, d), "monthNum"))
 
 
 def a17_view_rollup(spark, d):
-    return rounded(A.view_rollup(_do_sell(spark, d), "monthNum", "Monthum", round_clicks=True))
+    return rounded(A.view_rollup(stored_do_sell(spark, d), "monthNum", "Monthum", round_clicks=True))
 
 
 # ------------------------------------------------- window, order, union
@@ -262,9 +294,8 @@ def o3_output_order(spark, d):
 
 
 def u1_union_pulls(spark, d):
-    an = S.analytics(spark, d)
-    days = D.reporting_week(S.DEFAULT_RUN_DATE)
-    return O.union_pulls([an.filter(F.col("date") == day.strftime("%Y%m%d")) for day in days])
+    """The seven daily pulls as one read of the table that holds them all."""
+    return D.report_days(S.analytics(spark, d), D.reporting_week(S.DEFAULT_RUN_DATE))
 
 
 # ------------------------------------------------------------- filters
@@ -297,15 +328,36 @@ def p7_drop_not_set(spark, d):
 
 
 def p8_drop_rename(spark, d):
-    from shelfwise.sources.popular import normalize_ranking
     return rounded(normalize_ranking(S.ranking_report(spark, d), S.DEFAULT_RUN_DATE))
 
 
 def p9_type_casts(spark, d):
-    from shelfwise.sources.popular import cast_ranking
     return rounded(cast_ranking(S.ranking_report(spark, d)).select("Popularity rank", "GTIN", "Title"))
 
 
+def _dirty_ranking(spark, d):
+    """Ranking codes as files may have them: file a with blank, short and
+    zero-led codes, file b without the blank ones."""
+    p = S.table(spark, d, "part").select("p_partkey")
+    code = (F.lit(S.GTIN_BASE) + F.col("p_partkey") * S.GTIN_STEP).cast("string")
+    last = F.col("p_partkey") % 10
+    gtin = (F.when(last == 0, F.lit(None)).when(last == 1, F.lit("12")).when(last == 2, F.concat(F.lit("0"), code))
+            .when(last == 3, F.concat(F.lit("00"), code)).otherwise(code))
+    return p.select("p_partkey", F.when(F.col("p_partkey") % 2 == 0, "a").otherwise("b").alias("src"), gtin.alias("GTIN"))
+
+
+def p9_gtin_forms(spark, d):
+    return reported_gtin(_dirty_ranking(spark, d), "src")
+
+
+def j2_gtin_forms(spark, d):
+    ranking = reported_gtin(_dirty_ranking(spark, d), "src").select(F.col("p_partkey").alias("Pop"), "GTIN")
+    feed = S.feed(spark, d).select(F.lower("GID").alias("GID"), "GTIN")
+    pairs = [J.gtin_pairs(feed, ranking, clean=clean).withColumn("rule", F.lit(rule))
+             for rule, clean in (("literal", False), ("clean", True))]
+    return O.union_pulls(pairs)
+
+
 def p10_labels(spark, d):
     return rounded(P.with_label(_weekly_rows(spark, d), "WeekRange", D.week_range_label(DECLINE_DAYS)))
 
@@ -419,18 +471,7 @@ def f18_btdr(spark, d):
     return rounded(an.select("buyToDetailRate", N.btdr("buyToDetailRate").alias("BTDR")).distinct())
 
 
-OPERATORS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    name: fn for name, fn in globals().items()
-    if callable(fn) and name[:1] in "sjawoupf" and name[1:2].isdigit()
-}
-
-
 # ------------------------------------------- S1-S7, S12, S13: file round trips
-from shelfwise.sources import ads as ADS  # noqa: E402
-from shelfwise.sources import fixtures as FX  # noqa: E402
-from shelfwise.sources import sinks as SINK  # noqa: E402
-from shelfwise.sources.feed import read_feed  # noqa: E402
-from shelfwise.sources.popular import read_ranking  # noqa: E402
 
 AN_DIMENSIONS = ["date", "productName", "productSku", "country", "size", "productType"]
 AN_METRICS = ["itemRevenue", "buyToDetailRate", "itemQuantity"]
@@ -438,10 +479,26 @@ API_FIELDS = ["ga:date", "ga:productName", "ga:productSku", "ga:country", "ga:di
               "ga:productCategoryLevelX", "ga:itemRevenue", "ga:buyToDetailRate", "ga:itemQuantity"]
 
 
-def s1_feed_xml(spark, d):
+def _feed_file(spark, d):
     path = FX.scratch_path(spark, "feed-xml")
     FX.write_feed_xml(S.feed(spark, d), path)
-    return read_feed(spark, path, shape="default")
+    return path
+
+
+def s1_feed_xml(spark, d):
+    return read_feed(spark, _feed_file(spark, d), shape="default")
+
+
+def s1_feed_margins(spark, d):
+    return read_feed(spark, _feed_file(spark, d), shape="margins")
+
+
+def s1_feed_decline(spark, d):
+    return read_feed(spark, _feed_file(spark, d), shape="decline")
+
+
+def s1_feed_size(spark, d):
+    return read_feed(spark, _feed_file(spark, d), shape="size")
 
 
 def s2_ranking_csv(spark, d):
@@ -456,6 +513,14 @@ def s3_ads_csv(spark, d):
     return rounded(ADS.read_ads(spark, path))
 
 
+def s3_ads_mixed_headers(spark, d):
+    """Two reports with other column orders in one folder, read at once."""
+    path, ads = FX.scratch_path(spark, "ads-mixed"), S.ads(spark, d)
+    FX.write_ads_report(ads.filter(F.col("Clicks") == 1), path)
+    FX.write_ads_report(ads.filter(F.col("Clicks") != 1), path, header=ADS.REPORT_COLUMNS[::-1])
+    return rounded(ADS.read_ads(spark, path))
+
+
 def s4_last_week_ads(spark, d):
     return rounded(ADS.last_week(S.ads(spark, d), S.DEFAULT_RUN_DATE))
 
@@ -494,7 +559,7 @@ def u1_stream_ingest(spark, d):
     FX.write_ads_report(S.ads(spark, d), landing)
     table, ckpt = FX.scratch_path(spark, "ads-table"), FX.scratch_path(spark, "ads-ckpt")
     append_new_files(ads_report_stream(spark, landing), table, ckpt)
-    return rounded(spark.read.parquet(table).drop("ingest_batch"))
+    return rounded(spark.read.parquet(table).drop("ingest_stream", "ingest_batch"))
 
 
 def s13_csv_dump(spark, d):
@@ -504,7 +569,7 @@ def s13_csv_dump(spark, d):
     return rounded(spark.read.schema(report.schema).option("header", "true").csv(path))
 
 
-OPERATORS = {
+OPERATORS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in globals().items()
     if callable(fn) and name[:1] in "sjawoupf" and name[1:2].isdigit()
 }

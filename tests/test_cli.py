@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.errors import AnalysisException
 
 from shelfwise.__main__ import main
@@ -42,3 +43,12 @@ def test_cli_weekly_run_from_raw_files(spark):
     exp = rows(direct["sizes"].select("date", "size", "ROAS", "salesVolume"))
     assert [(a, b) for a, b, *_ in got] == [(a, b) for a, b, *_ in exp]
     assert all(abs(g[2] - e[2]) < 1e-9 and g[3] == e[3] for g, e in zip(got, exp))
+
+
+def test_cli_needs_rates_for_another_currency(capsys):
+    from shelfwise.__main__ import parse_args
+    given = ["--feed", "f", "--ranking", "r", "--ads", "a", "--analytics", "x", "--analytics-sizes", "x", "--out", "o"]
+    with pytest.raises(SystemExit):
+        parse_args([*given, "--to-currency", "GBP"])
+    assert "--rates" in capsys.readouterr().err
+    assert parse_args([*given, "--to-currency", "GBP", "--rates", "t.csv", "--gtin-clean"]).gtin_clean

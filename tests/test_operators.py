@@ -4,6 +4,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from shelfwise.operators import aggregates as A
@@ -15,6 +16,9 @@ from shelfwise.operators.windows import decline_rule
 from shelfwise.plans import margin_report as K5_margins
 from shelfwise.plans.popular_match import matched_products
 from shelfwise.plans.views import do_sell_by_month, products_with_min_pop
+from shelfwise.sources import analytics as AN
+from shelfwise.sources import standins
+from shelfwise.sources.popular import reported_gtin
 from tests.conftest import rows
 
 FEED_SCHEMA = "GID string, ID string, GTIN string, IMG string, BRAND string, Margin string, Size string"
@@ -26,25 +30,18 @@ def test_gtin_prefix_join_literal_matches_empty_keys_clean_does_not(spark):
     left = spark.createDataFrame([("a", "12"), ("b", "100000000037"), ("c", None)], "GID string, GTIN string")
     rank = spark.createDataFrame([(1, "1234"), (2, "100000000037.0"), (3, "1000000000")],
                                  "Pop int, GTIN string")
-    lit = rows(J.gtin_prefix_join(left, rank, 3), "GID", "Pop")
+    lit = rows(J.gtin_prefix_join(left, rank), "GID", "Pop")
     # '12' -> '' matches '1234' -> ''; the 12-digit code matches the '.0' twin
     assert lit == [("a", 1), ("b", 2)]
-    clean = rows(J.gtin_prefix_join(left, rank, 3, clean=True), "GID", "Pop")
+    clean = rows(J.gtin_prefix_join(left, rank, clean=True), "GID", "Pop")
     assert clean == [("b", 2)]
 
 
-def test_bounded_broadcast_only_with_a_bound(spark):
-    df = spark.range(3)
-    hinted = J.bounded_broadcast(df, 10)._jdf.queryExecution().analyzed().toString()
-    plain = J.bounded_broadcast(df, None)._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" in hinted.lower() and "broadcast" not in plain.lower()
-
-
 def _literal_matches(feed, ads_m, ranking):
     """The reference chain: J1 -> J2 -> A3 -> J3 -> A4 -> A5."""
     fx = feed.select(F.lower("GID").alias("GID"), "GTIN", "IMG", "BRAND")
     linking = J.feed_ads_join(fx, ads_m)
-    pairs = A.distinct_rows(J.gtin_prefix_join(linking, ranking.select("Pop", "GTIN"), None), ["Pop", "GID"])
+    pairs = A.distinct_rows(J.gtin_prefix_join(linking, ranking.select("Pop", "GTIN")), ["Pop", "GID"])
     return A.match_totals(A.dedup_matches(J.match_rows(linking, pairs)))
 
 
@@ -169,6 +166,9 @@ def test_top_n_and_union(spark):
     assert [tuple(r) for r in O.top_n(df, 3).collect()] == [(1, "a"), (1, "b"), (2, "z")]
     u = O.union_pulls([df.limit(1), df.select("GTIN", "Pop").limit(1)])
     assert u.columns == ["Pop", "GTIN"] and u.count() == 2
+    with pytest.raises(AnalysisException):
+        O.union_pulls([df, df.select("Pop")])
+    assert O.union_pulls([df, df.select("Pop")], allow_missing=True).filter("GTIN IS NULL").count() == 4
 
 
 def test_global_row_number_is_consistent_under_pruning(spark):
@@ -177,7 +177,7 @@ def test_global_row_number_is_consistent_under_pruning(spark):
     data = [(i, (i * 7919) % 97 / 4.0, f"n{i}") for i in range(5000)]
     df = spark.createDataFrame(data, "k long, price double, name string").repartition(7)
     order = [F.col("price").desc(), F.col("k").asc()]
-    got = {r["k"]: r["Pop"] for r in O.global_row_number(df, order, "Pop", partitions=6)
+    got = {r["k"]: r["Pop"] for r in O.global_row_number(df, order, -F.floor("price"), "Pop")
            .select("k", "Pop").collect()}
     expected = sorted(data, key=lambda t: (-t[1], t[0]))
     assert got == {t[0]: i + 1 for i, t in enumerate(expected)}
@@ -187,11 +187,11 @@ def test_gtin_pairs_equals_join_then_distinct(spark):
     feed = spark.createDataFrame([("g1", "12"), ("g1", "13"), ("g2", "100000000037"), ("g3", "1000000000370"),
                                   ("g3", None)], "GID string, GTIN string")
     rank = spark.createDataFrame([(1, "1234"), (2, "100000000037.0"), (3, "99")], "Pop int, GTIN string")
-    literal = A.distinct_rows(J.gtin_prefix_join(feed, rank, 3), ["Pop", "GID"])
+    literal = A.distinct_rows(J.gtin_prefix_join(feed, rank), ["Pop", "GID"])
     for clean in (False, True):
-        lit = A.distinct_rows(J.gtin_prefix_join(feed, rank, 3, clean=clean), ["Pop", "GID"])
-        assert rows(J.gtin_pairs(feed, rank, 3, clean=clean)) == rows(lit)
-    assert rows(J.gtin_pairs(feed, rank, 3)) == rows(literal) == [(1, "g1"), (2, "g2"), (3, "g1")]
+        lit = A.distinct_rows(J.gtin_prefix_join(feed, rank, clean=clean), ["Pop", "GID"])
+        assert rows(J.gtin_pairs(feed, rank, clean=clean)) == rows(lit)
+    assert rows(J.gtin_pairs(feed, rank)) == rows(literal) == [(1, "g1"), (2, "g2"), (3, "g1")]
 
 
 def test_top_n_fan_in_equals_plain(spark):
@@ -226,3 +226,43 @@ def test_decline_order_by_year_across_new_year(spark):
     by_year = decline_rule(df, order_by_year=True, tie_break=())
     assert literal.count() == 0          # first = week 1 (8.0), last = week 53 (9.0): not declining
     assert by_year.count() == 4          # first = 2020-52 (10.0), last = 2021-2 (1.0): declining
+
+
+def test_currency_errors(spark):
+    rates = spark.createDataFrame([(dt.date(2024, 1, 2), "USD", 1.1)], "rate_date date, currency string, per_eur double")
+    df = spark.createDataFrame([(10.0,)], "x double")
+    assert df.select(convert(F.col("x"), None, "USD", "USD").alias("y")).first()["y"] == 10.0
+    with pytest.raises(ValueError, match="rates"):
+        convert(F.col("x"), None, "USD", "GBP")
+    with pytest.raises(Exception, match="no rate for currency GBP"):
+        df.select(convert(F.col("x"), rates, "USD", "GBP").alias("y")).collect()
+
+
+def test_margins_beyond_64_bits_equal_the_fan_out(spark):
+    """A day with 1e12 micros of cost, a million rows and 100 brands."""
+    n, brands, cost = 1_000_000, 100, 10 ** 12
+    analytics = spark.range(n).select(F.lit("20240108").alias("date"), F.lit("g1").alias("productSku"),
+                                      F.lit("n").alias("productName"), F.lit(10 ** 6).cast("long").alias("itemRevenue"),
+                                      F.lit(2).cast("long").alias("itemQuantity"))
+    feed = spark.createDataFrame([("g1", f"b{i}", "10%") for i in range(brands)], "GID string, BRAND string, Margin string")
+    ads = spark.createDataFrame([(dt.date(2024, 1, 8), "g1", cost)], "Date date, GID string, Cost bigint")
+    got = K5_margins.margins(feed, ads, analytics).collect()
+    assert len(got) == 1 and got[0]["salesVolume"] == 2 * n * brands
+    assert abs(got[0]["ROAS"] - (10 ** 6 * n * brands) / (cost / 1e6 * n * brands)) < 1e-9
+
+
+def test_reported_gtin_follows_each_file(spark):
+    rows_in = [("a", "0012"), ("a", None), ("a", "100000000037"), ("b", "0012"), ("b", "7"),
+               ("c", "00x1"), ("c", None), ("d", None)]
+    raw = spark.createDataFrame(rows_in, "file string, GTIN string")
+    got = sorted(tuple(r) for r in reported_gtin(raw, "file").select("file", "GTIN").collect())
+    assert got == [("a", "100000000037.0"), ("a", "12.0"), ("a", "nan"), ("b", "12"), ("b", "7"),
+                   ("c", "00x1"), ("c", "nan"), ("d", "nan")]
+
+
+def test_segment_report_equals_the_report_over_segment_hits(spark):
+    hits = standins.hits(spark, "/root/testdata/sf0.001")
+    direct = AN.product_report(AN.user_segment(hits))
+    got = AN.segment_report(hits)
+    assert {r["segment"] for r in got.select("segment").distinct().collect()} == {"United States"}
+    assert rows(got.select(*direct.columns)) == rows(direct)

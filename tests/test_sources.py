@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from shelfwise.sources import ads as ADS
@@ -66,6 +67,15 @@ RANKING = ('Popularity rank,Change from last week,Title,GTIN,Brand,Brand invento
            '1,New,Trail,0012345678905,Other,In stock,In stock,30,40,USD,1,Shoes,1,Shoes\n')
 
 
+def test_blank_ranking_code_matches_through_the_decimal_form(spark, tmp_path):
+    from shelfwise.operators.joins import gtin_pairs
+    (tmp_path / "r.csv").write_text("Popularity rank,GTIN\n1,100000000037\n2,\n")
+    ranking = read_ranking(spark, str(tmp_path), dt.date(2024, 1, 15))
+    assert rows(ranking, "Pop", "GTIN") == [(1, "100000000037.0"), (2, "nan")]
+    feed = spark.createDataFrame([("g1", "100000000037")], "GID string, GTIN string")
+    assert rows(gtin_pairs(feed, ranking)) == [(1, "g1")]
+
+
 def test_ranking_csv(spark, tmp_path):
     path = tmp_path / "ranking.csv"
     path.write_text(RANKING)
@@ -163,14 +173,18 @@ def test_product_report_and_filters(spark):
 
 def test_append_sink_and_partition_replace(spark):
     path = FX.scratch_path(spark, "test-sink")
-    df = spark.createDataFrame([("3", "a", 1), ("4", "b", 2)], "WeekNumber string, ID string, v int")
-    SINK.append_table(df, path, partition_by=["WeekNumber"])
-    SINK.append_table(df, path, partition_by=["WeekNumber"])
+    schema = "report_monday date, WeekNumber string, ID string, v int"
+    first, second = dt.date(2024, 1, 8), dt.date(2025, 1, 6)     # week 2 of either year
+    df = spark.createDataFrame([(first, "2", "a", 1), (second, "2", "b", 2)], schema)
+    SINK.append_table(df, path, partition_by=["report_monday"])
+    SINK.append_table(df, path, partition_by=["report_monday"])
     assert spark.read.parquet(path).count() == 4
-    rerun = spark.createDataFrame([("4", "b", 9)], "WeekNumber string, ID string, v int")
-    SINK.append_table(rerun, path, partition_by=["WeekNumber"], replace_partitions=True)
-    back = rows(spark.read.parquet(path), "WeekNumber", "ID", "v")
-    assert back == [(3, "a", 1), (3, "a", 1), (4, "b", 9)]
+    rerun = spark.createDataFrame([(second, "2", "b", 9)], schema)
+    SINK.append_table(rerun, path, partition_by=["report_monday"], replace_partitions=True)
+    table = spark.read.parquet(path)
+    assert dict(table.dtypes)["WeekNumber"] == "string" and dict(table.dtypes)["report_monday"] == "date"
+    assert rows(table, "report_monday", "WeekNumber", "ID", "v") == [
+        (first, "2", "a", 1), (first, "2", "a", 1), (second, "2", "b", 9)]
     out = FX.scratch_path(spark, "test-csv")
     SINK.dump_csv(df, out)
     assert spark.read.option("header", "true").csv(out).count() == 2
@@ -219,7 +233,9 @@ def test_ranking_columns_by_name(spark, tmp_path):
                     '0012,7,x,"A, b",1.5\n0013,bad,y,C,2\n')
     df = read_ranking(spark, str(path), dt.date(2024, 1, 15))
     assert rows(df, "Pop", "GTIN", "Title", "PriceRangeStart", "Brand") == [
-        (None, "0013", "C", 2.0, None), (7, "0012", "A, b", 1.5, None)]
+        (None, "13", "C", 2.0, None), (7, "12", "A, b", 1.5, None)]
+    text = read_ranking(spark, str(path), dt.date(2024, 1, 15), gtin_text=True)
+    assert rows(text, "GTIN") == [("0012",), ("0013",)]
 
 
 def test_ads_report_columns_follow_the_header(spark, tmp_path):
@@ -233,6 +249,37 @@ def test_ads_report_columns_follow_the_header(spark, tmp_path):
         (dt.date(2024, 1, 8), "g1 shoes", 3, 100, 2500000, 12.5)]
 
 
+def test_each_report_file_follows_its_own_header(spark, tmp_path):
+    """Two column orders in one folder, one header after line 60."""
+    late = "".join(f"note {i}\n" for i in range(60))
+    (tmp_path / "a.csv").write_text(late + "Day,Product type (1st level),Impressions,Clicks,Cost,Account,Total conv. value\n"
+                                    "2024-01-08,g1,10,1,5,A,1\n")
+    (tmp_path / "b.csv").write_text("Title\nClicks,Impressions,Day,Item Id,Product type (1st level),Cost,Account,Total conv. value\n"
+                                    '2,20,2024-01-09,o,"g2, red",6,A,2\n')
+    got = rows(ADS.read_ads(spark, str(tmp_path)), "GID", "Impressions", "Clicks", "OfferID", "Cost")
+    assert got == [("g1", 10, 1, None, 5), ("g2, red", 20, 2, "o", 6)]
+
+
+def test_report_without_header_is_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("2024-01-08,g1,10,1,5,A,1\n")
+    with pytest.raises(ValueError, match="no header"):
+        ADS.read_ads(spark, str(tmp_path))
+    (tmp_path / "b.csv").write_text("Day,Product type (1st level),Impressions,Clicks,Cost,Account,Total conv. value\n")
+    with pytest.raises(Exception, match="no header line in"):
+        ADS.read_ads(spark, str(tmp_path)).collect()
+
+
+def test_broken_analytics_document_is_reported_or_diverted(spark, tmp_path):
+    doc = json.dumps(_response(["ga:date"], ["ga:itemRevenue"], [(["20240108"], ["5"])]))
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "d.json").write_text(doc + "\n" + doc[:-20] + "\n\n{}\n")
+    with pytest.raises(Exception, match="bad analytics document"):
+        AN.flatten_responses(AN.read_responses(spark, str(tmp_path / "in")), ["ga:date"]).collect()
+    good = AN.read_responses(spark, str(tmp_path / "in"), divert_to=str(tmp_path / "bad"))
+    assert rows(AN.flatten_responses(good, ["ga:date", "ga:itemRevenue"])) == [("20240108", "5")]
+    assert rows(spark.read.text(str(tmp_path / "bad"))) == sorted([(doc[:-20],), ("{}",)])
+
+
 def test_append_catalog_table(spark):
     df = spark.createDataFrame([("3", "a", 1)], "WeekNumber string, ID string, v int")
     SINK.append_catalog_table(df, "shelfwise_test_popular", partition_by=["WeekNumber"])

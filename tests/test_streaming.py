@@ -33,3 +33,15 @@ def test_weekly_runs_append_only_new_files(spark, tmp_path):
 
     append_new_files(ads_report_stream(spark, str(landing)), table, checkpoint)   # nothing new
     assert spark.read.parquet(table).count() == 9
+
+
+def test_two_streams_and_a_renewed_checkpoint_keep_all_rows(spark, tmp_path):
+    table = FX.scratch_path(spark, "stream-table")
+    for name, day, n in (("one", "2024-01-08", 3), ("two", "2024-01-15", 2)):
+        landing = tmp_path / name
+        landing.mkdir()
+        (landing / "w.csv").write_text(_report(day, n))
+        append_new_files(ads_report_stream(spark, str(landing)), table, FX.scratch_path(spark, "ckpt"))
+    assert spark.read.parquet(table).count() == 5
+    append_new_files(ads_report_stream(spark, str(tmp_path / "one")), table, FX.scratch_path(spark, "ckpt"))
+    assert spark.read.parquet(table).count() == 8        # a fresh stream appends all it sees, and deletes nothing

@@ -3,10 +3,12 @@
 import datetime as dt
 
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from shelfwise.plans.weekly import WeeklyInputs, register_views, run_weekly
 from shelfwise.sources import fixtures as FX
 from shelfwise.sources import standins as S
+from tests.conftest import rows
 
 SF = "/root/testdata/sf0.001"
 
@@ -21,7 +23,7 @@ def _count(spark, path):
 
 def _inputs(spark):
     an = S.analytics(spark, SF)
-    return WeeklyInputs(feed=S.feed(spark, SF), ranking=S.popular(spark, SF, top=2000),
+    return WeeklyInputs(feed=S.feed(spark, SF), ranking=S.popular(spark, SF),
                         ads=S.ads(spark, SF), analytics=an, analytics_sizes=an)
 
 
@@ -44,3 +46,25 @@ def test_weekly_job_writes_six_tables_and_reruns_replace(spark):
     monthly = spark.sql("SELECT ID, Monthum, YearNum, CTR FROM do_sell_by_month")
     assert monthly.count() > 0
     assert spark.sql("SELECT count(*) AS n FROM do_sell").first()["n"] == counts["do_sell"]
+
+
+def test_replace_leaves_the_same_week_of_another_year(spark):
+    out = FX.scratch_path(spark, "weekly-years")
+    for run in (dt.date(2024, 1, 15), dt.date(2025, 1, 13), dt.date(2024, 1, 15)):
+        paths = run_weekly(_inputs(spark), run, out, account="ACCOUNT US", replace=True)
+    table = spark.read.parquet(paths["popular"])
+    weeks = {r["report_monday"]: r["n"] for r in
+             table.groupBy("report_monday").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert weeks == {dt.date(2024, 1, 8): 200, dt.date(2025, 1, 6): 200}
+    assert dict(spark.read.parquet(paths["do_sell"]).dtypes)["yearNum"] == "string"
+
+
+def test_reports_read_the_landed_days(spark):
+    from shelfwise.plans.weekly import land_inputs, weekly_reports
+    run = dt.date(2024, 1, 15)
+    landed = land_inputs(_inputs(spark), run, FX.scratch_path(spark, "landed"))
+    plain, from_landed = weekly_reports(_inputs(spark), run), weekly_reports(landed, run)
+    for name, report in plain.items():
+        plan = from_landed[name]._jdf.queryExecution().executedPlan().toString()
+        assert "events.parquet" not in plan and "part.parquet" not in plan
+        assert rows(report) == rows(from_landed[name])
