@@ -82,12 +82,12 @@ def loss_differences(counts: DataFrame, smoothing: float = SMOOTHING) -> DataFra
     kinds = ("target", "background")
     contexts = both.groupBy("before").agg(*[F.sum(k).alias(f"{k}_context") for k in kinds])
     tokens = both.groupBy("token").agg(*[F.sum(k).alias(f"{k}_token") for k in kinds])
-    totals = tokens.agg(F.count(F.lit(1)).alias("known"), *[F.sum(f"{k}_token").alias(f"{k}_total") for k in kinds])
-    # at most one row for each id of the vocabulary, and one row of totals
-    joined = both.join(F.broadcast(contexts), "before").join(F.broadcast(tokens), "token").crossJoin(F.broadcast(totals))
+    totals = tokens.agg(F.count(F.lit(1)).alias("known"), *[F.sum(f"{k}_token").alias(k) for k in kinds]).first()
+    # at most one row for each id of the vocabulary
+    joined = both.join(F.broadcast(contexts), "before").join(F.broadcast(tokens), "token")
 
     def loss(kind: str) -> Column:
-        unigram = (F.col(f"{kind}_token") + 1) / (F.col(f"{kind}_total") + F.col("known"))
+        unigram = (F.col(f"{kind}_token") + 1) / F.lit(float((totals[kind] or 0) + totals["known"]))
         return -F.log((F.col(kind) + smoothing * unigram) / (F.col(f"{kind}_context") + smoothing))
 
     return joined.select("pair", (loss("target") - loss("background")).alias("delta"))
