@@ -23,8 +23,9 @@ from .common import cut, python_workers
 #: Lengths of the character n-grams, and buckets for their hashes.
 LENGTHS = (1, 2, 3)
 BUCKETS = 1 << 14
-#: Training rows that the classifier is fitted on, about (hashed ids choose
-#: them); a fifth of them calibrates.  The bound does not grow with the input.
+#: Training texts that the classifier is fitted on, about (their hashes choose
+#: them, copies once); a fifth of them calibrates.  The bound does not grow with
+#: the input.
 SAMPLE_ROWS = 4000
 #: FTRL: learning rate and its smoothing, L1 and L2 penalties, passes.
 ALPHA, BETA, L1, L2, PASSES = 0.5, 1.0, 0.02, 0.05, 3
@@ -169,12 +170,12 @@ def _temperature(logits: np.ndarray, y: np.ndarray) -> float:
 
 
 def train(rows: DataFrame, sample_rows: int = SAMPLE_ROWS, buckets: int = BUCKETS) -> Model | None:
-    """Fit on ``rows`` (doc_id, text, lang); null without a usable row.
+    """Fit on ``rows`` (text, lang); None without a usable row.
 
     Rows with null lang, or without a letter in the text, teach nothing."""
     spark = rows.sparkSession
     python_workers(spark)
-    usable = rows.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("doc_id", "text", "lang")
+    usable = rows.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("text", "lang")
     frequencies = cut(document_frequencies(usable, buckets))
     table = frequencies.toPandas()                    # at most ``buckets`` + 1 rows
     total = int(table.loc[table["bucket"] == -1, "docs"].sum())
@@ -186,9 +187,9 @@ def train(rows: DataFrame, sample_rows: int = SAMPLE_ROWS, buckets: int = BUCKET
     idf = np.log((1 + total) / (1 + docs)) + 1
     slots = 1 << 30
     share = min(slots, int(slots * sample_rows / total) + 1)
-    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(slots))
-    sample = (usable.filter(place < share).select("text", "lang", F.xxhash64("doc_id", "text").alias("h"))
-              .orderBy("h").limit(sample_rows + sample_rows // 4).toPandas())     # bounded by the parameter
+    sample = (usable.withColumn("_h", F.xxhash64("text")).filter(F.pmod("_h", F.lit(slots)) < share)
+              .groupBy("_h").agg(F.first("text").alias("text"), F.min("lang").alias("lang"))
+              .orderBy("_h").limit(sample_rows + sample_rows // 4).toPandas())    # bounded by the parameter
     return fit(sample["text"].tolist(), sample["lang"].tolist(), idf) if len(sample) else None
 
 

@@ -154,7 +154,6 @@ def _classes(docs: DataFrame, similarity: float) -> DataFrame:
     class as a number) and class_id (its smallest doc_id)."""
     python_workers(docs.sparkSession)
     texts = docs.filter(F.col("text").isNotNull()).select("doc_id", *text_key(F.col("text")), "text")
-    # sketches are wider than keys: copies meet before they are made more than once per task
     distinct = cut(texts.withColumn("_keys", sketches_of(F.col("text"))).groupBy("k1", "k2")
                    .agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"),
                         F.first("_keys").alias("_keys"))
