@@ -42,11 +42,6 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster's machines share (spark.checkpoint.dir)."""
-    return ensure_checkpoint_dir(spark).rstrip("/")
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

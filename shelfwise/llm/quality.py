@@ -33,7 +33,7 @@ _SYMBOLS = b"#*$%&|<>"
 
 #: Ratios: name, smallest spread (for ratios that are nearly always equal) and
 #: whether low values are fenced too.
-RATIOS = (("symbols_per_word", 0.05, False), ("repeat_share", 0.1, False),
+RATIOS = (("symbols_per_word", 0.05, False), ("repeat_share", 0.12, False),
           ("dup_line_share", 0.1, False), ("upper_share", 0.04, False),
           ("chars_per_word", 0.5, True))
 
