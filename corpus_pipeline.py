@@ -14,17 +14,16 @@ the columns of ``documents``.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import shared_folder, table
+from shelfwise.llm.common import table
 from shelfwise.llm.decontamination import drop_contaminated
 from shelfwise.llm.near_dups import one_of_each
 from shelfwise.llm.packing import pack
 from shelfwise.llm.quality import keep_good
 from shelfwise.llm.secrets import redact_versions
+from shelfwise.session import scratch_folder
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,8 +57,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``.  What a stage returns is written below
-    the session's checkpoint folder and read again by the next."""
-    folder = f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}"
+    the session's shared checkpoint folder and read again by the next."""
+    folder = scratch_folder(spark, "corpus")
     docs = table(spark, sf_dir, "documents")
     for number, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{number}-{name}"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark import SparkConf
 from pyspark.sql import SparkSession
@@ -24,7 +25,8 @@ def get_spark(app: str = "shelfwise", master: str | None = None,
     Under ``spark-submit`` (or any launcher that sets ``spark.master``) the
     submitted configuration wins and nothing here overrides it; only when no
     master is configured anywhere do we default to ``local[$BENCH_CPUS]``."""
-    builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    builder = (SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+               .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     if master is None and not SparkConf().contains("spark.master"):
         master = f"local[{os.environ.get('BENCH_CPUS', '8')}]"
     if master is not None:
@@ -63,6 +65,18 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str = "/tmp/shelfwise-c
     return sc.getCheckpointDir()
 
 
+def scratch_folder(spark: SparkSession, label: str) -> str:
+    """A path of its own below the shared checkpoint folder, for tables that a
+    job writes and reads again.  It is deleted when the driver's JVM ends."""
+    parent = f"{ensure_checkpoint_dir(spark).rstrip('/')}/shelfwise-io/{uuid.uuid4().hex}"
+    sc = spark.sparkContext
+    folder = sc._jvm.org.apache.hadoop.fs.Path(parent)
+    files = folder.getFileSystem(sc._jsc.hadoopConfiguration())
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    return f"{parent}/{label}"
+
+
 def scale_settings(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
     """Settings for a run over ``input_bytes`` of report data on
     ``total_cores`` executor cores.

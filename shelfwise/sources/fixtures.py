@@ -9,13 +9,12 @@ Spark's own writers and expressions per row.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import scratch_folder
 from .ads import RANGE_COLUMNS, REPORT_COLUMNS
 from .analytics import ANALYTICS_RENAMES
 from .feed import FEED_FIELDS, MARGIN_FIELD
@@ -25,9 +24,8 @@ FEED_NAMESPACE = "http://base.google.com/ns/1.0"
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder under the shared checkpoint location the cluster names
-    (never a machine-local temp folder)."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/shelfwise-io/{label}-{uuid.uuid4().hex}"
+    (never a machine-local temp folder), gone after the run."""
+    return scratch_folder(spark, label)
 
 
 def write_feed_xml(feed: DataFrame, path: str, margin_field: str = MARGIN_FIELD) -> None:
