@@ -6,7 +6,10 @@ the smallest values.  The sample keeps the order that they have in the text,
 so two texts agree on it only where the same k-mers stand in the same order:
 the sketch follows edit similarity, not just shared vocabulary.
 
-Texts that agree on a sketch (or on two neighbouring ones) are candidates.
+Texts that agree on a sketch (or on two neighbouring ones) are candidates: of
+two texts whose k-mer sets have the Jaccard similarity J, one sketch agrees with
+a chance of about J ** PICKS, so 24 sketches miss a pair of J = 0.8 once in
+10 ** 10 and one of J = 0.5 once in a thousand.
 Within such a group every text is aligned with the group's smallest text rather
 than with every other, so a group of n texts costs n - 1 alignments.  A banded
 alignment of the words decides.  Classes are the connected components of the
@@ -28,6 +31,9 @@ from .components import components
 K = 5
 PICKS = 2
 SKETCHES = 24
+#: Texts under so many words are sketched by shorter k-mers as well.
+SHORT_WORDS = 64
+SHORT_K = 2
 #: Least share of words that an alignment leaves alone.
 SIMILARITY = 0.8
 
@@ -51,38 +57,48 @@ def _mix(x: np.ndarray) -> np.ndarray:
 def sketch_keys(texts: list[str | None], k: int = K, picks: int = PICKS,
                 sketches: int = SKETCHES) -> list[list[int]]:
     """For each text its sketches as numbers, then those of neighbouring
-    sketches together; none for texts without words."""
+    sketches together; none for texts without words.  Texts under
+    ``SHORT_WORDS`` words, where one edit touches most k-mers, get a second
+    set from k-mers of ``SHORT_K`` words."""
     number: dict[str, int] = {}
-    ids, lengths = [], []
+    ids, counts = [], []
     for text in texts:
         found = word_list(text) if text else []
         ids.extend([number.setdefault(w, len(number)) for w in found])
-        lengths.append(len(found))
+        counts.append(len(found))
     out: list[list[int]] = [[] for _ in texts]
-    lengths = np.array(lengths, np.int64)
-    having = np.flatnonzero(lengths)
-    if not len(having):
+    lengths = np.array(counts, np.int64)
+    if not lengths.any():
         return out
     vocabulary = np.empty(len(number), object)
     vocabulary[:] = list(number)
     h = pd.util.hash_array(vocabulary, categorize=False)[np.array(ids, np.int64)]
-    # k-mers: of texts under k words, all their words
-    starts = np.concatenate(([0], np.cumsum(lengths)))[having]
-    lengths = lengths[having]
+    starts = np.concatenate(([0], np.cumsum(lengths)))[:-1]
+    for size, which in ((k, lengths > 0), (SHORT_K, (lengths > 0) & (lengths < SHORT_WORDS))):
+        chosen = np.flatnonzero(which)
+        if len(chosen):
+            keys = _sketches(h, starts[chosen], lengths[chosen], size, picks, sketches)
+            for i, row in zip(chosen.tolist(), keys.view(np.int64).tolist()):
+                out[i] += row
+    return out
+
+
+def _labelled_mers(h: np.ndarray, starts: np.ndarray, lengths: np.ndarray, k: int) -> tuple:
+    """The k-mers of each text as numbers (of a text under k words: all its
+    words as one), the same labelled with how often the k-mer stood before in
+    its text, how many each text has and the text of each."""
     rolled = np.concatenate((h, np.zeros(k, np.uint64)))
     mers = np.zeros(len(h), np.uint64)
     for j in range(k):
         mers = mers * _MIX + _mix(rolled[j:j + len(h)])
     counts = np.maximum(lengths - k + 1, 1)
-    first = np.concatenate(([0], np.cumsum(counts)))[:-1]
-    at = np.repeat(starts - first, counts) + np.arange(counts.sum())
-    mers = mers[at]
+    first = np.cumsum(counts) - counts
+    mers = mers[np.repeat(starts - first, counts) + np.arange(counts.sum())]
     for i in np.flatnonzero(lengths < k):
         value = np.zeros(1, np.uint64)
         for x in h[starts[i]:starts[i] + lengths[i]]:
             value = value * _MIX + _mix(np.array([x], np.uint64))
         mers[first[i]] = value[0] ^ np.uint64(lengths[i])
-    # label each k-mer with how often it stood before in its text
     doc = np.repeat(np.arange(len(counts), dtype=np.uint64), counts)
     of_doc = _mix(mers + _mix(doc * _MIX))
     order = np.argsort(of_doc, kind="stable")
@@ -91,7 +107,14 @@ def sketch_keys(texts: list[str | None], k: int = K, picks: int = PICKS,
     run = np.maximum.accumulate(np.where(same, 0, places))
     before = np.empty(len(order), np.uint64)
     before[order] = (places - run).astype(np.uint64)
-    labelled = _mix(mers + before * _MIX)
+    return mers, _mix(mers + before * _MIX), counts, doc.astype(np.int64)
+
+
+def _sketches(h: np.ndarray, starts: np.ndarray, lengths: np.ndarray, k: int, picks: int, sketches: int) -> np.ndarray:
+    """Sketches of the texts at ``starts`` of the word hashes ``h``, a row each."""
+    mers, labelled, counts, doc = _labelled_mers(h, starts, lengths, k)
+    first = np.cumsum(counts) - counts
+    padded = np.append(mers, np.uint64(0))
     keys = np.empty((len(counts), 2 * sketches), np.uint64)
     rng = np.random.default_rng(20)
     for s in range(sketches):
@@ -101,7 +124,7 @@ def sketch_keys(texts: list[str | None], k: int = K, picks: int = PICKS,
         for p in range(picks):
             least = np.minimum.reduceat(values, first)
             where = np.flatnonzero(values == np.repeat(least, counts))
-            text_of = doc[where].astype(np.int64)
+            text_of = doc[where]
             lone = np.ones(len(where), bool)
             lone[1:] = text_of[1:] != text_of[:-1]    # equal values: the earlier one
             where, text_of = where[lone], text_of[lone]
@@ -109,15 +132,12 @@ def sketch_keys(texts: list[str | None], k: int = K, picks: int = PICKS,
             spots[p, text_of[usable]] = where[usable]
             values[where] = _NO
         spots.sort(axis=0)                            # the order in the text
-        key = np.full(len(counts), s + 1, np.uint64)
-        padded = np.append(mers, np.uint64(0))
+        key = np.full(len(counts), 1000 * k + s + 1, np.uint64)
         for p in range(picks):
             key = _mix(key * _MIX + padded[spots[p]])
         keys[:, s] = key
     keys[:, sketches:] = _mix(keys[:, :sketches] * _MIX + np.roll(keys[:, :sketches], -1, axis=1))
-    for i, row in zip(having.tolist(), keys.view(np.int64).tolist()):
-        out[i] = row
-    return out
+    return keys
 
 
 def similar(a: str, b: str, similarity: float = SIMILARITY) -> bool:
