@@ -40,13 +40,16 @@ from shelfwise.sources.popular import cast_ranking, normalize_ranking, read_rank
 
 US = "ACCOUNT US"
 N_TOP = 2000
+LIFT = 1e-9     # see ``rounded``; the same in the oracles
 RUN_DATES = [S.DEFAULT_RUN_DATE + _dt.timedelta(weeks=n) for n in (-1, 0, 1, 2)]
 DECLINE_DAYS = D.four_week_calendar(S.DECLINE_RUN_DATE)
 
 
-def rounded(df: DataFrame, places: int = 6) -> DataFrame:
-    """Round every floating column at the very end (comparison hygiene only)."""
-    cols = {f.name: F.round(F.col(f.name), places) for f in df.schema.fields
+def rounded(df: DataFrame, places: int = 6, lift: float = 0.0) -> DataFrame:
+    """Round every floating column at the very end (comparison hygiene only).
+    Means of money have exact ties in the place after the last, which the order
+    of a sum would decide; ``lift`` moves them off the tie."""
+    cols = {f.name: F.round(F.col(f.name) + lift if lift else F.col(f.name), places) for f in df.schema.fields
             if isinstance(f.dataType, (DoubleType, FloatType))}
     return df.withColumns(cols) if cols else df
 
@@ -268,11 +271,11 @@ def a15_min_pop(spark, d):
 
 
 def a16_avg_pop_x(spark, d):
-    return rounded(K7.products_with_min_pop(stored_do_sell(spark, d), "monthNum"))
+    return rounded(K7.products_with_min_pop(stored_do_sell(spark, d), "monthNum"), lift=LIFT)
 
 
 def a17_view_rollup(spark, d):
-    return rounded(A.view_rollup(stored_do_sell(spark, d), "monthNum", "Monthum", round_clicks=True))
+    return rounded(A.view_rollup(stored_do_sell(spark, d), "monthNum", "Monthum", round_clicks=True), lift=LIFT)
 
 
 # ------------------------------------------------- window, order, union

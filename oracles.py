@@ -151,10 +151,10 @@ def _stored(body: str) -> str:
 
 
 def _rollup(period: str, alias: str, clicks: str, rows: str) -> str:
-    mean = lambda x, name: f"round(avg({x}), 6) AS {name}"
+    mean = lambda x, name: f"round(avg({x}) + 1e-9, 6) AS {name}"  # noqa: E731  off exact ties
     return f"""
 SELECT {period} AS {alias}, yearNum AS YearNum, ID, BRAND, productName, country, max(IMG) AS IMG,
-  round({clicks}, 6) AS Clicks, round(avg(Clicks) / nullif(avg(Impressions), 0), 6) AS CTR,
+  round({clicks} + 1e-9, 6) AS Clicks, round(avg(Clicks) / nullif(avg(Impressions), 0) + 1e-9, 6) AS CTR,
   {mean('Impressions', 'Impressions')}, {mean('newCost', 'newCost')}, {mean('ConversionValue', 'ConversionValue')},
   {mean('Pop', 'Pop')}, {mean('itemRev', 'itemRev')}, {mean('buyToDetailRate / 100', 'BTDR')}, {mean('newROAS', 'ROAS')}
 FROM {rows} GROUP BY ALL"""
@@ -456,7 +456,7 @@ OPERATORS = {
     "a13_size_ad_cost": _sized("SELECT date, size, round(Cost, 6) AS Cost FROM size_cost"),
     "a14_size_roas": _sized(_size_report(f"(Cost / {USD} * {GBP})"), more=RATES + ","),
     "a15_min_pop": _stored("SELECT DISTINCT ID, monthNum, yearNum, min(Pop) OVER (PARTITION BY ID, monthNum, yearNum) AS Pop FROM ds"),
-    "a16_avg_pop_x": _stored(f"SELECT ID, round(avg(Pop), 6) AS avg_pop FROM ds SEMI JOIN {FIRST_RANKS} USING (Pop) GROUP BY ID"),
+    "a16_avg_pop_x": _stored(f"SELECT ID, round(avg(Pop) + 1e-9, 6) AS avg_pop FROM ds SEMI JOIN {FIRST_RANKS} USING (Pop) GROUP BY ID"),
     "a17_view_rollup": _stored(_rollup("monthNum", "Monthum", "round(avg(Clicks), 0)", "ds")),
     # ------------------------------------------------ window, order, union
     "w1_decline_rule": _weekly(f"SELECT {WEEK_COLS}, round(newCost, 6) AS newCost, round(newROAS, 6) AS newROAS "
