@@ -91,10 +91,12 @@ def paths(messages: DataFrame, keep: int | None = 1) -> DataFrame:
         jumps.append(reach.select(F.col("message_id").alias("_from"), F.col("anc").alias("_to")).filter(F.col("_to").isNotNull()))
         far = reach.select(F.col("message_id").alias("_id"), F.col("anc").alias("_anc"), F.col("top").alias("_top"),
                            F.col("total").alias("_total"), F.col("depth").alias("_depth"))
-        reach = cut(reach.join(far, F.col("anc") == F.col("_id"), "left")
-                    .select("message_id", F.col("_anc").alias("anc"), F.coalesce("_top", "top").alias("top"),
-                            (F.col("total") + F.coalesce("_total", F.lit(0.0))).alias("total"),
-                            (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth")))
+        # only messages that have not met their root yet take part
+        further = (reach.filter(F.col("anc").isNotNull()).join(far, F.col("anc") == F.col("_id"))
+                   .select("message_id", F.col("_anc").alias("anc"), F.col("_top").alias("top"),
+                           (F.col("total") + F.col("_total")).alias("total"),
+                           (F.col("depth") + F.col("_depth")).alias("depth")))
+        reach = cut(reach.filter(F.col("anc").isNull()).unionByName(further))
     parents = nodes.select(F.col("parent_id").alias("_parent")).filter(F.col("_parent").isNotNull()).distinct()
     leaves = (reach.filter(F.col("anc").isNull())
               .join(parents, F.col("message_id") == F.col("_parent"), "left_anti")
