@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, python_workers, whole_row
+from .common import broadcast_if_small, cut, python_workers, whole_row
 
 #: Relative error of a sketch's quantiles.
 ACCURACY = 0.01
@@ -154,10 +154,12 @@ def fences(sketch: DataFrame, min_docs: int = MIN_DOCS, reach: float = REACH) ->
 
 def with_verdict(rows: DataFrame, limits: DataFrame) -> DataFrame:
     """Add ``base_failed``, ``failed_ratio`` (the first ratio outside its
-    fence, or null) and ``kept`` to ``rows`` (lang, source and ``c``)."""
-    limits = limits.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"),
-                           F.col("fence").alias("_fence"))
-    joined = rows.join(limits, F.col("lang").eqNullSafe(F.col("_lang"))
+    fence, or null) and ``kept`` to ``rows`` (lang, source and ``c``).  The
+    fences, one row per language and source, are counted and sent to the rows
+    while they are few."""
+    limits = cut(limits.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"),
+                               F.col("fence").alias("_fence")))
+    joined = rows.join(broadcast_if_small(limits, limits.count()), F.col("lang").eqNullSafe(F.col("_lang"))
                        & F.col("source").eqNullSafe(F.col("_source")), "left")
     failed = F.lit(None).cast("string")
     for name, value in reversed(_ratios(F.col("c")).items()):
@@ -186,10 +188,11 @@ def judge(docs: DataFrame, min_docs: int = MIN_DOCS, reach: float = REACH) -> Da
 
 def keep_good(docs: DataFrame, min_docs: int = MIN_DOCS, reach: float = REACH) -> DataFrame:
     """The rows of ``docs`` that pass, with their own columns.  The texts are
-    read twice (once for the sketches, once to filter) and never shuffled."""
+    read twice (once for the sketches, once to filter) and not shuffled while
+    the fences are few."""
     python_workers(docs.sparkSession)
     counted = docs.select("lang", "source", counts_of(F.col("text")).alias("c"))
-    limits = cut(fences(sketches(counted), min_docs, reach))
+    limits = fences(sketches(counted), min_docs, reach)
     whole = docs.select(whole_row(docs).alias("_doc"), "lang", "source",
                         counts_of(F.col("text")).alias("c"))
     return with_verdict(whole, limits).filter("kept").select("_doc.*")
