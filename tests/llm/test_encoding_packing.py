@@ -1,4 +1,5 @@
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pytest
@@ -11,23 +12,24 @@ from shelfwise.llm.queries import op4_packing, op6_token_counts
 from shelfwise.llm.token_counts import at_limits, length_histogram, quantile_lengths, suffix_sums, token_lengths
 
 
-@pytest.fixture(scope="module")
-def full():
+@lru_cache
+def _tokenizer():
     import public_tokenizers
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     t.encode_special_tokens = True
-    return lambda text: t.encode(text, add_special_tokens=False).ids
+    return t
+
+
+@pytest.fixture(scope="module")
+def full():
+    return lambda text: _tokenizer().encode(text, add_special_tokens=False).ids
 
 
 @settings(deadline=None, max_examples=300)
 @given(st.text(max_size=60) | st.text(st.sampled_from(" \n\t'sétß\xa0\x1c\x85a1!漢<|endoftext|>"), max_size=60))
 def test_ids_equal_the_tokenizers_file(text):
-    import public_tokenizers
-    from tokenizers import Tokenizer
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    assert encoder().ids(text).tolist() == t.encode(text, add_special_tokens=False).ids
+    assert encoder().ids(text).tolist() == _tokenizer().encode(text, add_special_tokens=False).ids
 
 
 def test_long_and_special_texts(full):
