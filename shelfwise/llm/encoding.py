@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import base64
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -45,7 +46,7 @@ class Encoder:
                 or any(s in text for s in self.specials)
                 or len(text) > _LONG_TEXT and _LONG_RUN.search(text)):
             return np.asarray(self.full.encode(text, add_special_tokens=False).ids, "<u4")
-        return self.plain.encode_to_numpy(text)
+        return np.frombuffer(array("I", self.plain.encode_ordinary(text)), "<u4")
 
 
 @lru_cache(maxsize=4)
