@@ -3,15 +3,23 @@
 Each round points every node's larger neighbours (large star), then its smaller
 neighbours (small star), at the smallest node it sees.  Rounds repeat until the
 links no longer change; the number of rounds grows with the logarithm of the
-component size.  Rounds are aggregations and joins, so no component meets in
-one task, and each round is written to the checkpoint folder."""
+component size.  The smallest neighbours are written to the checkpoint folder
+before they are joined back, as a table of one row per node: a node with very
+many links is combined before it moves, and its links need not meet in one
+task.  Each round is written there as well."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import broadcast_if_small, cut
+
+
+def _with_least(links: DataFrame, least: DataFrame) -> DataFrame:
+    """``links`` with the value ``m`` that ``least`` has for u."""
+    least = cut(least)
+    return links.join(broadcast_if_small(least, least.count()), "u")
 
 
 def _print_of(links: DataFrame) -> tuple:
@@ -32,10 +40,11 @@ def components(links: DataFrame) -> DataFrame:
             break
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = (both.join(least, "u").filter(F.col("v") > F.col("u"))
+        large = (_with_least(both, least).filter(F.col("v") > F.col("u"))
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).filter(F.col("u") != F.col("v")).distinct())
+        large = cut(large)
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.explode(F.array(
+        small = _with_least(large, least).select(F.explode(F.array(
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
             F.struct(F.col("u").alias("u"), F.col("m").alias("v")))).alias("_l")).select("_l.*")
         now = cut(small.filter(F.col("u") != F.col("v")).distinct())

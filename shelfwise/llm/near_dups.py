@@ -194,8 +194,12 @@ def _classes(docs: DataFrame, similarity: float) -> DataFrame:
     roots = components(links)
     placed = (distinct.drop("_keys").join(roots, "node", "left")
               .withColumn("root", F.coalesce("root", "node")))
-    first = placed.groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    return placed.join(first, "root")
+    # classes of one text need no join; the others' first ids are a table of their
+    # own, so a large class is summed before it moves and split where it is joined
+    first = cut(placed.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("_n"))
+                .filter(F.col("_n") > 1).drop("_n"))
+    return (placed.join(broadcast_if_small(first, first.count()), "root", "left")
+            .withColumn("class_id", F.coalesce("class_id", "doc_id")))
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
