@@ -6,8 +6,10 @@ on all the rest.  A document's score is the mean over its tokens of the target
 model's loss less the background model's loss, so low scores look like the
 target.
 
-Every document's tokens are counted.  Counts are summed per task before the
-shuffle.  The table has one row per pair of tokens that occurs; while it is
+Every document's tokens are counted.  Texts are encoded once; the ids go to the
+checkpoint folder, two bytes each for vocabularies that allow it, and both the
+counting and the scoring read them there.  Counts are summed per task before
+the shuffle.  The table has one row per pair of tokens that occurs; while it is
 small (counted, not guessed) each task gets it as a sorted array, beyond that
 documents' pairs are joined with it."""
 
@@ -35,15 +37,31 @@ BROADCAST_PAIRS = 2_000_000
 CHUNK = 4_000_000
 
 
-def pairs_of(text: str | None, vocabulary: str = VOCABULARY) -> np.ndarray:
-    """Each token of a whole text with the one before it, as one number."""
-    ids = encoder(vocabulary).ids(text).astype(np.int64)
-    return np.concatenate(([START], ids[:-1])) * WIDTH + ids if len(ids) else ids
+#: How ids are kept between the passes (``IDS`` is below 65,536).
+_KEPT = "<u2"
 
 
-def count_pairs(rows: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+def encoded(rows: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+    """``rows`` with their whole texts replaced by ``ids`` (little-endian)."""
+    python_workers(rows.sparkSession)
+
+    @F.pandas_udf("binary")
+    def encode(texts: pd.Series) -> pd.Series:
+        ids = encoder(vocabulary).ids
+        return pd.Series([ids(t).astype(_KEPT).tobytes() for t in texts])
+
+    return rows.withColumn("ids", encode(F.col("text"))).drop("text")
+
+
+def pairs_of(ids: bytes) -> np.ndarray:
+    """Each token with the one before it, as one number."""
+    tokens = np.frombuffer(ids, _KEPT).astype(np.int64)
+    return np.concatenate(([START], tokens[:-1])) * WIDTH + tokens if len(tokens) else tokens
+
+
+def count_pairs(rows: DataFrame) -> DataFrame:
     """``pair``, ``target`` and ``background``: how often each pair of tokens
-    occurs in the rows (text, is_target) of either kind."""
+    occurs in the rows (ids, is_target) of either kind."""
     python_workers(rows.sparkSession)
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -58,8 +76,8 @@ def count_pairs(rows: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
                                  "target": np.bincount(at[split:], minlength=len(seen))})
 
         for frame in frames:
-            for text, is_target in zip(frame["text"], frame["is_target"]):
-                codes = pairs_of(text, vocabulary)
+            for ids, is_target in zip(frame["ids"], frame["is_target"]):
+                codes = pairs_of(ids)
                 held[bool(is_target)].append(codes)
                 size += len(codes)
             if size >= CHUNK:
@@ -68,7 +86,7 @@ def count_pairs(rows: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
         if size:
             yield out()
 
-    return (rows.select("text", "is_target").mapInPandas(count, "pair long, background long, target long")
+    return (rows.select("ids", "is_target").mapInPandas(count, "pair long, background long, target long")
             .groupBy("pair").agg(F.sum("target").alias("target"), F.sum("background").alias("background")))
 
 
@@ -104,8 +122,8 @@ def score(docs: DataFrame, is_target: Column, vocabulary: str = VOCABULARY,
     model is uniform over the tokens seen.  An empty table gives no rows."""
     spark = docs.sparkSession
     python_workers(spark)
-    rows = docs.select("doc_id", "text", F.coalesce(is_target, F.lit(False)).alias("is_target"))
-    deltas = cut(loss_differences(cut(count_pairs(rows, vocabulary)), smoothing))
+    rows = cut(encoded(docs.select("doc_id", "text", F.coalesce(is_target, F.lit(False)).alias("is_target")), vocabulary))
+    deltas = cut(loss_differences(cut(count_pairs(rows)), smoothing))
     if deltas.count() <= broadcast_pairs:
         known = deltas.toArrow()
         pair = known["pair"].to_numpy()
@@ -113,26 +131,26 @@ def score(docs: DataFrame, is_target: Column, vocabulary: str = VOCABULARY,
         model = spark.sparkContext.broadcast((pair[order], known["delta"].to_numpy()[order]))
 
         @F.pandas_udf("n_tokens long, score double")
-        def mean_delta(texts: pd.Series) -> pd.DataFrame:
+        def mean_delta(tokens: pd.Series) -> pd.DataFrame:
             pair, delta = model.value
             out = []
-            for text in texts:
-                codes = pairs_of(text, vocabulary)
+            for ids in tokens:
+                codes = pairs_of(ids)
                 out.append((len(codes), float(delta[np.searchsorted(pair, codes)].mean()) if len(codes) else None))
             return pd.DataFrame(out, columns=["n_tokens", "score"])
 
-        return (rows.select("doc_id", mean_delta(F.col("text")).alias("_s")).select("doc_id", "_s.*"))
-    return _score_by_join(rows, deltas, vocabulary)
+        return rows.select("doc_id", mean_delta(F.col("ids")).alias("_s")).select("doc_id", "_s.*")
+    return _score_by_join(rows, deltas)
 
 
-def _score_by_join(rows: DataFrame, deltas: DataFrame, vocabulary: str) -> DataFrame:
+def _score_by_join(rows: DataFrame, deltas: DataFrame) -> DataFrame:
     """The same scores with the pairs of every document joined to the table."""
     @F.pandas_udf("pair array<long>, n array<long>")
-    def pairs(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([np.unique(pairs_of(t, vocabulary), return_counts=True) for t in texts],
+    def pairs(tokens: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([np.unique(pairs_of(ids), return_counts=True) for ids in tokens],
                             columns=["pair", "n"])
 
-    numbered = cut(rows.select("doc_id", pairs(F.col("text")).alias("_p"))
+    numbered = cut(rows.select("doc_id", pairs(F.col("ids")).alias("_p"))
                    .withColumn("_row", F.monotonically_increasing_id()))
     each = numbered.select("_row", F.explode(F.arrays_zip("_p.pair", "_p.n")).alias("_e"))
     sums = (each.select("_row", F.col("_e.pair").alias("pair"), F.col("_e.n").alias("n")).join(deltas, "pair")

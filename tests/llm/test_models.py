@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfwise.llm import lm_scoring
+from shelfwise.llm.encoding import encoder
 from shelfwise.llm.language_id import UNKNOWN, fit, grams, has_letter, identify
 from shelfwise.llm.queries import op7_language, op8_lm_scoring
 
@@ -51,7 +52,7 @@ def test_held_out_accuracy(spark):
 
 def _brute(rows):
     """doc_id -> mean loss difference, from plain counters."""
-    pairs = [lm_scoring.pairs_of(t).tolist() for _, t, _ in rows]
+    pairs = [lm_scoring.pairs_of(encoder().ids(t).astype("<u2").tobytes()).tolist() for _, t, _ in rows]
     counts = {True: Counter(), False: Counter()}
     for p, (_, _, is_target) in zip(pairs, rows):
         counts[is_target].update(p)
