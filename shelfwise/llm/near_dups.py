@@ -31,7 +31,8 @@ from .components import components
 K = 5
 PICKS = 2
 SKETCHES = 24
-#: Texts under so many words are sketched by shorter k-mers as well.
+#: Shorter k-mers that every text is sketched by as well.  ``sketch_keys`` has
+#: them for texts under so many words, ``candidate_keys`` for the others too.
 SHORT_WORDS = 64
 SHORT_K = 2
 #: Least share of words that an alignment leaves alone.
@@ -60,21 +61,36 @@ def sketch_keys(texts: list[str | None], k: int = K, picks: int = PICKS,
     sketches together; none for texts without words.  Texts under
     ``SHORT_WORDS`` words, where one edit touches most k-mers, get a second
     set from k-mers of ``SHORT_K`` words."""
+    h, lengths = _word_hashes(texts)
+    return _keys(h, lengths, ((k, lengths > 0), (SHORT_K, (lengths > 0) & (lengths < SHORT_WORDS))), picks, sketches)
+
+
+def candidate_keys(texts: list[str | None], picks: int = PICKS, sketches: int = SKETCHES) -> list[list[int]]:
+    """For each text the keys that make it a candidate: sketches from k-mers of
+    ``K`` and of ``SHORT_K`` words, whatever its length."""
+    h, lengths = _word_hashes(texts)
+    return _keys(h, lengths, ((K, lengths > 0), (SHORT_K, lengths > 0)), picks, sketches)
+
+
+def _word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all texts' words in a row, and how many each text has."""
     number: dict[str, int] = {}
     ids, counts = [], []
     for text in texts:
         found = word_list(text) if text else []
         ids.extend([number.setdefault(w, len(number)) for w in found])
         counts.append(len(found))
-    out: list[list[int]] = [[] for _ in texts]
-    lengths = np.array(counts, np.int64)
-    if not lengths.any():
-        return out
     vocabulary = np.empty(len(number), object)
     vocabulary[:] = list(number)
-    h = pd.util.hash_array(vocabulary, categorize=False)[np.array(ids, np.int64)]
-    starts = np.concatenate(([0], np.cumsum(lengths)))[:-1]
-    for size, which in ((k, lengths > 0), (SHORT_K, (lengths > 0) & (lengths < SHORT_WORDS))):
+    hashes = pd.util.hash_array(vocabulary, categorize=False) if number else np.empty(0, np.uint64)
+    return hashes[np.array(ids, np.int64)], np.array(counts, np.int64)
+
+
+def _keys(h: np.ndarray, lengths: np.ndarray, sets: tuple, picks: int, sketches: int) -> list[list[int]]:
+    """Keys of each text by ``sets`` of k and the texts that it is for."""
+    out: list[list[int]] = [[] for _ in lengths]
+    starts = np.cumsum(lengths) - lengths
+    for size, which in sets:
         chosen = np.flatnonzero(which)
         if len(chosen):
             keys = _sketches(h, starts[chosen], lengths[chosen], size, picks, sketches)
@@ -156,7 +172,7 @@ def similar(a: str, b: str, similarity: float = SIMILARITY) -> bool:
 def sketches_of(text: Column) -> Column:
     @F.pandas_udf("array<long>")
     def make(texts: pd.Series) -> pd.Series:
-        return pd.Series(sketch_keys(texts.tolist()))
+        return pd.Series(candidate_keys(texts.tolist()))
 
     return make(text)
 

@@ -136,3 +136,24 @@ def test_query_finds_every_similar_pair(spark):
                 x, y = find(i), find(j)
                 parent[max(x, y)] = min(x, y)
     assert got == {i: find(i) for i in ids}
+
+
+def _meeting(rng, words, share, pairs=150):
+    """Share of pairs that have a key in common: of texts with up to ``words``
+    words, one has scattered other words in place of 1 - ``share`` of them."""
+    from shelfwise.llm.near_dups import candidate_keys
+    vocabulary = [f"w{i}" for i in range(5000)]
+    texts = []
+    for _ in range(pairs):
+        a = rng.choices(vocabulary, k=words)
+        odd = rng.sample(range(words), int((1 - share) * words + 1e-9))
+        texts += [" ".join(a), " ".join(f"x{rng.getrandbits(40)}" if i in set(odd) else w for i, w in enumerate(a))]
+    keys = [set(k) for k in candidate_keys(texts)]
+    return sum(bool(a & b) for a, b in zip(keys[::2], keys[1::2])) / pairs
+
+
+@pytest.mark.parametrize("words", [64, 200, 600])
+def test_recall_by_similarity_of_long_texts(words):
+    rng = random.Random(31)
+    assert all(_meeting(rng, words, share) >= least for share, least in
+               ((0.8, 0.97), (0.825, 0.98), (0.85, 0.99), (0.875, 0.99), (0.9, 1.0), (0.95, 1.0)))
