@@ -157,3 +157,19 @@ def test_recall_by_similarity_of_long_texts(words):
     rng = random.Random(31)
     assert all(_meeting(rng, words, share) >= least for share, least in
                ((0.8, 0.97), (0.825, 0.98), (0.85, 0.99), (0.875, 0.99), (0.9, 1.0), (0.95, 1.0)))
+
+
+def test_pairs_on_both_sides_of_the_short_length_meet():
+    from shelfwise.llm.near_dups import SHORT_WORDS, candidate_keys, similar
+    rng = random.Random(17)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    texts = []
+    for _ in range(200):
+        a = rng.choices(vocabulary, k=66)
+        b = [f"x{rng.getrandbits(40)}" if i in (7, 15, 23, 31, 39, 47, 55) else w for i, w in enumerate(a)]
+        for at in sorted(rng.sample(range(66), 6), reverse=True):
+            del b[at]
+        texts += [" ".join(a), " ".join(b)]
+        assert len(b) == 60 < SHORT_WORDS < len(a) and similar(*texts[-2:])
+    keys = [set(k) for k in candidate_keys(texts)]
+    assert sum(bool(a & b) for a, b in zip(keys[::2], keys[1::2])) >= 195
