@@ -6,14 +6,18 @@ the smallest values.  The sample keeps the order that they have in the text,
 so two texts agree on it only where the same k-mers stand in the same order:
 the sketch follows edit similarity, not just shared vocabulary.
 
-Texts that agree on a sketch (or on two neighbouring ones) are candidates: of
+Texts that agree on a sketch are candidates: of
 two texts whose k-mer sets have the Jaccard similarity J, one sketch agrees with
 a chance of about J ** PICKS, so 24 sketches miss a pair of J = 0.8 once in
 10 ** 10 and one of J = 0.5 once in a thousand.
-Within such a group every text is aligned with the group's smallest text rather
-than with every other, so a group of n texts costs n - 1 alignments.  A banded
-alignment of the words decides.  Classes are the connected components of the
-links; exact copies are one text throughout."""
+Within such a group every text is first aligned with the group's smallest text.
+Those of one component need nothing more, so a group of n near copies costs
+n - 1 alignments.  Texts of a group that are not in one component then meet each
+other: profiles of their words drop pairs that cannot align, the others are
+aligned.  That step reads n ** 2 / 2 pairs of profiles for a group of n unlike
+texts, such as those with a common passage.  A banded alignment of the words
+decides.  Classes are the connected components of the links; exact copies are
+one text throughout."""
 
 from __future__ import annotations
 
@@ -38,6 +42,10 @@ SHORT_K = 2
 #: Least share of words that an alignment leaves alone.
 SIMILARITY = 0.8
 
+#: Buckets of a text's profile, and about how many texts meet at a time.
+BUCKETS = 128
+BLOCK = 128
+
 _WORD = re.compile(r"\w+")
 _NO = np.uint64(0xFFFFFFFFFFFFFFFF)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -67,9 +75,11 @@ def sketch_keys(texts: list[str | None], k: int = K, picks: int = PICKS,
 
 def candidate_keys(texts: list[str | None], picks: int = PICKS, sketches: int = SKETCHES) -> list[list[int]]:
     """For each text the keys that make it a candidate: sketches from k-mers of
-    ``K`` and of ``SHORT_K`` words, whatever its length."""
+    ``K`` and of ``SHORT_K`` words, whatever its length.  Neighbouring sketches
+    together add no pair, as all pairs of a group meet."""
     h, lengths = _word_hashes(texts)
-    return _keys(h, lengths, ((K, lengths > 0), (SHORT_K, lengths > 0)), picks, sketches)
+    keys = _keys(h, lengths, ((K, lengths > 0), (SHORT_K, lengths > 0)), picks, sketches)
+    return [row[:sketches] + row[2 * sketches:3 * sketches] for row in keys]
 
 
 def _word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -185,6 +195,102 @@ def _aligned(a: Column, b: Column, similarity: float) -> Column:
     return check(a, b)
 
 
+def _links(pairs: DataFrame, contents: DataFrame, similarity: float) -> DataFrame:
+    """u and v of the ``pairs`` (node, leader) whose texts align."""
+    return (pairs.join(contents.withColumnRenamed("text", "_a"), "node")
+            .join(contents.select(F.col("node").alias("leader"), F.col("text").alias("_b")), "leader")
+            .filter(_aligned(F.col("_a"), F.col("_b"), similarity))
+            .select(F.col("node").alias("u"), F.col("leader").alias("v")))
+
+
+def profile(text: str) -> bytes:
+    """How many of the text's words fall into each of ``BUCKETS``, at most 255,
+    then the number of words.  An edit changes two buckets by one at most."""
+    h, lengths = _word_hashes([text])
+    counts = np.bincount((_mix(h) % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes() + lengths.astype("<i8").tobytes()
+
+
+def _profiles(items: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    data = np.frombuffer(b"".join(items), np.uint8).reshape(len(items), BUCKETS + 8)
+    return data[:, :BUCKETS].astype(np.int16), data[:, BUCKETS:].copy().view("<i8")[:, 0]
+
+
+def may_align(a: list[bytes], b: list[bytes], roots_a: np.ndarray, roots_b: np.ndarray,
+              similarity: float = SIMILARITY) -> list[tuple[np.ndarray, int]]:
+    """For each text of ``b`` that may align with texts of ``a`` (profiles) of
+    another component: their places in ``a``, and its own.  No pair that aligns
+    is left out: words in a bucket beyond the other's need an edit each."""
+    x, n = _profiles(a)
+    y, m = _profiles(b)
+    out = []
+    for j in range(len(b)):
+        longer = np.maximum(n, m[j])
+        limit = ((1 - similarity) * longer + 1e-9).astype(np.int64)
+        at = np.flatnonzero((roots_a != roots_b[j]) & (np.abs(n - m[j]) <= limit))
+        if len(at):
+            surplus = x[at] - y[j]
+            over = np.maximum(surplus, 0).sum(axis=1)
+            at = at[np.maximum(over, over - surplus.sum(axis=1)) <= limit[at]]
+            if len(at):
+                out.append((at, j))
+    return out
+
+
+def _pairs_of(similarity: float):
+    @F.pandas_udf("array<struct<node:long,leader:long>>")
+    def make(a: pd.Series, a_root: pd.Series, a_profile: pd.Series,
+             b: pd.Series, b_root: pd.Series, b_profile: pd.Series) -> pd.Series:
+        out = []
+        for x, xr, xp, y, yr, yp in zip(a, a_root, a_profile, b, b_root, b_profile):
+            found: set = set()
+            for at, j in may_align(list(xp), list(yp), np.asarray(xr), np.asarray(yr), similarity):
+                found.update((max(int(x[i]), int(y[j])), min(int(x[i]), int(y[j]))) for i in at.tolist())
+            out.append([{"node": u, "leader": v} for u, v in found])
+        return pd.Series(out)
+
+    return make
+
+
+def _unmet(rows: DataFrame, shared: DataFrame, roots: DataFrame, contents: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (node, leader) of ``rows`` (node, key) that share a key, are not in
+    one component by ``roots`` and may align by their profiles, each once.
+
+    A group whose members are in one component has none.  The others' members
+    are dealt into blocks of about ``BLOCK``, and every block meets itself and
+    every other block of its group, each meeting by a key of its own: no group
+    lies in one task, and only pairs that pass the profiles become rows."""
+    at = (shared.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root")))
+    members = rows.join(at, "node")
+    open_ = (members.groupBy("key").agg(F.min("root").alias("_a"), F.max("root").alias("_b"), F.count(F.lit(1)).alias("_n"))
+             .filter((F.col("_a") != F.col("_b")) & (F.col("_n") > 2))        # of two, one has been the leader
+             .select("key", F.ceil(F.col("_n") / BLOCK).cast("int").alias("_of")))
+    members = cut(members.join(open_, "key"))
+    known = cut(members.select("node").distinct().join(contents, "node")
+                .select("node", _profile_of(F.col("text")).alias("profile")))
+    block = F.pmod(F.xxhash64("node"), F.col("_of")).cast("int")
+    blocks = cut(members.join(known, "node")
+                 .groupBy("key", "_of", block.alias("block")).agg(F.collect_list(F.struct("node", "root", "profile")).alias("m")))
+    side = lambda df, name: df.select("key", *[F.col(c) for c in ("_i", "_j") if c in df.columns], F.col("m").alias(name))
+    alone = blocks.select(F.col("m").alias("a"), F.col("m").alias("b"))
+    split = blocks.filter("_of > 1")
+    left = side(split.withColumn("_i", F.col("block")).filter("block < _of - 1")
+                .withColumn("_j", F.explode(F.sequence(F.col("block") + 1, F.col("_of") - 1))), "a")
+    right = side(split.withColumn("_j", F.col("block")).filter("block > 0")
+                 .withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("block") - 1))), "b")
+    meetings = alone.unionByName(left.join(right, ["key", "_i", "_j"]).select("a", "b"))
+    return (meetings.select(F.explode(_pairs_of(similarity)("a.node", "a.root", "a.profile", "b.node", "b.root", "b.profile"))
+                            .alias("_p")).select("_p.node", "_p.leader").distinct())
+
+
+def _profile_of(text: Column) -> Column:
+    @F.pandas_udf("binary")
+    def make(texts: pd.Series) -> pd.Series:
+        return pd.Series([profile(t) for t in texts])
+
+    return make(text)
+
+
 def _classes(docs: DataFrame, similarity: float) -> DataFrame:
     """One row per distinct text: k1, k2, doc_id (smallest), copies, root (the
     class as a number) and class_id (its smallest doc_id)."""
@@ -203,11 +309,11 @@ def _classes(docs: DataFrame, similarity: float) -> DataFrame:
                  .join(distinct.select("node", "k1", "k2"), "node"))
     contents = cut(texts.join(broadcast_if_small(wanted, wanted.count()), ["k1", "k2"])
                    .groupBy("node").agg(F.first("text").alias("text")))
-    links = (pairs.join(contents.withColumnRenamed("text", "_a"), "node")
-             .join(contents.select(F.col("node").alias("leader"), F.col("text").alias("_b")), "leader")
-             .filter(_aligned(F.col("_a"), F.col("_b"), similarity))
-             .select(F.col("node").alias("u"), F.col("leader").alias("v")))
-    roots = components(links)
+    links = cut(_links(pairs, contents, similarity))
+    roots = cut(components(links))
+    rest = cut(_unmet(rows, wanted.select("node"), roots, contents, similarity))
+    if not rest.isEmpty():
+        roots = components(links.unionByName(_links(rest, contents, similarity)))
     placed = (distinct.drop("_keys").join(roots, "node", "left")
               .withColumn("root", F.coalesce("root", "node")))
     # classes of one text need no join; the others' first ids are a table of their

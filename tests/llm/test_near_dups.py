@@ -173,3 +173,35 @@ def test_pairs_on_both_sides_of_the_short_length_meet():
         assert len(b) == 60 < SHORT_WORDS < len(a) and similar(*texts[-2:])
     keys = [set(k) for k in candidate_keys(texts)]
     assert sum(bool(a & b) for a, b in zip(keys[::2], keys[1::2])) >= 195
+
+
+def test_copies_meet_behind_an_unlike_leader(documents):
+    """Texts that share a passage: pairs of them are near copies, though their
+    own parts differ and most groups have an unlike smallest text."""
+    rng = random.Random(23)
+    own = lambda n: [f"o{rng.getrandbits(40)}" for _ in range(n)]
+    passage, rows = own(150), []
+    for i in range(25):
+        part = own(50)
+        changed = list(part)
+        for at in rng.sample(range(50), 38):
+            changed[at] = own(1)[0]
+        rows += [(2 * i, " ".join(passage + part)), (2 * i + 1, " ".join(passage + changed))]
+    rows += [(100 + i, " ".join(passage + own(50))) for i in range(150)]
+    got = {r.doc_id: r.class_id for r in near_duplicates(documents(rows)).collect()}
+    assert got == {i: i - i % 2 if i < 50 else i for i, _ in rows}
+
+
+def test_profiles_drop_no_pair_that_aligns():
+    from shelfwise.llm.near_dups import may_align, profile, similar
+    rng = random.Random(29)
+    texts = []
+    for n in (3, 10, 40, 200, 900):
+        base = rng.choices(WORDS, k=n)
+        texts += [" ".join(w for w in base if rng.random() > cut) for cut in (0, 0.1, 0.2, 0.3) for _ in range(4)]
+    found = {(i, j) for at, j in may_align([profile(t) for t in texts], [profile(t) for t in texts],
+                                           np.zeros(len(texts)), np.ones(len(texts))) for i in at.tolist()}
+    for i, a in enumerate(texts):
+        for j, b in enumerate(texts):
+            assert (i, j) in found or not similar(a, b)
+    assert len(found) < len(texts) ** 2
