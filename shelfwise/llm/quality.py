@@ -4,7 +4,9 @@ One pass takes counts from every whole text.  Ratios of these counts go into
 mergeable quantile sketches: histograms over logarithmic buckets, kept as one
 row per language, source, ratio and bucket, so that partial sketches merge by
 adding counts.  Quartiles read from the sketches give each language and source
-its own fences, and documents are filtered by joining them with their fences.
+its own fences, and documents are filtered by joining them with their fences.  Where
+a ratio is nearly always zero, the upper fence follows the sketch's 95 % quantile
+and the text's own size, so that one repeat in a short text stays.
 
 Sources with few documents use the merged sketch of their language, and
 languages with few documents the merged sketch of all."""
@@ -31,12 +33,18 @@ REACH = 4.0
 #: Characters that count as symbols, and ASCII white space between words.
 _SYMBOLS = b"#*$%&|<>"
 
-#: Ratios: name, smallest spread (for ratios that are nearly always equal) and
-#: whether low values are fenced too.
+#: Ratios: name, the most that the least spread may be (for ratios that are
+#: nearly always equal) and whether low values are fenced too.
 RATIOS = (("symbols_per_word", 0.05, False), ("repeat_share", 0.12, False),
           ("dup_line_share", 0.1, False), ("upper_share", 0.04, False),
           ("chars_per_word", 0.5, True))
 
+#: The least spread of these is read from the sketch (95 % quantile less upper
+#: quartile), but is at least one event of so many in the text's own count: a
+#: symbol, two windows of three words, a line, a word in capitals.
+EVENTS = {"symbols_per_word": (1, "n_words"), "repeat_share": (6, "n_words"),
+          "dup_line_share": (1, "n_lines"), "upper_share": (6, "word_chars")}
+
 _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper")
 
 
@@ -126,9 +134,11 @@ def quantiles(sketch: DataFrame, keys: list[str], levels: dict[str, float]) -> D
 
 
 def fences(sketch: DataFrame, min_docs: int = MIN_DOCS, reach: float = REACH) -> DataFrame:
-    """``lang``, ``source`` and the map ``fence`` from ratio to its bounds
-    (low, high), for every language and source in ``sketch``."""
-    levels = {"q1": 0.25, "q2": 0.5, "q3": 0.75}
+    """``lang``, ``source`` and the map ``fence`` from ratio to its bounds, for
+    every language and source in ``sketch``.  A value may be from ``low`` to
+    ``high``, or to ``each`` events of its text over ``base`` where that is more,
+    but not over ``most``."""
+    levels = {"q1": 0.25, "q2": 0.5, "q3": 0.75, "q95": 0.95}
     own = quantiles(sketch, ["lang", "source", "ratio"], levels)
     by_lang = quantiles(sketch, ["lang", "ratio"], levels)
     overall = quantiles(sketch, ["ratio"], levels)
@@ -146,8 +156,12 @@ def fences(sketch: DataFrame, min_docs: int = MIN_DOCS, reach: float = REACH) ->
         least = F.when(F.col("ratio") == name, F.lit(spread)).otherwise(least)
         low_too = F.when(F.col("ratio") == name, F.lit(both)).otherwise(low_too)
     spread = F.greatest(F.col("q.q3") - F.col("q.q1"), least) * reach
+    derived = F.greatest(F.col("q.q3") - F.col("q.q1"), F.least(F.col("q.q95") - F.col("q.q3"), least)) * reach
+    counted = F.col("ratio").isin(*EVENTS)
     bounds = F.struct(F.when(low_too, F.col("q.q1") - spread).alias("low"),
-                      (F.col("q.q3") + spread).alias("high"))
+                      (F.col("q.q3") + F.when(counted, derived).otherwise(spread)).alias("high"),
+                      F.col("q.q3").alias("base"), F.lit(float(reach)).alias("each"),
+                      (F.col("q.q3") + spread).alias("most"))
     return (rows.select("lang", "source", F.struct("ratio", bounds.alias("bounds")).alias("_b"))
             .groupBy("lang", "source").agg(F.map_from_entries(F.collect_list("_b")).alias("fence")))
 
@@ -164,7 +178,12 @@ def with_verdict(rows: DataFrame, limits: DataFrame) -> DataFrame:
     failed = F.lit(None).cast("string")
     for name, value in reversed(_ratios(F.col("c")).items()):
         bound = F.col("_fence")[name]
-        outside = (value > bound["high"]) | F.coalesce(value < bound["low"], F.lit(False))
+        high = bound["high"]
+        if name in EVENTS:
+            size, of = EVENTS[name]
+            event = F.lit(size) / F.greatest(F.col("c")[of], F.lit(1))
+            high = F.greatest(high, F.least(bound["base"] + bound["each"] * event, bound["most"]))
+        outside = (value > high) | F.coalesce(value < bound["low"], F.lit(False))
         failed = F.when(outside, F.lit(name)).otherwise(failed)
     failed_base = base_failed(F.col("c"))
     return (joined.withColumn("base_failed", failed_base).withColumn("failed_ratio", failed)

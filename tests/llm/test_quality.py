@@ -95,3 +95,17 @@ def test_query_against_brute_force(spark):
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == brute
         assert r.base_failed == (brute[0] < 50 or 100 * brute[4] > 50 * brute[0])
         assert not (r.kept and r.base_failed)
+
+
+def test_repeats_that_are_unusual_in_a_source_are_rejected(documents):
+    """Well below the base rule's half, in long texts; one repeat in a short text stays."""
+    rng = random.Random(12)
+    half = lambda n: (lambda words: " ".join(words + [w for _ in range(2) for w in words[:n // 5]]))(_text(rng, n).split())
+    rows = [(i, _text(rng, 200), "en", "plain") for i in range(60)]
+    rows += [(100 + i, half(200), "en", "refrains") for i in range(60)]
+    rows += [(200, half(200), "en", "plain"), (201, (lambda t: f"{t} {' '.join(t.split()[:8])}")(_text(rng, 55)), "en", "plain")]
+    got = {r.doc_id: r for r in judge(documents(rows), min_docs=20).collect()}
+    assert 0.3 < got[200].n_repeat_words / got[200].n_words < 0.48
+    assert got[200].failed_ratio == "repeat_share" and not got[200].base_failed
+    assert got[201].kept and got[201].n_repeat_words == 16
+    assert all(got[i].kept and got[100 + i].kept for i in range(60))
