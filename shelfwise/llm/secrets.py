@@ -31,6 +31,16 @@ class Rule:
     version: int = 1
 
 
+#: A private key from its header to the END of the same label, or where that is
+#: missing to the end of the armour headers and base64 lines (line ends may be
+#: escaped).  All repetition but that of the label's words is possessive, and
+#: the search for END stops at the next BEGIN, so time is linear.
+_PEM = (r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?)-----"
+        r"(?:[^-]*+(?:-(?!----(?:BEGIN|END) )[^-]*+)*+-----END \1-----"
+        r"|(?:(?:[\x20\t\r\n]|\\[rn])*+(?:[A-Za-z][A-Za-z0-9-]*+:\x20[^\r\n\\]*+(?=[\r\n\\])|[A-Za-z0-9+/=]{16,}+))++"
+        r"(?:(?:[\x20\t]*+(?:\r?\n|\\[rn]))++[A-Za-z0-9+/=]++(?![^\r\n\\\"',;])){0,2}+"
+        r"|)")
+
 #: In the order in which kinds are listed where spans start together.
 RULES = (
     Rule("assign", r"""(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]"""
@@ -38,7 +48,7 @@ RULES = (
          group=1, least=6),
     Rule("access", r"AKIA[A-Z0-9]+", least=20),
     Rule("hex", r"[0-9a-f]+", least=24),
-    Rule("pem", r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----"),
+    Rule("pem", _PEM, version=2),
 )
 
 LEDGER = "blob binary, kind string, version int"
