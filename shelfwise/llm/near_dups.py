@@ -77,7 +77,10 @@ def candidate_keys(texts: list[str | None], picks: int = PICKS, sketches: int =
     """For each text the keys that make it a candidate: sketches from k-mers of
     ``K`` and of ``SHORT_K`` words, whatever its length.  Neighbouring sketches
     together add no pair, as all pairs of a group meet."""
-    h, lengths = _word_hashes(texts)
+    return _candidates(*_word_hashes(texts), picks, sketches)
+
+
+def _candidates(h: np.ndarray, lengths: np.ndarray, picks: int = PICKS, sketches: int = SKETCHES) -> list[list[int]]:
     keys = _keys(h, lengths, ((K, lengths > 0), (SHORT_K, lengths > 0)), picks, sketches)
     return [row[:sketches] + row[2 * sketches:3 * sketches] for row in keys]
 
@@ -179,10 +182,12 @@ def similar(a: str, b: str, similarity: float = SIMILARITY) -> bool:
     return within(x, y, limit)
 
 
-def sketches_of(text: Column) -> Column:
-    @F.pandas_udf("array<long>")
-    def make(texts: pd.Series) -> pd.Series:
-        return pd.Series(candidate_keys(texts.tolist()))
+def sketched(text: Column) -> Column:
+    """A struct of each text's candidate ``keys`` and its ``profile``."""
+    @F.pandas_udf("keys array<long>, profile binary")
+    def make(texts: pd.Series) -> pd.DataFrame:
+        h, lengths = _word_hashes(texts.tolist())
+        return pd.DataFrame({"keys": _candidates(h, lengths), "profile": _profile_bytes(h, lengths)})
 
     return make(text)
 
@@ -195,20 +200,49 @@ def _aligned(a: Column, b: Column, similarity: float) -> Column:
     return check(a, b)
 
 
-def _links(pairs: DataFrame, contents: DataFrame, similarity: float) -> DataFrame:
-    """u and v of the ``pairs`` (node, leader) whose texts align."""
-    return (pairs.join(contents.withColumnRenamed("text", "_a"), "node")
+def _links(pairs: DataFrame, distinct: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """u and v of the ``pairs`` (node, leader) whose texts align.  Only texts
+    of pairs that may align by their profiles move."""
+    profiles = distinct.select("node", F.col("_profile").alias("_a"))
+    close = cut(pairs.join(profiles, "node").join(profiles.toDF("leader", "_b"), "leader")
+                .filter(_close(F.col("_a"), F.col("_b"), similarity)).select("node", "leader"))
+    wanted = cut(close.select(F.explode(F.array("node", "leader")).alias("node")).distinct()
+                 .join(distinct.select("node", "k1", "k2"), "node"))
+    contents = cut(texts.join(broadcast_if_small(wanted, wanted.count()), ["k1", "k2"])
+                   .groupBy("node").agg(F.first("text").alias("text")))
+    return (close.join(contents.withColumnRenamed("text", "_a"), "node")
             .join(contents.select(F.col("node").alias("leader"), F.col("text").alias("_b")), "leader")
             .filter(_aligned(F.col("_a"), F.col("_b"), similarity))
             .select(F.col("node").alias("u"), F.col("leader").alias("v")))
 
 
+def _close(a: Column, b: Column, similarity: float) -> Column:
+    """Whether two texts may align by their profiles."""
+    @F.pandas_udf("boolean")
+    def check(left: pd.Series, right: pd.Series) -> pd.Series:
+        if not len(left):
+            return pd.Series([], dtype=bool)
+        x, n = _profiles(left.tolist())
+        y, m = _profiles(right.tolist())
+        limit = ((1 - similarity) * np.maximum(n, m) + 1e-9).astype(np.int64)
+        surplus = x - y
+        over = np.maximum(surplus, 0).sum(axis=1)
+        return pd.Series((np.abs(n - m) <= limit) & (np.maximum(over, over - surplus.sum(axis=1)) <= limit))
+
+    return check(a, b)
+
+
 def profile(text: str) -> bytes:
     """How many of the text's words fall into each of ``BUCKETS``, at most 255,
     then the number of words.  An edit changes two buckets by one at most."""
-    h, lengths = _word_hashes([text])
-    counts = np.bincount((_mix(h) % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
-    return np.minimum(counts, 255).astype(np.uint8).tobytes() + lengths.astype("<i8").tobytes()
+    return _profile_bytes(*_word_hashes([text]))[0]
+
+
+def _profile_bytes(h: np.ndarray, lengths: np.ndarray) -> list[bytes]:
+    buckets = (_mix(h) % np.uint64(BUCKETS)).astype(np.int64)
+    ends = np.cumsum(lengths)
+    return [np.minimum(np.bincount(buckets[end - n:end], minlength=BUCKETS), 255).astype(np.uint8).tobytes()
+            + np.int64(n).astype("<i8").tobytes() for end, n in zip(ends, lengths)]
 
 
 def _profiles(items: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -252,7 +286,7 @@ def _pairs_of(similarity: float):
     return make
 
 
-def _unmet(rows: DataFrame, shared: DataFrame, roots: DataFrame, contents: DataFrame, similarity: float) -> DataFrame:
+def _unmet(rows: DataFrame, distinct: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
     """Pairs (node, leader) of ``rows`` (node, key) that share a key, are not in
     one component by ``roots`` and may align by their profiles, each once.
 
@@ -260,14 +294,12 @@ def _unmet(rows: DataFrame, shared: DataFrame, roots: DataFrame, contents: DataF
     are dealt into blocks of about ``BLOCK``, and every block meets itself and
     every other block of its group, each meeting by a key of its own: no group
     lies in one task, and only pairs that pass the profiles become rows."""
-    at = (shared.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root")))
-    members = rows.join(at, "node")
+    members = rows.join(roots, "node", "left").select("node", "key", F.coalesce("root", "node").alias("root"))
     open_ = (members.groupBy("key").agg(F.min("root").alias("_a"), F.max("root").alias("_b"), F.count(F.lit(1)).alias("_n"))
              .filter((F.col("_a") != F.col("_b")) & (F.col("_n") > 2))        # of two, one has been the leader
              .select("key", F.ceil(F.col("_n") / BLOCK).cast("int").alias("_of")))
     members = cut(members.join(open_, "key"))
-    known = cut(members.select("node").distinct().join(contents, "node")
-                .select("node", _profile_of(F.col("text")).alias("profile")))
+    known = distinct.select("node", F.col("_profile").alias("profile"))
     block = F.pmod(F.xxhash64("node"), F.col("_of")).cast("int")
     blocks = cut(members.join(known, "node")
                  .groupBy("key", "_of", block.alias("block")).agg(F.collect_list(F.struct("node", "root", "profile")).alias("m")))
@@ -283,38 +315,26 @@ def _unmet(rows: DataFrame, shared: DataFrame, roots: DataFrame, contents: DataF
                             .alias("_p")).select("_p.node", "_p.leader").distinct())
 
 
-def _profile_of(text: Column) -> Column:
-    @F.pandas_udf("binary")
-    def make(texts: pd.Series) -> pd.Series:
-        return pd.Series([profile(t) for t in texts])
-
-    return make(text)
-
-
 def _classes(docs: DataFrame, similarity: float) -> DataFrame:
     """One row per distinct text: k1, k2, doc_id (smallest), copies, root (the
     class as a number) and class_id (its smallest doc_id)."""
     python_workers(docs.sparkSession)
     texts = docs.filter(F.col("text").isNotNull()).select("doc_id", *text_key(F.col("text")), "text")
-    distinct = cut(texts.withColumn("_keys", sketches_of(F.col("text"))).groupBy("k1", "k2")
+    distinct = cut(texts.withColumn("_s", sketched(F.col("text"))).groupBy("k1", "k2")
                    .agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"),
-                        F.first("_keys").alias("_keys"))
+                        F.first("_s.keys").alias("_keys"), F.first("_s.profile").alias("_profile"))
                    .withColumn("node", F.monotonically_increasing_id()))
     rows = distinct.select("node", F.explode("_keys").alias("key"))
     leaders = (rows.groupBy("key").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("_n"))
                .filter(F.col("_n") > 1).drop("_n"))
-    pairs = cut(rows.join(leaders, "key").filter(F.col("node") != F.col("leader"))
-                .select("node", "leader").distinct())
-    wanted = cut(pairs.select(F.explode(F.array("node", "leader")).alias("node")).distinct()
-                 .join(distinct.select("node", "k1", "k2"), "node"))
-    contents = cut(texts.join(broadcast_if_small(wanted, wanted.count()), ["k1", "k2"])
-                   .groupBy("node").agg(F.first("text").alias("text")))
-    links = cut(_links(pairs, contents, similarity))
+    shared = cut(rows.join(leaders, "key"))
+    pairs = cut(shared.filter(F.col("node") != F.col("leader")).select("node", "leader").distinct())
+    links = cut(_links(pairs, distinct, texts, similarity))
     roots = cut(components(links))
-    rest = cut(_unmet(rows, wanted.select("node"), roots, contents, similarity))
+    rest = cut(_unmet(shared.select("node", "key"), distinct, roots, similarity))
     if not rest.isEmpty():
-        roots = components(links.unionByName(_links(rest, contents, similarity)))
-    placed = (distinct.drop("_keys").join(roots, "node", "left")
+        roots = components(links.unionByName(_links(rest, distinct, texts, similarity)))
+    placed = (distinct.drop("_keys", "_profile").join(roots, "node", "left")
               .withColumn("root", F.coalesce("root", "node")))
     # classes of one text need no join; the others' first ids are a table of their
     # own, so a large class is summed before it moves and split where it is joined
