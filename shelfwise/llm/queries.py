@@ -4,6 +4,7 @@ from the operator's output."""
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,12 +14,15 @@ from .chat import conversations, digests, linear_threads
 from .common import table
 from .decontamination import contamination
 from .language_id import identify
+from .licenses import license_spans, verdicts
 from .lm_scoring import labelled_good, score
 from .near_dups import near_duplicates
 from .packing import pack
+from .periodic_runs import periodic_runs
 from .quality import judge
 from .secrets import RULES, empty_findings, empty_ledger, scan_versions
 from .sharding import shard_documents
+from .spelling import variants, word_counts
 from .token_counts import length_histogram, suffix_sums
 
 
@@ -100,6 +104,68 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op11_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and template spans of every document."""
+    found = verdicts(license_spans(table(spark, sf_dir, "documents")))
+    joined = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+    return found.select("doc_id", "n_words", F.size("phrases").cast("long").alias("n_base"),
+                        F.array_min("phrases.start").alias("first_word"), F.array_max("phrases.start").alias("last_word"),
+                        joined(F.col("phrases.label")).alias("base_labels"), joined(F.col("labels")).alias("labels"), "score")
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words in every document, a tenth of them made periodic."""
+    found = periodic_runs(with_periods(table(spark, sf_dir, "documents")))
+    denser = lambda best, r: best.isNull() | (r["length"] * best["period"] > best["length"] * r["period"])
+    nothing = F.lit(None).cast("struct<start:long,length:long,period:long>")
+    best = F.reduce("runs", nothing, lambda best, r: F.when(denser(best, r), r).otherwise(best))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]),
+                                                                F.lit("\n"))), "")
+    return (found.withColumn("_best", best)
+            .select("doc_id", F.size("runs").cast("long").alias("n_runs"), "_best.start", "_best.length", "_best.period",
+                    F.expr("1000 * _best.length div _best.period").alias("exponent_milli"),
+                    F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256")))
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """doc_id and text of ``docs``, where the words of every tenth document by
+    the crc32 h of its id repeat from a place on: word i from a = g % n on
+    becomes word a + (i - a) % p, with g = h div 10 and p = 1 + (n - a) div
+    (3 + g % 8)."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    chosen = F.coalesce((h % 10 == 0) & F.col("text").isNotNull(), F.lit(False))
+    words = F.when(chosen, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    rows = docs.select("doc_id", "text", words.alias("_w"), F.expr("crc32(cast(doc_id AS string)) div 10").alias("_g"))
+    rows = rows.withColumn("_n", F.size("_w")).withColumn("_a", F.when(F.col("_n") > 0, F.col("_g") % F.col("_n")).cast("int"))
+    rows = rows.withColumn("_p", F.expr("cast(1 + (_n - _a) div (3 + _g % 8) AS int)"))
+    again = F.expr("concat(slice(_w, 1, _a), slice(flatten(array_repeat(slice(_w, _a + 1, _p),"
+                   " cast(ceil((_n - _a) / _p) AS int))), 1, _n - _a))")
+    return rows.select("doc_id", F.when(F.col("_n") > 0, F.array_join(again, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants among the words of all documents, some with a letter
+    left out."""
+    return variants(word_counts(table(spark, sf_dir, "documents"), change=letter_left_out))
+
+
+def letter_left_out(doc_id) -> Callable[[str], str]:
+    """For a document's words: where 97 divides the crc32 h of
+    ``<doc_id>:<word>``, the word without its code point h % length."""
+    if doc_id is None:
+        return lambda word: word
+    seed = zlib.crc32(f"{doc_id}:".encode())
+
+    def change(word: str) -> str:
+        h = zlib.crc32(word.encode(), seed)
+        if h % 97:
+            return word
+        at = h % len(word)
+        return word[:at] + word[at + 1:]
+
+    return change
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
     "op2_near_dups": op2_near_dups,
@@ -111,6 +177,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_sharding": op9_sharding,
     "op10_decontamination": op10_decontamination,
+    "op11_licenses": op11_licenses,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_spelling": op13_spelling,
 }
 
 #: DuckDB SQL for the queries that SQL can express.

@@ -19,3 +19,8 @@ CLASHES = ("k1", "k2", "node", "size", "shard", "kept", "c", "_doc", "blob", "co
 @pytest.fixture
 def clashes():
     return CLASHES
+
+
+@pytest.fixture
+def sf_dir():
+    return "/root/testdata/sf0.001"
