@@ -27,6 +27,7 @@ from shelfwise.operators.windows import decline_rule
 from shelfwise.plans import decline_report as K4
 from shelfwise.plans import margin_report as K5
 from shelfwise.plans import popular_match as K1
+from shelfwise.plans import run_ledger as PUB
 from shelfwise.plans import size_report as K6
 from shelfwise.plans import views as K7
 from shelfwise.plans.weekly import REPORT_MONDAY, for_week
@@ -96,7 +97,7 @@ def do_sell_of_week(spark, d, run_date):
                       S.popular(spark, d), run_date, n=N_TOP, account=US)
 
 
-def stored_do_sell(spark, d):
+def stored_do_sell(spark, d, with_week=False):
     """The do_sell table that the weekly runs of four Mondays appended.  It is
     written once per session and read by the views and the operators over it."""
     stored = spark.__dict__.setdefault("_shelfwise_tables", {})
@@ -106,7 +107,8 @@ def stored_do_sell(spark, d):
             SINK.append_table(for_week(do_sell_of_week(spark, d, run_date), run_date), path,
                               partition_by=[REPORT_MONDAY])
         stored[d] = path
-    return spark.read.parquet(stored[d]).drop(REPORT_MONDAY)
+    table = spark.read.parquet(stored[d])
+    return table if with_week else table.drop(REPORT_MONDAY)
 
 
 def _ads_us(spark, d):
@@ -122,6 +124,22 @@ def s8_product_report(spark, d):
     return rounded(AN.product_report(S.hits(spark, d)))
 
 
+def s8_report_request(spark, d):
+    """The request as it is sent: users of a country, their hits from one
+    source, the segment named freely."""
+    return rounded(AN.segment_report(S.hits(spark, d), where=AN.from_source(), name="US users, paid clicks"))
+
+
+def s8_weekly_buyers(spark, d):
+    """Distinct buyers per week from stored daily bitmaps only."""
+    path = FX.scratch_path(spark, "daily-buyers")
+    SINK.append_table(AN.daily_buyers(S.hits(spark, d)), path, partition_by=["date"])
+    stored = spark.read.schema("date string, productName string, productSku string, country string, block long, "
+                               "buyers binary").parquet(path)
+    week = D.week_number(F.to_date("date", "yyyyMMdd")).alias("weekNum")
+    return AN.buyers_over_days(stored, [week, "productSku", "country"])
+
+
 def s9_size_report(spark, d):
     return rounded(AN.size_report(S.hits(spark, d)))
 
@@ -151,6 +169,14 @@ def j2_gtin_prefix_join(spark, d):
     return rounded(_prefix_rows(spark, d))
 
 
+def j2_heavy_key(spark, d):
+    """Half of the feed has short codes, so all of it meets on the empty key."""
+    short = F.col("GTIN").substr(-1, 1).cast("int") % 2 == 0
+    feed = S.feed(spark, d).withColumn("GTIN", F.when(short, "7").otherwise(F.col("GTIN")))
+    ranking = _ranking(spark, d).withColumn("GTIN", F.when(F.col("Pop") <= 3, "12").otherwise(F.col("GTIN")))
+    return J.gtin_prefix_join(feed, ranking, heavy_share=1 / 16)
+
+
 def j3_match_rows(spark, d):
     return rounded(_match_rows(spark, d))
 
@@ -510,6 +536,33 @@ def s2_ranking_csv(spark, d):
     return rounded(read_ranking(spark, path, S.DEFAULT_RUN_DATE))
 
 
+def s2_mixed_headers(spark, d):
+    """Two ranking files in one folder: one with reversed columns, one without
+    a column; read at once."""
+    path, report = FX.scratch_path(spark, "ranking-mixed"), S.ranking_report(spark, d)
+    odd = F.col("Popularity rank") % 2 == 1
+    FX.write_ranking_csv(report.filter(odd).select(*report.columns[::-1]), f"{path}/a")
+    FX.write_ranking_csv(report.filter(~odd).drop("Brand inventory status"), f"{path}/b")
+    return rounded(read_ranking(spark, [f"{path}/a", f"{path}/b"], S.DEFAULT_RUN_DATE, gtin_text=True))
+
+
+def s1_feed_bad_items(spark, d):
+    """A feed in which every seventh item has a wrong end tag and every
+    eleventh has none: all others are rows, these are diverted."""
+    path = FX.scratch_path(spark, "feed-broken")
+    p = S.table(spark, d, "part").select("p_partkey", "p_size")
+    key, bad, open_ = F.col("p_partkey").cast("string"), F.col("p_partkey") % 7 == 0, F.col("p_partkey") % 11 == 0
+    item = F.concat(F.lit("<item><g:item_group_id>g"), key, F.lit("</g:item_group_id><g:id>"), key,
+                    F.when(bad, "</g:idd>").otherwise("</g:id>"), F.lit("<g:size>"), F.col("p_size").cast("string"),
+                    F.when(open_, "</g:size>").otherwise("</g:size></item>"))
+    p.select(item).write.text(f"{path}/feed")
+    rows = read_feed(spark, f"{path}/feed", shape="size", divert_to=f"{path}/bad")
+    diverted = spark.read.schema("value string").json(f"{path}/bad")
+    return rows.select("ID", "Size", F.lit(False).alias("diverted")).unionByName(diverted.select(
+        F.regexp_extract("value", "<g:id>([0-9]+)", 1).alias("ID"), F.lit(None).cast("string").alias("Size"),
+        F.lit(True).alias("diverted")))
+
+
 def s3_ads_csv(spark, d):
     path = FX.scratch_path(spark, "ads-csv")
     FX.write_ads_report(S.ads(spark, d), path)
@@ -542,6 +595,18 @@ def s6_analytics_json(spark, d):
     return _responses(spark, d)
 
 
+def s6_analytics_variant(spark, d):
+    """Responses stored with the columns that nobody listed as one VARIANT; a
+    name unknown when they were read is taken from the stored table."""
+    path, table = FX.scratch_path(spark, "analytics-json"), FX.scratch_path(spark, "analytics-variant")
+    FX.write_analytics_responses(S.analytics(spark, d), path, AN_DIMENSIONS, AN_METRICS)
+    flat = AN.flatten_responses(AN.read_responses(spark, path), ["ga:date", "ga:productSku"], others="others")
+    SINK.append_table(flat, table)
+    stored = spark.read.parquet(table)
+    return stored.select("ga:date", "ga:productSku", *[
+        AN.other_field(name).alias(name) for name in ("ga:country", "ga:itemRevenue", "ga:nothing")])
+
+
 def s7_analytics_rename(spark, d):
     return AN.rename_fields(_responses(spark, d))
 
@@ -554,6 +619,39 @@ def s12_append_sink(spark, d):
     return rounded(spark.read.parquet(path))
 
 
+def s12_run_ledger(spark, d):
+    """Reports of two weeks published as runs: one run is repeated, one is
+    superseded, one stops before its ledger entry.  Read back as published."""
+    out = FX.scratch_path(spark, "published")
+    week = lambda run: (ADS.last_week(S.ads(spark, d), run), D.report_days(S.analytics(spark, d), D.reporting_week(run)))
+    for run in RUN_DATES[1:3]:
+        monday = D.reporting_week(run)[0]
+        sizes, margins = K6.sizes(*week(run)), K5.margins(S.feed(spark, d), *week(run), lower_ads_gid=True)
+        if run == RUN_DATES[1]:
+            PUB.publish({"sizes": sizes.limit(3), "margins": margins.limit(3)}, out, monday, "first-try")
+        PUB.publish({"sizes": sizes, "margins": margins}, out, monday, "final")
+        PUB.publish({"sizes": sizes.limit(0), "margins": margins}, out, monday, "final")      # there already
+        stopped = sizes.withColumns({REPORT_MONDAY: F.lit(monday), PUB.RUN_ID: F.lit("stopped")})
+        SINK.append_table(stopped, f"{out}/sizes", [REPORT_MONDAY, PUB.RUN_ID])
+    return rounded(PUB.read_published(spark, out, "sizes"))
+
+
+def u1_latest_pull(spark, d):
+    """Three overlapping pulls of the ad report: two weeks, then a corrected
+    one from the second week on; the third is older than both and comes last."""
+    from shelfwise.streaming import ads_pulls, land_pulls, read_days
+    landing, table = FX.scratch_path(spark, "pull-landing"), FX.scratch_path(spark, "pull-table")
+    ckpt, ads = FX.scratch_path(spark, "pull-ckpt"), S.ads(spark, d)
+    pulls = [("2024-01-15", ads.filter(F.col("Date") < "2024-01-15").withColumn("Clicks", F.lit(0).cast("long"))),
+             ("2024-01-29", ads.filter(F.col("Date") >= "2024-01-08")),
+             ("2024-01-02", ads.filter(F.col("Date") < "2024-01-10").withColumn("Cost", F.lit(0).cast("long")))]
+    for pull, rows in pulls:
+        FX.write_ads_report(rows, f"{landing}/pull={pull}")
+        land_pulls(ads_pulls(spark, landing), table, ckpt)
+    return rounded(read_days(spark, table).select("pull", "Date", "GID", "OfferID", "Account", "Impressions", "Clicks",
+                                                  "Cost", "ConversionValue"))
+
+
 def u1_stream_ingest(spark, d):
     """U1 + S12 incrementally: report files landed in a folder, ingested by
     an available-now Structured Streaming run, read back from the table."""
@@ -572,7 +670,18 @@ def s13_csv_dump(spark, d):
     return rounded(spark.read.schema(report.schema).option("header", "true").csv(path))
 
 
+def do_sell_by_month_states(spark, d):
+    """K7 from stored states of four weeks, one of which was replaced."""
+    path = FX.scratch_path(spark, "month-states")
+    table = stored_do_sell(spark, d, with_week=True)
+    replaced = D.reporting_week(RUN_DATES[2])[0]
+    wrong = table.filter(F.col(REPORT_MONDAY) == F.lit(replaced)).withColumn("Clicks", F.col("Clicks") + 1000)
+    K7.store_view_states(table.filter(F.col(REPORT_MONDAY) != F.lit(replaced)).unionByName(wrong), path, "monthNum")
+    K7.store_view_states(table.filter(F.col(REPORT_MONDAY) == F.lit(replaced)), path, "monthNum")
+    return rounded(K7.do_sell_by_month_from_states(spark.read.parquet(path)), lift=LIFT)
+
+
 OPERATORS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in globals().items()
     if callable(fn) and name[:1] in "sjawoupf" and name[1:2].isdigit()
-}
+} | {"do_sell_by_month_states": do_sell_by_month_states}

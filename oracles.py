@@ -161,7 +161,11 @@ FROM {rows} GROUP BY ALL"""
 
 
 def _view(period: str, alias: str, clicks: str) -> str:
-    return _stored(_rollup(period, alias, clicks, "(FROM ds WHERE ID IN (SELECT ID FROM ds WHERE Pop IS NOT NULL))"))
+    """As the view is defined: IDs with a row whose Pop is among all groups'
+    smallest ones, joined to the table."""
+    smallest = f"(SELECT min(Pop) FROM ds GROUP BY ID, {period}, yearNum)"
+    chosen = f"(SELECT ID, avg(Pop) AS mean_pop FROM ds WHERE Pop IN {smallest} GROUP BY ID)"
+    return _stored(_rollup(period, alias, clicks, f"(SELECT ds.* FROM ds JOIN {chosen} x ON ds.ID = x.ID)"))
 
 
 FIRST_RANKS = "(SELECT DISTINCT min(Pop) OVER (PARTITION BY ID, monthNum, yearNum) AS Pop FROM ds)"
@@ -308,21 +312,6 @@ h AS (
   FROM events)"""
 
 
-def _report(source: str, dims: str) -> str:
-    return f"""
-SELECT {dims},
-  CAST(SUM(CASE WHEN event_type = 'purchase' THEN cents ELSE 0 END) AS BIGINT) AS itemRevenue,
-  CAST(SUM(CASE WHEN event_type = 'purchase' THEN quantity ELSE 0 END) AS BIGINT) AS itemQuantity,
-  COUNT(DISTINCT CASE WHEN event_type = 'purchase' THEN user_id END) AS uniquePurchases,
-  CAST(SUM(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) AS BIGINT) AS quantityAddedToCart,
-  round(CAST(COUNT(DISTINCT CASE WHEN event_type = 'purchase' THEN user_id END) AS DOUBLE)
-        / nullif(CAST(SUM(CASE WHEN event_type = 'view' THEN 1 ELSE 0 END) AS DOUBLE), 0) * 100, 6)
-        AS buyToDetailRate
-FROM {source} GROUP BY {dims}"""
-
-
-
-
 def _report(source: str, dims: str, extra: str = "") -> str:
     bought = "FILTER (event_type = 'purchase')"
     return f"""
@@ -370,12 +359,17 @@ formed AS (
          ELSE CAST(CAST(GTIN AS BIGINT) AS VARCHAR) || if(src = 'a', '.0', '') END AS GTIN FROM dirty)"""
 
 OPERATORS = {
+    "do_sell_by_month_states": PIPELINES["do_sell_by_month"],
     # ------------------------------------------------------------ sources
     "s1_feed_xml": _plain("SELECT GID, ID, GTIN, IMG, BRAND FROM feed"),
     "s1_feed_margins": _plain("SELECT Margin, GID, BRAND AS Brand FROM feed"),
     "s1_feed_decline": _plain("SELECT GID, IMG, BRAND AS Brand FROM feed"),
     "s1_feed_size": _plain("SELECT Size, ID FROM feed"),
     "s2_ranking_csv": _plain(f"SELECT {POP_COLS} FROM popular"),
+    "s2_mixed_headers": _plain(f"SELECT * REPLACE (if(Pop % 2 = 1, BrandInventoryStatus, NULL) AS BrandInventoryStatus) "
+                               f"FROM (SELECT {POP_COLS} FROM popular)"),
+    "s1_feed_bad_items": "SELECT CAST(p_partkey AS VARCHAR) AS ID, if(p_partkey % 7 = 0 OR p_partkey % 11 = 0, NULL, "
+                         "CAST(p_size AS VARCHAR)) AS Size, p_partkey % 7 = 0 OR p_partkey % 11 = 0 AS diverted FROM part",
     "s3_ads_csv": _plain(f"SELECT {ADS_COLS} FROM ads"),
     "s3_ads_mixed_headers": _plain(f"SELECT {ADS_COLS} FROM ads"),
     "s4_last_week_ads": _plain(
@@ -389,17 +383,26 @@ OPERATORS = {
         'CAST(itemRevenue AS VARCHAR) AS "ga:itemRevenue", '
         'CAST(buyToDetailRate AS VARCHAR) AS "ga:buyToDetailRate", '
         'CAST(itemQuantity AS VARCHAR) AS "ga:itemQuantity" FROM analytics'),
+    "s6_analytics_variant": _plain(
+        'SELECT date AS "ga:date", productSku AS "ga:productSku", country AS "ga:country", '
+        'CAST(itemRevenue AS VARCHAR) AS "ga:itemRevenue", CAST(NULL AS VARCHAR) AS "ga:nothing" FROM analytics'),
     "s7_analytics_rename": _plain(
         "SELECT date, productName, productSku, country, size, productType, "
         "CAST(itemRevenue AS VARCHAR) AS itemRevenue, CAST(buyToDetailRate AS VARCHAR) AS buyToDetailRate, "
         "CAST(itemQuantity AS VARCHAR) AS itemQuantity FROM analytics"),
     "s8_product_report": f"WITH {HITS}" + _report("h", PRODUCT_DIMS),
+    "s8_report_request": f"WITH {HITS}" + _report(f"(FROM {SEGMENT} WHERE sourceMedium = 'google / cpc')", PRODUCT_DIMS,
+                                                   "'US users, paid clicks' AS segment, "),
+    "s8_weekly_buyers": f"WITH {HITS}\nSELECT {WEEK.format(DAY)} AS weekNum, productSku, country, "
+                        "count(DISTINCT user_id) AS uniquePurchases FROM h WHERE event_type = 'purchase' GROUP BY ALL",
     "s9_size_report": f"WITH {HITS}" + _report("h", SIZE_DIMS),
     "s8_segment_report": f"WITH {HITS}" + _report(SEGMENT, PRODUCT_DIMS, "'United States' AS segment, "),
     "s9_segment_sizes": f"WITH {HITS}" + _report(SEGMENT, SIZE_DIMS, "'United States' AS segment, "),
     "s10_user_segment": f"WITH {HITS}" + _report(SEGMENT, PRODUCT_DIMS),
     "s11_traffic_source": f"WITH {HITS}" + _report("(FROM h WHERE sourceMedium = 'google / cpc')", PRODUCT_DIMS),
     "s12_append_sink": _sized(f"{_size_report()} UNION ALL {_size_report()}"),
+    "s12_run_ledger": _sized(f"SELECT *, CAST(date_trunc('week', date) AS DATE) AS report_monday FROM ({_size_report()})",
+                             REPORT_MONDAYS[1:3]),
     "s13_csv_dump": _margined(_margin_report()),
     # -------------------------------------------------------------- joins
     "j1_feed_ads_join": _selling(f"SELECT sku AS GID, ID, GTIN, IMG, BRAND, 'ACCOUNT US' AS Account, mon AS monthNum, yr AS yearNum, "
@@ -407,6 +410,10 @@ OPERATORS = {
     "j2_gtin_prefix_join": _selling(
         f"SELECT sku AS GID, {METRICS}, IMG, l.BRAND, mon AS monthNum, yr AS yearNum, Pop "
         f"FROM {FEED_SPEND} l JOIN top2000 t ON {_key('l.GTIN', 2)} = {_key('t.GTIN', 4)}"),
+    "j2_heavy_key": with_standins(f"""
+short_feed AS (SELECT * REPLACE (if(CAST(right(GTIN, 1) AS INTEGER) % 2 = 0, '7', GTIN) AS GTIN) FROM feed),
+short_top AS (SELECT Pop, if(Pop <= 3, '12', GTIN) AS GTIN FROM top2000)
+SELECT f.*, Pop FROM short_feed f JOIN short_top t ON {_key('f.GTIN', 2)} = {_key('t.GTIN', 4)}"""),
     "j3_match_rows": _selling(f"SELECT sku AS GID, {METRICS}, IMG, BRAND, mon AS monthNum, yr AS yearNum, Pop "
                               f"FROM {FEED_SPEND} JOIN ranks USING (sku)"),
     "j4_products_analytics": _selling(
@@ -465,6 +472,9 @@ OPERATORS = {
     "o2_top_n": _plain(f"SELECT {POP_COLS} FROM top2000"),
     "o3_output_order": _weekly(f"SELECT {WEEK_COLS} FROM weeks"),
     "u1_union_pulls": _plain(f"SELECT {AN_COLS} FROM analytics WHERE date IN ({REPORT_DAYS})"),
+    "u1_latest_pull": _plain("""
+SELECT if(Date < DATE '2024-01-08', '2024-01-15', '2024-01-29') AS pull, Date, GID, OfferID, Account, Impressions,
+  if(Date < DATE '2024-01-08', 0, Clicks) AS Clicks, Cost, round(ConversionValue, 6) AS ConversionValue FROM ads"""),
     "u1_stream_ingest": _plain(f"SELECT {ADS_COLS} FROM ads"),
     # ------------------------------------------------------------ filters
     "p1_account_filter": _plain(f"SELECT {ADS_COLS} FROM ads WHERE Account = 'ACCOUNT US'"),

@@ -26,7 +26,7 @@ from ..functions.dates import four_week_calendar, report_days, reporting_week
 from ..operators.filters import US_ACCOUNT
 from ..operators.ordering import TOP_N
 from ..sources.ads import last_week, previous_week, select_range
-from ..sources.sinks import append_table
+from ..sources.sinks import append_table, write_table
 from .decline_report import decline
 from .margin_report import margins
 from .popular_match import do_sell, not_sold, popular_top
@@ -82,7 +82,9 @@ def for_week(report: DataFrame, run_date: _dt.date, snap: bool = False) -> DataF
 def land_inputs(inputs: WeeklyInputs, run_date: _dt.date, folder: str, snap: bool = False) -> WeeklyInputs:
     """Write each source once as parquet below ``folder`` and return inputs
     that read it: the reports' days only, partitioned by day, so that each
-    report's day selection prunes folders.  Landing again replaces."""
+    report's day selection prunes folders.  Rows are dealt out by day before
+    they are written, so a day has about as many files as its bytes need.
+    Landing again replaces."""
     spark = inputs.feed.sparkSession
     days = sorted({*four_week_calendar(run_date, snap), *reporting_week(run_date, snap)})
     start = min(days[0], previous_week(run_date)[0])
@@ -90,8 +92,7 @@ def land_inputs(inputs: WeeklyInputs, run_date: _dt.date, folder: str, snap: boo
 
     def landed(name: str, df: DataFrame, day: str | None = None) -> DataFrame:
         path = f"{folder.rstrip('/')}/{name}"
-        writer = df.write.mode("overwrite")
-        (writer.partitionBy(day) if day else writer).parquet(path)
+        write_table(df, path, [day] if day else [], mode="overwrite")
         return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
     same = inputs.analytics is inputs.analytics_sizes

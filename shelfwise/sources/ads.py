@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import csv
 import datetime as _dt
 from collections.abc import Sequence
 
@@ -11,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.dates import monday_of
+from .headers import by_own_header, file_lines, has_fields
 
 # Report columns (with and without the offer id) and renames.
 REPORT_COLUMNS = ["Day", "Item Id", "Product type (1st level)", "Impressions", "Clicks", "Cost",
@@ -22,10 +22,6 @@ RENAMES = {"Item Id": "OfferID", "Day": "Date", "Product type (1st level)": "GID
 TYPES = {"Date": "date", "Impressions": "bigint", "Clicks": "bigint", "Cost": "bigint",
          "ConversionValue": "double"}
 DAY_PATTERN = r"^\d{4}-\d{2}-\d{2}$"
-# A line with the fields Day and Impressions is a header.
-_HEADER_FIELDS = (r'(^|,)\s*"?Day"?\s*(,|$)', r'(^|,)\s*"?Impressions"?\s*(,|$)')
-# Files whose header is sent to every task (a path and a number each).
-_BROADCAST_FILES = 200_000
 
 
 def parse_report(raw: DataFrame) -> DataFrame:
@@ -40,48 +36,16 @@ def parse_report(raw: DataFrame) -> DataFrame:
 
 def report_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """The lines of report files with the file each stands in."""
-    lines = spark.read.text(path if isinstance(path, str) else list(path))
-    return lines.select("value", F.col("_metadata.file_path").alias("file"))
+    return file_lines(spark, path)
 
 
-def parse_lines(lines: DataFrame) -> DataFrame:
+def parse_lines(lines: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """S3 from ``report_lines``: every file's values are named by that file's
-    own header line, wherever it stands, so files of one read may differ in
-    column order and variant.  A column that only some files have is NULL for
-    the others.  A file with data but without a header, or with two different
-    headers, is an error.
-
-    Only the distinct header lines reach the driver (one per report
-    definition, not per file); the files' header numbers are broadcast while
-    they are few."""
-    is_header = F.col("value").rlike(_HEADER_FIELDS[0]) & F.col("value").rlike(_HEADER_FIELDS[1])
-    heads = lines.filter(is_header).groupBy("file").agg(
-        F.min("value").alias("header"), F.max("value").alias("_other"))
-    definitions = heads.groupBy("header").agg(F.count(F.lit(1)).alias("files"),
-                                              F.sum((F.col("header") != F.col("_other")).cast("int")).alias("mixed")).collect()
-    if any(d["mixed"] for d in definitions):
-        raise ValueError("a report file has two different header lines")
-    if not definitions:
-        empty = lines.filter(F.lit(False)).select(*[F.lit(None).cast("string").alias(c) for c in REPORT_COLUMNS])
-        if not lines.filter(F.col("value").rlike(DAY_PATTERN[:-1])).isEmpty():
-            raise ValueError("no header line in the report files")
-        return parse_report(empty)
-    n_files = sum(d["files"] for d in definitions)
-    heads = heads.select("file", "header")
-    tagged = lines.join(F.broadcast(heads) if n_files <= _BROADCAST_FILES else heads, "file", "left")
-    names = {d["header"]: [f.strip() for f in next(csv.reader([d["header"]]))] for d in definitions}
-    columns = [c for c in dict.fromkeys([*REPORT_COLUMNS, *(f for fields in names.values() for f in fields)])
-               if any(c in fields for fields in names.values())]
-    values = F.lit(None)
-    for header, fields in names.items():
-        schema = StructType([StructField(f"c{i}", StringType()) for i in range(len(fields))])
-        parsed = F.from_csv("value", schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "))
-        ordered = F.struct(*[(parsed[f"c{fields.index(c)}"] if c in fields else F.lit(None).cast("string")).alias(c)
-                             for c in columns])
-        values = F.when(F.col("header") == header, ordered).otherwise(values)
-    no_header = F.col("header").isNull() & F.col("value").rlike(DAY_PATTERN[:-1])
-    checked = F.when(no_header, F.raise_error(F.concat(F.lit("no header line in "), F.col("file")))).otherwise(values)
-    return parse_report(tagged.select(checked.alias("_r")).select("_r.*"))
+    own header line (see ``by_own_header``); columns of ``lines`` named in
+    ``keep`` go along."""
+    is_data = F.col("value").rlike(DAY_PATTERN[:-1])
+    return parse_report(by_own_header(lines, has_fields("Day", "Impressions"), is_data, REPORT_COLUMNS,
+                                      "a report file", keep))
 
 
 def read_ads(spark: SparkSession, path: str | Sequence[str], with_offer: bool | None = None) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField,
 
 from ..functions.dates import week_label
 from ..operators.filters import drop_and_rename
+from .headers import by_own_header, file_lines, has_fields
 
 # Ranking report header, columns dropped, and renames.
 RANKING_HEADER = [
@@ -78,16 +79,26 @@ def normalize_ranking(raw: DataFrame, run_date: _dt.date, snap: bool = False) ->
     return df.withColumn("WeekNumber", F.lit(week_label(run_date, snap))).select(*POPULAR_COLUMNS)
 
 
+def ranking_lines(lines: DataFrame) -> DataFrame:
+    """Ranking rows from the files' lines (value, file): the known columns,
+    typed, and ``file``.  Every file's values are named by that file's own
+    header line, so files of one read may differ in column order and in the
+    columns they have; a column that a file lacks, and a value that does not
+    parse, is NULL.  A file without a header is an error."""
+    is_header = has_fields("Popularity rank", "GTIN")
+    names = [name for name, _ in RANKING_HEADER]
+    raw = by_own_header(lines.filter(F.trim("value") != ""), is_header, ~is_header, names, "a ranking file", keep=["file"])
+    present = set(raw.columns)
+    return raw.select("file", *[(F.col(f"`{name}`").try_cast(dtype) if name in present else F.lit(None).cast(dtype)).alias(name)
+                                for name, dtype in RANKING_HEADER])
+
+
 def read_ranking(spark: SparkSession, path: str | Sequence[str], run_date: _dt.date,
                  snap: bool = False, gtin_text: bool = False) -> DataFrame:
-    """Read the ranking CSV by its header names (column order and extra
-    columns do not matter), typing each known column; a value that does not
-    parse is NULL rather than an error.  GTINs take the per-file form of
-    ``reported_gtin``, or stay the file's own text with ``gtin_text``."""
-    raw = spark.read.option("header", "true").option("inferSchema", "false").csv(
-        path if isinstance(path, str) else list(path))
-    present = set(raw.columns)
-    typed = raw.select(F.col("_metadata.file_path").alias("_path"), *[
-        (F.col(f"`{name}`").try_cast(dtype) if name in present else F.lit(None).cast(dtype)).alias(name)
-        for name, dtype in RANKING_HEADER])
-    return normalize_ranking(typed if gtin_text else reported_gtin(typed, "_path"), run_date, snap)
+    """Read ranking CSV files by their header names (column order and extra
+    columns do not matter, and may differ between files), typing each known
+    column; a value that does not parse is NULL rather than an error.  GTINs
+    take the per-file form of ``reported_gtin``, or stay the file's own text
+    with ``gtin_text``."""
+    typed = ranking_lines(file_lines(spark, path))
+    return normalize_ranking(typed if gtin_text else reported_gtin(typed, "file"), run_date, snap)

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .headers import by_own_header, file_lines, has_fields
+
 
 def unpivot_rates(wide: DataFrame, date_col: str = "Date") -> DataFrame:
     """Wide (date, USD, GBP, ...) text columns -> long typed rows."""
@@ -27,8 +29,11 @@ def unpivot_rates(wide: DataFrame, date_col: str = "Date") -> DataFrame:
     return long.unionByName(eur)
 
 
-def read_rates(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Read the rate history CSV(s) with every column as text."""
-    wide = spark.read.option("header", "true").option("inferSchema", "false").csv(
-        path if isinstance(path, str) else list(path))
-    return unpivot_rates(wide)
+def read_rates(spark: SparkSession, path: str | Sequence[str], date_col: str = "Date") -> DataFrame:
+    """Read the rate history CSV file(s).  Every file's values are named by its
+    own header line, so files may list other currencies or in another order; a
+    currency that a file lacks has no rate from it."""
+    lines = file_lines(spark, path).filter(F.trim("value") != "")
+    is_header = has_fields(date_col)
+    wide = by_own_header(lines, is_header, ~is_header, [date_col], "a rates file")
+    return unpivot_rates(wide, date_col)

@@ -238,6 +238,29 @@ def test_ranking_columns_by_name(spark, tmp_path):
     assert rows(text, "GTIN") == [("0012",), ("0013",)]
 
 
+def test_each_ranking_file_follows_its_own_header(spark, tmp_path):
+    """Reversed columns, a missing one, a repeated header line, a byte order
+    mark and a header after a blank line, all in one read."""
+    (tmp_path / "a.csv").write_text("Popularity rank,Title,GTIN,Price range start\n1,A,111,2.5\n\nPopularity rank,Title,GTIN,Price range start\n2,,222,3\n")
+    (tmp_path / "b.csv").write_text("\ufeffPrice range start,GTIN,Title,Popularity rank\n9.5,333,\"B, or \"\"C\"\"\",3\n".replace('""C""', '\\"C\\"'))
+    (tmp_path / "c.csv").write_text("\nGTIN,Popularity rank\n0444,4\n,5\n")
+    got = rows(read_ranking(spark, str(tmp_path), dt.date(2024, 1, 15)), "Pop", "Title", "GTIN", "PriceRangeStart", "BrandInventoryStatus")
+    assert got == [(1, "A", "111", 2.5, None), (2, None, "222", 3.0, None), (3, 'B, or "C"', "333", 9.5, None),
+                   (4, None, "444.0", None, None), (5, None, "nan", None, None)]
+    (tmp_path / "d.csv").write_text("6,no header\n")
+    with pytest.raises(Exception, match="no header line"):
+        read_ranking(spark, str(tmp_path), dt.date(2024, 1, 15)).collect()
+
+
+def test_each_rates_file_follows_its_own_header(spark, tmp_path):
+    from shelfwise.sources.rates import read_rates
+    (tmp_path / "a.csv").write_text("Date,USD,GBP,\n2024-01-26,1.1,0.85,\n")
+    (tmp_path / "b.csv").write_text("GBP,Date,JPY\n0.86,2024-01-29,160\n")
+    assert rows(read_rates(spark, str(tmp_path)), "rate_date", "currency", "per_eur") == sorted([
+        (dt.date(2024, 1, 26), "EUR", 1.0), (dt.date(2024, 1, 26), "GBP", 0.85), (dt.date(2024, 1, 26), "USD", 1.1),
+        (dt.date(2024, 1, 29), "EUR", 1.0), (dt.date(2024, 1, 29), "GBP", 0.86), (dt.date(2024, 1, 29), "JPY", 160.0)])
+
+
 def test_ads_report_columns_follow_the_header(spark, tmp_path):
     text = ("Shopping - Product Titles - 4 weeks\n"
             "Clicks,Day,Account,Product type (1st level),Impressions,Cost,Total conv. value\n"
@@ -286,3 +309,139 @@ def test_append_catalog_table(spark):
     SINK.append_catalog_table(df, "shelfwise_test_popular", partition_by=["WeekNumber"])
     assert spark.table("shelfwise_test_popular").count() == 2
     spark.sql("DROP TABLE shelfwise_test_popular")
+
+
+def _hits(spark, rows_):
+    return spark.createDataFrame(
+        [(d, u, t, f"Shoe {p}", f"g{p}", c, m, cents, 1) for d, u, t, p, c, m, cents in rows_],
+        "date string, user_id long, event_type string, productName string, productSku string, country string, "
+        "sourceMedium string, cents long, quantity long")
+
+
+US, CPC, ORGANIC = "United States", "google / cpc", "google / organic"
+
+
+def test_segment_request_keeps_members_whose_matching_hit_is_not_paid(spark):
+    """User 1 is American by an organic hit only, and buys in Canada through a
+    paid click; user 2 never matches; user 3 has no paid hit; a hit without a
+    user belongs to nobody."""
+    hits = _hits(spark, [
+        ("20240108", 1, "view", 1, US, ORGANIC, 0), ("20240108", 1, "purchase", 1, "Canada", CPC, 500),
+        ("20240108", 1, "view", 1, "Canada", CPC, 0), ("20240108", 1, "purchase", 1, "Canada", ORGANIC, 70),
+        ("20240108", 2, "purchase", 1, "Canada", CPC, 900), ("20240108", 3, "purchase", 2, US, ORGANIC, 40),
+        ("20240108", None, "purchase", 1, US, CPC, 5), ("20240108", 1, "click", 1, "Canada", None, 0)])
+    report = AN.segment_report(hits, where=AN.from_source(), name="US users, paid")
+    assert [r.asDict() for r in report.collect()] == [{
+        "date": "20240108", "productName": "Shoe 1", "productSku": "g1", "country": "Canada", "itemRevenue": 500,
+        "itemQuantity": 1, "uniquePurchases": 1, "quantityAddedToCart": 0, "buyToDetailRate": 100.0, "segment": "US users, paid"}]
+    # filtering first would lose user 1 from the segment
+    assert AN.segment_report(AN.traffic_source(hits)).count() == 0
+    whole = AN.segment_report(hits)
+    assert rows(whole, "productSku", "country", "itemRevenue", "segment") == [
+        ("g1", "Canada", 570, US), ("g1", US, 0, US), ("g2", US, 40, US)]
+
+
+def test_buyers_merge_over_days(spark):
+    hits = _hits(spark, [(f"202401{d:02d}", u, "purchase" if u != 3 else "view", p, US, CPC, 1)
+                         for d in range(8, 15) for p in range(2) for u in (1, 2, 3, d, 40_000 + d % 2, None)])
+    daily = AN.daily_buyers(hits, ["productSku"])
+    raw = hits.filter("event_type = 'purchase'")
+    got = AN.buyers_over_days(daily, ["productSku"])
+    assert rows(got) == rows(raw.groupBy("productSku").agg(F.count_distinct("user_id").alias("n")))
+    per_day = AN.buyers_over_days(daily, ["date", "productSku"])
+    assert rows(per_day) == rows(raw.filter("user_id is not null").groupBy("date", "productSku").agg(F.count_distinct("user_id").alias("n")))
+    assert AN.buyers_over_days(AN.daily_buyers(hits.limit(0)), ["productSku"]).count() == 0
+
+
+def test_user_numbers_are_dense_and_stay(spark):
+    users = lambda names: spark.createDataFrame([(n,) for n in names], "client_id string")
+    first = AN.dense_users(users(["b", "a", None, "a", "ü"] + [f"u{i}" for i in range(300)]))
+    known = {r["user"]: r["number"] for r in first.collect()}
+    assert sorted(known.values()) == list(range(303))
+    stored = spark.createDataFrame(list(known.items()), "user string, number long")
+    second = {r["user"]: r["number"] for r in AN.dense_users(users(["new", "a", "newer"]), stored).collect()}
+    assert {u: second[u] for u in known} == known and sorted([second["new"], second["newer"]]) == [303, 304]
+
+
+ITEM = "<item><g:id>{0}</g:id><g:item_group_id>g{0}</g:item_group_id></item>"
+
+
+def test_bad_feed_items_stop_the_read_or_are_diverted(spark, tmp_path):
+    """A wrong end tag, a missing one, and a file cut in the middle of an item
+    take nothing else with them; comments, CDATA, attributes and empty items
+    are read; each file is cut by itself."""
+    good = [ITEM.format(n) for n in range(40)]
+    (tmp_path / "a.xml").write_text("\n<?xml version='1.0'?><rss><channel><title>t</title>" + "\n".join(
+        good[:20] + ["<item><g:id>bad1</g:idd></item>"] + good[20:30] + ["<item><g:id>bad2</g:id>"]
+        + ["<item no='1'\n><g:id><![CDATA[a <b>]]></g:id></item>", "<item/>", "<item />"]) + "</channel></rss>")
+    (tmp_path / "b.xml").write_text("<rss><channel>" + "".join(good[30:]) + "<item><g:id>bad3</g:id>")
+    bad = tmp_path / "bad"
+    got = read_feed(spark, [str(tmp_path / "a.xml"), str(tmp_path / "b.xml")], divert_to=str(bad))
+    ids = [r["ID"] for r in got.collect()]
+    assert sorted(i for i in ids if i) == sorted([str(n) for n in range(40)] + ["a <b>"]) and ids.count(None) == 2
+    diverted = [r["value"] for r in spark.read.json(str(bad)).collect()]
+    assert sorted(d[12:16] for d in diverted) == ["bad1", "bad2", "bad3"]
+    with pytest.raises(Exception, match="bad feed item: <item><g:id>bad"):
+        read_feed(spark, str(tmp_path / "a.xml")).count()            # also where no column is read
+
+
+def test_feed_without_items(spark, tmp_path):
+    (tmp_path / "f.xml").write_text("<rss><channel><title>empty</title></channel></rss>")
+    assert read_feed(spark, str(tmp_path), divert_to=str(tmp_path / "bad")).count() == 0
+
+
+def test_replacing_needs_partitions(spark):
+    path = FX.scratch_path(spark, "test-replace")
+    df = spark.createDataFrame([(1, "a")], "x int, y string")
+    SINK.append_table(df, path)
+    with pytest.raises(ValueError, match="partition_by"):
+        SINK.append_table(df, path, replace_partitions=True)
+    assert spark.read.parquet(path).count() == 1
+    with pytest.raises(ValueError, match="partition_by"):
+        SINK.append_catalog_table(df, "never_made", replace_partitions=True)
+
+
+def test_catalog_partitions_are_replaced(spark):
+    one = spark.createDataFrame([("2024-01-08", 1), ("2024-01-15", 2)], "week string, v int")
+    spark.sql("DROP TABLE IF EXISTS replaced_weeks")
+    SINK.append_catalog_table(one, "replaced_weeks", ["week"], replace_partitions=True)     # the first use creates it
+    SINK.append_catalog_table(spark.createDataFrame([("2024-01-15", 9)], "week string, v int"), "replaced_weeks",
+                              ["week"], replace_partitions=True)
+    SINK.append_catalog_table(one.limit(1), "replaced_weeks", ["week"])
+    assert rows(spark.table("replaced_weeks"), "week", "v") == [("2024-01-08", 1), ("2024-01-08", 1), ("2024-01-15", 9)]
+    spark.sql("DROP TABLE IF EXISTS plain_rows")
+    SINK.append_catalog_table(one, "plain_rows")
+    with pytest.raises(ValueError, match="no partitions"):
+        SINK.append_catalog_table(one, "plain_rows", replace_partitions=True)
+
+
+def test_partition_folders_get_files_by_their_bytes(spark):
+    """40 tasks and 3 days, one of them with nearly all rows: not 120 files,
+    and the large day is split."""
+    import glob
+    df = spark.range(0, 200_000, 1, 40).select(
+        F.when(F.col("id") % 100 == 0, "2024-01-01").when(F.col("id") % 100 == 1, "2024-01-02")
+        .otherwise("2024-01-03").alias("day"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    path = FX.scratch_path(spark, "test-layout")
+    SINK.append_table(df, path, ["day"], target_bytes=2 << 20)
+    files = {d: glob.glob(f"{path.removeprefix('file:')}/day={d}/*.parquet") for d in ("2024-01-01", "2024-01-02", "2024-01-03")}
+    assert len(files["2024-01-01"]) == len(files["2024-01-02"]) == 1
+    assert 4 <= len(files["2024-01-03"]) <= 16           # about 14 MB of rows
+    assert spark.read.parquet(path).count() == 200_000
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") != str(2 << 20)
+
+
+def test_unlisted_headers_are_kept(spark, tmp_path):
+    """A report with a column that nobody listed, one without, a short row, a
+    repeated and an odd name."""
+    docs = [_response(["ga:date", "ga:new 'one\""], ["ga:itemRevenue", "ga:itemRevenue"], [(["20240108", "x, y"], ["5", "6"]), (["20240109"], [])]),
+            _response(["ga:date"], [], [(["20240110"], [])])]
+    (tmp_path / "r.json").write_text("\n".join(json.dumps(d) for d in docs))
+    flat = AN.flatten_responses(AN.read_responses(spark, str(tmp_path / "r.json")), ["ga:date"], others="others")
+    table = FX.scratch_path(spark, "test-variant")
+    SINK.append_table(flat, table)
+    stored = spark.read.parquet(table)
+    got = stored.select("ga:date", AN.other_field("ga:new 'one\"").alias("a"), AN.other_field("ga:itemRevenue").alias("b"),
+                        AN.other_field("ga:none").alias("c"), F.col("others").isNull().alias("d"))
+    assert rows(got) == [("20240108", "x, y", "5", None, False), ("20240109", None, None, None, True),
+                         ("20240110", None, None, None, True)]
