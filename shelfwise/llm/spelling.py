@@ -35,9 +35,9 @@ MIN_COUNT = 3
 #: A word's form occurs at least so many times as often.
 RATIO = 2
 
-#: Bytes of a table that may go to all tasks, and words below a node that make
+#: Bytes of a table that may go to all tasks (at every level anew), and words below a node that make
 #: it one of the few (at most one in so many rows) that are joined apart.
-SMALL_BYTES = 32 << 20
+SMALL_BYTES = 4 << 20
 HOT_WORDS = 1_000_000
 #: Distinct words that a task counts before it passes them on.
 HELD_WORDS = 300_000
@@ -106,35 +106,37 @@ def _prefix_keys(codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, sid
     return _mix(sums + np.uint64(seed + 1 + side)).view(np.int64)
 
 
-def _prefixes(words: DataFrame) -> DataFrame:
+def _prefixes(words: DataFrame, whole: bool = False) -> DataFrame:
     """Every word's prefixes from its middle on, forwards (side 0) and
-    backwards (side 1): word, n, side, depth, the node's key and the following
-    letter (empty after the last one)."""
+    backwards (side 1): the word's own key (w1, w2), size and n, the side, the
+    depth, the node's key and the code point of the following letter (-1 after
+    the last one).  ``whole``: only the words themselves, as ``word``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = batch.column(0)
-            texts = column.to_pylist()
+            texts = batch.column(0).to_pylist()
             lengths = np.array([len(t) for t in texts], np.int64)
-            starts = np.cumsum(lengths) - lengths
+            starts, ends = np.cumsum(lengths) - lengths, np.cumsum(lengths + 1)
+            of = np.repeat(np.arange(len(texts)), lengths + 1)
+            depth = np.arange(len(of)) - np.repeat(ends - lengths - 1, lengths + 1)
+            keep = np.flatnonzero(depth == lengths[of] if whole else depth >= (lengths[of] - 1) // 2)
+            of, depth = of[keep], depth[keep]
+            place, inside = starts[of] + depth, depth < lengths[of]
+            n = batch.column(1).take(pa.array(of))
             for side in (0, 1):
-                turned = [t[::-1] for t in texts] if side else texts
-                joined = "".join(turned)
-                codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+                codes = np.frombuffer("".join(t[::-1] if side else t for t in texts).encode("utf-32-le"), np.uint32)
                 keys = [_prefix_keys(codes, starts, lengths, side, seed) for seed in (11, 1 << 40)]
-                ends = np.cumsum(lengths + 1)
-                depth = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - lengths - 1, lengths + 1)
-                of = np.repeat(np.arange(len(texts)), lengths + 1)
-                keep = np.flatnonzero(depth >= (lengths[of] - 1) // 2)
-                of, depth = of[keep], depth[keep]
-                after = [joined[s:s + 1] if more else "" for s, more in
-                         zip((starts[of] + depth).tolist(), (depth < lengths[of]).tolist())]
-                yield pa.RecordBatch.from_arrays(
-                    [column.take(pa.array(of)), batch.column(1).take(pa.array(of)), pa.array(np.full(len(of), side), pa.int32()),
-                     pa.array(depth, pa.int32()), pa.array(keys[0][keep]), pa.array(keys[1][keep]), pa.array(after, pa.string())],
-                    names=["word", "n", "side", "depth", "k1", "k2", "after"])
+                if not side:
+                    own = [pa.array(k[ends - 1][of]) for k in keys]
+                after = np.where(inside, np.append(codes, 0)[place].astype(np.int32), -1).astype(np.int32)
+                columns = [*own, pa.array(lengths[of].astype(np.int32)), n, pa.array(np.full(len(of), side, np.int32)),
+                           pa.array(depth.astype(np.int32)), *[pa.array(k[keep]) for k in keys],
+                           batch.column(0).take(pa.array(of)) if whole else pa.array(after)]
+                yield pa.RecordBatch.from_arrays(columns, names=["w1", "w2", "size", "n", "side", "depth", "k1", "k2",
+                                                                 "word" if whole else "after"])
 
     return words.select("word", "n").mapInArrow(
-        run, "word string, n long, side int, depth int, k1 long, k2 long, after string")
+        run, "w1 long, w2 long, size int, n long, side int, depth int, k1 long, k2 long, "
+             + ("word string" if whole else "after int"))
 
 
 class _Table:
@@ -150,14 +152,17 @@ class _Table:
         self.small = (total.bytes or 0) <= small_bytes
         self.even = (total.below or 0) < hot_words
 
-    def meet(self, left: DataFrame, on: list[str]) -> DataFrame:
+    def meet(self, left: DataFrame, on: list[str], keep_below: bool = False) -> DataFrame:
+        table = self.df if keep_below else self.df.drop("below")
         if self.small:
-            return left.join(F.broadcast(self.df), on)
+            return left.join(F.broadcast(table), on)
         if self.even:
-            return left.join(self.df, on)
-        hot, rest = self.df.filter(F.col("below") >= self.hot_words), self.df.filter(F.col("below") < self.hot_words)
-        others = left.join(F.broadcast(hot.select(*on).distinct()), on, "left_anti")
-        return left.join(F.broadcast(hot), on).unionByName(others.join(rest, on))
+            return left.join(table, on)
+        hot = F.col("below") >= self.hot_words
+        parts = [self.df.filter(hot), self.df.filter(~hot)]
+        parts = parts if keep_below else [p.drop("below") for p in parts]
+        others = left.join(F.broadcast(parts[0].select(*on).distinct()), on, "left_anti")
+        return left.join(F.broadcast(parts[0]), on).unionByName(others.join(parts[1], on))
 
 
 def _letters(rest: Column, start: int) -> Column:
@@ -177,12 +182,12 @@ def neighbours(words: DataFrame, small_bytes: int = SMALL_BYTES, hot_words: int
     prefixes = _prefixes(words)                       # made anew where it is read: cheaper than a stored table
     nodes = stored(prefixes.groupBy(*_KEY).agg(
         F.min("after").alias("_a"), F.max("after").alias("_b"), F.count(F.lit(1)).alias("below"),
-        F.max(F.when(F.col("after") == "", F.col("word"))).alias("node_word"),
-        F.max(F.when(F.col("after") == "", F.col("n"))).alias("node_n"))
+        F.max(F.when(F.col("after") < 0, F.col("n"))).alias("node_n"), F.min(_spokesman(F.col("size"), F.col("w1"))).alias("speaks"))
         .filter(F.col("_a") != F.col("_b")).drop("_a", "_b"), "nodes")
-    own = stored(_Table(nodes, small_bytes, hot_words).meet(prefixes.drop("after"), _KEY), "own")
-    edges = _Table(stored(_edges(prefixes, own), "edges"), small_bytes, hot_words)
-    found, frontier = _entered(own, edges)
+    own = _Table(nodes, small_bytes, hot_words).meet(prefixes.drop("after"), _KEY, keep_below=True)
+    paths = stored(_paths(_prefixes(words, whole=True), own), "paths")
+    edges = _Table(stored(_edges(paths), "edges"), small_bytes, hot_words)
+    found, frontier = _entered(paths, edges)
     while not frontier.isEmpty():
         moved = stored(_follow(frontier, edges), "level")
         found.append(_ended(moved))
@@ -193,44 +198,73 @@ def neighbours(words: DataFrame, small_bytes: int = SMALL_BYTES, hot_words: int
     return out.distinct()
 
 
-def _edges(prefixes: DataFrame, own: DataFrame) -> DataFrame:
+def _spokesman(size: Column, w1: Column) -> Column:
+    """A number by which one of the shortest words below a node is chosen.  The
+    shortest have the most nodes of all that pass there."""
+    return F.shiftleft(size.cast("long"), 40) + F.shiftrightunsigned(w1, 24)
+
+
+def _paths(ends: DataFrame, own: DataFrame) -> DataFrame:
+    """For each word and side its nodes and its leaf by depth, with the word's
+    number for ``_spokesman``.  Words without nodes are left out."""
+    nothing = F.lit(None).cast("long")
+    step = F.struct("depth", *_KEY, "below", "node_n", "speaks").alias("_s")
+    row = ["w1", "w2", "side"]
+    leaves = ends.select(*row, "word", "n", _spokesman(F.col("size"), F.col("w1")).alias("code"),
+                         F.struct("depth", *_KEY, F.lit(0).cast("long").alias("below"), nothing.alias("node_n"),
+                                  nothing.alias("speaks")).alias("_s"))
+    return (own.select(*row, F.lit(None).cast("string").alias("word"), nothing.alias("n"), nothing.alias("code"), step)
+            .unionByName(leaves).groupBy(*row)
+            .agg(F.max("word").alias("word"), F.max("n").alias("n"), F.max("code").alias("code"),
+                 F.array_sort(F.collect_list("_s")).alias("path"))
+            .filter(F.size("path") > 1).drop("w1", "w2"))
+
+
+def _ends_at(depth: Column) -> Column:
+    """The word that a node at ``depth`` of ``word`` spells."""
+    return F.when(F.col("side") == 0, F.col("word").substr(F.lit(1), depth)).otherwise(
+        F.col("word").substr(F.length("word") - depth + 1, depth))
+
+
+def _edges(paths: DataFrame) -> DataFrame:
     """The compressed trie's edges: parent key, first letter, label, child's
     key (c1, c2), the word that ends at the child with its count, and the
-    number of words ``below`` the parent."""
-    step = F.struct("depth", "k1", "k2", "below").alias("_s")
-    leaves = prefixes.filter("after = ''").withColumn("below", F.lit(0).cast("long"))
-    row = ["word", "n", "side"]
-    paths = (own.select(*row, step).unionByName(leaves.select(*row, step))
-             .groupBy(*row).agg(F.array_sort(F.collect_list("_s")).alias("_p")).filter(F.size("_p") > 1))
-    pairs = paths.select("word", "n", _turned(F.col("side"), F.col("word")).alias("_t"),
-                         F.explode(F.arrays_zip(F.slice("_p", 1, F.size("_p") - 1).alias("u"),
-                                                F.slice("_p", 2, F.size("_p") - 1).alias("v"))).alias("_e"))
+    number of words ``below`` the parent.  An edge that many words share comes
+    from the child's spokesman; one to a word's end from that word."""
+    size = F.size("path")
+    pairs = paths.select("word", "n", "side", "code", F.explode(F.arrays_zip(
+        F.slice("path", 1, size - 1).alias("u"), F.slice("path", 2, size - 1).alias("v"))).alias("_e"))
     u, v = F.col("_e.u"), F.col("_e.v")
-    ends = v["depth"] == F.length("_t")
-    return (pairs.filter(u["depth"] < v["depth"])     # not from a word's node to its own leaf
-            .select(u["k1"].alias("k1"), u["k2"].alias("k2"), u["below"].alias("below"),
-                    F.col("_t").substr(u["depth"] + 1, v["depth"] - u["depth"]).alias("label"),
+    # a word that ends at a node has that place twice, the leaf (0 below) first
+    leaf = v["speaks"].isNull()
+    label = _turned(F.col("side"), F.col("word")).substr(u["depth"] + 1, v["depth"] - u["depth"])
+    return (pairs.filter((u["depth"] < v["depth"]) & (leaf | (v["speaks"] == F.col("code"))))
+            .select(u["k1"].alias("k1"), u["k2"].alias("k2"), u["below"].alias("below"), label.alias("label"),
                     v["k1"].alias("c1"), v["k2"].alias("c2"),
-                    F.when(ends, F.col("word")).alias("child_word"), F.when(ends, F.col("n")).alias("child_n"))
-            .groupBy("c1", "c2").agg(*[F.first(c).alias(c) for c in ("k1", "k2", "below", "label")],
-                                     F.max("child_word").alias("child_word"), F.max("child_n").alias("child_n"))
+                    F.when(leaf, F.col("word")).when(v["node_n"].isNotNull(), _ends_at(v["depth"])).alias("child_word"),
+                    F.when(leaf, F.col("n")).otherwise(v["node_n"]).alias("child_n"))
             .withColumn("first", F.substring("label", 1, 1)))
 
 
-def _entered(own: DataFrame, edges: _Table) -> tuple[list, DataFrame]:
+def _entered(paths: DataFrame, edges: _Table) -> tuple[list, DataFrame]:
     """The first level: states leave their word's own nodes with their edit."""
-    size = F.length("word")
-    beyond = F.when(F.col("side") == 0, 2 * F.col("depth") >= size - 1).otherwise(2 * F.col("depth") > size - 1)
-    states = (own.filter(beyond & (F.col("depth") < size))
-              .withColumn("rest", _turned(F.col("side"), F.col("word")).substr(F.col("depth") + 1, size)))
-    shorter = (states.filter((F.col("depth") == size - 1) & F.col("node_word").isNotNull())
-               .select("word", "n", F.col("node_word").alias("near"), F.col("node_n").alias("near_n")))
-    states = states.select("word", "n", "rest", *_KEY)
+    size, depth = F.length("word"), F.col("_s.depth")
+    beyond = F.when(F.col("side") == 0, 2 * depth >= size - 1).otherwise(2 * depth > size - 1)
+    own = (paths.select("word", "n", "side", F.explode(F.filter("path", lambda s: s["speaks"].isNotNull())).alias("_s"))
+           .filter(beyond & (depth < size)))
+    shorter = (own.filter((depth == size - 1) & F.col("_s.node_n").isNotNull())
+               .select("word", "n", _ends_at(depth).alias("near"), F.col("_s.node_n").alias("near_n")))
+    rest = _turned(F.col("side"), F.col("word")).substr(depth + 1, size)
+    states = own.select("word", "n", rest.alias("rest"), "_s.k1", "_s.k2")
     first, second = F.substring("rest", 1, 1), F.substring("rest", 2, 1)
-    deleted = states.filter((second != "") & (second != first)).withColumn("rest", _letters(F.col("rest"), 2))
-    replaced = edges.meet(states, _KEY).filter(
-        (F.col("first") > first) & F.startswith(_letters(F.col("rest"), 2), _letters(F.col("label"), 2)))
-    moved = stored(_moved(replaced).unionByName(_follow(deleted, edges)), "level")
+    after, long = _letters(F.col("rest"), 2), F.length("label")
+    replaced = (F.col("first") > first) & F.startswith(after, _letters(F.col("label"), 2))
+    deleted = (second != first) & (F.col("first") == second) & F.startswith(after, F.col("label"))
+    left = F.array_compact(F.array(F.when(replaced, F.col("rest").substr(long + 1, F.length("rest"))),
+                                   F.when(deleted, after.substr(long + 1, F.length("rest")))))
+    met = edges.meet(states, _KEY).filter(replaced | deleted)
+    moved = stored(met.select("word", "n", F.explode(left).alias("rest"), F.col("c1").alias("k1"), F.col("c2").alias("k2"),
+                              "child_word", "child_n"), "level")
     return [shorter, _ended(moved)], _going_on(moved)
 
 
