@@ -1,37 +1,85 @@
 """Banded alignment: is the edit distance of two word sequences within a limit?
 
-Only diagonals within the limit are followed.  For every number of edits, the
-furthest position reached on each diagonal is kept, so near copies cost little
-more than one comparison of the texts."""
+Cheap answers come first: equal places, and words that only one side has.  Then
+the band of diagonals that the limit allows moves along the sequences, one bit
+a diagonal (the bit-vector algorithm of Myers and Hyyro on Python integers).
+Very long sequences keep the furthest position on each diagonal for every number
+of edits instead, which needs memory for the band only."""
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Sequence
+from operator import ne
+
 import numpy as np
 
+#: Words up to which every word's places are one integer.
+BIT_WORDS = 30_000
+
 
-def within(a: np.ndarray, b: np.ndarray, limit: int) -> bool:
+def within(a: Sequence, b: Sequence, limit: int) -> bool:
     """Whether insertions, deletions and substitutions, at most ``limit``
-    together, turn ``a`` into ``b`` (arrays of numbers)."""
-    if abs(len(a) - len(b)) > limit:
+    together, turn ``a`` into ``b`` (lists of hashable items)."""
+    if len(a) < len(b):
+        a, b = b, a
+    if len(a) - len(b) > limit:
+        return False
+    if len(a) <= limit or (len(a) == len(b) and sum(map(ne, a, b)) <= limit):
+        return True
+    start, end = 0, len(b)
+    while start < end and a[start] == b[start]:
+        start += 1
+    more = len(a) - len(b)
+    while end > start and a[end + more - 1] == b[end - 1]:
+        end -= 1
+    a, b = a[start:end + more], b[start:end]
+    if len(a) <= limit:
+        return True
+    if not len(b):
         return False
-    both = min(len(a), len(b))
-    differ = np.flatnonzero(a[:both] != b[:both])
-    start = int(differ[0]) if len(differ) else both
-    a, b = a[start:], b[start:]
-    both = min(len(a), len(b))
-    differ = np.flatnonzero(a[len(a) - both:][::-1] != b[len(b) - both:][::-1])
-    end = int(differ[0]) if len(differ) else both
-    a, b = a[:len(a) - end], b[:len(b) - end]
+    surplus = Counter(a)
+    surplus.subtract(b)                               # words that one side lacks need an edit each
+    if max(sum(n for n in surplus.values() if n > 0), -sum(n for n in surplus.values() if n < 0)) > limit:
+        return False
+    if len(a) <= BIT_WORDS:
+        return _band(a, b, limit)
+    number: dict = {}
+    x = np.array([number.setdefault(w, len(number)) for w in a], np.int64)
+    y = np.array([number.setdefault(w, len(number)) for w in b], np.int64)
+    return _reaches(x, y, limit)
+
+
+def _band(a: Sequence, b: Sequence, limit: int) -> bool:
+    """``a`` is the longer one, by at most ``limit``, and longer than that."""
     n, m = len(a), len(b)
-    if not n or not m:
-        return max(n, m) <= limit
-    values = np.unique(np.concatenate((a, b)), return_inverse=True)[1]
-    a, b = values[:n], values[n:]
-    size = int(values.max()) + 1
-    surplus = np.bincount(a, minlength=size) - np.bincount(b, minlength=size)
-    if max(int(surplus[surplus > 0].sum()), -int(surplus[surplus < 0].sum())) > limit:
-        return False                                  # words that one side lacks need an edit each
-    return _reaches(a, b, limit)
+    places: dict = {}
+    for i, word in enumerate(a):
+        places[word] = places.get(word, 0) | (1 << i)
+    width = 2 * limit + 1
+    full = (1 << width) - 1
+    rises, falls = full & (full << limit), 0          # vertical differences within the band
+    distance, diagonal, most = limit, 1 << (width - 1), 2 * limit + m - n
+    edge = diagonal
+    for i in range(m):
+        at = i - limit
+        here = places.get(b[i], 0)
+        here = (here << -at if at < 0 else here >> at) & full
+        free = ((((here & rises) + rises) ^ rises) | here | falls) & full
+        across_up = (falls | ~(free | rises)) & full
+        across_down = free & rises
+        if i < n - limit:
+            distance += not free & diagonal           # along the band's lowest diagonal
+        else:                                         # along the last row
+            edge >>= 1
+            distance += bool(across_up & edge)
+            distance -= bool(across_down & edge)
+        if distance > most:
+            return False
+        free >>= 1
+        rises = (across_down | ~(free | across_up)) & full
+        falls = free & across_up
+    return distance <= limit
 
 
 def _reaches(a: np.ndarray, b: np.ndarray, limit: int) -> bool:

@@ -13,12 +13,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, cut
+from .common import broadcast_if_small, stored
 
 
-def _with_least(links: DataFrame, least: DataFrame) -> DataFrame:
+#: Links that one task takes: a table of two longs of less than a megabyte.
+FEW_LINKS = 50_000
+
+
+def _with_least(links: DataFrame, least: DataFrame, few: bool) -> DataFrame:
     """``links`` with the value ``m`` that ``least`` has for u."""
-    least = cut(least)
+    if few:
+        return links.join(least, "u")
+    least = stored(least, "least")
     return links.join(broadcast_if_small(least, least.count()), "u")
 
 
@@ -30,22 +36,29 @@ def _print_of(links: DataFrame) -> tuple:
 def components(links: DataFrame) -> DataFrame:
     """``node`` and ``root`` (the smallest node of its component) for every
     node but the roots themselves.  ``links`` has two long columns u and v;
-    loops and repeated links are allowed."""
-    now = cut(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-              .filter(F.col("u") != F.col("v")).distinct())
+    loops and repeated links are allowed.
+
+    Rounds over at most ``FEW_LINKS`` links run in one task each, so a small
+    table does not pass through many empty ones; larger tables are shuffled."""
+    now = stored(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+                 .filter(F.col("u") != F.col("v")).distinct(), "links")
     before = None
     while (state := _print_of(now)) != before:
         before = state
         if not state[0]:
             break
+        few = state[0] <= FEW_LINKS
+        now = now.coalesce(1) if few else now
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = both.coalesce(1) if few else both
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = (_with_least(both, least).filter(F.col("v") > F.col("u"))
+        large = (_with_least(both, least, few).filter(F.col("v") > F.col("u"))
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).filter(F.col("u") != F.col("v")).distinct())
-        large = cut(large)
+        large = stored(large, "large")
+        large = large.coalesce(1) if few else large
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = _with_least(large, least).select(F.explode(F.array(
+        small = _with_least(large, least, few).select(F.explode(F.array(
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
             F.struct(F.col("u").alias("u"), F.col("m").alias("v")))).alias("_l")).select("_l.*")
-        now = cut(small.filter(F.col("u") != F.col("v")).distinct())
+        now = stored(small.filter(F.col("u") != F.col("v")).distinct(), "links")
     return now.select(F.col("u").alias("node"), F.col("v").alias("root"))

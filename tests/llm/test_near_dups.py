@@ -5,7 +5,8 @@ import pytest
 
 from shelfwise.llm.alignment import within
 from shelfwise.llm.components import components
-from shelfwise.llm.near_dups import near_duplicates, one_of_each, sketch_keys
+from shelfwise.llm import near_dups
+from shelfwise.llm.near_dups import SKETCHES, candidate_keys, near_duplicates, one_of_each
 from shelfwise.llm.queries import op2_near_dups
 
 WORDS = [f"{a}{b}" for a in "bcdfghjklm" for b in ("ar", "en", "ist", "ol", "um")]
@@ -28,26 +29,43 @@ def test_alignment_against_edit_distance():
         b = [x for x in a if rng.random() > 0.1] + [rng.randrange(5) for _ in range(rng.randrange(4))]
         d = _distance(a, b)
         for limit in {0, max(d - 1, 0), d, d + 2}:
-            assert within(np.array(a, np.int64), np.array(b, np.int64), limit) == (d <= limit)
-
-
-def test_long_runs_align():
-    a = np.arange(30_000)
-    b = np.delete(a, [5, 9_000, 29_000])
-    assert within(a, b, 3) and not within(a, b, 2)
+            assert within(a, b, limit) == (d <= limit)
+
+
+@pytest.mark.parametrize("n", [30_000, 40_000])
+def test_long_runs_align(n):
+    """On both sides of the length from which the band's places are kept apart."""
+    a = list(range(n))
+    b = [x for x in a if x not in (5, 9_000, 29_000)]
+    b[100] = -1
+    assert within(a, b, 4) and not within(a, b, 3)
+
+
+def test_band_at_every_limit():
+    """The bit-vector band and the furthest positions agree with the distance."""
+    from shelfwise.llm import alignment
+    rng = random.Random(9)
+    for _ in range(300):
+        a = [rng.randrange(rng.choice((2, 3, 30))) for _ in range(rng.randrange(2, 60))]
+        b = [rng.randrange(3) if rng.random() < 0.2 else x for x in a if rng.random() > 0.1] or [1]
+        a, b = sorted((a, b), key=len, reverse=True)
+        d = _distance(a, b)
+        for limit in range(len(a) - len(b), len(a)):
+            assert alignment._band(a, b, limit) == (d <= limit)
+            assert alignment._reaches(np.array(a), np.array(b), limit) == (d <= limit)
 
 
 def test_sketches_follow_order_and_ignore_batches():
     text = " ".join(random.Random(1).choices(WORDS, k=60))
-    alone = sketch_keys([text])[0]
-    assert sketch_keys(["other text here", text, None, ""])[1] == alone
-    assert sketch_keys([None, "", "   "]) == [[], [], []]
+    alone = candidate_keys([text])[0]
+    assert len(alone) == SKETCHES
+    assert candidate_keys(["other text here", text, None, ""])[1] == alone
+    assert candidate_keys([None, "", "   "]) == [[], [], []]
     half = text.split()
     moved = " ".join(half[30:] + half[:30])
-    assert len(set(alone[:24]) & set(sketch_keys([moved])[0][:24])) < 24
-    assert len(sketch_keys(["a b"])[0]) == 96              # short texts have a second set
-    long = " ".join(random.Random(1).choices(WORDS, k=100))
-    assert len(sketch_keys([long])[0]) == 48
+    assert len(set(alone) & set(candidate_keys([moved])[0])) < SKETCHES
+    assert len(candidate_keys(["a b"])[0]) == SKETCHES     # fewer words than a k-mer: all of them as one
+    assert candidate_keys(["a b"]) != candidate_keys(["b a"])
 
 
 def test_components(spark):
@@ -141,7 +159,6 @@ def test_query_finds_every_similar_pair(spark):
 def _meeting(rng, words, share, pairs=150):
     """Share of pairs that have a key in common: of texts with up to ``words``
     words, one has scattered other words in place of 1 - ``share`` of them."""
-    from shelfwise.llm.near_dups import candidate_keys
     vocabulary = [f"w{i}" for i in range(5000)]
     texts = []
     for _ in range(pairs):
@@ -160,7 +177,7 @@ def test_recall_by_similarity_of_long_texts(words):
 
 
 def test_pairs_on_both_sides_of_the_short_length_meet():
-    from shelfwise.llm.near_dups import SHORT_WORDS, candidate_keys, similar
+    from shelfwise.llm.near_dups import similar
     rng = random.Random(17)
     vocabulary = [f"w{i}" for i in range(5000)]
     texts = []
@@ -170,7 +187,7 @@ def test_pairs_on_both_sides_of_the_short_length_meet():
         for at in sorted(rng.sample(range(66), 6), reverse=True):
             del b[at]
         texts += [" ".join(a), " ".join(b)]
-        assert len(b) == 60 < SHORT_WORDS < len(a) and similar(*texts[-2:])
+        assert len(b) == 60 < 64 < len(a) and similar(*texts[-2:])
     keys = [set(k) for k in candidate_keys(texts)]
     assert sum(bool(a & b) for a, b in zip(keys[::2], keys[1::2])) >= 195
 
@@ -192,15 +209,66 @@ def test_copies_meet_behind_an_unlike_leader(documents):
     assert got == {i: i - i % 2 if i < 50 else i for i, _ in rows}
 
 
-def test_profiles_drop_no_pair_that_aligns():
-    from shelfwise.llm.near_dups import may_align, profile, similar
+@pytest.mark.parametrize("band", [(0.80, 0.85), (0.85, 0.90), (0.90, 1.0)])
+def test_recall_of_edited_texts_by_band(band):
+    """Texts of 40 to 400 words of a natural vocabulary with scattered
+    replaced, deleted and inserted words, by their measured similarity."""
+    rng = random.Random(37)
+    weights = [1 / (i + 3) for i in range(4000)]
+    vocabulary = [f"w{i}" for i in range(4000)]
+    pairs = []
+    while len(pairs) < 300:
+        a = rng.choices(vocabulary, weights, k=rng.randint(40, 400))
+        rate, b = rng.uniform(0.02, 0.22), []
+        for w in a:
+            x = rng.random()
+            b += [w] if x > rate else [[rng.choice(vocabulary)], [], [w, rng.choice(vocabulary)]][rng.randrange(3)]
+        limit = lambda share: int((1 - share) * max(len(a), len(b)) + 1e-9)
+        if within(a, b, limit(band[0])) and not (band[1] < 1 and within(a, b, limit(band[1]))):
+            pairs += [" ".join(a), " ".join(b)]
+    keys = [set(k) for k in candidate_keys(pairs)]
+    assert sum(bool(x & y) for x, y in zip(keys[::2], keys[1::2])) >= 0.95 * len(keys) / 2
+
+
+def test_two_components_of_a_large_group_are_all_compared(documents, monkeypatch):
+    """Chains: the leader is alike to one text only, which is alike to the next;
+    small blocks, so that bands and blocks meet in every way."""
+    monkeypatch.setattr(near_dups, "BLOCK", 3)
+    monkeypatch.setattr(near_dups, "ROUNDS", 1)
+    rng = random.Random(41)
+    fresh = lambda n: [f"o{rng.getrandbits(40)}" for _ in range(n)]
+    rows, text = [], fresh(100)
+    for i in range(24):                                   # each differs from the one before in 18 words, at moving places
+        rows.append((i, " ".join(text)))
+        text = list(text)
+        for at in range(18):
+            text[(i * 18 + at) % 100] = fresh(1)[0]
+        if i % 3 == 0:
+            text = text + fresh(2)
+    rng.shuffle(rows)
+    got = {r.doc_id: r.class_id for r in near_duplicates(documents(rows)).collect()}
+    assert set(got.values()) == {0}
+
+
+def test_large_links_are_shuffled(spark, monkeypatch):
+    from shelfwise.llm import components as module
+    links = spark.createDataFrame([(i, i + 1) for i in range(0, 40) if i % 7] + [(0, 100), (100, 3)], "u long, v long")
+    expected = sorted(map(tuple, components(links).collect()))
+    monkeypatch.setattr(module, "FEW_LINKS", 0)
+    assert sorted(map(tuple, components(links).collect())) == expected
+
+
+@pytest.mark.parametrize("wide", [False, True])
+def test_profiles_drop_no_pair_that_aligns(wide):
+    from shelfwise.llm.near_dups import WIDE, _profile_bytes, _word_hashes, may_align, profile, similar
     rng = random.Random(29)
     texts = []
     for n in (3, 10, 40, 200, 900):
         base = rng.choices(WORDS, k=n)
         texts += [" ".join(w for w in base if rng.random() > cut) for cut in (0, 0.1, 0.2, 0.3) for _ in range(4)]
-    found = {(i, j) for at, j in may_align([profile(t) for t in texts], [profile(t) for t in texts],
-                                           np.zeros(len(texts)), np.ones(len(texts))) for i in at.tolist()}
+    texts += ["again " * 900, "again " * 800 + "other " * 60]           # more than a bucket's byte counts
+    shown = _profile_bytes(*_word_hashes(texts), WIDE) if wide else [profile(t) for t in texts]
+    found = {(i, j) for at, j in may_align(shown, shown, np.zeros(len(texts)), np.ones(len(texts))) for i in at.tolist()}
     for i, a in enumerate(texts):
         for j, b in enumerate(texts):
             assert (i, j) in found or not similar(a, b)
