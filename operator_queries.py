@@ -65,7 +65,7 @@ def _linking(spark, d):
 
 
 def _ranking(spark, d):
-    return O.top_n(S.popular(spark, d), N_TOP).select("Pop", "GTIN")
+    return O.top_n(S.popular_top(spark, d, N_TOP), N_TOP).select("Pop", "GTIN")
 
 
 def _prefix_rows(spark, d):
@@ -86,7 +86,7 @@ def _match_rows(spark, d):
 
 def _matched(spark, d):
     return K1.matched_products(S.feed(spark, d), K1.monthly_ads(S.ads(spark, d), US),
-                               S.popular(spark, d), N_TOP, one_account=True)
+                               S.popular_top(spark, d, N_TOP), N_TOP, one_account=True)
 
 
 def do_sell_of_week(spark, d, run_date):
@@ -94,7 +94,7 @@ def do_sell_of_week(spark, d, run_date):
     analytics (F5) and the week's label."""
     return K1.do_sell(S.feed(spark, d), ADS.last_week(S.ads(spark, d), run_date),
                       D.report_days(S.analytics(spark, d), D.reporting_week(run_date)),
-                      S.popular(spark, d), run_date, n=N_TOP, account=US)
+                      S.popular_top(spark, d, N_TOP), run_date, n=N_TOP, account=US)
 
 
 def stored_do_sell(spark, d, with_week=False):
@@ -314,6 +314,13 @@ def o1_rank_order(spark, d):
     return rounded(O.by_rank(S.popular(spark, d)))
 
 
+def o1_global_rank(spark, d):
+    """Every part's place by whole price, a value that very many share, then
+    key; in ranges cut by quantile sketches."""
+    p = S.table(spark, d, "part").select("p_partkey", F.floor(F.col("p_retailprice") / 500).cast("int").alias("price"))
+    return O.equi_depth_rank(p, -F.col("price"), F.col("p_partkey"), ranges=16)
+
+
 def o2_top_n(spark, d):
     return rounded(O.top_n(S.popular(spark, d), N_TOP))
 

@@ -469,6 +469,8 @@ SELECT f.*, Pop FROM short_feed f JOIN short_top t ON {_key('f.GTIN', 2)} = {_ke
     "w1_decline_rule": _weekly(f"SELECT {WEEK_COLS}, round(newCost, 6) AS newCost, round(newROAS, 6) AS newROAS "
                                f"FROM scored WHERE {_declined(0.75)}"),
     "o1_rank_order": _plain(f"SELECT {POP_COLS} FROM popular ORDER BY Pop, GTIN"),
+    "o1_global_rank": "SELECT p_partkey, CAST(floor(p_retailprice / 500) AS INTEGER) AS price, "
+                      "row_number() OVER (ORDER BY floor(p_retailprice / 500) DESC, p_partkey) AS Pop FROM part",
     "o2_top_n": _plain(f"SELECT {POP_COLS} FROM top2000"),
     "o3_output_order": _weekly(f"SELECT {WEEK_COLS} FROM weeks"),
     "u1_union_pulls": _plain(f"SELECT {AN_COLS} FROM analytics WHERE date IN ({REPORT_DAYS})"),

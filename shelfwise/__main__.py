@@ -20,6 +20,7 @@ import sys
 from .functions.dates import reporting_week
 from .operators.filters import US_ACCOUNT
 from .operators.ordering import TOP_N
+from .plans.run_ledger import publish_weekly
 from .plans.weekly import WeeklyInputs, run_weekly
 from .session import get_spark, scale_settings
 from .sources.ads import read_ads
@@ -55,19 +56,24 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     ap.add_argument("--rank-drop", type=int, default=4, help="the same for ranking GTINs")
     ap.add_argument("--gtin-clean", action="store_true",
                     help="match GTINs as text without a decimal ending; short codes match nothing")
-    ap.add_argument("--bad-documents", help="folder for analytics documents that do not parse (default: stop)")
+    ap.add_argument("--bad-documents", help="folder for analytics documents that do not parse (default: stop); "
+                    "feed items that do not go to the folder of that name with -feed")
     ap.add_argument("--multi-line", action="store_true")
     ap.add_argument("--replace", action="store_true", help="replace this week's partitions on a re-run")
+    ap.add_argument("--run-id", help="publish the six tables as one run of this name, with a ledger")
     ap.add_argument("--input-bytes", type=int, help="approximate input size: applies scale_settings()")
     ap.add_argument("--cores", type=int, default=8, help="executor cores, with --input-bytes")
     args = ap.parse_args(argv)
     if args.from_currency != args.to_currency and not args.rates:
         ap.error("--to-currency needs --rates")
+    if args.run_id and args.replace:
+        ap.error("a published run replaces by its ledger: --run-id goes without --replace")
     return args
 
 
 def load_inputs(spark, args: argparse.Namespace) -> WeeklyInputs:
-    feed = read_feed(spark, args.feed, "all", margin_field=args.margin_field)
+    bad_items = f"{args.bad_documents.rstrip('/')}-feed" if args.bad_documents else None
+    feed = read_feed(spark, args.feed, "all", margin_field=args.margin_field, divert_to=bad_items)
     ranking = read_ranking(spark, args.ranking, args.run_date, args.snap, gtin_text=args.gtin_clean)
     ads = read_ads(spark, args.ads)
     renames = {**ANALYTICS_RENAMES, args.size_field: "size", args.category_field: "productType"}
@@ -85,10 +91,14 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     if args.input_bytes:
         for key, value in scale_settings(args.input_bytes, args.cores).items():
             spark.conf.set(key, value)
-    paths = run_weekly(load_inputs(spark, args), args.run_date, args.out, replace=args.replace,
-                       top=args.top, account=args.account, from_ccy=args.from_currency,
-                       to_ccy=args.to_currency, snap=args.snap, feed_drop=args.feed_drop,
-                       rank_drop=args.rank_drop, clean=args.gtin_clean)
+    options = dict(top=args.top, account=args.account, from_ccy=args.from_currency, to_ccy=args.to_currency,
+                   snap=args.snap, feed_drop=args.feed_drop, rank_drop=args.rank_drop, clean=args.gtin_clean)
+    inputs = load_inputs(spark, args)
+    if args.run_id:
+        new = publish_weekly(inputs, args.run_date, args.out, args.run_id, **options)
+        paths = {"run": args.run_id, "new": new}
+    else:
+        paths = run_weekly(inputs, args.run_date, args.out, replace=args.replace, **options)
     week = reporting_week(args.run_date, args.snap)
     print(json.dumps({"run_date": str(args.run_date), "week": [str(week[0]), str(week[-1])], "tables": paths}))
     return paths

@@ -31,14 +31,15 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, share: float = 1 /
     """Inner join on ``key`` where a few values hold much of ``left``.
 
     Only these values are salted: their rows of ``left`` are dealt out by a
-    hash of the row to about ``share`` of the rows each, and their rows of
+    hash of the row to about an eighth of ``share`` of the rows each, so that
+    several of these in one task are no burden, and their rows of
     ``right`` are repeated for every salt.  All other rows keep salt 0.  The
     same rows as a plain join; equal rows of ``left`` stay together."""
     heavy = heavy_keys(left, key, share)
     if not heavy:
         return left.join(right, key)
     total = left.count()
-    salts = {v: max(2, -(-2 * n // max(1, int(share * total)))) for v, n in heavy.items()}
+    salts = {v: max(2, -(-8 * n // max(1, int(share * total)))) for v, n in heavy.items()}
     of = F.lit(1)
     for value, n in salts.items():                    # at most 2 / share values
         of = F.when(F.col(key) == F.lit(value), n).otherwise(of)

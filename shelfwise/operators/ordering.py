@@ -62,6 +62,77 @@ def global_row_number(df: DataFrame, order: Sequence[Column], coarse: Column, na
             .drop("_coarse", "_at", "_off"))
 
 
+#: Rows of a range that ``equi_depth_rank`` numbers in one task, about, and most ranges.
+RANGE_ROWS = 1_000_000
+MOST_RANGES = 4096
+
+
+def _cuts(df: DataFrame, ranges: int) -> list[tuple[float, int | None]]:
+    """At most ``2 * ranges`` places (value, tie) that cut the rows into parts
+    of about equal size; tie None stands after all rows of the value.  From
+    mergeable quantile sketches: one over the values, one over the ties of each
+    value that fills more than a part by itself (at most ``ranges`` of them)."""
+    shares = [i / ranges for i in range(1, ranges)]
+    accuracy = 20 * ranges
+    borders = df.agg(F.percentile_approx("_value", shares, accuracy)).first()[0] or []
+    parts = {v: borders.count(v) for v in set(borders)}
+    common = [v for v, n in parts.items() if n > 1]
+    cuts: list[tuple[float, int | None]] = [(v, None) for v in parts]
+    if common:
+        ties = (df.filter(F.col("_value").isin(common)).groupBy("_value")
+                .agg(F.percentile_approx("_tie", shares, accuracy).alias("t")).collect())
+        for row in ties:
+            n = parts[row["_value"]] + 1
+            cuts += [(row["_value"], t) for t in {row["t"][len(shares) * i // (n + 1)] for i in range(1, n + 1)}]
+            # the rows before a common value are a part of their own
+            cuts.append((row["_value"], _BEFORE_ALL))
+    return sorted(set(cuts), key=lambda c: (c[0], float("inf") if c[1] is None else c[1]))
+
+
+_BEFORE_ALL, _AFTER_ALL = -(1 << 63), (1 << 63) - 1
+
+
+def _range_of(cuts: list[tuple[float, int | None]]) -> Column:
+    """A number that rises with the sorted ``cuts`` before a row: first among
+    every sixty-fourth, then among those that follow."""
+    row = F.struct(F.col("_value").alias("v"), F.col("_tie").alias("t"))
+    item = lambda c: F.struct(F.lit(float(c[0])).alias("v"),
+                              F.lit(_AFTER_ALL if c[1] is None else c[1]).cast("bigint").alias("t"))
+    if not cuts:
+        return F.lit(0)
+    steps = [cuts[i:i + 64] for i in range(0, len(cuts), 64)]
+    passed = lambda items: F.size(F.filter(items, lambda c: c < row))
+    whole = passed(F.array(*[item(s[-1]) for s in steps]))
+    inside = passed(F.coalesce(F.get(F.array(*[F.array(*map(item, s)) for s in steps]), whole),
+                               F.array().cast("array<struct<v:double,t:bigint>>")))
+    return whole * 64 + inside
+
+
+def equi_depth_rank(df: DataFrame, value: Column, tie: Column, name: str = "Pop", ranges: int | None = None) -> DataFrame:
+    """O1 over a ranking of any size: the 1-based position of every row by
+    ``value`` (a number, ascending, nulls last), then by ``tie`` (an integer,
+    ascending, not null), which together are unique.
+
+    Rows are dealt into ranges of about equal size, also where one value is
+    very common, numbered within their range, and moved on by the sizes of the
+    ranges before.  Only that table, one row a range, is summed in one task.
+    The ranges come from quantile sketches; any borders give the same
+    positions, so recomputed tasks agree.  ``ranges`` is by default one for every
+    ``RANGE_ROWS`` rows, at most ``MOST_RANGES``."""
+    rows = df.withColumns({"_value": value.cast("double"), "_tie": tie.cast("bigint")})
+    if ranges is None:
+        ranges = max(1, min(MOST_RANGES, -(-rows.count() // RANGE_ROWS)))
+    cuts = _cuts(rows.select("_value", "_tie"), ranges) if ranges > 1 else []
+    last = 64 * (len(cuts) // 64 + 2)                 # beyond every number of ``_range_of``
+    rows = rows.withColumn("_range", F.when(F.col("_value").isNull(), last).otherwise(_range_of(cuts)))
+    counts = rows.groupBy("_range").agg(F.count(F.lit(1)).alias("_c"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_range", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
+    within = Window.partitionBy("_range").orderBy("_value", "_tie")
+    return (rows.join(F.broadcast(offsets), "_range")
+            .withColumn(name, F.col("_off") + F.row_number().over(within)).drop("_value", "_tie", "_range", "_off"))
+
+
 def union_pulls(frames: Sequence[DataFrame], allow_missing: bool = False) -> DataFrame:
     """Concatenate daily pulls held as separate frames (UNION ALL by
     column name).  Pulls that lie in one table or folder are one read instead

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import week_label
@@ -108,6 +108,14 @@ def _build_popular(spark: SparkSession, sf_dir: str, run_date: _dt.date = DEFAUL
     return ranked.select(*_popular_columns(run_date)).withColumn("Pop", F.col("Pop").cast("int"))
 
 
+def _build_top(spark: SparkSession, sf_dir: str, n: int, run_date: _dt.date = DEFAULT_RUN_DATE) -> DataFrame:
+    """The first ``n`` rows of the ranking, numbered after the cut: every task
+    keeps its own first ``n`` parts, and only these are put in order."""
+    top = table(spark, sf_dir, "part").select(*_PART_COLS).orderBy(*_rank_order()).limit(n)
+    ranked = top.withColumn("Pop", F.row_number().over(Window.orderBy(*_rank_order())))
+    return ranked.select(*_popular_columns(run_date))
+
+
 def ranking_report(spark: SparkSession, sf_dir: str, run_date: _dt.date = DEFAULT_RUN_DATE) -> DataFrame:
     """The ranking as the report file names its columns (before S2)."""
     p = popular(spark, sf_dir, run_date)
@@ -209,6 +217,11 @@ def popular(spark: SparkSession, sf_dir: str, run_date: _dt.date = DEFAULT_RUN_D
     return _shared(spark, ("popular", sf_dir, run_date), lambda: _build_popular(spark, sf_dir, run_date))
 
 
+def popular_top(spark: SparkSession, sf_dir: str, n: int, run_date: _dt.date = DEFAULT_RUN_DATE) -> DataFrame:
+    """The first ``n`` rows of ``popular``."""
+    return _shared(spark, ("popular-top", sf_dir, n, run_date), lambda: _build_top(spark, sf_dir, n, run_date))
+
+
 def ads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ad performance report: one row per click/view/error event."""
     return _shared(spark, ("ads", sf_dir), lambda: _build_ads(spark, sf_dir))

@@ -45,6 +45,27 @@ def test_cli_weekly_run_from_raw_files(spark):
     assert all(abs(g[2] - e[2]) < 1e-9 and g[3] == e[3] for g, e in zip(got, exp))
 
 
+def test_cli_publishes_a_run_once(spark, tmp_path):
+    """A broken feed item is put aside, and a repeated run changes nothing."""
+    from shelfwise.plans import read_published
+    feed, ranking, ads, analytics = (FX.scratch_path(spark, n) for n in ("feed", "ranking", "ads", "an"))
+    FX.write_feed_xml(S.feed(spark, SF), feed)
+    spark.createDataFrame([("<item><g:id>x</g:idd></item>",)], "v string").write.mode("append").text(f"{feed}")
+    FX.write_ranking_csv(S.ranking_report(spark, SF), ranking)
+    FX.write_ads_report(S.ads(spark, SF), ads)
+    FX.write_analytics_responses(S.analytics(spark, SF), analytics, DIMS, METRICS)
+    out, bad = FX.scratch_path(spark, "cli-run"), FX.scratch_path(spark, "cli-bad")
+    given = ["--feed", feed, "--ranking", ranking, "--ads", ads, "--analytics", analytics, "--analytics-sizes", analytics,
+             "--out", out, "--run-date", RUN.isoformat(), "--account", "ACCOUNT US", "--run-id", "a", "--bad-documents", bad]
+    assert main(given) == {"run": "a", "new": True}
+    assert read_published(spark, out, "popular").count() == 200
+    assert [r["value"] for r in spark.read.json(f"{bad}-feed").collect()] == ["<item><g:id>x</g:idd></item>"]
+    assert main(given)["new"] is False
+    assert read_published(spark, out, "popular").count() == 200
+    with pytest.raises(SystemExit):
+        main([*given, "--replace"])
+
+
 def test_cli_needs_rates_for_another_currency(capsys):
     from shelfwise.__main__ import parse_args
     given = ["--feed", "f", "--ranking", "r", "--ads", "a", "--analytics", "x", "--analytics-sizes", "x", "--out", "o"]

@@ -266,3 +266,83 @@ def test_segment_report_equals_the_report_over_segment_hits(spark):
     got = AN.segment_report(hits)
     assert {r["segment"] for r in got.select("segment").distinct().collect()} == {"United States"}
     assert rows(got.select(*direct.columns)) == rows(direct)
+
+
+@pytest.mark.parametrize("ranges", [1, 2, 16, 300])
+def test_equi_depth_rank(spark, ranges):
+    """Half of the rows have one value, some none; positions and range sizes."""
+    from shelfwise.operators import ordering as O
+    df = spark.range(0, 4000, 1, 7).select(
+        "id", F.when(F.col("id") % 2 == 0, 5.0).when(F.col("id") % 97 == 0, None)
+        .when(F.col("id") % 5 == 0, -1.5).otherwise(F.col("id") % 613 / 3).alias("v"))
+    got = {r["id"]: r["Pop"] for r in O.equi_depth_rank(df, F.col("v"), F.col("id") % 1000 * 10 + F.floor(F.col("id") / 1000),
+                                                        ranges=ranges).collect()}
+    order = sorted(df.collect(), key=lambda r: (r["v"] is None, r["v"] or 0.0, r["id"] % 1000 * 10 + r["id"] // 1000))
+    assert got == {r["id"]: i for i, r in enumerate(order, 1)}
+    if ranges == 16:
+        rows_ = df.withColumns({"_value": F.col("v"), "_tie": F.col("id")})
+        cuts = O._cuts(rows_.select("_value", "_tie"), ranges)
+        sizes = [r["count"] for r in rows_.withColumn("r", F.when(F.col("v").isNull(), -1).otherwise(O._range_of(cuts)))
+                 .groupBy("r").count().collect()]
+        assert max(sizes) <= 2 * 4000 / ranges
+
+
+def test_equi_depth_rank_of_nothing(spark):
+    from shelfwise.operators import ordering as O
+    df = spark.createDataFrame([], "v double, id long")
+    assert O.equi_depth_rank(df, F.col("v"), F.col("id"), ranges=8).count() == 0
+    assert O.equi_depth_rank(df, F.col("v"), F.col("id")).count() == 0
+    one = spark.createDataFrame([(None, 3)], "v double, id long")
+    assert [r["Pop"] for r in O.equi_depth_rank(one, F.col("v"), F.col("id"), ranges=8).collect()] == [1]
+
+
+def test_salted_join_spreads_a_heavy_key(spark):
+    """Half of the rows have one key: the same rows as a plain join, and no
+    task has more than an eighth of them."""
+    from shelfwise.operators.joins import heavy_keys, salted_join
+    left = spark.range(20_000).select("id", F.when(F.col("id") % 2 == 0, "").when(F.col("id") % 50 == 1, None)
+                                      .otherwise(F.concat(F.lit("k"), F.col("id") % 3000)).alias("key"))
+    right = spark.createDataFrame([("", 1), ("", 2), ("k1", 3), ("k7", 4), (None, 5)], "key string, v int")
+    assert list(heavy_keys(left, "key", 1 / 16)) == [""]
+    before = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold",
+                                             "spark.sql.shuffle.partitions")}
+    try:
+        for c, v in zip(before, ("false", "-1", "32")):
+            spark.conf.set(c, v)
+        joined = salted_join(left, right, "key")
+        assert joined.count() == left.join(right, "key").count() and joined.columns == ["key", "id", "v"]
+        assert rows(joined.filter("id < 200")) == rows(left.join(right, "key").filter("id < 200"))
+        parts = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(parts) <= sum(parts) / 8
+        plain = [r["count"] for r in left.join(right, "key").groupBy(F.spark_partition_id()).count().collect()]
+        assert max(plain) > sum(plain) / 2
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    assert rows(salted_join(left.filter("key is null"), right, "key")) == []
+
+
+def test_view_states_merge_in_any_parts(spark):
+    """States of single rows, of weeks and of all merge to the view; a product
+    without any rank is left out, a null measure is not averaged."""
+    import random
+
+    from shelfwise.plans import views as V
+    rng = random.Random(8)
+    columns = ("report_monday string, ID string, Impressions long, Cost long, Clicks long, ConversionValue double, IMG string, "
+               "BRAND string, Pop int, itemRev long, buyToDetailRate double, productName string, country string, monthNum string, "
+               "yearNum string, newCost double, newROAS double, WeekNumber string")
+    data = [(f"w{rng.randrange(4)}", f"p{rng.randrange(6)}", rng.randrange(9), 1, rng.randrange(9), rng.choice([None, 1.5, 2.5]),
+             rng.choice(["i", "j", None]), rng.choice(["b", None]), None, 3, 40.0, "n", "c", f"0{rng.randrange(3)}", "2024", 0.5, 1.25,
+             str(rng.randrange(5))) for _ in range(300)]
+    data = [r[:8] + (None if r[1] == "p0" else rng.choice([None, 3, 7]),) + r[9:] for r in data]
+    table = spark.createDataFrame(data, columns)
+    for period, from_states, view in (("monthNum", V.do_sell_by_month_from_states, V.do_sell_by_month),
+                                      ("WeekNumber", V.do_sell_by_week_from_states, V.do_sell_by_week)):
+        expected = view(table)
+        for also in ([], ["report_monday"], ["report_monday", "Pop"]):
+            got = from_states(V.view_states(table, period, also))
+            assert got.columns == expected.columns
+            close = lambda df: [tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in rows(df)]
+            assert close(got) == close(expected)
+        assert got.filter("ID = 'p0'").count() == 0

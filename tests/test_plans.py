@@ -77,3 +77,27 @@ def test_views_combine_before_the_first_exchange(spark):
 def test_stored_table_is_scanned_once_per_reference(spark, name):
     most = {"do_sell_by_week": 1, "j10_min_pop_semi": 2, "j11_view_x_join": 3}[name]
     assert _plan(QUERIES[name](spark, SF_DIR)).count("FileScan") <= most
+
+
+@pytest.mark.parametrize("name", ["s8_report_request", "s8_segment_report", "s9_segment_sizes", "s10_user_segment"])
+def test_segment_reports_scan_the_hits_once(spark, name):
+    plan = _plan(QUERIES[name](spark, SF_DIR))
+    assert plan.count("FileScan") == 1 and "Join" not in plan
+
+
+def test_writes_are_rebalanced_by_partition(spark):
+    from shelfwise.sources.sinks import rebalanced
+    plan = _plan(rebalanced(spark.range(10).selectExpr("id", "id % 3 AS day"), ["day"]))
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan
+
+
+def test_merged_reports_read_stored_rows_only(spark):
+    """Buyers come from the bitmaps, the view from its states."""
+    for name, column in (("s8_weekly_buyers", "buyers"), ("do_sell_by_month_states", "Clicks_sum")):
+        plan = _plan(QUERIES[name](spark, SF_DIR))
+        assert plan.count("FileScan") == 1 and column in plan and "events.parquet" not in plan
+
+
+def test_top_of_the_ranking_is_numbered_after_the_cut(spark):
+    plan = _plan(QUERIES["popular"](spark, SF_DIR))
+    assert plan.count("FileScan") == 1 and "TakeOrderedAndProject" in plan and "hashpartitioning" not in plan
