@@ -3,7 +3,8 @@
 Features are character n-grams, hashed into a fixed number of buckets and
 weighted by TF-IDF.  The document frequencies cover all training rows: tasks sum
 them per batch and Spark adds the sums.  The classifier is fitted on a bounded
-sample of the training rows with follow-the-regularised-leader and elastic-net
+sample of the training rows, drawn language by language so that a rare one is
+learned at any size of the input, with follow-the-regularised-leader and elastic-net
 penalties, which leaves most weights at zero; a part of the sample that it has
 not seen calibrates its confidence by a temperature."""
 
@@ -15,18 +16,21 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, python_workers
+from .common import broadcast_if_small, cut, python_workers, stored
 
 #: Lengths of the character n-grams, and buckets for their hashes.
 LENGTHS = (1, 2, 3)
 BUCKETS = 1 << 14
-#: Training texts that the classifier is fitted on, about (their hashes choose
-#: them, copies once); a fifth of them calibrates.  The bound does not grow with
-#: the input.
+#: Training texts that the classifier is fitted on, about, dealt out evenly to
+#: the languages (their hashes choose them, copies once); a fifth of them
+#: calibrates.  A language gets at least so many, or all its texts.  Their
+#: features fill at most so many bytes.  The bounds do not grow with the input.
 SAMPLE_ROWS = 4000
+LEAST_PER_LANG = 50
+SAMPLE_BYTES = 64 << 20
 #: FTRL: learning rate and its smoothing, L1 and L2 penalties, passes.
 ALPHA, BETA, L1, L2, PASSES = 0.5, 1.0, 0.02, 0.05, 3
 #: Label of texts without a letter.
@@ -113,9 +117,13 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 
 def fit(texts: list[str], labels: list[str], idf: np.ndarray) -> Model:
     """Fit on a bounded number of texts; every fifth calibrates."""
+    return fit_features([features(t, len(idf)) for t in texts], labels, idf)
+
+
+def fit_features(rows: list[tuple[np.ndarray, np.ndarray]], labels: list[str], idf: np.ndarray) -> Model:
+    """``fit`` on the texts' ``features``."""
     names = sorted(set(labels))
     y = np.array([names.index(x) for x in labels])
-    rows = [features(t, len(idf)) for t in texts]
     k = len(names)
     z, n = np.zeros((len(idf), k)), np.zeros((len(idf), k))
     zb, nb = np.zeros(k), np.zeros(k)
@@ -185,12 +193,49 @@ def train(rows: DataFrame, sample_rows: int = SAMPLE_ROWS, buckets: int = BUCKET
     inside = table[table["bucket"] >= 0]
     docs[inside["bucket"].to_numpy()] = inside["docs"].to_numpy()
     idf = np.log((1 + total) / (1 + docs)) + 1
+    sample = sampled(usable, sample_rows, buckets=buckets).orderBy("_h").toPandas()    # bounded by the parameters
+    rows = [(np.frombuffer(at, "<u4").astype(np.int64), np.frombuffer(tf, "<f4").astype(float))
+            for at, tf in zip(sample["at"], sample["tf"])]
+    return fit_features(rows, sample["lang"].tolist(), idf) if len(sample) else None
+
+
+def sampled(usable: DataFrame, sample_rows: int = SAMPLE_ROWS, least: int = LEAST_PER_LANG,
+            sample_bytes: int = SAMPLE_BYTES, buckets: int = BUCKETS) -> DataFrame:
+    """A bounded sample of the rows (text, lang): _h, lang and the features of
+    one text a row.  Every language gets an even part of ``sample_rows``, at
+    least ``least`` texts, as long as it has them and they fit into its part of
+    ``sample_bytes`` (its first one always does).  Copies are one text with its
+    most frequent label; ties go to the first in the alphabet."""
+    langs = cut(usable.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("text"), 0.02).alias("_n")))
+    known = langs.count()
+    each = max(least, sample_rows // max(known, 1))
     slots = 1 << 30
-    share = min(slots, int(slots * sample_rows / total) + 1)
-    sample = (usable.withColumn("_h", F.xxhash64("text")).filter(F.pmod("_h", F.lit(slots)) < share)
-              .groupBy("_h").agg(F.first("text").alias("text"), F.min("lang").alias("lang"))
-              .orderBy("_h").limit(sample_rows + sample_rows // 4).toPandas())    # bounded by the parameter
-    return fit(sample["text"].tolist(), sample["lang"].tolist(), idf) if len(sample) else None
+    shares = langs.select("lang", F.least(F.lit(slots), (F.lit(float(each) * slots) / F.col("_n")).cast("long") + 1).alias("_share"))
+    hashed = usable.withColumn("_h", F.xxhash64("text"))
+    chosen = cut(hashed.join(broadcast_if_small(shares, known), "lang")
+                 .filter(F.pmod("_h", F.lit(slots)) < F.col("_share")).select("_h").distinct())
+    texts = (hashed.join(broadcast_if_small(chosen, chosen.count()), "_h")
+             .groupBy("_h", "lang").agg(F.count(F.lit(1)).alias("_n"), F.first("text").alias("text")))
+    labels = texts.groupBy("_h").agg(F.min_by("lang", F.struct((-F.col("_n")).alias("n"), "lang")).alias("lang"),
+                                     F.first("text").alias("text"))
+    found = labels.select("_h", "lang", _packed(F.col("text"), buckets).alias("_f")).select("_h", "lang", "_f.*")
+    found = stored(found.withColumn("_bytes", F.octet_length("at") + F.octet_length("tf")), "sample")
+    by_hash = Window.partitionBy("lang").orderBy("_h")           # of about ``each`` rows
+    found = found.withColumns({"_rank": F.row_number().over(by_hash), "_sum": F.sum("_bytes").over(by_hash)})
+    return (found.filter((F.col("_rank") == 1) | ((F.col("_rank") <= each + each // 4)
+                                                  & (F.col("_sum") <= sample_bytes // max(known, 1))))
+            .select("_h", "lang", "at", "tf"))
+
+
+def _packed(text: Column, buckets: int) -> Column:
+    """A text's ``features`` as bytes: bucket numbers and frequencies."""
+    @F.pandas_udf("at binary, tf binary")
+    def make(texts: pd.Series) -> pd.DataFrame:
+        found = [features(t, buckets) for t in texts]
+        return pd.DataFrame([(at.astype("<u4").tobytes(), tf.astype("<f4").tobytes()) for at, tf in found],
+                            columns=["at", "tf"])
+
+    return make(text)
 
 
 def predictions(text: Column, model: Model | None) -> Column:

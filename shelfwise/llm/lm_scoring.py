@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import broadcast_if_small, cut, python_workers
@@ -31,7 +31,7 @@ START = IDS
 WIDTH = IDS + 1
 #: Weight of the unigram model in a bigram's probability, in tokens.
 SMOOTHING = 20.0
-#: Pairs that are sent to every task as an array of 16 bytes each.
+#: Pairs that are sent to every task as an array of 24 bytes each.
 BROADCAST_PAIRS = 2_000_000
 #: Tokens that a task counts before it sums up.
 CHUNK = 4_000_000
@@ -90,72 +90,103 @@ def count_pairs(rows: DataFrame) -> DataFrame:
             .groupBy("pair").agg(F.sum("target").alias("target"), F.sum("background").alias("background")))
 
 
-def loss_differences(counts: DataFrame, smoothing: float = SMOOTHING) -> DataFrame:
-    """``pair`` and ``delta``, the target model's loss less the background's
-    (natural logarithms), for every pair in ``counts``.  A bigram's probability
-    is its count plus ``smoothing`` times the token's add-one unigram
-    probability, over the context's count plus ``smoothing``."""
-    both = counts.select("pair", "target", "background", F.floor(F.col("pair") / WIDTH).alias("before"),
-                         F.pmod("pair", F.lit(WIDTH)).alias("token"))
-    kinds = ("target", "background")
-    contexts = both.groupBy("before").agg(*[F.sum(k).alias(f"{k}_context") for k in kinds])
-    tokens = both.groupBy("token").agg(*[F.sum(k).alias(f"{k}_token") for k in kinds])
-    totals = tokens.agg(F.count(F.lit(1)).alias("known"), *[F.sum(f"{k}_token").alias(k) for k in kinds]).first()
-    # at most one row for each id of the vocabulary
-    joined = both.join(F.broadcast(contexts), "before").join(F.broadcast(tokens), "token")
+#: The two sides, in the order of all tables and arrays.
+KINDS = ("target", "background")
 
-    def loss(kind: str) -> Column:
-        unigram = (F.col(f"{kind}_token") + 1) / F.lit(float((totals[kind] or 0) + totals["known"]))
-        return -F.log((F.col(kind) + smoothing * unigram) / (F.col(f"{kind}_context") + smoothing))
 
-    return joined.select("pair", (loss("target") - loss("background")).alias("delta"))
+def _loss(pair, context, token, total, known, own_pair, own_context, own_token, own_total, smoothing):
+    """A model's loss on a pair, without a document's own counts: its bigram
+    probability is the pair's count plus ``smoothing`` times the token's add-one
+    unigram probability, over the context's count plus ``smoothing``.  Takes
+    numbers, arrays or columns; the probability, not yet its logarithm."""
+    unigram = (token - own_token + 1) / (total - own_total + known)
+    return (pair - own_pair + smoothing * unigram) / (context - own_context + smoothing)
+
+
+def totals_of(counts: DataFrame) -> tuple[DataFrame, DataFrame, dict]:
+    """Counts by the token before and by the token (at most one row for each
+    id of the vocabulary) and the totals with the number of tokens ``known``."""
+    both = counts.select(*KINDS, F.floor(F.col("pair") / WIDTH).alias("before"), F.pmod("pair", F.lit(WIDTH)).alias("token"))
+    contexts = both.groupBy("before").agg(*[F.sum(k).alias(f"{k}_context") for k in KINDS])
+    tokens = both.groupBy("token").agg(*[F.sum(k).alias(f"{k}_token") for k in KINDS])
+    totals = tokens.agg(F.count(F.lit(1)).alias("known"), *[F.coalesce(F.sum(f"{k}_token"), F.lit(0)).alias(k) for k in KINDS])
+    return contexts, tokens, totals.first().asDict()
 
 
 def score(docs: DataFrame, is_target: Column, vocabulary: str = VOCABULARY,
           smoothing: float = SMOOTHING, broadcast_pairs: int = BROADCAST_PAIRS) -> DataFrame:
     """doc_id, n_tokens and score for every row of ``docs`` (doc_id, text);
     rows where ``is_target`` (over the columns of ``docs``) holds count for the
-    target model, all others for the background.
+    target model, all others for the background, and none for its own score.
 
     Null and empty texts have no tokens and a null score.  Repeated rows count
-    as often as they stand and score alike.  Without target rows the target
-    model is uniform over the tokens seen.  An empty table gives no rows."""
+    as often as they stand, also for each other, and score alike.  Without
+    (other) target rows the target model is uniform over the tokens seen.  An
+    empty table gives no rows."""
     spark = docs.sparkSession
     python_workers(spark)
     rows = cut(encoded(docs.select("doc_id", "text", F.coalesce(is_target, F.lit(False)).alias("is_target")), vocabulary))
-    deltas = cut(loss_differences(cut(count_pairs(rows)), smoothing))
-    if deltas.count() <= broadcast_pairs:
-        known = deltas.toArrow()
-        pair = known["pair"].to_numpy()
-        order = np.argsort(pair)
-        model = spark.sparkContext.broadcast((pair[order], known["delta"].to_numpy()[order]))
-
-        @F.pandas_udf("n_tokens long, score double")
-        def mean_delta(tokens: pd.Series) -> pd.DataFrame:
-            pair, delta = model.value
-            out = []
-            for ids in tokens:
-                codes = pairs_of(ids)
-                out.append((len(codes), float(delta[np.searchsorted(pair, codes)].mean()) if len(codes) else None))
-            return pd.DataFrame(out, columns=["n_tokens", "score"])
-
-        return rows.select("doc_id", mean_delta(F.col("ids")).alias("_s")).select("doc_id", "_s.*")
-    return _score_by_join(rows, deltas)
-
-
-def _score_by_join(rows: DataFrame, deltas: DataFrame) -> DataFrame:
+    counts = cut(count_pairs(rows))
+    contexts, tokens, totals = totals_of(counts)
+    if counts.count() > broadcast_pairs:
+        return _score_by_join(rows, counts, contexts, tokens, totals, smoothing)
+    known = counts.select("pair", *KINDS).toArrow()
+    order = np.argsort(known["pair"].to_numpy())
+    pair = known["pair"].to_numpy()[order]
+    by_pair = [known[k].to_numpy()[order] for k in KINDS]
+    before, after = pair // WIDTH, pair % WIDTH
+    by_context = [np.bincount(before, c, WIDTH).astype(np.int64) for c in by_pair]
+    by_token = [np.bincount(after, c, WIDTH).astype(np.int64) for c in by_pair]
+    model = spark.sparkContext.broadcast((pair, by_pair, by_context, by_token))
+
+    @F.pandas_udf("n_tokens long, score double")
+    def mean_difference(ids_of: pd.Series, targets: pd.Series) -> pd.DataFrame:
+        pair, by_pair, by_context, by_token = model.value
+        out = []
+        for ids, is_target in zip(ids_of, targets):
+            codes, n = np.unique(pairs_of(ids), return_counts=True)
+            if not len(codes):
+                out.append((0, None))
+                continue
+            before, token = codes // WIDTH, codes % WIDTH
+            firsts, lasts = np.unique(before, return_inverse=True)[1], np.unique(token, return_inverse=True)[1]
+            own = (n, np.bincount(firsts, n)[firsts], np.bincount(lasts, n)[lasts], n.sum())
+            at = np.searchsorted(pair, codes)
+            logs = [np.log(_loss(by_pair[k][at], by_context[k][before], by_token[k][token], totals[kind], totals["known"],
+                                 *(own if (kind == "target") == is_target else (0, 0, 0, 0)), smoothing))
+                    for k, kind in enumerate(KINDS)]
+            out.append((int(n.sum()), float(((logs[1] - logs[0]) * n).sum() / n.sum())))
+        return pd.DataFrame(out, columns=["n_tokens", "score"])
+
+    return rows.select("doc_id", mean_difference(F.col("ids"), F.col("is_target")).alias("_s")).select("doc_id", "_s.*")
+
+
+def _score_by_join(rows: DataFrame, counts: DataFrame, contexts: DataFrame, tokens: DataFrame, totals: dict,
+                   smoothing: float) -> DataFrame:
     """The same scores with the pairs of every document joined to the table."""
     @F.pandas_udf("pair array<long>, n array<long>")
     def pairs(tokens: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([np.unique(pairs_of(ids), return_counts=True) for ids in tokens],
                             columns=["pair", "n"])
 
-    numbered = cut(rows.select("doc_id", pairs(F.col("ids")).alias("_p"))
+    numbered = cut(rows.select("doc_id", "is_target", pairs(F.col("ids")).alias("_p"))
                    .withColumn("_row", F.monotonically_increasing_id()))
-    each = numbered.select("_row", F.explode(F.arrays_zip("_p.pair", "_p.n")).alias("_e"))
-    sums = (each.select("_row", F.col("_e.pair").alias("pair"), F.col("_e.n").alias("n")).join(deltas, "pair")
-            .groupBy("_row").agg(F.sum("n").alias("n_tokens"),
-                                 (F.sum(F.col("n") * F.col("delta")) / F.sum("n")).alias("score")))
+    each = (numbered.select("_row", "is_target", F.explode(F.arrays_zip("_p.pair", "_p.n")).alias("_e"))
+            .select("_row", "is_target", "_e.pair", "_e.n")
+            .withColumns({"before": F.floor(F.col("pair") / WIDTH), "token": F.pmod("pair", F.lit(WIDTH))}))
+    each = each.withColumns({"own_context": F.sum("n").over(Window.partitionBy("_row", "before")),
+                             "own_token": F.sum("n").over(Window.partitionBy("_row", "token")),
+                             "own_total": F.sum("n").over(Window.partitionBy("_row"))})
+    met = each.join(counts, "pair").join(F.broadcast(contexts), "before").join(F.broadcast(tokens), "token")
+
+    def log(kind: str) -> Column:
+        mine = F.col("is_target") == F.lit(kind == "target")
+        own = [F.when(mine, F.col(c)).otherwise(0) for c in ("n", "own_context", "own_token", "own_total")]
+        return F.log(_loss(F.col(kind), F.col(f"{kind}_context"), F.col(f"{kind}_token"), F.lit(totals[kind]),
+                           F.lit(float(totals["known"])), *own, F.lit(smoothing)))
+
+    sums = (met.groupBy("_row").agg(F.sum("n").alias("n_tokens"),
+                                    (F.sum(F.col("n") * (log("background") - log("target"))) / F.sum("n")).alias("score")))
     return (numbered.select("_row", "doc_id").join(sums, "_row", "left")
             .select("doc_id", F.coalesce("n_tokens", F.lit(0)).alias("n_tokens"), "score"))
 

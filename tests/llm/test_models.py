@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm import lm_scoring
 from shelfwise.llm.encoding import encoder
-from shelfwise.llm.language_id import UNKNOWN, fit, grams, has_letter, identify
+from shelfwise.llm.language_id import UNKNOWN, fit, grams, has_letter, identify, sampled
 from shelfwise.llm.queries import op7_language, op8_lm_scoring
 
 
@@ -40,6 +40,31 @@ def test_odd_rows(documents, clashes):
     assert {r.lang_pred for r in identify(docs, F.lit(False)).collect()} == {UNKNOWN}
 
 
+def test_rare_language_is_learned(spark):
+    """Two texts in 20,000 (0.01 %), with a sample of 200 texts."""
+    rng = np.random.default_rng(5)
+    words = {"aa": "the of and to in is that".split(), "bb": "der die das und zu den mit".split(), "cc": "ja wo nu ke xo wu zy".split()}
+    text = lambda lang: " ".join(rng.choice(words[lang], 12))
+    rows = [(i, text("aa" if i % 2 else "bb"), "aa" if i % 2 else "bb") for i in range(20_000)]
+    rows += [(20_000 + i, text("cc"), "cc") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = identify(docs, F.col("doc_id") < 20_002, sample_rows=200)
+    assert {r.doc_id: r.lang_pred for r in got.filter("doc_id >= 20000").collect()} == {20_000 + i: "cc" for i in range(3)}
+
+
+def test_sample_is_even_bounded_and_takes_the_usual_label(spark):
+    rows = [("common text %d here" % (i % 900), "en") for i in range(3000)] + [("rare %d" % i, "xx") for i in range(3)]
+    rows += [("twice said", "zz")] * 2 + [("twice said", "en")] + [("a tie", "zz"), ("a tie", "en")]
+    table = spark.createDataFrame(rows, "text string, lang string")
+    got = sampled(table, sample_rows=90, least=10).collect()
+    langs = Counter(r.lang for r in got)
+    assert langs["xx"] == 3 and langs["zz"] == 1 and 15 <= langs["en"] <= 38
+    small = sampled(table, sample_rows=90, least=10, sample_bytes=3 * 500).collect()
+    assert Counter(r.lang for r in small)["en"] >= 1
+    assert all(sum(len(r.at) + len(r.tf) for r in small if r.lang == k) <= 500 or n == 1
+               for k, n in Counter(r.lang for r in small).items())
+
+
 def test_held_out_accuracy(spark):
     sf_dir = "/root/testdata/sf0.01"
     lang = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
@@ -50,25 +75,37 @@ def test_held_out_accuracy(spark):
     assert sum(held) / len(held) >= 0.97
 
 
-def _brute(rows):
-    """doc_id -> mean loss difference, from plain counters."""
+def _brute(rows, wanted=None):
+    """doc_id -> mean loss difference, from plain counters without the
+    document's own tokens."""
     pairs = [lm_scoring.pairs_of(encoder().ids(t).astype("<u2").tobytes()).tolist() for _, t, _ in rows]
-    counts = {True: Counter(), False: Counter()}
-    for p, (_, _, is_target) in zip(pairs, rows):
-        counts[is_target].update(p)
     width, weight = lm_scoring.WIDTH, lm_scoring.SMOOTHING
-    known = len({p % width for c in counts.values() for p in c})
-
-    def loss(c):
-        context, token = Counter(), Counter()
+    whole = {True: Counter(), False: Counter()}
+    for p, (_, _, is_target) in zip(pairs, rows):
+        whole[is_target].update(p)
+    known = len({p % width for c in whole.values() for p in c})
+    context, token = ({k: Counter() for k in whole} for _ in range(2))
+    for k, c in whole.items():
         for p, n in c.items():
-            context[p // width] += n
-            token[p % width] += n
-        total = sum(token.values())
-        return lambda p: -math.log((c[p] + weight * (token[p % width] + 1) / (total + known)) / (context[p // width] + weight))
-
-    target, background = loss(counts[True]), loss(counts[False])
-    return [(i, sum(target(x) - background(x) for x in p) / len(p) if p else None) for (i, _, _), p in zip(rows, pairs)]
+            context[k][p // width] += n
+            token[k][p % width] += n
+    total = {k: sum(c.values()) for k, c in whole.items()}
+
+    def loss(k, p, own):
+        uni = (token[k][p % width] - sum(n for q, n in own.items() if q % width == p % width) + 1) / (
+            total[k] - sum(own.values()) + known)
+        return -math.log((whole[k][p] - own[p] + weight * uni) / (
+            context[k][p // width] - sum(n for q, n in own.items() if q // width == p // width) + weight))
+
+    out = []
+    for p, (i, _, is_target) in zip(pairs, rows):
+        if wanted is not None and i not in wanted:
+            out.append((i, None))
+            continue
+        own = {k: Counter(p) if k == is_target else Counter() for k in whole}
+        each = {q: loss(True, q, own[True]) - loss(False, q, own[False]) for q in set(p)}
+        out.append((i, sum(each[q] for q in p) / len(p) if p else None))
+    return out
 
 
 @pytest.mark.parametrize("broadcast_pairs", [10 ** 6, 0])
@@ -83,6 +120,27 @@ def test_scores_by_array_and_by_join(spark, broadcast_pairs):
     assert lm_scoring.score(docs.limit(0), F.col("t"), broadcast_pairs=broadcast_pairs).count() == 0
 
 
+def test_query_equals_brute_force(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    labels = {r.doc_id: (r.quality, r.toxic) for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    short = {r.doc_id for r in docs if len(r.text or "") < 2500}      # the brute force is quadratic in a text
+    rows = [(r.doc_id, r.text, labels.get(r.doc_id) == (1, 0)) for r in docs]
+    expected = {i: x for (i, x), r in zip(_brute(rows, short), rows)}
+    got = {r.doc_id: r.score for r in op8_lm_scoring(spark, sf_dir).collect()}
+    assert set(got) == {r[0] for r in rows} and len(short) > len(rows) / 2
+    assert all(abs(got[i] - expected[i]) < 1e-9 for i in short if expected[i] is not None)
+
+
+def test_a_document_does_not_vouch_for_itself(spark):
+    """Two documents with words of their own score alike, whichever side they
+    are on; one whose words the others of its side have does not."""
+    rows = [(i, "common plain words of all " * 3, i % 2 == 0) for i in range(6)]
+    rows += [(10, "zyx wvut zyx wvut", True), (11, "zyx wvut zyx wvut", False)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, t boolean")
+    got = {r.doc_id: r.score for r in lm_scoring.score(docs, F.col("t")).collect()}
+    assert got[10] > 0 > got[11]        # each looks like the side that the other one is on
+
+
 def test_labels_may_repeat(spark):
     docs = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "doc_id long, text string")
     labels = spark.createDataFrame([(1, 1, 0), (1, 1, 0), (2, 1, 1), (None, 1, 0)], "doc_id long, quality int, toxic int")
