@@ -27,22 +27,28 @@ from shelfwise.session import scratch_folder
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Null, empty and short texts fail the base rule and go; a null language or
+    source is a group like any other; repeated rows stay or go together."""
     return keep_good(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Null texts stay; empty texts and repeated rows are copies, one stays."""
     return one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Null and empty texts have no hit and stay."""
     return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """No row goes; null texts stay null."""
     return redact_versions(docs, length="n_chars")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A null or empty text is its end id alone; a null doc_id stays null."""
     pieces = pack(docs)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
                          "doc_tokens", "sequence_id", "offset", "sequence_length")

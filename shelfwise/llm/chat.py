@@ -163,7 +163,11 @@ def linear_threads(turns: DataFrame) -> DataFrame:
 
 
 def digests(formatted: Column, starts: Column, ends: Column) -> Column:
-    """What a formatted conversation holds, read back from its text."""
+    """What a formatted conversation holds, read back from its text: its turns
+    and their digest, the text under the loss mask (``starts`` and ``ends``) and
+    its digest, and its length, all in code points.  A conversation without a
+    learnt turn has an empty mask; empty roles and texts count as they are.
+    None of the three is null."""
     import hashlib
 
     @F.pandas_udf("n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")

@@ -172,7 +172,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without a hit, with their own columns."""
+    """The rows of ``docs`` without a hit, with their own columns.  Null and
+    empty texts have none and stay, repeated rows stay or go together, an empty
+    benchmark keeps all, an empty table gives no rows."""
     hits = cut(find_hits(docs, benchmark).select("k1", "k2"))
     keyed = docs.select(whole_row(docs).alias("_doc"), *text_key(F.col("text")))
     return (keyed.join(broadcast_if_small(hits, hits.count()), ["k1", "k2"], "left_anti").select("_doc.*"))

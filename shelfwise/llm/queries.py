@@ -17,6 +17,7 @@ from .language_id import identify
 from .licenses import license_spans, verdicts
 from .lm_scoring import labelled_good, score
 from .near_dups import near_duplicates
+from .oracles import ORACLES  # noqa: F401  registered beside the queries
 from .packing import pack
 from .periodic_runs import periodic_runs
 from .quality import judge
@@ -181,6 +182,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op12_periodic_runs": op12_periodic_runs,
     "op13_spelling": op13_spelling,
 }
-
-#: DuckDB SQL for the queries that SQL can express.
-ORACLES: dict[str, str] = {}

@@ -108,7 +108,12 @@ def spans(content: Column, rule: Rule) -> Column:
 def scan(blobs: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> tuple[DataFrame, DataFrame]:
     """Run on ``blobs`` (blob, content; one row each) the rules that ``ledger``
     does not have for them.  Returns the new findings and the new ledger rows,
-    both without what was there before."""
+    both without what was there before.
+
+    Null and empty content has no findings but is entered as scanned; very long
+    content is scanned whole; overlapping finds of one kind go to the leftmost.
+    An empty table gives no rows, an empty ledger has seen nothing; of repeated
+    blobs every row is scanned.  Other columns are not read."""
     seen = (ledger.groupBy("blob").agg(F.collect_set(F.struct("kind", "version")).alias("_seen")))
     known = blobs.join(seen, "blob", "left")
     unseen = {rule.kind: ~F.coalesce(F.array_contains(F.col("_seen"), F.struct(
@@ -191,8 +196,9 @@ def redact_versions(docs: DataFrame, length: str | None = None, rules: tuple[Rul
     content = docs.select(address(F.col("text")).alias("blob"), F.coalesce("text", F.lit("")).alias("content"))
     new, _ = scan(content.groupBy("blob").agg(F.first("content").alias("content")), empty_ledger(spark), rules)
     found = cut(new.groupBy("blob").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_spans")))
+    spans_found = found.agg(F.sum(F.size("_spans") + 1)).first()[0] or 0    # an array may be long: its spans are counted
     joined = (docs.select(whole_row(docs).alias("_doc"), address(F.col("text")).alias("blob"))
-              .join(broadcast_if_small(found, found.count()), "blob", "left"))
+              .join(broadcast_if_small(found, spans_found), "blob", "left"))
     clean = F.when(F.col("_spans").isNull(), F.col("_doc.text")).otherwise(redact(F.col("_doc.text"), F.col("_spans"), mask))
     out = {"text": clean}
     if length is not None:

@@ -71,3 +71,13 @@ def test_query_against_brute_force(spark):
         loss = "".join(t for r, t in turns if r == "assistant")
         assert (got[conv_id].n_turns, got[conv_id].turns_sha256) == (len(turns), sha("".join(f"{r}\n{t}\n" for r, t in turns)))
         assert (got[conv_id].loss_chars, got[conv_id].loss_sha256) == (len(loss), sha(loss))
+
+
+def test_very_long_texts(spark):
+    """Whole texts are formatted and read back, control strings and all."""
+    texts = ["### a: </turn>\\ " * 40_000, "é#" * 300_000]
+    rows = [(1, 0, "user", texts[0]), (1, 1, "assistant", texts[1])]
+    turns = spark.createDataFrame([(*r, "clash", 1) for r in rows], "conv_id long, turn long, role string, text string, formatted string, _m int")
+    done = conversations(linear_threads(turns)).collect()
+    assert [read_back(r.formatted) for r in done] == [[("user", texts[0]), ("assistant", texts[1])]]
+    assert unescape(done[0].formatted[done[0].loss_starts[0]:done[0].loss_ends[0]]) == texts[1]

@@ -140,3 +140,11 @@ def test_token_counts_of_odd_rows(documents, clashes):
     docs = documents([(1, None), (2, ""), (3, "a b"), (3, "a b"), (None, "a")], clashes)
     assert sorted(r.n_tokens for r in token_lengths(docs).collect()) == [0, 0, 1, 2, 2]
     assert suffix_sums(length_histogram(docs.limit(0))).count() == 0
+
+
+def test_token_counts_of_very_long_texts(documents, full):
+    texts = ["word " * 150_000, "ü1 " * 90_000, "a" * 200_000]
+    got = {r.doc_id: r.n_tokens for r in token_lengths(documents(list(enumerate(texts)))).collect()}
+    assert got == {i: len(full(t)) for i, t in enumerate(texts)}
+    sums = {r.n_tokens: r for r in suffix_sums(length_histogram(documents(list(enumerate(texts))))).collect()}
+    assert {r.total_tokens for r in sums.values()} == {sum(got.values())}

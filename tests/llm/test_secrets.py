@@ -119,3 +119,10 @@ def test_no_key_body_survives_masking(spark, documents):
         assert rest is None or got[i] == rest
         assert not texts[i].startswith("cut") or got[i].endswith("some words follow")
     assert {r.kind: r.version for r in RULES}["pem"] == 2
+
+
+def test_no_python_in_the_plan(spark, documents):
+    from shelfwise.llm.queries import op5_secrets
+    for df in (op5_secrets(spark, "/root/testdata/sf0.001"), redact_versions(documents([(1, "token = abcdef1")]), length="n_chars")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert not [x for x in ("Python", "Pandas", "Arrow", "ExternalRDD") if x in plan]

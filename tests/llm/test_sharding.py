@@ -65,3 +65,15 @@ def test_query(spark):
         slots[r.shard].append(r.slot)
     assert all(sorted(s) == list(range(len(s))) for s in slots)
     assert max(totals) - min(totals) < 0.02 * sum(totals) / 8
+
+
+def test_very_long_texts(documents):
+    """A text larger than all others together is a shard of its own."""
+    rows = [(0, "é" * 400_000)] + [(i, f"text number {i} " * 20) for i in range(1, 60)] + [(0, "é" * 400_000)]
+    got = shard_documents(documents(rows)).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r.shard, []).append((r.doc_id, r.size))
+    assert len(got) == len(rows) and [(0, 800_001)] * 2 in by.values()
+    rest = [sum(s for _, s in v) for v in by.values() if v != [(0, 800_001)] * 2]
+    assert len(rest) == 7 and max(rest) - min(rest) <= 400
