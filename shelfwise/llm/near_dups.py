@@ -15,8 +15,10 @@ a group of n near copies costs n - 1 alignments; then the smallest of those
 that it rejected leads, and so on for a few rounds.  Of groups that are still in
 several components by then all members meet, apart from those that are linked
 already: only such of like length, in blocks of profiles of their words, which
-drop pairs that cannot align.  That step compares up to n ** 2 / 2 profiles for a
-group of n unlike texts of one length.  Classes are the connected components of
+drop pairs that cannot align.  Of the pairs left each text's few likeliest are
+aligned first, then those whose texts are still in different components.  That
+step compares up to n ** 2 / 2 profiles for a group of n unlike texts of one
+length, and aligns as many where the words are alike and their order is not.  Classes are the connected components of
 the links; exact copies are one text throughout."""
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ import re
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .alignment import within
@@ -46,6 +48,9 @@ WIDE = 2048
 BLOCK = 128
 #: Rounds of leaders before all members of open groups meet.
 ROUNDS = 3
+#: Pairs of a text, those that share most sketches, that are aligned before the
+#: others of open groups.
+LIKELIEST = 4
 #: Texts aligned with one copy of their leader's text.
 STAR = 2000
 #: A place in a text takes so many low bits of a sketch's values.
@@ -195,13 +200,17 @@ def _aligned(a: Column, b: Column, similarity: float) -> Column:
 
 def _links(pairs: DataFrame, distinct: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """u and v of the ``pairs`` (node, leader; each once) whose ``texts`` (node,
-    text) align.
-    Only pairs that may align by their profiles are looked at.  A text moves once
-    for each of its leaders; a leader's own text once for every ``STAR`` of its
-    pairs, so a leader of very many has them in many tasks."""
+    text) align.  Only pairs that may align by their profiles are looked at."""
     profiles = distinct.select("node", F.col("_profile").alias("_a"))
     close = stored(pairs.join(profiles, "node").join(profiles.toDF("leader", "_b"), "leader")
                    .filter(_close(F.col("_a"), F.col("_b"), similarity)).select("node", "leader"), "close")
+    return _alignments(close, texts, similarity)
+
+
+def _alignments(close: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """u and v of the pairs ``close`` (node, leader; each once) that align.
+    A text moves once for each of its leaders; a leader's own text once for every
+    ``STAR`` of its pairs, so a leader of very many has them in many tasks."""
     stars = close.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / STAR).cast("int").alias("_of"))
     dealt = close.join(stars, "leader").withColumn("_part", F.pmod(F.xxhash64("node"), F.col("_of")).cast("int"))
     wanted = dealt.select("node", "leader", "_part", F.lit(False).alias("_leads")).unionByName(
@@ -225,13 +234,21 @@ def _close(a: Column, b: Column, similarity: float) -> Column:
         x, n = _profiles(left.tolist())
         y, m = _profiles(right.tolist())
         limit = ((1 - similarity) * np.maximum(n, m) + 1e-9).astype(np.int64)
-        surplus = x - y
-        over = np.maximum(surplus, 0).sum(axis=1)
-        return pd.Series((np.abs(n - m) <= limit) & (np.maximum(over, over - surplus.sum(axis=1)) <= limit))
+        return pd.Series(_least_edits(x - y, n - m) <= limit)
 
     return check(a, b)
 
 
+def _least_edits(surplus: np.ndarray, more: np.ndarray) -> np.ndarray:
+    """Edits that pairs of texts need at least, by the ``surplus`` of one text's
+    buckets over the other's and by how many words ``more`` it has.  Words that
+    one side lacks need an edit each.  Buckets end at 255 and numbers of words do
+    not, so what either side lacks follows from the other's as well."""
+    over = np.maximum(surplus, 0).sum(axis=1)
+    under = over - surplus.sum(axis=1)
+    return np.maximum(np.maximum(over, under + more), np.maximum(under, over - more))
+
+
 def profile(text: str) -> bytes:
     """How many of the text's words fall into each of ``BUCKETS``, at most 255,
     then the number of words.  An edit changes two buckets by one at most."""
@@ -278,9 +295,7 @@ def may_align(a: list[bytes], b: list[bytes], roots_a: np.ndarray, roots_b: np.n
         at = np.flatnonzero((roots_a != roots_b[j]) & (np.abs(n - m[j]) <= limit))
         for left, right in levels:
             if len(at):
-                surplus = left[at] - right[j]
-                over = np.maximum(surplus, 0).sum(axis=1)
-                at = at[np.maximum(over, over - surplus.sum(axis=1)) <= limit[at]]
+                at = at[_least_edits(left[at] - right[j], n[at] - m[j]) <= limit[at]]
         if len(at):
             out.append((at, j))
     return out
@@ -313,8 +328,9 @@ def _open_groups(rows: DataFrame, roots: DataFrame) -> DataFrame:
 def _unmet(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """Pairs (node, leader) of ``members`` (node, key, root) that share a key,
     are not in one component and may align by their ``texts``' wide profiles,
-    each once.  Wide profiles tell nearly all differing words apart, so few
-    pairs are left that do not align.
+    each once, with the number of ``keys`` that they share.  Wide profiles tell
+    nearly all differing words apart; pairs with the same words in another order
+    are left.
 
     Members are dealt into bands by their number of words, so that texts that
     may align lie in one band or in neighbouring ones, and bands into blocks of
@@ -349,7 +365,7 @@ def _unmet(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
     alone = blocks.select(F.col("m").alias("a"), F.col("m").alias("b"))
     meetings = alone.unionByName(left.join(right, ["key", "_i", "_j"]).select("a", "b"))
     return (meetings.select(F.explode(_pairs_of(similarity)("a.node", "a.root", "a.profile", "b.node", "b.root", "b.profile"))
-                            .alias("_p")).select("_p.node", "_p.leader").distinct())
+                            .alias("_p")).groupBy("_p.node", "_p.leader").agg(F.count(F.lit(1)).alias("keys")))
 
 
 def _led(rows: DataFrame) -> DataFrame:
@@ -389,10 +405,19 @@ def _similar_roots(shared: DataFrame, distinct: DataFrame, texts: DataFrame, sim
     members = stored(_open_groups(shared.select("node", "key"), roots), "members")
     if members.isEmpty():
         return roots
+    # these have passed wide profiles, so the narrow ones are not looked at again
     rest = stored(_unmet(members, texts, similarity).join(tested, ["node", "leader"], "left_anti"), "unmet")
     if rest.isEmpty():
         return roots
-    return components(_links(rest, distinct, texts, similarity).unionByName(roots.toDF("u", "v")))
+    order = Window.partitionBy("node").orderBy(F.desc("keys"), "leader")
+    likeliest = stored(rest.withColumn("_at", F.row_number().over(order)).filter(F.col("_at") <= LIKELIEST)
+                       .select("node", "leader"), "likeliest")
+    links = stored(_alignments(likeliest, texts, similarity), "links")
+    roots = components(links.unionByName(roots.toDF("u", "v")))
+    rest = stored(_apart(rest.select("node", "leader").join(likeliest, ["node", "leader"], "left_anti"), roots), "apart")
+    if rest.isEmpty():
+        return roots
+    return components(_alignments(rest, texts, similarity).unionByName(roots.toDF("u", "v")))
 
 
 def _classes(docs: DataFrame, similarity: float) -> DataFrame:

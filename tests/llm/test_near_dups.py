@@ -273,3 +273,35 @@ def test_profiles_drop_no_pair_that_aligns(wide):
         for j, b in enumerate(texts):
             assert (i, j) in found or not similar(a, b)
     assert len(found) < len(texts) ** 2
+
+
+def test_profiles_use_exact_numbers_of_words():
+    """A word more often than a bucket counts: what one side lacks follows from
+    the other side and the lengths."""
+    from shelfwise.llm.near_dups import WIDE, _profile_bytes, _word_hashes, may_align, similar
+    texts = ["again " * 700 + " ".join(f"a{i}" for i in range(50)), "again " * 570 + " ".join(f"b{i}" for i in range(130))]
+    assert not similar(*texts)                            # 180 of 750 words differ
+    for size in (near_dups.BUCKETS, WIDE):
+        a, b = _profile_bytes(*_word_hashes(texts), size)
+        assert may_align([a], [b], np.zeros(1), np.ones(1)) == may_align([b], [a], np.zeros(1), np.ones(1)) == []
+
+
+def test_near_copies_of_an_open_group_are_not_all_aligned(spark, documents, monkeypatch):
+    """Near copies that share no sketch but those of a passage that many unlike
+    texts have: after each one's likeliest pairs they are one component."""
+    monkeypatch.setattr(near_dups, "ROUNDS", 0)
+    aligned, compare = spark.sparkContext.accumulator(0), near_dups._similar
+
+    def counted(x, y, similarity):
+        aligned.add(1)
+        return compare(x, y, similarity)
+
+    monkeypatch.setattr(near_dups, "_similar", counted)
+    rng = random.Random(43)
+    own = lambda n: [f"o{rng.getrandbits(40)}" for _ in range(n)]
+    passage, common = own(150), own(50)
+    rows = [(i, " ".join(passage + [w if at % 3 == 0 else own(1)[0] for at, w in enumerate(common)])) for i in range(50)]
+    rows += [(100 + i, " ".join(passage + own(50))) for i in range(100)]
+    got = {r.doc_id: r.class_id for r in near_duplicates(documents(rows)).collect()}
+    assert got == {i: 0 if i < 50 else i for i, _ in rows}
+    assert 49 <= aligned.value < 400                      # of 1225 pairs that align
