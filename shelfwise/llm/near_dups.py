@@ -278,12 +278,31 @@ def _wide(text: Column) -> Column:
     return make(text)
 
 
+def shared_keys(a: list[np.ndarray], b: list[np.ndarray], key: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each text of ``a`` and each of ``b`` (the keys of all groups that they
+    are in, ``key`` among them): how many they share, and whether ``key`` is the
+    smallest of these.  So two texts meet in one group only."""
+    keys = np.intersect1d(np.concatenate(a), np.concatenate(b))
+
+    def marks(texts: list[np.ndarray]) -> np.ndarray:
+        out = np.zeros((len(texts), len(keys)), np.float32)
+        for row, own in zip(out, texts):
+            at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
+            row[at[keys[at] == own]] = 1
+        return out
+
+    x, y = marks(a), marks(b)
+    smaller = int(np.searchsorted(keys, key))
+    return (x @ y.T).astype(np.int64), x[:, :smaller] @ y[:, :smaller].T == 0
+
+
 def may_align(a: list[bytes], b: list[bytes], roots_a: np.ndarray, roots_b: np.ndarray,
-              similarity: float = SIMILARITY) -> list[tuple[np.ndarray, int]]:
+              similarity: float = SIMILARITY, meet: np.ndarray | None = None) -> list[tuple[np.ndarray, int]]:
     """For each text of ``b`` that may align with texts of ``a`` (profiles) of
-    another component: their places in ``a``, and its own.  No pair that aligns
-    is left out: words in a bucket beyond the other's need an edit each.  Of
-    wide profiles the buckets are looked at together first, then each."""
+    another component: their places in ``a``, and its own; only of those that
+    ``meet``, where given.  No other pair that aligns is left out: words in a
+    bucket beyond the other's need an edit each.  Of wide profiles the buckets
+    are looked at together first, then each."""
     x, n = _profiles(a)
     y, m = _profiles(b)
     folded = [v.reshape(len(v), BUCKETS, -1).sum(axis=2, dtype=np.int16) for v in (x, y)]
@@ -292,7 +311,8 @@ def may_align(a: list[bytes], b: list[bytes], roots_a: np.ndarray, roots_b: np.n
     for j in range(len(b)):
         longer = np.maximum(n, m[j])
         limit = ((1 - similarity) * longer + 1e-9).astype(np.int64)
-        at = np.flatnonzero((roots_a != roots_b[j]) & (np.abs(n - m[j]) <= limit))
+        apart = (roots_a != roots_b[j]) & (np.abs(n - m[j]) <= limit)
+        at = np.flatnonzero(apart if meet is None else apart & meet[:, j])
         for left, right in levels:
             if len(at):
                 at = at[_least_edits(left[at] - right[j], n[at] - m[j]) <= limit[at]]
@@ -302,15 +322,16 @@ def may_align(a: list[bytes], b: list[bytes], roots_a: np.ndarray, roots_b: np.n
 
 
 def _pairs_of(similarity: float):
-    @F.pandas_udf("array<struct<node:long,leader:long>>")
-    def make(a: pd.Series, a_root: pd.Series, a_profile: pd.Series,
-             b: pd.Series, b_root: pd.Series, b_profile: pd.Series) -> pd.Series:
+    @F.pandas_udf("array<struct<node:long,leader:long,keys:long>>")
+    def make(key: pd.Series, a: pd.Series, a_root: pd.Series, a_profile: pd.Series, a_keys: pd.Series,
+             b: pd.Series, b_root: pd.Series, b_profile: pd.Series, b_keys: pd.Series) -> pd.Series:
         out = []
-        for x, xr, xp, y, yr, yp in zip(a, a_root, a_profile, b, b_root, b_profile):
-            found: set = set()
-            for at, j in may_align(list(xp), list(yp), np.asarray(xr), np.asarray(yr), similarity):
-                found.update((max(int(x[i]), int(y[j])), min(int(x[i]), int(y[j]))) for i in at.tolist())
-            out.append([{"node": u, "leader": v} for u, v in found])
+        for k, x, xr, xp, xk, y, yr, yp, yk in zip(key, a, a_root, a_profile, a_keys, b, b_root, b_profile, b_keys):
+            shared, meet = shared_keys(list(xk), list(yk), k)
+            found: dict = {}
+            for at, j in may_align(list(xp), list(yp), np.asarray(xr), np.asarray(yr), similarity, meet):
+                found.update({(max(int(x[i]), int(y[j])), min(int(x[i]), int(y[j]))): int(shared[i, j]) for i in at.tolist()})
+            out.append([{"node": u, "leader": v, "keys": n} for (u, v), n in found.items()])
         return pd.Series(out)
 
     return make
@@ -336,17 +357,19 @@ def _unmet(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
     may align lie in one band or in neighbouring ones, and bands into blocks of
     about ``BLOCK``.  A block meets itself, the others of its band and those of
     the next, each meeting by a key of its own: no group lies in one task, and
-    only pairs that pass the profiles become rows."""
+    only pairs that pass the profiles become rows.  Texts of several common
+    groups are compared in that of the smallest key only."""
+    keys = members.groupBy("node").agg(F.sort_array(F.collect_set("key")).alias("keys"))
     known = (texts.join(members.select("node").distinct(), "node", "left_semi").select("node", _wide(F.col("text")).alias("_w"))
              .select("node", "_w.profile", F.floor(F.log(F.greatest(F.col("_w.words"), F.lit(1))) / -math.log(similarity) + 1e-9)
                      .cast("int").alias("band")))
-    members = stored(members.join(known, "node"), "open")
+    members = stored(members.join(known.join(keys, "node"), "node"), "open")
     bands = members.groupBy("key", "band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("_of"))
     following = bands.select("key", (F.col("band") - 1).alias("band"), F.col("_of").alias("_next"))
     before = bands.select("key", (F.col("band") + 1).alias("band"), F.col("_of").alias("_before"))
     bands = bands.join(following, ["key", "band"], "left").join(before, ["key", "band"], "left")
     block = F.pmod(F.xxhash64("node"), F.col("_of")).cast("int")
-    item = F.struct("node", "root", "profile")
+    item = F.struct("node", "root", "profile", "keys")
     blocks = stored(members.join(bands, ["key", "band"]).groupBy("key", "band", "_of", "_next", "_before", block.alias("block"))
                     .agg(F.collect_list(item).alias("m")), "blocks")
 
@@ -362,10 +385,10 @@ def _unmet(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
         upto(F.col("_of"), band, F.col("block") + 1), upto(F.col("_next"), band + 1))).alias("_j"), F.col("m").alias("a"))
     right = blocks.select("key", here.alias("_j"), F.explode(F.concat(
         upto(F.col("block"), band), upto(F.col("_before"), band - 1))).alias("_i"), F.col("m").alias("b"))
-    alone = blocks.select(F.col("m").alias("a"), F.col("m").alias("b"))
-    meetings = alone.unionByName(left.join(right, ["key", "_i", "_j"]).select("a", "b"))
-    return (meetings.select(F.explode(_pairs_of(similarity)("a.node", "a.root", "a.profile", "b.node", "b.root", "b.profile"))
-                            .alias("_p")).groupBy("_p.node", "_p.leader").agg(F.count(F.lit(1)).alias("keys")))
+    alone = blocks.select("key", F.col("m").alias("a"), F.col("m").alias("b"))
+    meetings = alone.unionByName(left.join(right, ["key", "_i", "_j"]).select("key", "a", "b"))
+    return meetings.select(F.explode(_pairs_of(similarity)(
+        "key", "a.node", "a.root", "a.profile", "a.keys", "b.node", "b.root", "b.profile", "b.keys")).alias("_p")).select("_p.*")
 
 
 def _led(rows: DataFrame) -> DataFrame:

@@ -305,3 +305,17 @@ def test_near_copies_of_an_open_group_are_not_all_aligned(spark, documents, monk
     got = {r.doc_id: r.class_id for r in near_duplicates(documents(rows)).collect()}
     assert got == {i: 0 if i < 50 else i for i, _ in rows}
     assert 49 <= aligned.value < 400                      # of 1225 pairs that align
+
+
+def test_texts_of_several_groups_meet_in_one():
+    from shelfwise.llm.near_dups import shared_keys
+    rng = random.Random(47)
+    a, b = ([np.array(sorted(rng.sample(range(-30, 30), rng.randrange(1, 12)))) for _ in range(40)] for _ in range(2))
+    met = np.zeros((40, 40), int)
+    for key in range(-30, 30):
+        here = [[i for i, x in enumerate(side) if key in x] for side in (a, b)]
+        if all(here):
+            shared, meet = shared_keys([a[i] for i in here[0]], [b[j] for j in here[1]], key)
+            met[np.ix_(*here)] += meet
+            assert shared.tolist() == [[len(set(a[i]) & set(b[j])) for j in here[1]] for i in here[0]]
+    assert met.tolist() == [[int(bool(set(x) & set(y))) for y in b] for x in a]
